@@ -149,3 +149,4 @@ class SubwordEncoder:
 def encoder(path: str) -> SubwordEncoder:
     """One encoder per worker process and file."""
     return SubwordEncoder(path)
+
