@@ -4,10 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import decontaminate, exact_dedup, language_model, mixing, quality, simhash, token_files
+from tidemark.llm import decontaminate, exact_dedup, language_id, language_model, mixing, pii, quality, simhash, token_files, warc
 from tidemark.llm.common import table
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages with all evidence, and documents with the text alone."""
+    return language_id.identify(table(spark, sf_dir, "pages"), table(spark, sf_dir, "documents"))
+
+
 def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_files(table(spark, sf_dir, "documents"))
 
@@ -28,13 +33,33 @@ def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def flip_a_byte(page_id: int | None, raw: bytes) -> bytes:
+    """The drill's faulty replica: in every record whose page id leaves 5 modulo 97, the byte in the middle is inverted."""
+    if page_id is None or page_id % 97 != 5:
+        return raw
+    at = len(raw) // 2
+    return raw[:at] + bytes([raw[at] ^ 0xFF]) + raw[at + 1 :]
+
+
+def op7_warc_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two replicas of all pages, the second with known faults, audited."""
+    pages = table(spark, sf_dir, "pages")
+    good, _ = warc.write(pages)
+    bad, _ = warc.write(pages, damage=flip_a_byte)
+    return warc.audit(spark, good, bad)
+
+
 def op8_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_model.score(table(spark, sf_dir, "documents"))
 
 
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find_pii(table(spark, sf_dir, "documents"))
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_token_files, op3_quality, op4_mixing, op5_simhash, op6_decontaminate, op8_language_model, op10_exact_dedup)}
+QUERIES = {f.__name__: f for f in (op1_language_id, op2_token_files, op3_quality, op4_mixing, op5_simhash, op6_decontaminate, op7_warc_audit, op8_language_model, op9_pii, op10_exact_dedup)}
 ORACLE_SQL = {"op4_mixing": mixing.ORACLE, "op10_exact_dedup": exact_dedup.ORACLE}
