@@ -73,7 +73,8 @@ def stop_decision(stats: DataFrame, gate: DataFrame, run: list[str], signal: lis
     first = fired.groupBy(*run).agg(F.min(F.struct("window", "rank", "at")).alias("v"))
     names = F.element_at(F.array(*map(F.lit, ["diverged", "converged", "stationary", "no_steady_state"])), F.col("v.rank") + 1)
     out = stats.select(*run).distinct().join(first, run, "left")
-    return out.select(*run, F.coalesce(names, F.lit("unfinished")).alias("status"), F.col("v.window").alias("window"), F.col("v.at").alias("stopped_at"))
+    fired_at_all = F.col("v").isNotNull()
+    return out.select(*run, F.when(fired_at_all, names).otherwise("unfinished").alias("status"), F.when(fired_at_all, F.col("v.window")).alias("window"), F.when(fired_at_all, F.col("v.at")).alias("stopped_at"))
 
 
 def pooled_publish(history: DataFrame, decision: DataFrame, size: int, run: list[str], signal: list[str], position: str = "i", value: str = "value") -> DataFrame:
