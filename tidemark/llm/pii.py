@@ -31,12 +31,12 @@ from tidemark.llm.common import chunks
 KINDS = ("email", "ip", "card", "phone")
 #: Precision wanted on made-up rows, rows made, and their seed.
 PRECISION, MADE, SEED = 0.995, 3000, 11
-#: Most digits of a candidate; so each digit group starts a bounded number of candidates.
-MOST_DIGITS = 19
+#: Most digits and digit groups of a candidate; so each digit group starts a bounded number of candidates.
+MOST_DIGITS, MOST_GROUPS = 19, 6
 
 _LOCAL, _DOMAIN = re.compile(r"[A-Za-z0-9._%+-]"), re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _LOCAL_RUN = re.compile(r"[A-Za-z0-9._%+-]*\Z")
-_IP = re.compile(r"[0-9]++(?:\.[0-9]++){3}")
+_IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 _CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _DIGIT = re.compile(r"[0-9]")
@@ -102,7 +102,7 @@ def candidates(text: str) -> list[Span]:
             groups = [(m.start(), m.end()) for m in _GROUP.finditer(text, region.start(), region.end())]
             for i, (a, _) in enumerate(groups):
                 n = 0
-                for j in range(i, len(groups)):
+                for j in range(i, min(i + MOST_GROUPS, len(groups))):
                     n += groups[j][1] - groups[j][0]
                     if n > MOST_DIGITS:
                         break
