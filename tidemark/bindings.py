@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.expr import reduce90, rounded, tokens_of
-from tidemark.operators import diff, features, lattice, ledger, modal, neighbours, sample, signals, text, windows
+from tidemark.operators import accounts, diff, features, lattice, ledger, modal, neighbours, sample, signals, text, windows
 from tidemark.operators.ordered import numbered
 from tidemark.operators.rules import json_leaves
 from tidemark.session import ship
@@ -639,3 +639,115 @@ def streaming_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("SELECT source, CAST(round_even(length(text) / 2.5, 0) AS BIGINT) AS tokens, doc_id FROM documents")
 def token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select("source", tokens_of(F.length("text")).alias("tokens"), "doc_id")
+
+
+# --- allow-lists, sets, balances -----------------------------------------------------------------------------------
+
+
+@query("SELECT station, count(*) AS n FROM lineitem, (SELECT CAST(unnest([0.02, 0.04, 0.06]) AS DOUBLE) AS station) WHERE abs(l_discount - station) <= 0.01 + 1e-12 GROUP BY 1")
+def station_bin(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return features.station_bin(table(spark, sf_dir, "lineitem"), [0.02, 0.04, 0.06], 0.02 + 2e-12, "l_discount").groupBy("station").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("""WITH p AS (SELECT *, 0.1 * max(abs(c_acctbal)) OVER (PARTITION BY c_mktsegment) AS p FROM customer), l AS (SELECT *, CASE WHEN c_acctbal > p THEN 'positive' WHEN c_acctbal < -p THEN 'negative' END AS lobe FROM p)
+SELECT c_mktsegment, lobe, count(*) AS n, round(sum(abs(c_acctbal) * c_nationkey) / sum(abs(c_acctbal)), 6) + 0.0 AS y_mean FROM l WHERE lobe IS NOT NULL GROUP BY ALL""")
+def lobes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = features.lobes(table(spark, sf_dir, "customer"), ["c_mktsegment"], "c_acctbal", "c_nationkey", "c_custkey")
+    return c.select("c_mktsegment", "lobe", "n", rounded("y_mean").alias("y_mean"))
+
+
+@query("SELECT c_mktsegment, round(CAST(sum(CASE WHEN c_nationkey < 12 THEN CAST(c_acctbal AS DECIMAL(18,2)) ELSE 0 END) AS DOUBLE) / CAST(sum(CAST(c_acctbal AS DECIMAL(18,2))) AS DOUBLE), 6) + 0.0 AS coverage FROM customer GROUP BY 1")
+def coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return features.coverage(table(spark, sf_dir, "customer"), ["c_mktsegment"], F.col("c_nationkey") < 12, "c_acctbal").withColumn("coverage", rounded("coverage"))
+
+
+@query("""WITH n AS (SELECT n_regionkey, n_nationkey % 2 AS side, CAST(sum(CAST(c_acctbal AS DECIMAL(18,2))) AS DOUBLE) AS v FROM nation JOIN customer ON c_nationkey = n_nationkey GROUP BY n_regionkey, n_nationkey),
+r AS (SELECT *, row_number() OVER (PARTITION BY n_regionkey, side ORDER BY v DESC) AS r FROM n), t AS (SELECT n_regionkey, side, max(v) AS first, sum(v) AS two, count(*) AS n FROM r WHERE r <= 2 GROUP BY ALL)
+SELECT n_regionkey, round(max(first), 2) + 0.0 AS high, round(arg_min(two, first), 2) + 0.0 AS low_two, arg_min(n, first) = 2 AND abs(arg_min(two, first) - max(first)) <= 0.2 * max(first) AS split FROM t GROUP BY 1""")
+def split_verdict(spark: SparkSession, sf_dir: str) -> DataFrame:
+    per = table(spark, sf_dir, "customer").groupBy("c_nationkey").agg(F.sum(money("c_acctbal")).cast("double").alias("v"))
+    n = table(spark, sf_dir, "nation").join(per, F.col("n_nationkey") == F.col("c_nationkey")).withColumn("side", F.col("n_nationkey") % 2)
+    return features.split_verdict(n, ["n_regionkey"], "side", "v", 0.2).select("n_regionkey", rounded("high", 2).alias("high"), rounded("low_two", 2).alias("low_two"), "split")
+
+
+@query("SELECT l_returnflag, round(-1 / regr_slope(ln(l_extendedprice), l_quantity), 4) + 0.0 AS steps_per_fold FROM lineitem WHERE l_extendedprice <> 0 GROUP BY 1")
+def decay_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return modal.decay_fit(table(spark, sf_dir, "lineitem"), ["l_returnflag"], "l_quantity", "l_extendedprice").withColumn("steps_per_fold", rounded("steps_per_fold", 4))
+
+
+@query("""WITH a AS (SELECT l_returnflag, l_quantity AS x, avg(l_extendedprice) AS y FROM lineitem GROUP BY ALL), l AS (SELECT l_returnflag, max(x) AS x0, arg_max(y, x) AS y0 FROM a WHERE x <= 10.5 GROUP BY 1), h AS (SELECT l_returnflag, min(x) AS x1, arg_min(y, x) AS y1 FROM a WHERE x >= 10.5 GROUP BY 1)
+SELECT l_returnflag, round(y0 + (ln(10.5) - ln(x0)) / (ln(x1) - ln(x0)) * (y1 - y0), 3) + 0.0 AS value FROM l JOIN h USING (l_returnflag)""")
+def log_interpolation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    a = table(spark, sf_dir, "lineitem").groupBy("l_returnflag", F.col("l_quantity").alias("x")).agg(F.avg("l_extendedprice").alias("y"))
+    return modal.log_interpolation(a, ["l_returnflag"], "x", "y", 10.5).withColumn("value", rounded("value", 3))
+
+
+@query("SELECT c_nationkey, round(sum(c_acctbal), 2) + 0.0 AS net, round(sum(greatest(c_acctbal, 0)), 2) + 0.0 AS inflow, round(CASE WHEN sum(greatest(c_acctbal, 0)) > 0 THEN sum(c_acctbal) / sum(greatest(c_acctbal, 0)) END, 6) + 0.0 AS imbalance FROM customer GROUP BY 1")
+def mass_balance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    m = accounts.mass_balance(table(spark, sf_dir, "customer"), ["c_nationkey"], "c_acctbal")
+    return m.select("c_nationkey", rounded("net", 2).alias("net"), rounded("inflow", 2).alias("inflow"), rounded("imbalance").alias("imbalance"))
+
+
+@query("SELECT l_returnflag, threshold, count(*) FILTER (WHERE l_extendedprice >= threshold) AS n FROM lineitem, (SELECT CAST(unnest([1000, 10000, 50000, 1000000]) AS DOUBLE) AS threshold) GROUP BY ALL")
+def threshold_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return accounts.threshold_counts(table(spark, sf_dir, "lineitem"), ["l_returnflag"], "l_extendedprice", [1000, 10000, 50000, 1000000])
+
+
+_CLASS = "CASE WHEN regexp_matches(p_name, '^small') THEN 'owned' WHEN regexp_matches(p_brand, 'x') AND p_size > 25 THEN 'inherited' WHEN regexp_matches(p_name, 'ring$|bolt$') AND p_size > 25 THEN 'inherited' WHEN regexp_matches(p_name, 'ring$|bolt$') THEN 'inherited_unused' WHEN regexp_matches(p_name, '^red') THEN 'system' WHEN p_size > 25 THEN 'unlisted' ELSE 'unknown' END"
+
+
+@query(f"""WITH o AS (SELECT p_type, {_CLASS} AS class FROM part), v AS (SELECT p_type, NOT bool_or(class IN ('unlisted', 'unknown')) AS passed FROM o GROUP BY 1) SELECT o.p_type, class, count(*) AS n, any_value(passed) AS passed FROM o JOIN v USING (p_type) GROUP BY ALL""")
+def object_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    o = accounts.classify_objects(table(spark, sf_dir, "part"), "p_name", ["^small"], ["ring$", "bolt$"], ["^red"], F.col("p_size") > 25)
+    return accounts.object_counts(o, ["p_type"])
+
+
+@query("SELECT c_custkey FROM customer WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey)")
+def missing_owned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return accounts.missing_owned(table(spark, sf_dir, "orders"), "o_custkey", table(spark, sf_dir, "customer").select("c_custkey"), "c_custkey")
+
+
+@query("SELECT page_id, url FROM pages WHERE NOT (regexp_matches(url, '^https://') OR regexp_matches(url, 'page=2'))")
+def undeclared(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return accounts.undeclared(table(spark, sf_dir, "pages").select("page_id", "url"), "url", ["^https://", "page=2"])
+
+
+@query("SELECT a.o_orderkey, b.o_totalprice AS base_value FROM orders a LEFT JOIN orders b ON b.o_orderkey = a.o_orderkey // 2 - 5")
+def base_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice", (F.floor(F.col("o_orderkey") / 2) - 5).alias("base"))
+    return accounts.base_lookup(o, "o_orderkey", "base", "o_totalprice").select("o_orderkey", "base_value")
+
+
+_T = "round(epoch_us(ts) / 6e7, 0)"
+
+
+@query(f"WITH e AS (SELECT event_id, event_type, user_id, {_T} AS m FROM events) SELECT a.event_id, b.event_id AS r_event_id FROM e a JOIN e b ON a.m = b.m WHERE a.event_type = 'click' AND b.event_type = 'view'")
+def time_align(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = table(spark, sf_dir, "events").select("event_id", "event_type", (F.unix_micros(F.col("ts").cast("timestamp")) / 6e7).alias("m"))
+    out = accounts.time_align(e.filter("event_type = 'click'"), e.filter("event_type = 'view'").drop("event_type"), "m", 0)
+    return out.select("event_id", "r_event_id")
+
+
+@query("SELECT o_custkey, CAST(o_orderdate AS DATE) AS day, count(*) AS n FROM orders GROUP BY ALL HAVING count(*) > 1")
+def duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return accounts.duplicates(table(spark, sf_dir, "orders").select("o_custkey", F.col("o_orderdate").cast("date").alias("day")), ["o_custkey", "day"])
+
+
+@query("""WITH m AS (SELECT n_regionkey, n_name, row_number() OVER (PARTITION BY n_regionkey ORDER BY n_name) AS r, count(*) OVER (PARTITION BY n_regionkey) AS n FROM nation)
+SELECT n_regionkey, string_agg(n_name, '; ' ORDER BY n_name) FILTER (WHERE r <= 4) || CASE WHEN max(n) > 4 THEN ' (+' || (max(n) - 4) || ' more)' ELSE '' END AS message FROM m GROUP BY 1""")
+def first_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return accounts.first_messages(table(spark, sf_dir, "nation"), ["n_regionkey"], "n_name")
+
+
+@query("""WITH p AS (SELECT c_custkey, c_acctbal AS x, CAST(c_nationkey AS DOUBLE) AS y FROM customer WHERE abs(c_acctbal) > 1e-9), j AS (SELECT DISTINCT a.c_custkey FROM p a JOIN p b ON sign(b.x) = -sign(a.x) AND (a.x + b.x) * (a.x + b.x) + (a.y - b.y) * (a.y - b.y) <= 625)
+SELECT count(*) AS cells, count(*) - (SELECT count(*) FROM p) AS on_plane, (SELECT count(*) FROM j) AS paired, CAST(0 AS BIGINT) AS level_mismatch, (SELECT count(*) FROM p) - (SELECT count(*) FROM j) AS unpaired FROM customer""")
+def mirror_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = table(spark, sf_dir, "customer").select("c_custkey", F.col("c_acctbal").alias("x"), F.col("c_nationkey").cast("double").alias("y"), F.lit(25.0).alias("size"))
+    return neighbours.outcome_counts(neighbours.mirror_pairs(c, "c_custkey", "x", ["x", "y"], "size", 25.0), c.count())
+
+
+@query("SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey FROM (SELECT *, row_number() OVER (ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey) - 1 AS i FROM lineitem) WHERE i % 50 = 0 AND i < 50 * 200")
+def stride_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # the first 200 strides only need the 10,000 smallest keys, a top-k
+    few = table(spark, sf_dir, "lineitem").select(*_KEYS).orderBy(*_KEYS).limit(50 * 200)
+    return sample.stride_sample(few, 50, 200, _KEYS)

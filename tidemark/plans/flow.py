@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.expr import close
 from tidemark.operators import rules, signals, windows
+from tidemark.session import ship
 from tidemark.sources import readers
 
 
@@ -34,16 +35,16 @@ def flow_summary(samples: DataFrame, key: list[str], reference: str, t0: float,
 
     The window comes from one signal and is joined to all others: one row per key.
     """
+    ship(samples.sparkSession)
     inside = signals.search_window(samples, [*key, signal], t0, t1)
     one = signals.about_mean(inside.filter(F.col(signal) == reference), [*key, signal]).drop("spans")
     crossings = signals.upward_crossings(one, [*key, signal])
-    window = signals.period_window(crossings, [*key, signal]).drop(signal)
-    amplitude = signals.peak_to_peak(one, crossings, [*key, signal]).drop(signal, "cycles")
+    window = signals.period_window(crossings, [*key, signal]).join(signals.peak_to_peak(one, crossings, [*key, signal]).drop("cycles"), [*key, signal]).drop(signal)
     keys = key or ["_all"]
     widen = (lambda df: df) if key else (lambda df: df.withColumn("_all", F.lit(1)))
     spans = widen(window).select(*keys, F.lit("whole").alias("half"), F.col("t_start").alias("a"), F.col("t_end").alias("b"))
     stats = signals.trapezoid_stats(widen(samples), spans.join(widen(samples).select(*keys, signal).distinct(), keys), [*keys, signal], ["half"])
-    out = stats.drop("half").join(widen(window), keys).join(widen(amplitude), keys)
+    out = stats.drop("half").join(widen(window), keys)
     return out if key else out.drop("_all")
 
 
