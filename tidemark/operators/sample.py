@@ -32,17 +32,24 @@ def estimate_integral(sample: DataFrame, *fields: str) -> DataFrame:
     return sample.agg(*[F.sum(F.col(f) * F.col("vol_weight")).alias(f"integral_{f}") for f in fields])
 
 
-def concentration(df: DataFrame, weight: Column, volume: Column, marks: tuple[float, ...] = (0.001, 0.01, 0.05, 0.1, 0.25)) -> DataFrame:
+def concentration(df: DataFrame, weight: Column, volume: Column, marks: tuple[float, ...] = (0.001, 0.01, 0.05, 0.1, 0.25), bins: int = 4096) -> DataFrame:
     """For each mark the share of weight and of volume in that share of the rows, heaviest first (at least one row).
 
-    Equal weights are taken together in one step, so the cumulative sums run over distinct weights only, and rows of one
-    weight count in proportion. The sums are over a grouped table; rows themselves are never ordered.
+    Equal weights are taken together, and rows of one weight count in proportion. Running sums go over distinct weights
+    within bins of the weight's range; only the totals of at most ``bins`` bins are added up in one task, and rows are
+    never ordered as a whole.
     """
-    per = df.groupBy(weight.alias("w")).agg(F.count(F.lit(1)).alias("n"), F.sum(volume).alias("v"))
-    down = Window.orderBy(F.col("w").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    per = df.groupBy(weight.cast("double").alias("w")).agg(F.count(F.lit(1)).alias("n"), F.sum(volume).alias("v")).filter(F.col("w").isNotNull())
+    ends = per.agg(F.min("w").alias("_lo"), F.max("w").alias("_hi"))
+    place = F.when(F.col("_hi") > F.col("_lo"), F.least(F.floor((F.col("w") - F.col("_lo")) / (F.col("_hi") - F.col("_lo")) * bins), F.lit(bins - 1))).otherwise(0)
+    per = per.crossJoin(F.broadcast(ends)).withColumn("bin", place.cast("int")).drop("_lo", "_hi")  # one row
+    down = Window.orderBy(F.col("bin").desc()).rowsBetween(Window.unboundedPreceding, -1)
     every = Window.partitionBy()
-    rows = per.withColumn("n0", F.coalesce(F.sum("n").over(down), F.lit(0))).withColumn("w0", F.coalesce(F.sum(F.col("w") * F.col("n")).over(down), F.lit(0.0))).withColumn("v0", F.coalesce(F.sum("v").over(down), F.lit(0.0)))
-    rows = rows.withColumn("all_n", F.sum("n").over(every)).withColumn("all_w", F.sum(F.col("w") * F.col("n")).over(every)).withColumn("all_v", F.sum("v").over(every))
+    whole = per.groupBy("bin").agg(F.sum("n").alias("bn"), F.sum(F.col("w") * F.col("n")).alias("bw"), F.sum("v").alias("bv"))
+    whole = whole.select("bin", *[F.coalesce(F.sum(f"b{c}").over(down), F.lit(0)).alias(f"{c}_above") for c in "nwv"], *[F.sum(f"b{c}").over(every).alias(f"all_{c}") for c in "nwv"])
+    inside = Window.partitionBy("bin").orderBy(F.col("w").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    so_far = lambda c, above: F.coalesce(F.sum(c).over(inside), F.lit(0)) + F.col(above)
+    rows = per.join(F.broadcast(whole), "bin").withColumn("n0", so_far(F.col("n"), "n_above")).withColumn("w0", so_far(F.col("w") * F.col("n"), "w_above")).withColumn("v0", so_far(F.col("v"), "v_above"))
     rows = rows.withColumn("mark", F.explode(F.array(*[F.lit(float(m)) for m in marks]))).withColumn("k", F.greatest(F.lit(1), F.ceil(F.col("mark") * F.col("all_n") - 1e-9)))
     part = F.greatest(F.lit(0), F.least(F.col("k") - F.col("n0"), F.col("n")))
     at = rows.filter((F.col("n0") < F.col("k")) & (F.col("n0") + F.col("n") >= F.col("k")))
