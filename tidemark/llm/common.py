@@ -22,8 +22,11 @@ from tidemark.session import ship
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: A word: anything but space and the five control characters from tab to carriage return.
 WORD = r"[^\x20\x09-\x0D]+"
-#: Text bytes that a Python worker handles at once.
-CHUNK_BYTES = 4 << 20
+#: Text bytes that a Python worker handles at once, and that one Arrow batch between Spark and a worker holds.
+CHUNK_BYTES, BATCH_BYTES = 2 << 20, 8 << 20
+
+# Workers give memory back to the system as soon as a chunk is done; the default pool would keep it.
+pa.set_memory_pool(pa.system_memory_pool())
 
 _SEPARATOR = np.zeros(256, dtype=bool)
 _SEPARATOR[[0x20, *range(0x09, 0x0E)]] = True
@@ -31,9 +34,15 @@ _TO_LOWER = np.arange(256, dtype=np.uint8)
 _TO_LOWER[65:91] += 32
 
 
+def prepared(spark: SparkSession) -> SparkSession:
+    """The session, with this package on its workers and Arrow batches bounded by bytes, so that very long texts don't fill a worker."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    return ship(spark)
+
+
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A new, empty place below ``spark.checkpoint.dir``, as a URI. Only where that is unset (tests) it is set to a temporary folder."""
-    base = ship(spark).conf.get("spark.checkpoint.dir", None)
+    base = prepared(spark).conf.get("spark.checkpoint.dir", None)
     if not base:
         base = tempfile.mkdtemp(prefix="tidemark-")
         spark.conf.set("spark.checkpoint.dir", base)
@@ -55,7 +64,7 @@ def lower_ascii(col: Column) -> Column:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return ship(spark).read.parquet(f"{sf_dir}/{name}.parquet")
+    return prepared(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def chunks(batches: Iterator[pa.RecordBatch], text: str = "text", limit: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
