@@ -43,9 +43,7 @@ def flip_a_byte(page_id: int | None, raw: bytes) -> bytes:
 
 def op7_warc_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two replicas of all pages, the second with known faults, audited."""
-    pages = table(spark, sf_dir, "pages")
-    good, _ = warc.write(pages)
-    bad, _ = warc.write(pages, damage=flip_a_byte)
+    (good, bad), _ = warc.write_replicas(table(spark, sf_dir, "pages"), [None, flip_a_byte])
     return warc.audit(spark, good, bad)
 
 

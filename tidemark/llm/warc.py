@@ -30,6 +30,7 @@ from tidemark.llm.common import shared_dir, stored
 
 #: Children of an inner node; bytes of records after which a task starts a new file; the date of made-up captures.
 FANOUT, SHARD_BYTES, DATE = 16, 64 << 20, "2024-01-01T00:00:00Z"
+Damage = Callable[[int | None, bytes], bytes | None]
 _INDEX = "file string, record bigint, offset bigint, length bigint, page_id bigint"
 
 
@@ -92,51 +93,77 @@ def members(read: Callable[[int], bytes], step: int = 1 << 20) -> Iterator[tuple
         held, base = held[at:], base + at
 
 
-def _write(uri: str, damage: Callable[[int | None, bytes], bytes | None] | None):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        store, base = fs.FileSystem.from_uri(uri)
-        part, serial, sink, own, name, at, n = TaskContext.get().partitionId(), 0, None, "", "", 0, 0
+class _Sink:
+    """The open shard of one replica in one task."""
+
+    def __init__(self, uri: str, damage: Damage | None):
+        self.store, self.base = fs.FileSystem.from_uri(uri)
+        self.damage, self.part, self.serial = damage, TaskContext.get().partitionId(), 0
+        self.file, self.own, self.name, self.at, self.n = None, "", "", 0, 0
+
+    def put(self, page_id: int | None, raw: bytes) -> tuple | None:
+        """Where the record went, or None if the replica lost it."""
+        raw = self.damage(page_id, raw) if self.damage else raw
+        if raw is None:
+            return None
+        if self.file is None:
+            self.name, self.own = f"part-{self.part:06d}-{self.serial:05d}.warc.gz", f"{self.base}/.{uuid.uuid4().hex}"
+            self.file = self.store.open_output_stream(self.own, compression=None)
+        self.file.write(raw)
+        row = (self.name, self.n, self.at, len(raw), page_id)
+        self.at, self.n = self.at + len(raw), self.n + 1
+        return row
+
+    def close(self) -> None:
+        if self.file is not None:
+            self.file.close()
+            self.store.move(self.own, f"{self.base}/{self.name}")
+            self.file, self.serial, self.at, self.n = None, self.serial + 1, 0, 0
 
-        def close() -> None:
-            nonlocal sink, serial, at, n
-            if sink is not None:
-                sink.close()
-                store.move(own, f"{base}/{name}")
-                sink, serial, at, n = None, serial + 1, 0, 0
 
+def _write(replicas: list[tuple[str, Damage | None]]):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sinks = [_Sink(uri, damage) for uri, damage in replicas]
+        whole = 0  # bytes of the sound records: all replicas begin a new file at the same record
         for batch in batches:
             rows = []
             for page_id, url, html in zip(*(batch.column(c).to_pylist() for c in ("page_id", "url", "html")), strict=True):
                 raw = member(record(page_id, url, html))
-                raw = damage(page_id, raw) if damage else raw
-                if raw is None:
-                    continue
-                if sink is None:
-                    name, own = f"part-{part:06d}-{serial:05d}.warc.gz", f"{base}/.{uuid.uuid4().hex}"
-                    sink = store.open_output_stream(own, compression=None)
-                sink.write(raw)
-                rows.append((name, n, at, len(raw), page_id))
-                at, n = at + len(raw), n + 1
-                if at >= SHARD_BYTES:
-                    close()
+                found = [s.put(page_id, raw) for s in sinks]
+                if found[0]:
+                    rows.append(found[0])
+                whole += len(raw)
+                if whole >= SHARD_BYTES:
+                    whole = 0
+                    for s in sinks:
+                        s.close()
             if rows:
                 yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.int64()), strict=True)], ["file", "record", "offset", "length", "page_id"])
-        close()
+        for s in sinks:
+            s.close()
 
     return run
 
 
-def write(pages: DataFrame, uri: str | None = None, damage: Callable[[int | None, bytes], bytes | None] | None = None) -> tuple[str, DataFrame]:
-    """Write the pages in order of their id. Returns the folder and the index: file, record, offset, length, page_id.
+def write_replicas(pages: DataFrame, damages: list[Damage | None]) -> tuple[list[str], DataFrame]:
+    """Write several replicas of the pages in one pass, in order of their id. Returns their folders and the index of the first: file, record, offset, length, page_id.
 
-    ``damage`` stands for a faulty replica in drills: it maps a record's id and bytes to what is stored (None: lost).
+    A damage stands for a faulty replica in drills: it maps a record's id and bytes to what is stored (None: lost).
     """
     spark = pages.sparkSession
-    uri = uri or shared_dir(spark, "warc")
-    store, base = fs.FileSystem.from_uri(uri)
-    store.create_dir(base)
+    uris = [shared_dir(spark, "warc") for _ in damages]
+    for uri in uris:
+        store, base = fs.FileSystem.from_uri(uri)
+        store.create_dir(base)
     slim = pages.select(F.col("page_id").cast("bigint").alias("page_id"), F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"))
-    return uri, stored(slim.repartitionByRange("page_id").sortWithinPartitions("page_id", "url", "html").mapInArrow(_write(uri, damage), _INDEX), "cdx")
+    ordered = slim.repartitionByRange("page_id").sortWithinPartitions("page_id", "url", "html")
+    return uris, stored(ordered.mapInArrow(_write(list(zip(uris, damages, strict=True))), _INDEX), "cdx")
+
+
+def write(pages: DataFrame, damage: Damage | None = None) -> tuple[str, DataFrame]:
+    """One replica: its folder and index."""
+    uris, index = write_replicas(pages, [damage])
+    return uris[0], index
 
 
 def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
