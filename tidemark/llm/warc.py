@@ -9,7 +9,7 @@ All levels are grouped sums of at most ``FANOUT`` rows, so no task sees more tha
 driver sees none. A shard is written under its own name and then moved, so a repeated task replaces the same bytes.
 
 Cases: null html or url counts as empty; null ids come first and are written without one; repeated rows give a record
-each, in order of their content; an empty table gives no files and an empty audit; other columns are ignored.
+each, in order of their bytes; an empty table gives no files and an empty audit; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -27,6 +27,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import shared_dir, stored
+from tidemark.llm.quality import chunks_of
 
 #: Children of an inner node; bytes of records after which a task starts a new file; the date of made-up captures.
 FANOUT, SHARD_BYTES, DATE = 16, 64 << 20, "2024-01-01T00:00:00Z"
@@ -121,14 +122,20 @@ class _Sink:
             self.file, self.serial, self.at, self.n = None, self.serial + 1, 0, 0
 
 
+def _members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pages as compressed records: what is shuffled then is a third of the text."""
+    for batch in chunks_of(batches, "html"):
+        rows = zip(*(batch.column(c).to_pylist() for c in ("page_id", "url", "html")), strict=True)
+        yield pa.record_batch([batch.column("page_id"), pa.array([member(record(*r)) for r in rows], pa.binary())], ["page_id", "raw"])
+
+
 def _write(replicas: list[tuple[str, Damage | None]]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sinks = [_Sink(uri, damage) for uri, damage in replicas]
         whole = 0  # bytes of the sound records: all replicas begin a new file at the same record
         for batch in batches:
             rows = []
-            for page_id, url, html in zip(*(batch.column(c).to_pylist() for c in ("page_id", "url", "html")), strict=True):
-                raw = member(record(page_id, url, html))
+            for page_id, raw in zip(batch.column("page_id").to_pylist(), batch.column("raw").to_pylist(), strict=True):
                 found = [s.put(page_id, raw) for s in sinks]
                 if found[0]:
                     rows.append(found[0])
@@ -156,7 +163,7 @@ def write_replicas(pages: DataFrame, damages: list[Damage | None]) -> tuple[list
         store, base = fs.FileSystem.from_uri(uri)
         store.create_dir(base)
     slim = pages.select(F.col("page_id").cast("bigint").alias("page_id"), F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"))
-    ordered = slim.repartitionByRange("page_id").sortWithinPartitions("page_id", "url", "html")
+    ordered = slim.mapInArrow(_members, "page_id bigint, raw binary").repartitionByRange("page_id").sortWithinPartitions("page_id", "raw")
     return uris, stored(ordered.mapInArrow(_write(list(zip(uris, damages, strict=True))), _INDEX), "cdx")
 
 
