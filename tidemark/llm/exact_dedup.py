@@ -55,7 +55,7 @@ def exact_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", hea
 
 def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The documents that stay, with all their columns. Ids must be unique here."""
-    kept = exact_dedup(docs, doc_id, text).filter("kept").select(F.col("doc_id").alias("_keep"))
+    kept = exact_dedup(docs, doc_id, text).filter("kept").select(F.col("doc_id").alias("_keep")).hint("merge")  # grows with the input: never broadcast
     return docs.join(kept, docs[doc_id].eqNullSafe(kept["_keep"]), "left_semi")
 
 

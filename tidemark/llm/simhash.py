@@ -182,6 +182,7 @@ def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Dat
     """One document of each group, all columns: the one with the smallest id; of repeated ids a single row stays."""
     groups = simhash_groups(docs, doc_id, text)
     chosen = stored(groups.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("doc_id").agg(F.count(F.lit(1)).alias("_n")), "kept")
-    kept = chosen.select(F.col("doc_id").alias("_keep"))
+    # The ids that stay grow with the input, so they are never broadcast: the same plan at every size.
+    kept = chosen.select(F.col("doc_id").alias("_keep")).hint("merge")
     out = docs.join(kept, docs[doc_id].eqNullSafe(kept["_keep"]), "left_semi")
     return out if chosen.filter("_n > 1").isEmpty() else out.dropDuplicates([doc_id])
