@@ -5,6 +5,7 @@ from __future__ import annotations
 import random
 
 import corpus_pipeline
+from tidemark.llm import simhash
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 WORDS = [f"w{i}" for i in range(3000)]
@@ -45,3 +46,14 @@ def test_edited_copies_go_and_others_stay(spark):
 def test_short_and_empty_texts(spark):
     rows = [(1, "one two"), (2, "ONE  two"), (3, "two one"), (4, None), (5, " \n"), (6, "a b c d e"), (7, "a b c d f")]
     assert sorted(r["doc_id"] for r in kept(spark, rows)) == [1, 3, 4, 6, 7]
+
+
+def test_rows_without_id_or_with_repeated_ids(spark):
+    rng = random.Random(2)
+    a, b, c, e = ([rng.choice(WORDS) for _ in range(120)] for _ in range(4))
+    near = lambda w: " ".join([*w[:-1], "other"])
+    rows = [(None, " ".join(a)), (None, " ".join(b)), (None, near(b)), (None, near(c)), (1, " ".join(c)), (5, " ".join(e)), (5, " ".join(e)), (5, "a text of its own")]
+    for f in (lambda df: corpus_pipeline.one_of_each_group(spark, df, ""), simhash.keep_one):
+        got = [(r["doc_id"], r["text"]) for r in f(spark.createDataFrame([(d, t, "en", "s", 0) for d, t in rows], DOCS)).collect()]
+        assert len(got) == 5 and set(got) >= {(None, " ".join(a)), (1, " ".join(c)), (5, " ".join(e)), (5, "a text of its own")}
+        assert sum(t in (" ".join(b), near(b)) for _, t in got) == 1

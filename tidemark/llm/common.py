@@ -63,6 +63,24 @@ def lower_ascii(col: Column) -> Column:
     return F.when(F.length(col) == F.octet_length(col), F.lower(col)).otherwise(F.translate(col, UPPER, LOWER))
 
 
+def first_rows(docs: DataFrame, groups: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """The row of each group with the smallest id, null last; of rows with equal id and text a single one stays.
+
+    ``groups`` has a row per row of ``docs``: doc_id, digest (xxhash64 of the text) and root. Rows are told apart by id
+    and digest, so neither null nor repeated ids join rows of different texts.
+    """
+    first = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("_id"), F.col("digest").alias("_digest"))
+    chosen = groups.groupBy("root", first.alias("row")).agg(F.count(F.lit(1)).alias("n"))
+    chosen = stored(chosen.groupBy("root").agg(F.min_by(F.struct("row.*", "n"), "row").alias("c")).select("c.*"), "kept")
+    # The rows that stay grow with the input, so they are never broadcast: the same plan at every size.
+    kept = chosen.select("_id", "_digest").hint("merge")
+    mark = F.xxhash64(docs[text].cast("string"))
+    out = docs.join(kept, docs[doc_id].cast("bigint").eqNullSafe(kept["_id"]) & (mark == kept["_digest"]), "left_semi")
+    if chosen.filter("n > 1").isEmpty():
+        return out
+    return out.withColumn("_digest", F.xxhash64(F.col(text).cast("string"))).dropDuplicates([doc_id, "_digest"]).drop("_digest")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return prepared(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import chunks, stored, utf8_of, words_of
+from tidemark.llm.common import chunks, first_rows, stored, utf8_of, words_of
 from tidemark.llm.components import components
 
 SHINGLE, BITS, SEED = 3, 3, 42
@@ -55,15 +55,16 @@ def _fingerprints(shingle: int):
             flat = [raw[a:b] for a, b in itertools.pairwise(off)]
             ends = np.cumsum(per)
             found = np.array([fingerprint_of(flat[e - n : e], shingle) for e, n in zip(ends.tolist(), per.tolist(), strict=True)], np.uint64)
-            yield pa.record_batch([batch.column("doc_id"), pa.array(found.view(np.int64))], ["doc_id", "fp"])
+            yield pa.record_batch([batch.column("doc_id"), batch.column("digest"), pa.array(found.view(np.int64))], ["doc_id", "digest", "fp"])
 
     return run
 
 
 def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE) -> DataFrame:
-    """doc_id and fp (the fingerprint's 64 bits as a signed long), written once."""
-    slim = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    return stored(slim.mapInArrow(_fingerprints(shingle), "doc_id bigint, fp bigint"), "fingerprints")
+    """doc_id, digest (xxhash64 of the text) and fp (the fingerprint's 64 bits as a signed long), written once."""
+    body = F.col(text).cast("string")
+    slim = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), body.alias("text"), F.xxhash64(body).alias("digest"))
+    return stored(slim.mapInArrow(_fingerprints(shingle), "doc_id bigint, digest bigint, fp bigint"), "fingerprints")
 
 
 def block_masks(widths: tuple[int, ...] = WIDTHS, bits: int = BITS) -> list[int]:
@@ -165,24 +166,27 @@ def links(distinct: DataFrame, bits: int = BITS, widths: tuple[int, ...] = WIDTH
     return blocks.mapInArrow(_links(bits, masks), "u bigint, v bigint")
 
 
-def simhash_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE, bits: int = BITS, widths: tuple[int, ...] = WIDTHS) -> DataFrame:
-    """One row per document: doc_id, fingerprint (16 hex digits), component_id (smallest doc_id reachable)."""
-    prints = fingerprints(docs, doc_id, text, shingle)
+def _rooted(prints: DataFrame, bits: int, widths: tuple[int, ...]) -> DataFrame:
+    """_fp, root and component_id of every fingerprint."""
     distinct = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("first")), "distinct")
     rooted = components(links(distinct, bits, widths))
     label = distinct.join(rooted, distinct["fp"] == rooted["node"], "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
     label = stored(label, "roots")
     least = label.groupBy("root").agg(F.min("first").alias("component_id"))
-    label = label.join(least, "root").select(F.col("fp").alias("_fp"), "component_id")
+    return label.join(least, "root").select(F.col("fp").alias("_fp"), "root", "component_id")
+
+
+def simhash_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE, bits: int = BITS, widths: tuple[int, ...] = WIDTHS) -> DataFrame:
+    """One row per document: doc_id, fingerprint (16 hex digits), component_id (smallest doc_id reachable)."""
+    prints = fingerprints(docs, doc_id, text, shingle)
+    label = _rooted(prints, bits, widths)
     out = prints.join(label, prints["fp"] == label["_fp"])
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """One document of each group, all columns: the one with the smallest id; of repeated ids a single row stays."""
-    groups = simhash_groups(docs, doc_id, text)
-    chosen = stored(groups.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("doc_id").agg(F.count(F.lit(1)).alias("_n")), "kept")
-    # The ids that stay grow with the input, so they are never broadcast: the same plan at every size.
-    kept = chosen.select(F.col("doc_id").alias("_keep")).hint("merge")
-    out = docs.join(kept, docs[doc_id].eqNullSafe(kept["_keep"]), "left_semi")
-    return out if chosen.filter("_n > 1").isEmpty() else out.dropDuplicates([doc_id])
+    """One row of each group, all columns: the one with the smallest id, null last; of equal rows a single one stays."""
+    prints = fingerprints(docs, doc_id, text)
+    label = _rooted(prints, BITS, WIDTHS)
+    groups = prints.join(label, prints["fp"] == label["_fp"]).select("doc_id", "digest", "root")
+    return first_rows(docs, groups, doc_id, text)
