@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 import math
 import re
 import zlib
@@ -18,57 +19,130 @@ from tidemark.llm.token_files import default_tokenizer
 SCHEMA = "doc_id long, text string, score string, row string"
 
 
-def test_gradients_by_differences():
+def batch_of(v, rng, n=3):
+    ids = rng.integers(0, len(v.rank), (n, A.WINDOW + 2))
+    return v.row[ids[:, 1:-1]], v.row[ids[:, :-2]], v.rank[ids[:, 2:]], rng.random((n, A.WINDOW)) < 0.8
+
+
+@pytest.fixture
+def small(monkeypatch):
+    monkeypatch.setattr(A, "ROWS", 90)
+    return A.Vocabulary(np.random.default_rng(0).integers(0, 1000, 200).astype(float))
+
+
+def test_gradients_by_differences(small):
     rng = np.random.default_rng(0)
-    v = A.Vocabulary(rng.integers(1, 1000, 500).astype(float))
-    w = {k: x.astype(np.float64) for k, x in A.unflatten(A.start_weights(v.share)).items()}
-    rows, target, live = rng.integers(0, 20, (3, A.WINDOW)), rng.integers(0, A.CLASSES, (3, A.WINDOW)), rng.random((3, A.WINDOW)) < 0.8
-    g, _ = A.gradients(w, rows, target, live)
-    for n in A.SHAPES:
-        at = tuple(int(rng.integers(0, min(s, 20))) for s in A.SHAPES[n])
-        loss = []
-        for e in (1e-5, -2e-5):
-            w[n][at] += e
-            loss.append(A.gradients(w, rows, target, live)[1])
-        w[n][at] += 1e-5
-        assert g[n][at] == pytest.approx((loss[0] - loss[1]) / 2e-5, rel=1e-3, abs=1e-7)
-
-
-def test_probabilities_sum_to_one_and_see_only_the_past():
+    flat = A.start_weights(small).astype(np.float64)
+    shapes = small.shapes()
+    w, g = A.unflatten(flat, shapes), A.unflatten(np.zeros_like(flat), shapes)
+    data = batch_of(small, rng)
+    _, sparse = A.gradients(w, small, *data, g)
+    for name, (rows, sums) in sparse.items():
+        g[name][rows] = sums
+    for name, shape in shapes.items():
+        for _ in range(4):
+            at = tuple(int(rng.integers(0, s)) for s in shape)
+            want, loss = g[name][at], []
+            for e in (1e-5, -2e-5):
+                w[name][at] += e
+                loss.append(A.gradients(w, small, *data, A.unflatten(np.zeros_like(flat), shapes))[0])
+            w[name][at] += 1e-5
+            assert want == pytest.approx((loss[0] - loss[1]) / 2e-5, rel=1e-3, abs=1e-7), (name, at)
+
+
+def test_next_subwords_sum_to_one_and_see_only_the_past(small):
     rng = np.random.default_rng(1)
-    v = A.Vocabulary(rng.integers(0, 50, 300).astype(float))
-    assert sum(10 ** v.within[v.klass == k].astype(float).sum() if False else (10 ** v.within[v.klass == k]).sum() for k in np.unique(v.klass)) == pytest.approx(len(np.unique(v.klass)))
-    s = A.Scorer(A.unflatten(A.start_weights(v.share)))
-    rows = rng.integers(0, A.ROWS, (1, A.WINDOW))
-    every = sum(10 ** s.log10_class(rows, np.full((1, A.WINDOW), k), 0) for k in range(A.CLASSES))
-    assert every == pytest.approx(np.ones((1, A.WINDOW)), rel=1e-4)
-    later = rows.copy()
+    s = A.Scorer(A.start_weights(small), small)
+    assert small.rest is not None and small.learned
+    now, before = small.row[rng.integers(0, 200, (2, 1, A.WINDOW))]
+    y = A._attended(s.w, now, before)[-1]
+    for place in (0, 9, A.WINDOW - 1):
+        logs = A.log_probability(s.layers, small, np.repeat(y[place : place + 1], 200, axis=0), np.arange(200, dtype=np.int32))
+        assert np.exp(logs.astype(float)).sum() == pytest.approx(1, rel=1e-4)
+    later = now.copy()
     later[0, 9:] = 3
-    target = np.zeros((1, A.WINDOW), int)
-    assert (s.log10_class(rows, target, 0)[0, :9] == s.log10_class(later, target, 0)[0, :9]).all()
-
-
-def test_each_subword_is_scored_once():
-    for n in (1, 5, A.WINDOW, A.WINDOW + 1, 100):
-        start, _ = A.windows(np.array([n]))
+    again = A._attended(s.w, later, before)[-1]
+    assert np.array_equal(y[:9], again[:9]) and not np.array_equal(y[9:], again[9:])
+
+
+def test_all_short_sequences_sum_to_one(monkeypatch):
+    """Over all texts of at most three subwords, and those that are longer, the probability is one."""
+    monkeypatch.setattr(A, "ROWS", 4)
+    v = A.Vocabulary(np.array([5.0, 3, 1, 1, 0, 2]))  # the last id is the end
+    s = A.Scorer(A.start_weights(v), v)
+    ended = going_on = 0.0
+    for k in range(4):
+        for ids in itertools.product(range(5), repeat=k):
+            logs = s.log10(np.array(ids, np.int64), np.array([k]), 5)
+            ended += 10 ** logs.sum()
+            going_on += 10 ** logs[:-1].sum() * (1 - 10 ** logs[-1]) if k == 3 else 0.0
+    assert ended + going_on == pytest.approx(1, rel=1e-4)
+
+
+def test_weights_that_could_overflow_are_told_and_stay_exact(small):
+    flat = A.start_weights(small)
+    assert A.Scorer(flat, small).safe
+    w = A.unflatten(flat, small.shapes())
+    w["out"] *= 1000
+    s = A.Scorer(flat, small)
+    calm = A.Scorer(A.start_weights(small), small)
+    exact = calm.log10(np.arange(100), np.array([100]), 199)
+    calm.safe = False  # the careful way gives the same
+    assert calm.log10(np.arange(100), np.array([100]), 199) == pytest.approx(exact, rel=1e-5)
+    assert not s.safe and np.isfinite(s.log10(np.arange(100), np.array([100]), 199)).all()
+
+
+def test_each_subword_is_scored_once_with_half_a_window_before_it():
+    for n in (1, 5, A.WINDOW, A.WINDOW + 1, 1000):
+        start, _ = A.windows_of(np.array([n]))
         seen = Counter()
-        for s in start:
+        for s in start.tolist():
             for k in range(A.WINDOW):
                 if s + k < n and (s == 0 or k >= A.WINDOW - A.STRIDE):
-                    seen[int(s) + k] += 1
+                    seen[s + k] += 1
+                    assert s == 0 or k >= 32
         assert seen == Counter(range(n))
 
 
+def test_scores_of_a_long_text_agree_with_one_window_at_a_time(small):
+    rng = np.random.default_rng(4)
+    s = A.Scorer(A.start_weights(small), small)
+    ids = rng.integers(0, 199, 150)
+    got = s.log10(ids, np.array([150]), 199)
+    seq = np.concatenate([[199, 199], ids, [199]])
+    for place in (0, 1, 40, 63, 64, 95, 96, 149, 150):
+        lo = 0 if place < A.WINDOW else A.STRIDE * (1 + (place - A.WINDOW) // A.STRIDE)
+        now, before = np.zeros((2, 1, A.WINDOW), np.uint16)
+        n = place - lo + 1
+        now[0, :n], before[0, :n] = small.row[seq[lo + 1 : place + 2]], small.row[seq[lo : place + 1]]
+        y = A._attended(s.w, now, before)[-1][n - 1 : n]
+        assert got[place] == pytest.approx(A.log_probability(s.layers, small, y, small.rank[seq[place + 2 : place + 3]])[0] / math.log(10), rel=1e-4)
+
+
+def test_segments_hold_every_target_once():
+    rng = np.random.default_rng(5)
+    sizes = np.array([0, 3, 5000, 2047, 2048, 64])
+    ids = rng.integers(0, 50_000, sizes.sum())
+    rows = lm.segments_of(ids, sizes, np.arange(6) - 2, 50_256).to_pylist()
+    at = np.concatenate([[0], np.cumsum(sizes)])
+    for doc in range(6):
+        mine = sorted((r for r in rows if r["doc_id"] == doc - 2), key=lambda r: r["segment"])
+        w = lm.windows_in([r["ids"] for r in mine])
+        assert [len(lm.windows_in([r["ids"]])) for r in mine] == [r["n"] for r in mine]
+        targets = w[:, 2:][w[:, 2:] >= 0]
+        assert targets.tolist() == [*ids[at[doc] : at[doc + 1]].tolist(), 50_256]
+        assert w[0, :2].tolist() == [50_256, 50_256] and (w[1:, :2] == w[:-1, -2:]).all()
+
+
 def test_training_lowers_the_loss():
-    rng = np.random.default_rng(2)
     v = A.Vocabulary(np.ones(200))
-    flat = A.start_weights(v.share)
-    w = np.cumsum(np.ones((600, A.WINDOW + 1), int), axis=1) * 7 + rng.integers(0, 200, (600, 1))
-    rows, target, live = v.row[w[:, :-1] % 200], v.klass[w[:, 1:] % 200], np.ones((600, A.WINDOW), bool)
-    before = A.gradients(A.unflatten(flat), rows, target, live)[1]
-    for r in range(4):
-        flat = A.train_locally(flat, rows, target, live, 0.02, seed=r)
-    assert A.gradients(A.unflatten(flat), rows, target, live)[1] < 0.8 * before
+    flat = A.start_weights(v)
+    w = (np.cumsum(np.ones((600, A.WINDOW + 2), int), axis=1) * 7 + np.random.default_rng(2).integers(0, 200, (600, 1))) % 200
+    loss = lambda f: -A.Scorer(f, v).log10(w[:20, 2:].ravel(), np.full(20, A.WINDOW), 199).mean()
+    before = loss(flat)
+    for _ in range(3):
+        flat = A.train_locally(flat, v, w, 0.02, 8)
+    assert loss(flat) < 0.5 * before
 
 
 def corpus():
@@ -105,6 +179,35 @@ def test_head_and_tail_give_the_same_score(spark):
     assert a.keys() == b.keys() and all(a[k] == pytest.approx(b[k], rel=1e-6) for k in a)
 
 
+def test_scores_do_not_depend_on_partitions(spark, monkeypatch):
+    monkeypatch.setattr(lm, "BUCKET", 8)
+    monkeypatch.setattr(lm, "FAN", 2)
+    monkeypatch.setattr(lm.train, "__defaults__", (lm.ROUNDS, lm.RATE, 4, 8))
+    rows = [(i, " ".join(corpus()[i % 200][1].split() * 9), "x", "y") for i in range(120)]
+    a, b = ({r["doc_id"]: r["score"] for r in lm.score(spark.createDataFrame(rows, SCHEMA).repartition(n), batch=4).collect()} for n in (1, 16))
+    assert len(a) == 120 and all(a[k] == pytest.approx(b[k], rel=1e-6) for k in a)
+
+
+def test_context_counts_and_beats_the_base(spark):
+    """Words that follow a fixed order: shuffling them lowers a held-out text's score, and the model beats the word counts."""
+    cycle = "alpha bravo charlie delta echo foxtrot golf hotel india juliet".split()
+    rng = np.random.default_rng(6)
+    rows = []
+    for i in range(400):
+        k = int(rng.integers(0, 10))
+        words = [cycle[(k + j) % 10] for j in range(80)]
+        rows.append((i, " ".join(words), "x", "y"))
+    held = [i for i in range(1000, 1400) if zlib.crc32(str(i).encode()) % 10 == 0][:20]
+    for i in held[:10]:
+        rows.append((i, " ".join(cycle * 8), "x", "y"))
+    for i in held[10:]:
+        rows.append((i, " ".join(rng.permutation(cycle * 8)), "x", "y"))
+    got = {r["doc_id"]: r for r in lm.score(spark.createDataFrame(rows, SCHEMA), batch=4).collect()}
+    ordered, mixed = ([got[i]["score"] for i in part] for part in (held[:10], held[10:]))
+    assert min(ordered) > max(mixed) + 10
+    assert all(got[i]["held_out"] and got[i]["score"] > got[i]["base_score"] for i in held[:10])
+
+
 def test_words_and_subwords_line_up():
     s = lm.Spelling(pa.array(["The sea sea", "", " wind\tover"]), default_tokenizer())
     ids, sizes, per_word = s.ids()

@@ -1,183 +1,317 @@
-"""A small causal self-attention model in numpy: forward pass, gradients and local Adam steps.
+"""A causal self-attention language model over subword ids in numpy: forward pass, gradients, Adam steps and scoring.
 
-The next subword's class is predicted by one attention layer; the subword within its class follows its counts. Classes
-are bins of subwords of about equal total count, so frequent subwords are classes of their own.
+Places see the embeddings of their subword and of the one before it. One attention layer with a learned bias per
+distance mixes the places of a window; a tanh layer leads to the output. The output is a softmax in two levels: the most
+frequent subwords and one entry per group of others share the first one, the subwords of a group the second. Subwords
+behind the ``ROWS`` most frequent ones have one input row in common, and their shares within the last group follow their
+counts. So every subword has a probability, and the probabilities of all subwords sum to one.
 """
 
 from __future__ import annotations
 
 import numpy as np
 
-#: Positions of a window and how far windows move; width; classes; rows of the embedding table.
-WINDOW, STRIDE, WIDTH, CLASSES, ROWS = 16, 13, 16, 32, 2048
-SHAPES = {"E": (ROWS, WIDTH), "P": (WINDOW, WIDTH), "Q": (WIDTH, WIDTH), "K": (WIDTH, WIDTH), "V": (WIDTH, WIDTH), "O": (WIDTH, WIDTH), "U": (WIDTH, CLASSES), "b": (CLASSES,)}
-SIZE = sum(int(np.prod(s)) for s in SHAPES.values())
-_SCALE = np.float32(1 / np.sqrt(WIDTH))
-_MASK = np.triu(np.full((WINDOW, WINDOW), -1e9, np.float32), 1)
+#: Places of a window; places that a scoring window adds (the rest is context); widths of the embeddings and of the keys.
+WINDOW, STRIDE, WIDTH, KEYS = 64, 32, 32, 16
+#: Subwords with rows and outputs of their own, and what reaching a group costs next to one output.
+ROWS, GROUP_COST = 4096, 60
+#: Exponents that are safe in 32-bit floats, sums over a row included.
+_SAFE = 80.0
+_SCALE = np.float32(1 / np.sqrt(KEYS))
+_DISTANCE = np.arange(WINDOW)[:, None] - np.arange(WINDOW)[None, :]
+_PAST = (_DISTANCE >= 0).astype(np.float32)
+_DISTANCE = np.maximum(_DISTANCE, 0)
+#: Tokens of the output layer handled at once, so that logits stay in the processor's cache.
+_BLOCK = 2048
+_EMBEDDINGS = ("now", "before")
 
 
-def unflatten(flat: np.ndarray) -> dict[str, np.ndarray]:
+def group_edges(share: np.ndarray, rows: int) -> list[int]:
+    """Edges of the output groups over ranks below ``rows``, with the least expected work per token.
+
+    The first edge ends the first softmax. ``share``: shares by rank.
+    """
+    at = sorted({min(rows, round(2 ** (k / 2))) for k in range(8, 64)} | {rows})
+    below = np.concatenate([[0.0], np.cumsum(share)])
+    best = {rows: (0.0, [rows])}  # edge: cost of all groups from here on, edges
+    for i in range(len(at) - 2, -1, -1):
+        a = at[i]
+        best[a] = min((6 + (below[b] - below[a]) * (b - a + GROUP_COST) + best[b][0], [a, *best[b][1]]) for b in at[i + 1 :])
+    return min((a + best[a][0], best[a][1]) for a in at)[1]
+
+
+class Vocabulary:
+    """Subwords ranked by count, the edges of their output groups, and the log shares that training starts from."""
+
+    def __init__(self, counts: np.ndarray, smooth: float = 0.1):
+        n = len(counts)
+        self.order = np.argsort(-counts, kind="stable")
+        self.rank = np.empty(n, np.int32)
+        self.rank[self.order] = np.arange(n, dtype=np.int32)
+        share = (counts + smooth)[self.order]
+        share = share / share.sum()
+        self.rows = min(ROWS, n)
+        self.row = np.minimum(self.rank, self.rows).astype(np.uint16)  # the row behind the last is everyone else's
+        edges = group_edges(share, self.rows)
+        self.head, self.groups = edges[0], list(zip(edges[:-1], edges[1:], strict=True))
+        #: Groups with outputs of their own; a last one beyond ROWS follows counts.
+        self.learned = list(self.groups)
+        if n > self.rows:
+            self.groups.append((self.rows, n))
+        mass = np.array([share[a:b].sum() for a, b in self.groups])
+        within = [np.log(share[a:b] / share[a:b].sum()) for a, b in self.learned]
+        self.bias = np.concatenate([np.log(np.concatenate([share[: self.head], mass])), *within]).astype(np.float32)
+        self.rest = np.log(share[self.rows :] / share[self.rows :].sum()) if n > self.rows else None
+
+    @property
+    def first(self) -> int:
+        """Width of the first softmax."""
+        return self.head + len(self.groups)
+
+    def shapes(self) -> dict[str, tuple[int, ...]]:
+        r, d = self.rows + 1, WIDTH
+        return {"now": (r, d), "before": (r, d), "qkv": (d, 2 * KEYS + d), "near": (WINDOW,), "mix": (d, d), "join": (d, d), "out": (d + 1, len(self.bias))}
+
+    def columns(self) -> list[tuple[int, int]]:
+        """Where the outputs of each learned group stand."""
+        at, out = self.first, []
+        for a, b in self.learned:
+            out.append((at, at + b - a))
+            at += b - a
+        return out
+
+
+def unflatten(flat: np.ndarray, shapes: dict[str, tuple[int, ...]]) -> dict[str, np.ndarray]:
     out, at = {}, 0
-    for name, shape in SHAPES.items():
+    for name, shape in shapes.items():
         n = int(np.prod(shape))
-        out[name] = flat[at : at + n].reshape(shape).astype(np.float32)
+        out[name] = flat[at : at + n].reshape(shape)
         at += n
     return out
 
 
-def flatten(weights: dict[str, np.ndarray]) -> np.ndarray:
-    return np.concatenate([weights[n].ravel() for n in SHAPES]).astype(np.float64)
+def start_weights(vocabulary: Vocabulary, seed: int = 0) -> np.ndarray:
+    """Random weights in one vector; the last row of the output starts at the log shares, near places are favoured a little."""
+    rng, shapes = np.random.default_rng(seed), vocabulary.shapes()
+    flat = np.zeros(sum(int(np.prod(s)) for s in shapes.values()), np.float32)
+    w = unflatten(flat, shapes)
+    for name, scale in (("now", 0.2), ("before", 0.2), ("qkv", 0.3), ("mix", 0.18), ("join", 0.18), ("out", 0.05)):
+        w[name][:] = rng.normal(0, scale, shapes[name])
+    w["near"][:] = -0.05 * np.arange(WINDOW)
+    w["out"][-1] = vocabulary.bias
+    return flat
 
 
-def start_weights(class_share: np.ndarray, seed: int = 0) -> np.ndarray:
-    """Random weights; the bias starts at the log shares of the classes."""
-    rng = np.random.default_rng(seed)
-    w = {n: rng.normal(0, 0.1 if n in "EP" else 0.25, s) for n, s in SHAPES.items()}
-    w["b"] = np.log(class_share)
-    return flatten(w)
+def bounded(w: dict, vocabulary: Vocabulary) -> bool:
+    """Whether no exponential of these weights can overflow, whatever the text."""
+    outputs = np.abs(w["out"]).sum(axis=0).max()
+    reach = [sum(float(np.sqrt(((w[e] @ w["qkv"][:, part]) ** 2).sum(axis=1).max())) for e in _EMBEDDINGS) for part in (slice(0, KEYS), slice(KEYS, 2 * KEYS))]
+    return bool(outputs < _SAFE and reach[0] * reach[1] * _SCALE + np.abs(w["near"]).max() < _SAFE)
 
 
-class Vocabulary:
-    """Subword counts turned into classes, embedding rows and log10 shares within the class."""
+def _by_row(rows: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct rows and the sums of their values."""
+    order = np.argsort(rows, kind="stable")
+    ranked = rows[order]
+    first = np.flatnonzero(np.concatenate([[True], ranked[1:] != ranked[:-1]]))
+    return ranked[first], np.add.reduceat(values[order], first, axis=0)
 
-    def __init__(self, counts: np.ndarray, smooth: float = 0.1):
-        n = counts + smooth
-        order = np.argsort(-counts, kind="stable")
-        before = np.cumsum(n[order]) - n[order]
-        group = np.minimum((before / n.sum() * CLASSES).astype(np.int64), CLASSES - 1)
-        _, group = np.unique(group, return_inverse=True)  # a very frequent subword may skip over bins
-        self.klass = np.empty(len(n), np.int64)
-        self.klass[order] = group
-        total = np.bincount(self.klass, weights=n, minlength=CLASSES)
-        self.within = np.log10(n / total[self.klass]).astype(np.float64)
-        self.share = np.maximum(total, smooth) / np.maximum(total, smooth).sum()
-        self.unused = total == 0
-        self.row = np.empty(len(n), np.int64)
-        own = ROWS - CLASSES
-        self.row[order] = np.where(np.arange(len(n)) < own, np.arange(len(n)), own + group)
-
-
-def _forward(w: dict[str, np.ndarray], rows: np.ndarray) -> tuple:
-    h = w["E"][rows] + w["P"]
-    q, k, v = h @ w["Q"], h @ w["K"], h @ w["V"]
-    a = np.matmul(q, k.transpose(0, 2, 1))
-    a *= _SCALE
-    a += _MASK
-    a -= a.max(axis=2, keepdims=True)
+
+def _attended(w: dict, now: np.ndarray, before: np.ndarray, skip: int = 0, safe: bool = True) -> tuple:
+    """States of all places from ``skip`` on, with all that the gradients need. ``now``, ``before``: windows x WINDOW rows."""
+    n = len(now)
+    x = w["now"][now.reshape(-1)]
+    x += w["before"][before.reshape(-1)]
+    qkv = (x @ w["qkv"]).reshape(n, WINDOW, -1)
+    x = x.reshape(n, WINDOW, WIDTH)
+    q = qkv[:, skip:, :KEYS] * _SCALE
+    k, v = qkv[:, :, KEYS : 2 * KEYS], qkv[:, :, 2 * KEYS :]
+    a = np.matmul(q, np.ascontiguousarray(k.transpose(0, 2, 1)))
+    if not safe:
+        a += w["near"][_DISTANCE[skip:]]
+        a[:, _PAST[skip:] == 0] = -np.inf
+        a -= a.max(axis=2, keepdims=True)
     np.exp(a, out=a)
-    a /= a.sum(axis=2, keepdims=True)
+    if safe:
+        a *= (np.exp(w["near"])[_DISTANCE] * _PAST)[skip:]
+    total = np.matmul(a, np.ones(WINDOW, a.dtype))[:, :, None]
     o = np.matmul(a, v)
-    t = np.tanh(h + o @ w["O"])
-    logits = t.reshape(-1, WIDTH) @ w["U"] + w["b"]
-    return h, q, k, v, a, o, t, logits
+    o /= total
+    if skip:
+        x = np.ascontiguousarray(x[:, skip:])
+    y = x.reshape(-1, WIDTH) @ w["mix"]
+    y += o.reshape(-1, WIDTH) @ w["join"]
+    np.tanh(y, out=y)
+    one = np.ones((len(y), WIDTH + 1), y.dtype)  # the last column carries the bias
+    one[:, :WIDTH] = y
+    return x, q, k, v, a, total, o, one
 
 
-class Scorer:
-    """The forward pass for scoring: tables instead of the first products, no places that were scored before.
+def _pieces(vocabulary: Vocabulary, target: np.ndarray) -> tuple[np.ndarray, list[tuple[np.ndarray, np.ndarray]]]:
+    """For ranks: the entry of the first softmax, and the tokens of each group with their place in it."""
+    entry = target.astype(np.int64)
+    inner = []
+    for g, (a, b) in enumerate(vocabulary.groups):
+        at = np.flatnonzero((target >= a) & (target < b))
+        entry[at] = vocabulary.head + g
+        inner.append((at, target[at].astype(np.int64) - a))
+    return entry, inner
+
+
+def _layers(w: dict, vocabulary: Vocabulary) -> list[np.ndarray]:
+    """The weights of the first softmax and of each learned group, each in one piece."""
+    return [np.ascontiguousarray(w["out"][:, a:b]) for a, b in ((0, vocabulary.first), *vocabulary.columns())]
 
-    Attention scores and logits are far from overflow (tanh bounds the latter; both are clipped for safety), so the
-    softmaxes need no maximum, and their denominators come with the products.
+
+def log_probability(layers: list[np.ndarray], vocabulary: Vocabulary, y: np.ndarray, target: np.ndarray, safe: bool = True) -> np.ndarray:
+    """Natural log probability of each target rank. ``y``: states, a row per target."""
+    entry, inner = _pieces(vocabulary, target)
+    out = np.zeros(len(y), np.float32)
+    for weights, (at, place) in zip(layers, [(None, entry), *inner], strict=False):
+        ones = np.ones(weights.shape[1], np.float32)
+        for lo in range(0, len(place), _BLOCK):
+            some = slice(lo, lo + _BLOCK) if at is None else at[lo : lo + _BLOCK]
+            s = y[some] @ weights
+            if not safe:
+                s -= s.max(axis=1, keepdims=True)
+            picked = s[np.arange(len(s)), place[lo : lo + _BLOCK]]
+            out[some] += picked - np.log(np.exp(s, out=s) @ ones)
+    if vocabulary.rest is not None:
+        at, place = inner[-1]
+        out[at] += vocabulary.rest[place]
+    return out
+
+
+def _softmax_gradient(y: np.ndarray, weights: np.ndarray, entry: np.ndarray, share: np.ndarray, into: np.ndarray) -> tuple[np.ndarray, float]:
+    """Gradient of the loss with respect to ``y``; that of the weights is added to ``into``. ``share``: weight of each token."""
+    s = y @ weights
+    each = np.arange(len(s))
+    picked = s[each, entry]
+    np.exp(s, out=s)
+    total = s @ np.ones(s.shape[1], s.dtype)
+    loss = float(((np.log(total) - picked) * share).sum())
+    s *= (share / total)[:, None]
+    s[each, entry] -= share
+    into += y.T @ s
+    return s @ weights.T, loss
+
+
+def gradients(w: dict, vocabulary: Vocabulary, now: np.ndarray, before: np.ndarray, target: np.ndarray, live: np.ndarray, g: dict) -> tuple[float, dict]:
+    """Gradients of the mean negative log likelihood of the live places.
+
+    Those of the embeddings are returned as rows and sums, all others are written to ``g``. The mean, without the fixed
+    shares of the last group, comes first.
+    """
+    x, q, k, v, a, total, o, y = _attended(w, now, before)
+    share = (live / max(1, int(live.sum()))).astype(y.dtype).reshape(-1)
+    entry, inner = _pieces(vocabulary, target.reshape(-1))
+    loss, dy = 0.0, np.zeros_like(y)
+    g["out"][:] = 0
+    for weights, (at, place), (c, d) in zip(_layers(w, vocabulary), [(None, entry), *inner], [(0, vocabulary.first), *vocabulary.columns()], strict=False):
+        into = np.zeros_like(weights)
+        for lo in range(0, len(place), _BLOCK):
+            some = slice(lo, lo + _BLOCK) if at is None else at[lo : lo + _BLOCK]
+            more, part = _softmax_gradient(y[some], weights, place[lo : lo + _BLOCK], share[some], into)
+            dy[some] += more
+            loss += part
+        g["out"][:, c:d] = into
+    dy, y = dy[:, :WIDTH], y[:, :WIDTH]
+    dy = dy * (1 - y * y)
+    rows = lambda t: t.reshape(-1, t.shape[-1])
+    do = (dy @ w["join"].T).reshape(o.shape)
+    do /= total  # so that the exponentials need not be divided
+    both = np.empty((*x.shape[:2], 2 * KEYS + 2 * WIDTH), y.dtype)  # of queries, keys and values, and of the states
+    dqkv = both[:, :, : 2 * KEYS + WIDTH]
+    both[:, :, 2 * KEYS + WIDTH :] = dy.reshape(o.shape)
+    dqkv[:, :, 2 * KEYS :] = np.matmul(a.transpose(0, 2, 1), do)
+    da = np.matmul(do, np.ascontiguousarray(v.transpose(0, 2, 1)))
+    da -= np.einsum("bij,bij->bi", do, o)[:, :, None]  # the softmax's inner product, from the narrower side
+    da *= a
+    g["near"][:] = np.bincount(_DISTANCE.ravel(), weights=(np.ones(len(da), y.dtype) @ da.reshape(len(da), -1)).reshape(WINDOW, WINDOW).ravel() * _PAST.ravel(), minlength=WINDOW)
+    dqkv[:, :, :KEYS] = np.matmul(da, k)
+    dqkv[:, :, :KEYS] *= _SCALE
+    dqkv[:, :, KEYS : 2 * KEYS] = np.matmul(da.transpose(0, 2, 1), q)
+    of_x = rows(x).T @ rows(both)
+    g["qkv"][:], g["mix"][:], g["join"][:] = of_x[:, : 2 * KEYS + WIDTH], of_x[:, 2 * KEYS + WIDTH :], rows(o).T @ dy
+    dx = rows(both) @ np.concatenate([w["qkv"], w["mix"]], axis=1).T
+    return loss, {"now": _by_row(now.reshape(-1), dx), "before": _by_row(before.reshape(-1), dx)}
+
+
+def _adam(weights, mean, square, grad, rate: float, step: int):
+    """One Adam step in place; returns its three states."""
+    mean += np.float32(0.1) * (grad - mean)
+    grad *= grad
+    grad -= square
+    grad *= np.float32(0.02)
+    square += grad
+    np.sqrt(square, out=grad)
+    grad += np.float32(1e-6)
+    np.divide(mean, grad, out=grad)
+    grad *= np.float32(rate * np.sqrt(1 - 0.98**step) / (1 - 0.9**step))
+    weights -= grad
+    return weights, mean, square
+
+
+def train_locally(flat: np.ndarray, vocabulary: Vocabulary, windows: np.ndarray, rate: float, batch: int) -> np.ndarray:
+    """One pass of Adam over the windows in their order; embeddings only step where they occur.
+
+    ``windows``: rows of WINDOW + 2 ids, -1 behind a text's end. Steps that overflow are undone as a whole.
     """
+    start, flat, shapes = flat, flat.copy(), vocabulary.shapes()
+    grad, mean, square = (np.zeros_like(flat) for _ in range(3))
+    w, g, m, v = (unflatten(x, shapes) for x in (flat, grad, mean, square))
+    dense = slice(sum(int(np.prod(shapes[e])) for e in _EMBEDDINGS), None)
+    for step, lo in enumerate(range(0, len(windows), batch), 1):
+        some = windows[lo : lo + batch]
+        live = some >= 0
+        ids = np.where(live, some, 0)
+        row, rank = vocabulary.row[ids], vocabulary.rank[ids[:, 2:]]
+        with np.errstate(over="ignore", invalid="ignore"):
+            _, sparse = gradients(w, vocabulary, row[:, 1:-1], row[:, :-2], rank, live[:, 2:], g)
+            _adam(flat[dense], mean[dense], square[dense], grad[dense], rate, step)
+            for e, (at, sums) in sparse.items():
+                w[e][at], m[e][at], v[e][at] = _adam(w[e][at], m[e][at], v[e][at], sums, rate, step)
+    return flat if np.isfinite(flat).all() else start
+
 
-    def __init__(self, w: dict[str, np.ndarray]):
-        self.embed, self.place = w["E"], w["P"]
-        join = np.concatenate([w["Q"] * _SCALE, w["K"], w["V"]], axis=1)
-        one = np.zeros(3 * WIDTH + 1, np.float32)
-        one[-1] = 1
-        pad = lambda x: np.concatenate([x @ join, np.zeros((len(x), 1), np.float32)], axis=1)
-        self.by_row, self.by_place = pad(w["E"]), pad(w["P"]) + one
-        self.out, self.u, self.b = w["O"], w["U"], w["b"]
-        self.seen = np.tril(np.ones((WINDOW, WINDOW), np.float32))
-
-    def log10_class(self, rows: np.ndarray, target: np.ndarray, skip: int) -> np.ndarray:
-        """log10 probability of each target class from place ``skip`` on. ``rows`` and ``target``: windows x WINDOW."""
-        n = len(rows)
-        qkv = self.by_row[rows]
-        qkv += self.by_place
-        a = np.matmul(qkv[:, skip:, :WIDTH], qkv[:, :, WIDTH : 2 * WIDTH].transpose(0, 2, 1))
-        np.minimum(a, 60, out=a)
-        np.exp(a, out=a)
-        a *= self.seen[skip:]
-        o = np.matmul(a, qkv[:, :, 2 * WIDTH :])
-        z = self.embed[rows[:, skip:]]
-        z += self.place[skip:]
-        z += (o[:, :, :WIDTH] / o[:, :, WIDTH:]) @ self.out
-        logits = np.tanh(z, out=z).reshape(-1, WIDTH) @ self.u
-        logits += self.b
-        np.clip(logits, -80, 80, out=logits)
-        picked = logits[np.arange(len(logits)), target[:, skip:].reshape(-1)]
-        np.exp(logits, out=logits)
-        return ((picked - np.log(logits @ np.ones(CLASSES, np.float32))) / np.float32(np.log(10))).reshape(n, -1).astype(np.float64)
-
-
-def gradients(w: dict[str, np.ndarray], rows: np.ndarray, target: np.ndarray, live: np.ndarray) -> tuple[dict[str, np.ndarray], float]:
-    """Gradients of the mean negative log likelihood over the live positions, and that mean."""
-    h, q, k, v, a, o, t, logits = _forward(w, rows)
-    logits -= logits.max(axis=1, keepdims=True)
-    p = np.exp(logits)
-    p /= p.sum(axis=1, keepdims=True)
-    y, m = target.reshape(-1), live.reshape(-1).astype(np.float32)
-    n = max(1.0, float(m.sum()))
-    loss = float(-(np.log(p[np.arange(len(p)), y] + 1e-30) * m).sum() / n)
-    p[np.arange(len(p)), y] -= 1
-    dl = p * (m / np.float32(n))[:, None]
-    flat = lambda x: x.reshape(-1, x.shape[-1])
-    g = {"U": flat(t).T @ dl, "b": dl.sum(axis=0)}
-    dz = (dl @ w["U"].T).reshape(t.shape) * (1 - t * t)
-    g["O"] = flat(o).T @ flat(dz)
-    do = dz @ w["O"].T
-    da = np.matmul(do, v.transpose(0, 2, 1))
-    dv = np.matmul(a.transpose(0, 2, 1), do)
-    ds = a * (da - (da * a).sum(axis=2, keepdims=True)) * _SCALE
-    dq, dk = np.matmul(ds, k), np.matmul(ds.transpose(0, 2, 1), q)
-    g["Q"], g["K"], g["V"] = flat(h).T @ flat(dq), flat(h).T @ flat(dk), flat(h).T @ flat(dv)
-    dh = dz + dq @ w["Q"].T + dk @ w["K"].T + dv @ w["V"].T
-    g["P"] = dh.sum(axis=0)
-    g["E"] = np.zeros_like(w["E"])
-    np.add.at(g["E"], rows.reshape(-1), flat(dh))
-    return g, loss
-
-
-def train_locally(flat: np.ndarray, rows: np.ndarray, target: np.ndarray, live: np.ndarray, rate: float, batch: int = 32, seed: int = 0) -> np.ndarray:
-    """One pass of Adam over the windows, from the given weights."""
-    w = unflatten(flat)
-    m, v = ({n: np.zeros_like(x) for n, x in w.items()} for _ in range(2))
-    order = np.random.default_rng(seed).permutation(len(rows))
-    for step, lo in enumerate(range(0, len(order), batch), 1):
-        r = order[lo : lo + batch]
-        g, _ = gradients(w, rows[r], target[r], live[r])
-        for n in w:
-            m[n] += 0.1 * (g[n] - m[n])
-            v[n] += 0.01 * (g[n] * g[n] - v[n])
-            w[n] -= (rate * (m[n] / (1 - 0.9**step)) / (np.sqrt(v[n] / (1 - 0.99**step)) + 1e-6)).astype(np.float32)
-    return flatten(w)
-
-
-def windows(sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Window starts in the concatenated inputs of texts with so many inputs each, and the text of each window."""
+def windows_of(sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First places of the scoring windows of texts with so many places each, laid out behind one another, and the text of each."""
     n = np.where(sizes > 0, 1 + np.maximum(0, -(-(sizes - WINDOW) // STRIDE)), 0)
     text = np.repeat(np.arange(len(sizes)), n)
     first = np.cumsum(sizes) - sizes
     return np.repeat(first, n) + STRIDE * (np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)), text
 
 
-def score_tokens(scorer: Scorer, vocabulary: Vocabulary, ids: np.ndarray, sizes: np.ndarray, end: int, batch: int = 512) -> np.ndarray:
-    """log10 probability of every subword and of the end behind each text, each scored once with what its window holds before it."""
-    ends = np.cumsum(sizes)
-    target = np.insert(ids, ends, end)
-    inputs = np.insert(ids, ends - sizes, end)  # the end also stands before each text
-    n = sizes + 1
-    stop = np.cumsum(n)
-    out = vocabulary.within[target]
-    rows, klass = vocabulary.row[inputs], vocabulary.klass[target]
-    start, text = windows(n)
-    fresh = start == (stop - n)[text]  # a text's first window scores all its places, others only the new ones
-    for skip, chosen in ((0, np.flatnonzero(fresh)), (WINDOW - STRIDE, np.flatnonzero(~fresh))):
-        for lo in range(0, len(chosen), batch):
-            part = chosen[lo : lo + batch]
-            at = start[part][:, None] + np.arange(WINDOW)
-            live = at[:, skip:] < stop[text[part]][:, None]
-            np.minimum(at, len(rows) - 1, out=at)
-            found = scorer.log10_class(rows[at], klass[at], skip)
-            out[at[:, skip:][live]] += found[live]
-    return out
+class Scorer:
+    """The forward pass with fixed weights."""
+
+    def __init__(self, flat: np.ndarray, vocabulary: Vocabulary):
+        self.vocabulary, self.w = vocabulary, unflatten(flat, vocabulary.shapes())
+        self.layers, self.safe = _layers(self.w, vocabulary), bounded(self.w, vocabulary)
+
+    def log10(self, ids: np.ndarray, sizes: np.ndarray, end: int, batch: int = 128) -> np.ndarray:
+        """log10 probability of every subword and of the end behind each text, each scored once, with what its window holds before it."""
+        v = self.vocabulary
+        ends = np.cumsum(sizes)
+        rank = v.rank[np.insert(ids, ends, end)]
+        now = v.row[np.insert(ids, ends - sizes, end)]  # the end also stands before each text
+        stop = np.cumsum(sizes + 1)
+        first = stop - (sizes + 1)
+        before = np.empty_like(now)
+        before[1:] = now[:-1]
+        before[first] = v.row[end]
+        out = np.empty(len(rank), np.float64)
+        start, text = windows_of(sizes + 1)
+        fresh = start == first[text]  # a text's first window scores all its places, others only the new ones
+        for skip, chosen in ((0, np.flatnonzero(fresh)), (WINDOW - STRIDE, np.flatnonzero(~fresh))):
+            for lo in range(0, len(chosen), batch):
+                part = chosen[lo : lo + batch]
+                at = start[part][:, None] + np.arange(WINDOW)
+                live = at[:, skip:] < stop[text[part]][:, None]
+                np.minimum(at, len(now) - 1, out=at)
+                y = _attended(self.w, now[at], before[at], skip, self.safe)[-1]
+                places = at[:, skip:][live]
+                if len(places) < len(y):
+                    y = y[live.reshape(-1)]
+                out[places] = log_probability(self.layers, v, y, rank[places], self.safe)
+        return out / np.log(10)

@@ -51,10 +51,10 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     return full.replace("file:/", "file:///", 1) if full.startswith("file:/") and not full.startswith("file://") else full
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back: a lost executor costs no recomputation beyond this table."""
+def stored(df: DataFrame, name: str, by: str | None = None) -> DataFrame:
+    """Write ``df`` to the shared folder and read it back: a lost executor costs no recomputation beyond this table. ``by``: partition column."""
     path = shared_dir(df.sparkSession, name)
-    df.write.parquet(path)
+    (df.write.partitionBy(by) if by else df.write).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
