@@ -45,6 +45,11 @@ def _classes() -> np.ndarray:
     return kind
 
 
+def is_alphanumeric(codes: np.ndarray) -> np.ndarray:
+    kind = _classes()[codes]
+    return (kind == _LETTER) | (kind == _NUMBER)
+
+
 def split_points(codes: np.ndarray, doc_starts: np.ndarray) -> np.ndarray:
     """Where the pieces of the byte-level pre-tokeniser start. ``doc_starts``: offsets at which a text starts."""
     n = len(codes)
