@@ -3,11 +3,18 @@
 :func:`write` stores pages as gzipped WARC shards, one gzip member per record, and gives the capture index. The audit
 reads the files of two replicas record by record, hashes every record, and builds a tree per file over the ordered
 offset ranges: each inner node hashes its children's ranges and hashes. Roots are compared first, and only the children
-of nodes that differ are compared on the next level, down to the records that are corrupt, missing or surplus.
+of nodes that differ are compared on the next level, down to the suspect records. A lost or surplus record moves all
+behind it, so suspects are then aligned within their file: first by the hash of their bytes (those are sound, wherever
+they stand), then by record id, then by their turn between two neighbours that are aligned. What has no counterpart is
+missing in the other replica.
 
 All levels are grouped sums of at most ``FANOUT`` rows, so no task sees more than one file's records at once and the
 driver sees none. A shard is written under its own name and then moved, so a repeated task replaces the same bytes.
 
+Reading goes on behind a damaged gzip member at the next one that starts with a WARC record; the magic number may also
+occur by chance. If that start is damaged too, both records are read as one damaged member: one of them then counts as
+corrupt, the other as missing.
+
 Cases: null html or url counts as empty; null ids come first and are written without one; repeated rows give a record
 each, in order of their bytes; an empty table gives no files and an empty audit; other columns are ignored.
 """
@@ -23,7 +30,7 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyarrow import fs
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import shared_dir, stored
@@ -31,6 +38,7 @@ from tidemark.llm.quality import chunks_of
 
 #: Children of an inner node; bytes of records after which a task starts a new file; the date of made-up captures.
 FANOUT, SHARD_BYTES, DATE = 16, 64 << 20, "2024-01-01T00:00:00Z"
+_MAGIC, _LOOK = b"\x1f\x8b\x08", 512
 Damage = Callable[[int | None, bytes], bytes | None]
 _INDEX = "file string, record bigint, offset bigint, length bigint, page_id bigint"
 
@@ -62,8 +70,16 @@ def parse(data: bytes) -> dict:
     return {"version": lines[0], "fields": fields, "block": rest[:size], "whole": len(rest) >= size}
 
 
+def _starts_record(data: bytes) -> bool:
+    """Whether a gzip member that holds a WARC record starts here."""
+    try:
+        return zlib.decompressobj(31).decompress(data, 5) == b"WARC/"
+    except zlib.error:
+        return False
+
+
 def members(read: Callable[[int], bytes], step: int = 1 << 20) -> Iterator[tuple[int, bytes, bytes]]:
-    """Offset, raw bytes and content of each gzip member of a stream, one at a time in memory. A member that can't be read ends at the next magic number."""
+    """Offset, raw bytes and content of each gzip member of a stream, one at a time in memory. A member that can't be read ends where the next record starts."""
     held, base, more = b"", 0, True
 
     def fill() -> bool:
@@ -73,6 +89,21 @@ def members(read: Callable[[int], bytes], step: int = 1 << 20) -> Iterator[tuple
         held += got
         return more
 
+    def next_start() -> int:
+        at = 1
+        while True:
+            at = held.find(_MAGIC, at)
+            if at < 0:
+                at = max(1, len(held) - len(_MAGIC) + 1)
+                if not fill():
+                    return len(held)
+                continue
+            while len(held) < at + _LOOK and fill():
+                pass
+            if _starts_record(held[at : at + _LOOK]):
+                return at
+            at += 1
+
     while held or fill():
         z, at, out, broken = zlib.decompressobj(31), 0, [], False
         try:
@@ -86,10 +117,7 @@ def members(read: Callable[[int], bytes], step: int = 1 << 20) -> Iterator[tuple
         except zlib.error:
             broken = True
         if broken:
-            at = held.find(b"\x1f\x8b\x08", 1)
-            while at < 0 and fill():
-                at = held.find(b"\x1f\x8b\x08", 1)
-            at = len(held) if at < 0 else at
+            at = next_start()
         yield base, held[:at], b"" if broken else b"".join(out)
         held, base = held[at:], base + at
 
@@ -184,7 +212,7 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     said = found["fields"].get("warc-block-digest", "")
                     sound = found["whole"] and said == "sha256:" + hashlib.sha256(found["block"]).hexdigest()
                     page = found["fields"].get("warc-page-id", "")
-                    rows.append((name, n, at, len(raw), hashlib.sha256(raw).digest(), int(page) if page.lstrip("-").isdigit() else None, sound))
+                    rows.append((name, n, at, len(raw), hashlib.sha256(raw).digest(), int(page) if page.lstrip("-").isdigit() else None, sound, found["fields"].get("warc-record-id")))
                     if len(rows) == 4096:
                         yield _leaves(rows)
                         rows = []
@@ -193,18 +221,18 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _leaves(rows: list[tuple]) -> pa.RecordBatch:
-    kinds = (pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.bool_())
-    return pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], ["file", "record", "offset", "length", "hash", "page_id", "sound"])
+    kinds = (pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.bool_(), pa.string())
+    return pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], ["file", "record", "offset", "length", "hash", "page_id", "sound", "name"])
 
 
 def leaves(spark: SparkSession, uri: str) -> DataFrame:
-    """Every record of a replica's files: file, record, offset, length, hash (SHA-256 of the stored bytes), page_id, sound. One task per file."""
+    """Every record of a replica's files: file, record, offset, length, hash (SHA-256 of the stored bytes), page_id, sound, name (its id). One task per file."""
     store, base = fs.FileSystem.from_uri(uri)
     names = sorted(i.base_name for i in store.get_file_info(fs.FileSelector(base)) if i.base_name.endswith(".warc.gz"))
-    schema = "file string, record bigint, offset bigint, length bigint, hash binary, page_id bigint, sound boolean"
+    schema = "file string, record bigint, offset bigint, length bigint, hash binary, page_id bigint, sound boolean, name string"
     if not names:
         return spark.createDataFrame([], schema)
-    return spark.createDataFrame([(uri, n) for n in names], "uri string, file string").repartition(len(names), "file").mapInArrow(_read, schema)
+    return spark.createDataFrame([(uri, n) for n in names], "uri string, file string").coalesce(1).repartition(len(names)).mapInArrow(_read, schema)
 
 
 def _parent(nodes: DataFrame, fanout: int) -> DataFrame:
@@ -244,23 +272,76 @@ def compare(a: list[DataFrame], b: list[DataFrame], fanout: int = FANOUT) -> Dat
     return suspects
 
 
+def _number_within(rows: DataFrame, *key: str) -> DataFrame:
+    """With ``turn``: the place of a record among those of its file with the same key."""
+    return rows.withColumn("turn", F.row_number().over(Window.partitionBy("file", *key).orderBy("record")))
+
+
+def align(a: DataFrame, b: DataFrame) -> DataFrame:
+    """Pairs of suspect records: file, record_a, record_b (null: no counterpart). Windows hold the suspects of one file at most.
+
+    Of records with equal bytes the n-th of one replica goes with the n-th of the other; likewise for ids. Damaged
+    records that tell no id are paired by their turn behind the last record before them that is aligned, those of equal
+    length first.
+    """
+
+    def paired(x: DataFrame, y: DataFrame, *key: str, either: str | None = None) -> DataFrame:
+        """Pairs with equal keys and turns; with ``either``, one of them must lack that column."""
+        x, y = (_number_within(t.filter(F.col(key[0]).isNotNull()), *key).select("file", "turn", "record", "name", *(c for c in key if c != "name")) for t in (x, y))
+        on = [F.col(f"x.{c}").eqNullSafe(F.col(f"y.{c}")) for c in ("file", *key, "turn")]
+        if either:
+            on.append(F.col(f"x.{either}").isNull() | F.col(f"y.{either}").isNull())
+        return x.alias("x").join(y.alias("y"), on).select("x.file", F.col("x.record").alias("record_a"), F.col("y.record").alias("record_b"))
+
+    def without(t: DataFrame, pairs: DataFrame, side: str) -> DataFrame:
+        gone = pairs.select(F.col("file").alias("_f"), F.col(side).alias("_r"))
+        return t.join(gone, (F.col("file") == F.col("_f")) & (F.col("record") == F.col("_r")), "left_anti")
+
+    pairs = stored(paired(a, b, "hash"), "same_bytes")
+    rest_a, rest_b = without(a, pairs, "record_a"), without(b, pairs, "record_b")
+    pairs = stored(pairs.unionByName(paired(rest_a, rest_b, "name")), "same_id")
+    rest_a, rest_b = without(a, pairs, "record_a"), without(b, pairs, "record_b")
+
+    def anchored(t: DataFrame, side: str) -> DataFrame:
+        """Records without a counterpart, with the aligned one before them (by its number in replica A)."""
+        known = pairs.select(F.col("file").alias("_f"), F.col(side).alias("_r"), F.col("record_a").alias("anchor"))
+        every = t.join(known, (F.col("file") == F.col("_f")) & (F.col("record") == F.col("_r")), "left")
+        before = Window.partitionBy("file").orderBy("record").rowsBetween(Window.unboundedPreceding, -1)
+        last = F.coalesce(F.last("anchor", ignorenulls=True).over(before), F.lit(-1))
+        return every.withColumn("gap", last).filter(F.col("anchor").isNull()).select("file", "record", "gap", "length", "name")
+
+    for key in (("gap", "length"), ("gap",)):
+        found = stored(paired(anchored(a, "record_a"), anchored(b, "record_b"), *key, either="name"), "same_gap")
+        pairs = pairs.unionByName(found)
+    alone_a = without(a, pairs, "record_a").select("file", F.col("record").alias("record_a"), F.lit(None).cast("bigint").alias("record_b"))
+    alone_b = without(b, pairs, "record_b").select("file", F.lit(None).cast("bigint").alias("record_a"), F.col("record").alias("record_b"))
+    return pairs.unionByName(alone_a).unionByName(alone_b)
+
+
 def audit(spark: SparkSession, uri_a: str, uri_b: str, fanout: int = FANOUT) -> DataFrame:
-    """One row per record of either replica: file, record, offset, length, page_id, sha256 (of replica A), status.
+    """One row per record of either replica: file, record, offset, length, page_id, sha256 (of replica A, else of B), status.
 
-    status: ok, corrupt_b (A is sound, B is not), corrupt_a, missing_b, missing_a, or differs (both sound, or neither).
+    status: ok (also where it stands elsewhere in its file), corrupt_b (A is sound, B is not), corrupt_a, missing_b,
+    missing_a, or differs (both sound, or neither). Number and place are those of replica A, of B for missing_a.
     """
     a, b = stored(leaves(spark, uri_a), "replica_a"), stored(leaves(spark, uri_b), "replica_b")
     most = max((x.agg(F.max("record")).first()[0] or 0) for x in (a, b))
     depth = 0
     while fanout**depth <= most:
         depth += 1
-    bad = compare(tree(a, fanout, depth), tree(b, fanout, depth), fanout).select(F.col("file").alias("_f"), F.col("node").alias("_n"), F.lit(True).alias("bad"))
-    both = a.alias("a").join(b.alias("b"), (F.col("a.file") == F.col("b.file")) & (F.col("a.record") == F.col("b.record")), "full")
-    pick = lambda c: F.coalesce(F.col(f"a.{c}"), F.col(f"b.{c}")).alias(c)
-    rows = both.select(pick("file"), pick("record"), pick("offset"), pick("length"), pick("page_id"), F.lower(F.hex("a.hash")).alias("sha256"), F.col("a.sound").alias("sound_a"), F.col("b.sound").alias("sound_b"))
-    rows = rows.join(bad, (F.col("file") == F.col("_f")) & (F.col("record") == F.col("_n")), "left")
+    bad = compare(tree(a, fanout, depth), tree(b, fanout, depth), fanout).select(F.col("file").alias("_f"), F.col("node").alias("_n"))
+    here = (F.col("file") == F.col("_f")) & (F.col("record") == F.col("_n"))
+    columns = ("file", "record", "offset", "length", "page_id", F.lower(F.hex("hash")).alias("sha256"))
+    sound = a.join(bad, here, "left_anti").select(*columns, F.lit("ok").alias("status"))
+    suspects = [stored(t.join(bad, here, "left_semi"), "suspect_records") for t in (a, b)]
+    pairs = stored(align(*suspects), "aligned")
+    x, y = (t.select(*(F.col(c).alias(f"{c}_{side}") for c in ("file", "record", "offset", "length", "page_id", "hash", "sound"))) for t, side in zip(suspects, "ab", strict=True))
+    on = lambda p, side: (F.col("file") == F.col(f"file_{side}")) & (F.col(f"p.record_{side}") == F.col(f"t.record_{side}"))
+    both = pairs.alias("p").join(x.alias("t"), on(pairs, "a"), "left").drop(F.col("p.record_a")).alias("p").join(y.alias("t"), on(pairs, "b"), "left").drop(F.col("p.record_b"))
     status = (
-        F.when(F.col("bad").isNull(), "ok").when(F.col("sound_b").isNull(), "missing_b").when(F.col("sound_a").isNull(), "missing_a")
+        F.when(F.col("hash_a") == F.col("hash_b"), "ok").when(F.col("sound_b").isNull(), "missing_b").when(F.col("sound_a").isNull(), "missing_a")
         .when(F.col("sound_a") & ~F.col("sound_b"), "corrupt_b").when(F.col("sound_b") & ~F.col("sound_a"), "corrupt_a").otherwise("differs")
     )
-    return rows.select("file", "record", "offset", "length", "page_id", "sha256", status.alias("status"))
+    pick = lambda c: F.coalesce(f"{c}_a", f"{c}_b")
+    told = both.select("file", *(pick(c).alias(c) for c in ("record", "offset", "length", "page_id")), F.lower(F.hex(pick("hash"))).alias("sha256"), status.alias("status"))
+    return sound.unionByName(told)
