@@ -127,8 +127,8 @@ def test_segments_hold_every_target_once():
     at = np.concatenate([[0], np.cumsum(sizes)])
     for doc in range(6):
         mine = sorted((r for r in rows if r["doc_id"] == doc - 2), key=lambda r: r["segment"])
-        w = lm.windows_in([r["ids"] for r in mine])
-        assert [len(lm.windows_in([r["ids"]])) for r in mine] == [r["n"] for r in mine]
+        w = lm.windows_in([r["ids"] for r in mine], 50_256)
+        assert [len(lm.windows_in([r["ids"]], 50_256)) for r in mine] == [r["n"] for r in mine]
         targets = w[:, 2:][w[:, 2:] >= 0]
         assert targets.tolist() == [*ids[at[doc] : at[doc + 1]].tolist(), 50_256]
         assert w[0, :2].tolist() == [50_256, 50_256] and (w[1:, :2] == w[:-1, -2:]).all()

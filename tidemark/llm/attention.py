@@ -21,8 +21,8 @@ _SCALE = np.float32(1 / np.sqrt(KEYS))
 _DISTANCE = np.arange(WINDOW)[:, None] - np.arange(WINDOW)[None, :]
 _PAST = (_DISTANCE >= 0).astype(np.float32)
 _DISTANCE = np.maximum(_DISTANCE, 0)
-#: Tokens of the output layer handled at once, so that logits stay in the processor's cache.
-_BLOCK = 2048
+#: Logits of the output layer held at once, so that they stay in the processor's cache.
+_LOGITS = 1 << 18
 _EMBEDDINGS = ("now", "before")
 
 
@@ -158,6 +158,10 @@ def _pieces(vocabulary: Vocabulary, target: np.ndarray) -> tuple[np.ndarray, lis
     return entry, inner
 
 
+def _step(weights: np.ndarray) -> int:
+    return max(64, min(2048, _LOGITS // weights.shape[1]))
+
+
 def _layers(w: dict, vocabulary: Vocabulary) -> list[np.ndarray]:
     """The weights of the first softmax and of each learned group, each in one piece."""
     return [np.ascontiguousarray(w["out"][:, a:b]) for a, b in ((0, vocabulary.first), *vocabulary.columns())]
@@ -168,13 +172,13 @@ def log_probability(layers: list[np.ndarray], vocabulary: Vocabulary, y: np.ndar
     entry, inner = _pieces(vocabulary, target)
     out = np.zeros(len(y), np.float32)
     for weights, (at, place) in zip(layers, [(None, entry), *inner], strict=False):
-        ones = np.ones(weights.shape[1], np.float32)
-        for lo in range(0, len(place), _BLOCK):
-            some = slice(lo, lo + _BLOCK) if at is None else at[lo : lo + _BLOCK]
+        ones, step = np.ones(weights.shape[1], np.float32), _step(weights)
+        for lo in range(0, len(place), step):
+            some = slice(lo, lo + step) if at is None else at[lo : lo + step]
             s = y[some] @ weights
             if not safe:
                 s -= s.max(axis=1, keepdims=True)
-            picked = s[np.arange(len(s)), place[lo : lo + _BLOCK]]
+            picked = s[np.arange(len(s)), place[lo : lo + step]]
             out[some] += picked - np.log(np.exp(s, out=s) @ ones)
     if vocabulary.rest is not None:
         at, place = inner[-1]
@@ -208,10 +212,10 @@ def gradients(w: dict, vocabulary: Vocabulary, now: np.ndarray, before: np.ndarr
     loss, dy = 0.0, np.zeros_like(y)
     g["out"][:] = 0
     for weights, (at, place), (c, d) in zip(_layers(w, vocabulary), [(None, entry), *inner], [(0, vocabulary.first), *vocabulary.columns()], strict=False):
-        into = np.zeros_like(weights)
-        for lo in range(0, len(place), _BLOCK):
-            some = slice(lo, lo + _BLOCK) if at is None else at[lo : lo + _BLOCK]
-            more, part = _softmax_gradient(y[some], weights, place[lo : lo + _BLOCK], share[some], into)
+        into, step = np.zeros_like(weights), _step(weights)
+        for lo in range(0, len(place), step):
+            some = slice(lo, lo + step) if at is None else at[lo : lo + step]
+            more, part = _softmax_gradient(y[some], weights, place[lo : lo + step], share[some], into)
             dy[some] += more
             loss += part
         g["out"][:, c:d] = into

@@ -38,9 +38,9 @@ from tidemark.llm.token_files import default_tokenizer
 #: Words in the broadcast head; smoothing of the base.
 HEAD, SMOOTH = 200_000, 0.1
 #: Windows of a segment at most; rounds; windows of a bucket, of an Adam step; buckets averaged at once; first step size.
-SEGMENT, ROUNDS, BUCKET, BATCH, FAN, RATE = 32, 8, 16_384, 64, 16, 0.01
+SEGMENT, ROUNDS, BUCKET, BATCH, FAN, RATE = 32, 6, 32_768, 64, 16, 0.01
 #: Distinct words that a task of the scan holds before it hands their counts on.
-HELD_WORDS = 500_000
+HELD_WORDS = 250_000
 _SCAN = "part int, word string, subword bigint, n bigint, key bigint, doc_id bigint, segment bigint, ids binary"
 _COLUMNS = {"part": pa.int32(), "word": pa.string(), "subword": pa.int64(), "n": pa.int64(), "key": pa.int64(), "doc_id": pa.int64(), "segment": pa.int64(), "ids": pa.binary()}
 _SCORED = "doc_id bigint, held_out boolean, n_tokens bigint, known bigint, head double, score double, tail array<string>"
@@ -80,6 +80,11 @@ def _mixed(doc_ids: np.ndarray, segments: np.ndarray) -> np.ndarray:
     return ((x ^ (x >> np.uint64(31))) >> np.uint64(1)).astype(np.int64)
 
 
+def _id_type(end: int) -> np.dtype:
+    """How ids up to ``end`` are written."""
+    return np.dtype("<u2" if end < 1 << 16 else "<u4")
+
+
 def segments_of(ids: np.ndarray, sizes: np.ndarray, doc_ids: np.ndarray, end: int, rounds: int = ROUNDS) -> pa.RecordBatch:
     """Segments of all texts: up to ``SEGMENT`` windows of targets, with the two ids before them. The end stands before and behind a text."""
     stop = np.cumsum(sizes)
@@ -93,8 +98,8 @@ def segments_of(ids: np.ndarray, sizes: np.ndarray, doc_ids: np.ndarray, end: in
     length = np.minimum(span, sizes[doc] + 1 - number * span) + 2
     key = _mixed(doc_ids[doc], number)
     at = np.cumsum(length)
-    flat = text[np.repeat(start - (at - length), length) + np.arange(int(at[-1]) if len(at) else 0)].astype("<u4")
-    packed = pieces(flat.view(np.uint8), np.concatenate([[0], at]) * 4, pa.binary())
+    flat = text[np.repeat(start - (at - length), length) + np.arange(int(at[-1]) if len(at) else 0)].astype(kind := _id_type(end))
+    packed = pieces(flat.view(np.uint8), np.concatenate([[0], at]) * kind.itemsize, pa.binary())
     return _rows(len(doc), part=pa.array((key % rounds).astype(np.int32)), n=pa.array(-(-(length - 2) // A.WINDOW)), key=pa.array(key // rounds), doc_id=pa.array(doc_ids[doc]), segment=pa.array(number), ids=packed)
 
 
@@ -111,7 +116,7 @@ def _scan(path: str, size: int, rounds: int):
                 yield _rows(b.num_rows, part=pa.array(np.full(b.num_rows, _COUNTS, np.int32)), word=b.column("word"), n=b.column("n"))
             held.clear()
 
-        for batch in chunks(batches, limit=6 << 20):
+        for batch in chunks(batches, limit=4 << 20):
             s = Spelling(batch.column("text"), path)
             n = np.bincount(s.which, minlength=len(s.words))
             counts += np.bincount(s.flat, weights=np.repeat(n, s.size), minlength=size).astype(np.int64)
@@ -130,11 +135,11 @@ def _scan(path: str, size: int, rounds: int):
     return run
 
 
-def windows_in(ids: list[bytes]) -> np.ndarray:
+def windows_in(ids: list[bytes], end: int) -> np.ndarray:
     """Windows that tile the segments: WINDOW targets and the two ids before them; -1 behind a text's end."""
     out = []
     for raw in ids:
-        text = np.frombuffer(raw, "<u4").astype(np.int32)
+        text = np.frombuffer(raw, _id_type(end)).astype(np.int32)
         n = -(-(len(text) - 2) // A.WINDOW)
         padded = np.full(n * A.WINDOW + 2, -1, np.int32)
         padded[: len(text)] = text
@@ -149,7 +154,7 @@ def _train(shared, rate: float, batch: int):
     def run(bucket: pa.Table) -> pa.Table:
         flat, vocabulary = shared.value
         bucket = bucket.sort_by([(c, "ascending") for c in ("key", "doc_id", "segment")])
-        w = windows_in(bucket.column("ids").to_pylist())
+        w = windows_in(bucket.column("ids").to_pylist(), len(vocabulary.rank) - 1)
         flat = A.train_locally(flat, vocabulary, w, rate, batch)
         return pa.table([bucket.column("bucket").slice(0, 1), [len(w)], [flat.tobytes()]], schema=_MODEL)
 
@@ -216,7 +221,7 @@ def _score(shared, path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         scorer = A.Scorer(model["flat"], model["vocabulary"])
-        for batch in chunks(batches, limit=4 << 20):
+        for batch in chunks(batches, limit=3 << 20):
             yield some(batch, model, scorer)
 
     return run

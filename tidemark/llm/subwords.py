@@ -20,7 +20,7 @@ import regex
 from tidemark.llm.common import pieces, utf8_of
 
 #: Distinct pieces whose ids a worker keeps (about 50 bytes each); it starts anew beyond that, so memory stays bounded.
-CACHE_PIECES = 2_000_000
+CACHE_PIECES = 500_000
 _OTHER, _LETTER, _NUMBER, _SPACE = range(4)
 _APOSTROPHE = ord("'")
 
