@@ -58,6 +58,17 @@ def stored(df: DataFrame, name: str, by: str | None = None) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def fresh(taken: list[str], *names: str) -> list[str]:
+    """The names, with underscores behind them until they clash neither with ``taken`` nor with each other."""
+    used, out = {t.lower() for t in taken}, []
+    for name in names:
+        while name.lower() in used:
+            name += "_"
+        used.add(name.lower())
+        out.append(name)
+    return out
+
+
 def lower_ascii(col: Column) -> Column:
     """Lower-case A-Z and nothing else. ``lower`` is much faster than ``translate`` and equal to it on pure ASCII."""
     return F.when(F.length(col) == F.octet_length(col), F.lower(col)).otherwise(F.translate(col, UPPER, LOWER))
@@ -78,7 +89,8 @@ def first_rows(docs: DataFrame, groups: DataFrame, doc_id: str, text: str) -> Da
     out = docs.join(kept, docs[doc_id].cast("bigint").eqNullSafe(kept["_id"]) & (mark == kept["_digest"]), "left_semi")
     if chosen.filter("n > 1").isEmpty():
         return out
-    return out.withColumn("_digest", F.xxhash64(F.col(text).cast("string"))).dropDuplicates([doc_id, "_digest"]).drop("_digest")
+    (digest,) = fresh(docs.columns, "digest")
+    return out.withColumn(digest, F.xxhash64(F.col(text).cast("string"))).dropDuplicates([doc_id, digest]).drop(digest)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

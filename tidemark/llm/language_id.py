@@ -31,14 +31,27 @@ from tidemark.llm.common import _TO_LOWER, chunks, stored, utf8_of
 BUCKETS, SMOOTH, FIT_ROWS, FULL = 1 << 15, 0.5, 4000, 50
 #: Pseudo-counts with which a level of the hierarchy follows the one above.
 SHRINK = 8.0
-#: Country suffixes say something; generic ones do not.
-_TAG = re.compile(r"(?s)<[^>]*>|&[a-z#0-9]{2,8};")
-_HIDDEN = re.compile(r"(?is)<(script|style)\b.*?</\1\s*>|<!--.*?-->")
+#: Hosts with more than one record in so many have their priors broadcast.
+HOT_HOSTS = 4096
+_TAG = re.compile(r"<[^<>]*+>|&[a-z#0-9]{2,8};")
+_OPEN = re.compile(r"(?i)<(script|style)\b|<!--")
+_CLOSE = {"script": re.compile(r"(?i)</script\s*>"), "style": re.compile(r"(?i)</style\s*>"), None: re.compile(r"-->")}
 
 
 def visible(html: str) -> str:
-    """What a reader of the page sees, roughly."""
-    return _TAG.sub(" ", _HIDDEN.sub(" ", html))
+    """What a reader of the page sees, roughly. Linear: after an opening without an end, none of its kind is looked for again."""
+    out, at, unclosed = [], 0, set()
+    for opening in _OPEN.finditer(html):
+        kind = opening[1].lower() if opening[1] else None
+        if opening.start() < at or kind in unclosed:
+            continue
+        end = _CLOSE[kind].search(html, opening.end())
+        if end is None:
+            unclosed.add(kind)
+            continue
+        out.append(html[at : opening.start()])
+        at = end.end()
+    return _TAG.sub(" ", " ".join([*out, html[at:]]))
 
 
 def trigrams(texts: pa.Array, buckets: int = BUCKETS) -> tuple[np.ndarray, np.ndarray]:
@@ -55,21 +68,43 @@ def trigrams(texts: pa.Array, buckets: int = BUCKETS) -> tuple[np.ndarray, np.nd
     return (mixed % np.uint64(buckets)).astype(np.int64), doc[keep]
 
 
-def fit(labelled: list[tuple[str, str]], buckets: int = BUCKETS, smooth: float = SMOOTH) -> tuple[list[str], np.ndarray]:
-    """Languages and the log probability of each trigram bucket in each."""
-    langs = sorted({lang for _, lang in labelled})
-    counts = np.zeros((len(langs), buckets))
-    for k, lang in enumerate(langs):
-        bucket, _ = trigrams(pa.array([t for t, x in labelled if x == lang], pa.string()), buckets)
-        counts[k] = np.bincount(bucket, minlength=buckets)
-    return langs, np.log((counts + smooth) / (counts.sum(axis=1, keepdims=True) + smooth * buckets)) if langs else counts
+def model(counts: dict[str, np.ndarray], smooth: float = SMOOTH) -> tuple[list[str], np.ndarray]:
+    """Languages by name and the log probability of each trigram bucket in each."""
+    langs = sorted(counts)
+    table = np.array([counts[lang] for lang in langs], float)
+    return langs, np.log((table + smooth) / (table.sum(axis=1, keepdims=True) + smooth * table.shape[1])) if langs else table
 
 
-def labelled_sample(docs: DataFrame, rows: int = FIT_ROWS) -> list[tuple[str, str]]:
-    """At most ``rows`` documents with a language, chosen by a hash of the id. Ids are chosen first, so that texts of no others move."""
-    has = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull())
-    ids = has.select(F.col("doc_id").alias("_id")).orderBy(F.xxhash64("_id"), "_id").limit(rows)
-    return [(r["text"], r["lang"]) for r in has.join(F.broadcast(ids), F.col("doc_id") == F.col("_id")).select("text", "lang").limit(rows).collect()]
+def _count(buckets: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts: dict[str, np.ndarray] = {}
+        for batch in chunks(batches):
+            bucket, doc = trigrams(batch.column("text"), buckets)
+            lang = np.array(batch.column("lang").to_pylist(), object)
+            for name in set(lang):
+                counts[name] = counts.get(name, 0) + np.bincount(bucket[(lang == name)[doc]], minlength=buckets)
+        for name, n in counts.items():
+            at = np.flatnonzero(n)
+            yield pa.record_batch([pa.array([name] * max(1, len(at))), pa.array(at if len(at) else [0]), pa.array(n[at] if len(at) else [0])], ["lang", "bucket", "n"])
+
+    return run
+
+
+def fit(docs: DataFrame, rows: int = FIT_ROWS, buckets: int = BUCKETS, smooth: float = SMOOTH) -> tuple[list[str], np.ndarray]:
+    """The model of at most ``rows`` documents with a language, chosen by a hash of the id.
+
+    Ids are chosen first, so that texts of no others move; the driver gets a row per language and bucket.
+    """
+    has = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text")).filter(F.col("lang").isNotNull() & F.col("text").isNotNull())
+    ids = has.select(F.col("doc_id").alias("fit_id")).orderBy(F.xxhash64("fit_id"), "fit_id").limit(rows).distinct()
+    chosen = has.join(F.broadcast(ids), F.col("doc_id").eqNullSafe(F.col("fit_id")), "left_semi").select("lang", "text")
+    found = chosen.mapInArrow(_count(buckets), "lang string, bucket bigint, n bigint").groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toArrow()
+    counts: dict[str, np.ndarray] = {}
+    lang = np.array(found.column("lang").to_pylist(), object)
+    for name in sorted(set(lang)):
+        mine = lang == name
+        counts[name] = np.bincount(found.column("bucket").to_numpy()[mine], weights=found.column("n").to_numpy()[mine], minlength=buckets)
+    return model(counts, smooth)
 
 
 def _likelihoods(shared, markup: bool):
@@ -125,10 +160,25 @@ def _sums(rows: DataFrame, key: list[str], k: int, name: str) -> DataFrame:
     return rows.groupBy(*key).agg(F.array(*[F.sum(F.col("first")[i]) for i in range(k)]).alias(name))
 
 
+def _with_priors(seen: DataFrame, hosts: DataFrame, rows: float) -> DataFrame:
+    """Records with ``counts`` and ``domain_prior`` of their host; null without one.
+
+    Hosts with a share of all records are few, so they are broadcast; records without a host don't take part. So the
+    shuffle by host only sees hosts of at most ``rows`` / ``HOT_HOSTS`` records.
+    """
+    none = seen.filter(F.col("host").isNull()).withColumn("counts", F.lit(None).cast("array<double>")).withColumn("domain_prior", F.lit(None).cast("array<double>"))
+    named = seen.filter(F.col("host").isNotNull())
+    size = F.aggregate("counts", F.lit(0.0), lambda a, x: a + x)
+    least = rows / HOT_HOSTS  # posteriors sum to one, so counts add up to records and at most HOT_HOSTS hosts reach this
+    hot = F.broadcast(hosts.filter(size > least))
+    cold = hosts.filter(size <= least)
+    return none.unionByName(named.join(hot, "host").select(*none.columns)).unionByName(named.join(F.broadcast(hosts.filter(size > least).select("host")), "host", "left_anti").join(cold, "host", "left").select(*none.columns))
+
+
 def identify(pages: DataFrame | None, docs: DataFrame, spark=None, judge_docs: bool = True, fit_rows: int = FIT_ROWS, shrink: float = SHRINK) -> DataFrame:
     """One row per page (and per document): doc_id, page_id, host, declared, lang, probability, text_lang."""
     spark = spark or docs.sparkSession
-    langs, table = fit(labelled_sample(docs, fit_rows))
+    langs, table = fit(docs, fit_rows)
     k = len(langs)
     parts = records(pages, docs if judge_docs else None)
     if not k:
@@ -170,8 +220,8 @@ def identify(pages: DataFrame | None, docs: DataFrame, spark=None, judge_docs: b
     rate = F.transform(F.zip_with("said", F.array(*map(F.lit, n_lang)), lambda x, n: (x + 0.5) / (n + 1.0)), lambda x: F.log(x))
     declared = declared.select("declared", rate.alias("declared_logs"))
 
-    joined = seen.join(hosts.withColumnRenamed("host", "_host"), seen["host"] == F.col("_host"), "left").drop("_host")
-    joined = joined.join(declared.withColumnRenamed("declared", "_declared"), joined["declared"] == F.col("_declared"), "left").drop("_declared")
+    joined = _with_priors(seen, hosts, sum(world))
+    joined = joined.join(F.broadcast(declared.withColumnRenamed("declared", "said")), F.col("declared") == F.col("said"), "left").drop("said")  # subtags of 2 or 3 letters: at most 18,252 rows
     others = F.transform(F.zip_with("counts", "first", lambda c, f: c - f), lambda x: F.greatest(x, F.lit(0.0)))
     prior = F.when(F.col("counts").isNotNull(), shrunk(others, F.col("domain_prior"))).otherwise(world_prior)
     logs = F.zip_with("logs", F.transform(prior, lambda x: F.log(x + F.lit(1e-12))), lambda a, b: a + b)

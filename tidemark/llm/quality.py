@@ -6,14 +6,22 @@ log target minus log raw. Gumbel noise made from a hash of the id is added, and
 documents without replacement in proportion to their weights. k is no constant: it is the number of documents, over
 the whole corpus, whose weight lies above the threshold that separates the labelled sample best.
 
+A few words make a document toxic, and hundreds of others drown them in that sum. So a second pair of models counts, in
+how many of the labelled toxic and in how many of the other labelled documents each n-gram occurs; the sum over a
+document's distinct n-grams that are ``TELLING`` times likelier in toxic ones is its evidence. Documents above a limit
+have weight zero: they are never drawn.
+
+The models are fitted to one half of the labelled sample, limit and threshold are set on the other.
+
 The top k is found without sorting: histograms of the keys narrow down the k-th key, then a filter does the rest.
 
 Tokens are runs of letters, digits, underscores and non-ASCII bytes, or runs of other visible characters, A-Z
 lower-cased; n-grams are tokens and pairs of neighbours, where all pairs of a token with itself are one n-gram.
 
-Cases: null text counts as empty and has weight 0; documents without a label only count as raw; of several labels for
-an id the worst holds; rows that tie on key and id are kept or dropped together; without any usable label everything is
-kept; an empty table gives an empty result; other columns pass through :func:`keep_good` untouched.
+Cases: null text counts as empty and has weight 0 and no evidence; documents without a label only count as raw; of
+several labels for an id the worst holds; rows that tie on key and id are kept or dropped together; without any usable
+label everything is kept; an empty table gives an empty result; other columns pass through :func:`keep_good` untouched,
+whatever their names.
 """
 
 from __future__ import annotations
@@ -22,14 +30,18 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tidemark.llm.common import _TO_LOWER, chunks, pieces, stored, utf8_of
+from tidemark.llm.common import _TO_LOWER, chunks, fresh, pieces, stored, utf8_of
 
 #: Hash buckets of the n-gram models; additive smoothing per bucket; labelled rows used at most; seed of the noise.
 BUCKETS, SMOOTH, FIT_ROWS, SEED = 1 << 16, 1.0, 50_000, 7
+#: Buckets of the toxic models; how much likelier (log) an n-gram must be to tell; share of other documents that the limit may cost.
+TOXIC_BUCKETS, TELLING, LOSS = 1 << 18, 1.5, 0.005
 #: Bins per histogram of keys, and rows of the boundary bin that may be looked at on the driver.
 BINS, FEW = 4096, 10_000
 
@@ -66,69 +78,98 @@ def ngram_buckets(texts: pa.Array, buckets: int = BUCKETS) -> tuple[np.ndarray,
     return ((mixed >> np.uint64(33)) % np.uint64(buckets)).astype(np.int64), np.concatenate([doc, doc[pair]])
 
 
-def _count(buckets: int):
+def distinct_grams(texts: pa.Array, buckets: int = TOXIC_BUCKETS) -> tuple[np.ndarray, np.ndarray]:
+    """As :func:`ngram_buckets`, but each bucket once per text."""
+    bucket, doc = ngram_buckets(texts, buckets)
+    key = np.unique(doc * buckets + bucket)
+    return key % buckets, key // buckets
+
+
+def _count(buckets: int, toxic_buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         raw, good = np.zeros(buckets, np.int64), np.zeros(buckets, np.int64)
+        toxic, other = np.zeros(toxic_buckets, np.int64), np.zeros(toxic_buckets, np.int64)
         for batch in chunks(batches):
             bucket, doc = ngram_buckets(batch.column("text"), buckets)
-            target = batch.column("target").to_numpy(zero_copy_only=False).astype(bool)
+            target = batch.column("good").fill_null(False).to_numpy(zero_copy_only=False)
             raw += np.bincount(bucket, minlength=buckets)
             good += np.bincount(bucket[target[doc]], minlength=buckets)
-        at = np.flatnonzero(raw)
-        yield pa.record_batch([pa.array(at), pa.array(raw[at]), pa.array(good[at])], ["bucket", "raw", "good"])
+            known = batch.filter(batch.column("toxic").is_valid())
+            if known.num_rows:
+                bucket, doc = distinct_grams(known.column("text"), toxic_buckets)
+                bad = known.column("toxic").to_numpy(zero_copy_only=False)[doc]
+                toxic += np.bincount(bucket[bad], minlength=toxic_buckets)
+                other += np.bincount(bucket[~bad], minlength=toxic_buckets)
+        for first, a, b in ((0, raw, good), (buckets, toxic, other)):
+            at = np.flatnonzero(a + b)
+            yield pa.record_batch([pa.array(first + at), pa.array(a[at]), pa.array(b[at])], ["bucket", "a", "b"])
 
     return run
 
 
 def labelled_sample(labels: DataFrame, rows: int = FIT_ROWS) -> DataFrame:
-    """At most ``rows`` labelled ids, chosen by a hash of the id: doc_id, good (quality 1 and not toxic), quality."""
+    """At most ``rows`` labelled ids, chosen by a hash of the id: label_id, good (quality 1 and not toxic), toxic, fits (the half that models are fitted to)."""
     worst = labels.filter(F.col("doc_id").isNotNull()).groupBy(F.col("doc_id").cast("bigint").alias("label_id")).agg(F.min("quality").alias("quality"), F.max(F.coalesce("toxic", F.lit(0))).alias("toxic"))
     usable = worst.filter(F.col("quality").isNotNull()).orderBy(F.xxhash64("label_id"), "label_id").limit(rows)
-    return stored(usable.select("label_id", ((F.col("quality") == 1) & (F.col("toxic") == 0)).alias("good"), (F.col("quality") == 1).alias("quality")), "labelled")
-
-
-def fit(docs: DataFrame, sample: DataFrame, doc_id: str = "doc_id", text: str = "text", buckets: int = BUCKETS, smooth: float = SMOOTH) -> np.ndarray:
-    """Log target minus log raw of every bucket: a table of fixed size."""
-    good = F.broadcast(sample.filter("good").select("label_id"))  # at most FIT_ROWS rows
-    marked = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text")).join(good.withColumn("hit", F.lit(True)), F.col("doc_id") == F.col("label_id"), "left")
-    marked = marked.select("text", F.col("hit").isNotNull().alias("target"))
-    counts = marked.mapInArrow(_count(buckets), "bucket bigint, raw bigint, good bigint").groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("good").alias("good"))
-    raw, target = np.zeros(buckets), np.zeros(buckets)
-    for r in counts.collect():  # one row per bucket
-        raw[r["bucket"]], target[r["bucket"]] = r["raw"], r["good"]
-    if not target.sum():
-        return np.zeros(buckets)
+    return stored(usable.select("label_id", ((F.col("quality") == 1) & (F.col("toxic") == 0)).alias("good"), (F.col("toxic") == 1).alias("toxic"), (F.pmod(F.xxhash64("label_id", F.lit(1)), F.lit(2)) == 0).alias("fits")), "labelled")
+
+
+class Models:
+    """Log target minus log raw, and what tells toxic documents, by bucket: tables of fixed size."""
+
+    def __init__(self, ratio: np.ndarray, toxic: np.ndarray):
+        self.ratio, self.toxic = ratio, toxic
+
+    def judge(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Log importance weight and toxic evidence of each text."""
+        bucket, doc = ngram_buckets(texts, len(self.ratio))
+        weight = np.bincount(doc, weights=self.ratio[bucket], minlength=len(texts)).astype(float)
+        bucket, doc = ngram_buckets(texts, len(self.toxic))
+        told = np.flatnonzero(self.toxic[bucket])
+        key = np.unique(doc[told] * len(self.toxic) + bucket[told])
+        evidence = np.bincount(key // len(self.toxic), weights=self.toxic[key % len(self.toxic)], minlength=len(texts)).astype(float)
+        return weight, evidence
+
+
+def fit(docs: DataFrame, sample: DataFrame, doc_id: str = "doc_id", text: str = "text", buckets: int = BUCKETS, toxic_buckets: int = TOXIC_BUCKETS, smooth: float = SMOOTH) -> Models:
+    """The models, counted in one pass over all documents."""
+    known = F.broadcast(sample.filter("fits").select("label_id", "good", "toxic"))  # at most FIT_ROWS rows
+    slim = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text"))
+    marked = slim.join(known, F.col("doc_id") == F.col("label_id"), "left").select("text", "good", "toxic")
+    counts = marked.mapInArrow(_count(buckets, toxic_buckets), "bucket bigint, a bigint, b bigint").groupBy("bucket").agg(F.sum("a").alias("a"), F.sum("b").alias("b")).toArrow()  # a row per bucket
+    n_toxic, n_other = sample.filter("fits").agg(F.count_if("toxic"), F.count_if(~F.col("toxic"))).first()
+    a, b = np.zeros(buckets + toxic_buckets), np.zeros(buckets + toxic_buckets)
+    at = counts.column("bucket").to_numpy()
+    a[at], b[at] = counts.column("a").to_numpy(), counts.column("b").to_numpy()
+    raw, target = a[:buckets], b[:buckets]
     part = lambda x: np.log((x + smooth) / (x.sum() + smooth * buckets))
-    return part(target) - part(raw)
+    ratio = part(target) - part(raw) if target.sum() else np.zeros(buckets)
+    toxic = np.zeros(toxic_buckets)
+    if n_toxic and n_other:
+        log = np.log((a[buckets:] + smooth) / (b[buckets:] * (n_toxic / n_other) + smooth))
+        toxic = np.where(log >= TELLING, log, 0.0)
+    return Models(ratio, toxic)
 
 
-def weigh(docs: DataFrame, ratio: np.ndarray, text: str = "text", name: str = "log_weight") -> DataFrame:
-    """All columns of ``docs`` and the log importance weight of each document."""
-    spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast(ratio)
+def weigh(docs: DataFrame, models: Models, text: str = "text", weight: str = "log_weight", evidence: str = "evidence") -> DataFrame:
+    """All columns of ``docs``, the log importance weight and the toxic evidence of each document."""
+    shared = docs.sparkSession.sparkContext.broadcast(models)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = shared.value
         for batch in chunks_of(batches, text):
-            at = batch.schema.get_field_index(text)
-            bucket, doc = ngram_buckets(batch.column(at).fill_null(""), len(table))
-            weight = np.bincount(doc, weights=table[bucket], minlength=batch.num_rows)
-            yield batch.append_column(name, pa.array(weight, pa.float64()))
+            w, e = shared.value.judge(batch.column(batch.schema.get_field_index(text)).fill_null(""))
+            yield batch.append_column(weight, pa.array(w, pa.float64())).append_column(evidence, pa.array(e, pa.float64()))
 
-    from pyspark.sql import types as T
-
-    schema = T.StructType([*docs.schema.fields, T.StructField(name, T.DoubleType())])
+    schema = T.StructType([*docs.schema.fields, T.StructField(weight, T.DoubleType()), T.StructField(evidence, T.DoubleType())])
     return docs.mapInArrow(run, schema)
 
 
 def chunks_of(batches: Iterator[pa.RecordBatch], text: str) -> Iterator[pa.RecordBatch]:
     """As :func:`common.chunks`, but nulls in ``text`` stay nulls in the batch that is passed on."""
-    import pyarrow.compute as pc
-
     for batch in batches:
-        sized = batch.append_column("_sized", pc.fill_null(batch.column(batch.schema.get_field_index(text)), ""))
-        for part in chunks([sized], "_sized"):
-            yield part.drop_columns(["_sized"])
+        (sized,) = fresh(batch.schema.names, "sized")
+        for part in chunks([batch.append_column(sized, pc.fill_null(batch.column(batch.schema.get_field_index(text)), ""))], sized):
+            yield part.drop_columns([sized])
 
 
 def gumbel_key(weight: str = "log_weight", doc_id: str = "doc_id", seed: int = SEED):
@@ -172,36 +213,51 @@ def threshold(scored: list[tuple[float, bool]]) -> float:
     return float(-np.inf if best == 0 else np.inf if best == len(values) else (values[best - 1] + values[best]) / 2)
 
 
-def decide(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", fit_rows: int = FIT_ROWS) -> tuple[np.ndarray, DataFrame, tuple[float, int | None]]:
-    """The fitted table, doc_id with log_weight and key of every document, and the last key and id that are kept."""
-    sample = labelled_sample(labels, fit_rows)
-    ratio = fit(docs, sample, doc_id, text)
-    slim = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    keys = stored(weigh(slim, ratio).select("doc_id", "log_weight", gumbel_key().alias("key")), "keys")
-    known = keys.join(F.broadcast(sample), keys["doc_id"] == sample["label_id"]).select("log_weight", "quality").limit(2 * fit_rows).collect()
-    least = threshold([(r[0], r[1]) for r in known])
-    k = keys.filter(F.col("log_weight") >= F.lit(least)).count()
-    if not k:
-        return ratio, keys, (float("inf"), None)
-    return ratio, keys, kth_largest(keys, k)
+def highest_evidence(known: list[tuple[float, bool]], loss: float = LOSS) -> float:
+    """The least limit that at most a share ``loss`` of the documents that are not toxic exceed; never below zero."""
+    clean = np.sort([e for e, toxic in known if not toxic])
+    if len(clean) in (0, len(known)):
+        return np.inf
+    return float(clean[len(clean) - 1 - int(loss * len(clean))])
+
 
+class Decision:
+    """The fitted models, the limit of the evidence, and the last key and id that are kept."""
 
-def _is_kept(key, doc_id, last: tuple[float, int | None]):
-    """A tie on the key is settled by the id; a null id comes last."""
-    if last[1] is None:
-        return key >= F.lit(last[0])
-    return (key > F.lit(last[0])) | (key == F.lit(last[0])) & F.coalesce(doc_id <= F.lit(last[1]), F.lit(False))
+    def __init__(self, models: Models, limit: float, last: tuple[float, int | None]):
+        self.models, self.limit, self.last = models, limit, last
+
+    def keeps(self, key, evidence, doc_id):
+        """A tie on the key is settled by the id; a null id comes last."""
+        key_at, id_at = self.last
+        above = key >= F.lit(key_at) if id_at is None else (key > F.lit(key_at)) | (key == F.lit(key_at)) & F.coalesce(doc_id <= F.lit(id_at), F.lit(False))
+        return above & (evidence <= F.lit(self.limit))
+
+
+def decide(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", fit_rows: int = FIT_ROWS) -> tuple[Decision, DataFrame]:
+    """What is kept, and doc_id, log_weight, evidence and key of every document."""
+    sample = labelled_sample(labels, fit_rows)
+    models = fit(docs, sample, doc_id, text)
+    slim = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text"))
+    keys = stored(weigh(slim, models).select("doc_id", "log_weight", "evidence", gumbel_key().alias("key")), "keys")
+    apart = F.broadcast(sample.filter(~F.col("fits")))  # at most FIT_ROWS rows; of repeated ids the first row by weight counts
+    known = keys.join(apart, keys["doc_id"] == apart["label_id"]).groupBy("label_id").agg(F.min(F.struct("log_weight", "evidence", "good", "toxic")).alias("k")).select("k.*").collect()
+    limit = highest_evidence([(r["evidence"], r["toxic"]) for r in known])
+    least = threshold([(r["log_weight"], r["good"]) for r in known if r["evidence"] <= limit])
+    drawn = keys.filter(F.col("evidence") <= F.lit(limit)).select("doc_id", "log_weight", "key")
+    k = drawn.filter(F.col("log_weight") >= F.lit(least)).count()
+    return Decision(models, limit, kth_largest(drawn, k) if k else (float("inf"), None)), keys
 
 
 def quality(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per document: doc_id, log_weight, key (with noise), kept."""
-    _, keys, last = decide(docs, labels, doc_id, text)
-    return keys.select("doc_id", "log_weight", "key", _is_kept(F.col("key"), F.col("doc_id"), last).alias("kept"))
+    """One row per document: doc_id, log_weight, evidence (of toxicity), key (with noise), kept."""
+    decision, keys = decide(docs, labels, doc_id, text)
+    return keys.select("doc_id", "log_weight", "evidence", "key", decision.keeps(F.col("key"), F.col("evidence"), F.col("doc_id")).alias("kept"))
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The documents that are kept, all columns. Weights are computed again here, which saves shuffling the texts."""
-    ratio, _, last = decide(docs, labels, doc_id, text)
-    weighed = weigh(docs, ratio, text, "_log_weight")
-    key = gumbel_key("_log_weight", doc_id)
-    return weighed.withColumn("_key", key).filter(_is_kept(F.col("_key"), F.col(doc_id).cast("bigint"), last)).drop("_log_weight", "_key")
+    decision, _ = decide(docs, labels, doc_id, text)
+    weight, evidence = fresh(docs.columns, "log_weight", "evidence")
+    weighed = weigh(docs, decision.models, text, weight, evidence)
+    return weighed.filter(decision.keeps(gumbel_key(weight, doc_id), F.col(evidence), F.col(doc_id).cast("bigint"))).drop(weight, evidence)
