@@ -10,6 +10,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
+from tidemark.llm import common
 from tidemark.llm import language_id as li
 
 DOCS, PAGES = "doc_id long, text string, lang string, host string", "page_id long, url string, html string, declared string"
@@ -94,7 +95,7 @@ def test_hot_hosts_get_the_same_priors(spark, judged, monkeypatch):
     rows, pages = judged
     rng = random.Random(1)
     docs = [(i, text(rng, lang, 40), lang, "x") for i, lang in enumerate(["en", "fr", "de"] * 40)]
-    monkeypatch.setattr(li, "HOT_HOSTS", 2)  # a host must hold half of the records: none is broadcast
+    monkeypatch.setattr(common, "HOT_KEYS", 2)  # a host must hold half of the records: none is broadcast
     again = li.identify(spark.createDataFrame(pages, PAGES), spark.createDataFrame(docs, DOCS)).collect()
     key = lambda r: (r["doc_id"] or -1, r["page_id"] or -1)
     for a, b in zip(sorted(rows, key=key), sorted(again, key=key), strict=True):

@@ -107,3 +107,9 @@ def test_mixed_documents_come_as_often_as_taken(spark):
 def test_mixed_without_open_budgets(spark):
     df = spark.createDataFrame([(1, "a b", "s", "", ""), (2, "c d", "s", "", "")], SCHEMA)
     assert sorted(r["doc_id"] for r in mixing.mixed(df).collect()) == [1, 2]
+
+
+def test_columns_of_any_name_pass_through(spark):
+    docs = spark.createDataFrame([(i, "a b c", f"s{i % 2}", "1", "2", "3", "4") for i in range(20)], "doc_id long, text string, source string, _p string, _copy string, mix_goal string, Mix_Copy string")
+    out = mixing.mixed(docs)
+    assert out.columns == docs.columns and {tuple(r)[3:] for r in out.collect()} == {("1", "2", "3", "4")}

@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import random
 
+import numpy as np
+
 import corpus_pipeline
+from tidemark.llm import near_copies as nc
 from tidemark.llm import simhash
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
@@ -57,3 +60,32 @@ def test_rows_without_id_or_with_repeated_ids(spark):
         got = [(r["doc_id"], r["text"]) for r in f(spark.createDataFrame([(d, t, "en", "s", 0) for d, t in rows], DOCS)).collect()]
         assert len(got) == 5 and set(got) >= {(None, " ".join(a)), (1, " ".join(c)), (5, " ".join(e)), (5, "a text of its own")}
         assert sum(t in (" ".join(b), near(b)) for _, t in got) == 1
+
+
+def test_nearest_forest_is_the_least_one():
+    rng = np.random.default_rng(2)
+    for n in (1, 2, 40):
+        fps = (rng.integers(0, 1 << 63, 4, dtype=np.uint64)[rng.integers(0, 4, n)]) ^ (np.uint64(1) << rng.integers(0, 63, n).astype(np.uint64)) ^ (np.uint64(1) << rng.integers(0, 63, n).astype(np.uint64))
+        a, b = nc.nearest_forest(fps, 20)
+        links = sorted((int(fps[i] ^ fps[j]).bit_count(), i, j) for i in range(n) for j in range(i) if int(fps[i] ^ fps[j]).bit_count() <= 20)
+        root, cost, trees = list(range(n)), 0, 0
+        find = lambda i: i if root[i] == i else find(root[i])
+        for d, i, j in links:
+            if find(i) != find(j):
+                root[find(i)] = find(j)
+                cost, trees = cost + d, trees + 1
+        assert len(a) == trees and int(np.bitwise_count(fps[a] ^ fps[b]).sum()) == cost
+
+
+def test_copies_of_one_text_that_differ_from_each_other_stay_together(spark, monkeypatch):
+    """Copies of one original, each similar enough to it but not to each other: one group, whatever comes first."""
+    rng = random.Random(12)
+    words = [f"{rng.choice('abcdefgh')}{i}" for i in range(400)]
+    rows = [(500, " ".join(words))]
+    for i in range(60):
+        own = list(words)
+        for at in rng.sample(range(0, 400, 12), 5):
+            own[at] = f"x{i}_{at}"
+        rows.append((i, " ".join(own)))
+    got = {r["root"] for r in nc.near_groups(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert len(got) == 1

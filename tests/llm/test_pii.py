@@ -63,6 +63,63 @@ def test_held_out_precision_and_recall():
     assert hits / found > 0.97 and hits / real > 0.7
 
 
+def test_generators_propose_what_they_are_for():
+    for t, kind in (
+        ("0049 30 12 34 56 78 9", "phone"), ("41 11 11 11 11 11 11 11", "card"), ("bob@example[dot]com", "email"), ("bob@example (dot) com", "email"), ("bob (At) example.com", "email"), ("bob at example dot com", "email"),
+        ("a.b [at] mail.dept.example.co.uk", "email"), ("x" * 60 + " [at] " + "y" * 60 + "." + "z" * 60 + ".com", "email"), ("cb1a9fee807a05366fcb8b6c95c7c565ede51a72", "secret"),
+    ):
+        for around in ("{}", "12 {} 34", "say {}, then"):
+            text = around.format(t)
+            assert (kind, text.index(t), text.index(t) + len(t)) in pii.candidates(text), text
+
+
+def test_recall_of_the_generators():
+    rng = np.random.default_rng(17)
+    real = found = 0
+    for _ in range(500):
+        text, truth = pii.made_up(rng)
+        proposed = set(pii.candidates(text)) | set(pii.base_spans(text))
+        real, found = real + len(truth), found + sum(t in proposed for t in truth)
+    assert found / real > 0.99
+
+
+def test_added_spans_match_brute_force():
+    """All candidates against all base spans, the best first."""
+    rng = np.random.default_rng(3)
+    model, least = pii.trained()
+    for _ in range(150):
+        text = " ".join(pii.made_up(rng)[0] for _ in range(3))
+        base = pii.base_spans(text)
+        apart = lambda c, spans: not any(c[1] < b and a < c[2] for _, a, b in spans)
+        free = [c for c in pii.candidates(text) if apart(c, base)]
+        want: list = []
+        if free:
+            prob = model.probability(np.array([pii.features(text, c) for c in free]))
+            for p, _, _, i in sorted((-p, c[1] - c[2], c[1], i) for i, (p, c) in enumerate(zip(prob, free, strict=True))):
+                if -p >= least[free[i][0]] and apart(free[i], want):
+                    want.append(free[i])
+        assert pii.added_spans(text, base, model, least) == want
+
+
+def test_nothing_is_added_inside_a_long_base_span():
+    model, least = pii.trained()
+    for n in (63, 64, 65, 200):
+        text = "call " + "_".join(["1.2.3.4"] * n) + "_269-555-3296@example.com"
+        base = pii.base_spans(text)
+        assert base[0][0] == "email" and len(base) >= n and pii.added_spans(text, base, model, least) == []
+
+
+def test_overlapping_spans_are_redacted_together():
+    text = "4111 1111 1111 1111@evil.com and a@b.co"
+    assert pii.redact(text, pii.base_spans(text)) == "[card/email] and [email]"
+
+
+def test_secrets_have_columns_of_their_own(spark):
+    rows = [(1, 'here token = "cb1a9fee807a05366fcb8b6c95c7c565ede51a72" and a@b.co'), (2, "commit cb1a9fee807a05366fcb8b6c95c7c565ede51a72 of the file")]
+    got = sorted(tuple(r) for r in pii.find_pii(spark.createDataFrame(rows, "doc_id long, text string")).select("doc_id", "spans", "secrets", "n_found").collect())
+    assert got == [(1, "email:60:66", "secret:14:54", 2), (2, "", "", 0)]
+
+
 def test_ordinary_numbers_are_left_alone():
     model, least = pii.trained()
     for t in ("Licensed under version 2.0 of 2004.", "On 2024-01-05 10:20 we met.", "isbn 9783161484100 page 12", "order 123456789", "he was at home. then he left", "It costs 12.50 or 1200 a year"):

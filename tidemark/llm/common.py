@@ -74,6 +74,23 @@ def lower_ascii(col: Column) -> Column:
     return F.when(F.length(col) == F.octet_length(col), F.lower(col)).otherwise(F.translate(col, UPPER, LOWER))
 
 
+#: Keys with more than one row in so many are looked up in a broadcast instead of being shuffled to one task.
+HOT_KEYS = 1024
+
+
+def join_keyed(left: DataFrame, right: DataFrame, key: str, size: str, total: int, how: str = "inner") -> DataFrame:
+    """``left`` joined with ``right``, which has one row per ``key`` and in ``size`` how many rows of ``left`` have it.
+
+    ``total``: rows of ``left``. At most ``HOT_KEYS`` keys hold more than total / HOT_KEYS rows each: those are
+    broadcast, and the shuffle only sees the others. ``how``: inner or left. ``size`` is dropped.
+    """
+    least = total / HOT_KEYS
+    hot = F.broadcast(right.filter(F.col(size) > least).drop(size))
+    cold = right.filter(F.col(size) <= least).drop(size)
+    apart = left.join(F.broadcast(right.filter(F.col(size) > least).select(key)), key, "left_anti")
+    return left.join(hot, key).unionByName(apart.join(cold.hint("merge"), key, how))
+
+
 def first_rows(docs: DataFrame, groups: DataFrame, doc_id: str, text: str) -> DataFrame:
     """The row of each group with the smallest id, null last; of rows with equal id and text a single one stays.
 

@@ -3,8 +3,9 @@
 Digests of the normalised texts go through a Misra-Gries summary (``approx_top_k``, a mergeable frequent-items sketch
 of that family). Every digest that holds more than ``rows / tracked`` of the rows is in the summary, so the candidates
 cover all groups that could swamp a task. Their exact size and winner are counted with map-side partial aggregation and
-broadcast (at most ``heavy`` rows of constant width); their rows never move. All other digests take the ordinary
-shuffle, in groups that are small by construction.
+broadcast (at most ``heavy`` rows of constant width); their rows never move. All other digests, of at most one row in
+``heavy`` each, take the ordinary shuffle: a grouped maximum, combined before it moves, and a join, which may be split
+where a digest still has many rows. No task holds a group at once.
 
 Cases: a null text counts as empty; a null ``doc_id`` loses against any other; of repeated rows (same id and text) one
 is kept and the others are not, ties going to the first row in file order; an empty table gives an empty result; other
@@ -13,7 +14,7 @@ columns are ignored, whatever their names.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import lower_ascii, stored
@@ -45,10 +46,10 @@ def exact_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", hea
     winners = F.broadcast(heavy_digests(slim, heavy, tracked))
     split = slim.join(winners, "digest", "left")
     hot = split.filter(F.col("group_size").isNotNull()).select("doc_id", "keep_id", "group_size", (F.col("rid") == F.col("keep_rid")).alias("kept"), "digest")
-    group = Window.partitionBy("digest")
+    cold = slim.join(winners, "digest", "left_anti")
     # nulls sort first, so the largest struct has the largest id that there is
-    best = F.max(F.struct(F.col("doc_id"), (-F.col("rid")).alias("late"))).over(group)
-    rest = slim.join(winners, "digest", "left_anti").withColumn("best", best).withColumn("group_size", F.count(F.lit(1)).over(group))
+    best = cold.groupBy("digest").agg(F.count(F.lit(1)).alias("group_size"), F.max(F.struct(F.col("doc_id"), (-F.col("rid")).alias("late"))).alias("best"))
+    rest = cold.join(best.hint("merge"), "digest")
     rest = rest.select("doc_id", F.col("best.doc_id").alias("keep_id"), "group_size", (F.col("rid") == -F.col("best.late")).alias("kept"), "digest")
     return hot.unionByName(rest).select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
 

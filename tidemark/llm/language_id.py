@@ -25,14 +25,12 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import _TO_LOWER, chunks, stored, utf8_of
+from tidemark.llm.common import _TO_LOWER, chunks, join_keyed, stored, utf8_of
 
 #: Hash buckets of trigrams; smoothing; labelled documents used at most; trigrams whose evidence counts in full.
 BUCKETS, SMOOTH, FIT_ROWS, FULL = 1 << 15, 0.5, 4000, 50
 #: Pseudo-counts with which a level of the hierarchy follows the one above.
 SHRINK = 8.0
-#: Hosts with more than one record in so many have their priors broadcast.
-HOT_HOSTS = 4096
 _TAG = re.compile(r"<[^<>]*+>|&[a-z#0-9]{2,8};")
 _OPEN = re.compile(r"(?i)<(script|style)\b|<!--")
 _CLOSE = {"script": re.compile(r"(?i)</script\s*>"), "style": re.compile(r"(?i)</style\s*>"), None: re.compile(r"-->")}
@@ -163,16 +161,11 @@ def _sums(rows: DataFrame, key: list[str], k: int, name: str) -> DataFrame:
 def _with_priors(seen: DataFrame, hosts: DataFrame, rows: float) -> DataFrame:
     """Records with ``counts`` and ``domain_prior`` of their host; null without one.
 
-    Hosts with a share of all records are few, so they are broadcast; records without a host don't take part. So the
-    shuffle by host only sees hosts of at most ``rows`` / ``HOT_HOSTS`` records.
+    Hosts with a share of all records are few, so they are broadcast; records without a host don't take part.
     """
     none = seen.filter(F.col("host").isNull()).withColumn("counts", F.lit(None).cast("array<double>")).withColumn("domain_prior", F.lit(None).cast("array<double>"))
-    named = seen.filter(F.col("host").isNotNull())
-    size = F.aggregate("counts", F.lit(0.0), lambda a, x: a + x)
-    least = rows / HOT_HOSTS  # posteriors sum to one, so counts add up to records and at most HOT_HOSTS hosts reach this
-    hot = F.broadcast(hosts.filter(size > least))
-    cold = hosts.filter(size <= least)
-    return none.unionByName(named.join(hot, "host").select(*none.columns)).unionByName(named.join(F.broadcast(hosts.filter(size > least).select("host")), "host", "left_anti").join(cold, "host", "left").select(*none.columns))
+    sized = hosts.withColumn("records", F.aggregate("counts", F.lit(0.0), lambda a, x: a + x))  # posteriors sum to one
+    return none.unionByName(join_keyed(seen.filter(F.col("host").isNotNull()), sized, "host", "records", rows, "left").select(*none.columns))
 
 
 def identify(pages: DataFrame | None, docs: DataFrame, spark=None, judge_docs: bool = True, fit_rows: int = FIT_ROWS, shrink: float = SHRINK) -> DataFrame:

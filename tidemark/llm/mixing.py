@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import WORD, stored
+from tidemark.llm.common import WORD, fresh, stored
 
 #: Weights of the sources in order, repeating; most passes over a source; bits of the hash, and bits split per level.
 WEIGHTS, MOST, BITS, STEP = (1, 2, 3), 3, 60, 12
@@ -110,16 +110,18 @@ def mixed(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: s
     # The hash decides, so the thresholds apply to the rows themselves and no join on document ids is needed.
     slim = sizes(docs, doc_id, text, source)
     goals = stored(targets(slim), "goals")
-    plan = goals.join(thresholds(slim, goals).withColumnRenamed("source", "_s"), F.col("source").eqNullSafe(F.col("_s")), "left").select(F.col("source").alias("_source"), "passes", "threshold", "budget")
+    plan = goals.join(thresholds(slim, goals).withColumnRenamed("source", "_s"), F.col("source").eqNullSafe(F.col("_s")), "left").select("source", "passes", "threshold", "budget")
     plan = stored(plan, "plan")
     digest = F.md5(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary"))
     hashed = F.conv(F.substring(digest, 1, BITS // 4), 16, 10).cast("bigint")
-    extra = F.when(F.col("_p.threshold").isNotNull(), hashed <= F.col("_p.threshold")).otherwise(F.col("_p.budget") > 0)
-    times = F.least(F.col("_p.passes") + extra.cast("bigint"), F.lit(MOST)).cast("int")
-    packed = plan.select("_source", F.struct("passes", "threshold", "budget").alias("_p"))
+    key, goal, copy = fresh(docs.columns, "mix_source", "mix_goal", "mix_copy")
+    packed = plan.select(F.col("source").alias(key), F.struct("passes", "threshold", "budget").alias(goal))
+    at = lambda c: F.col(goal)[c]
+    extra = F.when(at("threshold").isNotNull(), hashed <= at("threshold")).otherwise(at("budget") > 0)
+    times = F.least(at("passes") + extra.cast("bigint"), F.lit(MOST)).cast("int")
     side = F.broadcast(packed) if packed.count() <= BROADCAST_SOURCES else packed
-    out = docs.join(side, docs[source].eqNullSafe(side["_source"]), "inner").filter(F.coalesce(F.col(text), F.lit("")).rlike(WORD))
-    return out.withColumn("_copy", F.explode(F.array_repeat(F.lit(1), times))).select(*[docs[c] for c in docs.columns])
+    out = docs.join(side, docs[source].eqNullSafe(side[key]), "inner").filter(F.coalesce(F.col(text), F.lit("")).rlike(WORD))
+    return out.withColumn(copy, F.explode(F.array_repeat(F.lit(1), times))).select(*[docs[c] for c in docs.columns])
 
 
 ORACLE = """

@@ -2,10 +2,11 @@
 
 Four base patterns always count. Around them, generators with high recall propose overlapping spans: every run of
 neighbouring digit groups (a phone number and a card number that stand side by side spoil each other in the base
-patterns), numbers without a plus sign, spelled-out mail addresses and IPv6 addresses. Boosted trees score the
-candidates by format (digits, groups, separators, checksum, prefix) and context (neighbours, words before);
-probabilities are calibrated on rows kept apart, each kind has the lowest threshold that reaches the wanted precision
-there, and the best candidates that overlap neither a base span nor each other are added.
+patterns), numbers without a plus sign, spelled-out mail addresses, IPv6 addresses and long runs that may be keys or
+tokens. Boosted trees score the candidates by format (digits, groups, separators, checksum, prefix) and context
+(neighbours, words before); probabilities are calibrated on rows kept apart, each kind has the lowest threshold that
+reaches the wanted precision there, and the best candidates that overlap neither a base span nor each other are added.
+Candidates are bounded by what the formats allow: 19 digits of a card, 64 characters of a mailbox, 253 of a domain.
 
 The trees are trained here, on sentences made from a seed: texts in which the truth is known by construction.
 
@@ -15,6 +16,7 @@ over a run twice); repeated rows are reported each; an empty table gives an empt
 
 from __future__ import annotations
 
+import bisect
 import functools
 import hashlib
 import re
@@ -29,10 +31,12 @@ from tidemark.llm.boosting import Boosted, cautious_threshold
 from tidemark.llm.common import chunks
 
 KINDS = ("email", "ip", "card", "phone")
+#: Secrets are found like personal data but told in columns of their own.
+ALL_KINDS = (*KINDS, "secret")
 #: Precision wanted on made-up rows, rows made, and their seed.
-PRECISION, MADE, SEED = 0.995, 3000, 11
-#: Most digits and digit groups of a candidate; so each digit group starts a bounded number of candidates.
-MOST_DIGITS, MOST_GROUPS = 19, 6
+PRECISION, MADE, SEED = 0.995, 4000, 11
+#: Most digits of a candidate, so each digit group starts a bounded number of candidates; characters of a mailbox and of a domain.
+MOST_DIGITS, MAILBOX, DOMAIN = 19, 64, 253
 
 _LOCAL, _DOMAIN = re.compile(r"[A-Za-z0-9._%+-]"), re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _LOCAL_RUN = re.compile(r"[A-Za-z0-9._%+-]*\Z")
@@ -42,9 +46,11 @@ _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _DIGIT = re.compile(r"[0-9]")
 _REGION = re.compile(r"[+(]?[0-9](?:[ ().-]{0,3}[0-9]|[ .-]?\([0-9])*+")
 _GROUP = re.compile(r"[0-9]+")
-_AT = re.compile(r"(?i)\b[a-z0-9._%+-]{1,64} ?[\[(]? ?(?:@|at) ?[\])]? ?(?:[a-z0-9-]{1,63} ?[\[(]? ?(?:\.|dot) ?[\])]? ?){1,4}[a-z]{2,24}\b")
-_SPELT = ("dot ", "DOT ", "(at", "[at", "(AT", "[AT", "( at", "[ at")
-_MARK = re.compile(r"(?i)[\[(] ?at ?[\])]| dot ")
+_AT = re.compile(r"(?i)\b[a-z0-9._%+-]{1,64} ?[\[(]? ?(?:@|at) ?[\])]? ?(?:[a-z0-9-]{1,63} ?[\[(]? ?(?:\.|dot) ?[\])]? ?){1,8}[a-z]{2,24}\b")
+_SPELT = (" dot ", "(dot", "[dot", "( dot", "[ dot", "(at", "[at", "( at", "[ at")  # in lower case; what _MARK needs
+_MARK = re.compile(r"(?i)[\[(] ?(?:at|dot) ?[\])]| dot ")
+_LONG = re.compile(r"[A-Za-z0-9_/+-]{20,}={0,2}")
+_SECRET = re.compile(r"(?i)(token|secret|passw|pwd|api.?key|access.?key|private.?key|auth|credential|bearer)|(sha|md5|digest|checksum|commit|hash|uuid|id|revision|file|path|url)")
 _IP6 = re.compile(r"\b(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}\b")
 _BEFORE = re.compile(r"(?i)(phone|call|tel|fax|mobile|cell)|(card|visa|credit|pay)|(mail|contact|write)|(ip|host|server|address)|(version|no|nr|number|order|id|page|section|isbn|ref)")
 
@@ -91,7 +97,7 @@ def base_spans(text: str) -> list[Span]:
 
 
 def _order(s: Span) -> tuple[int, int, int]:
-    return s[1], KINDS.index(s[0]), s[2]
+    return s[1], ALL_KINDS.index(s[0]), s[2]
 
 
 def candidates(text: str) -> list[Span]:
@@ -102,7 +108,7 @@ def candidates(text: str) -> list[Span]:
             groups = [(m.start(), m.end()) for m in _GROUP.finditer(text, region.start(), region.end())]
             for i, (a, _) in enumerate(groups):
                 n = 0
-                for j in range(i, min(i + MOST_GROUPS, len(groups))):
+                for j in range(i, len(groups)):
                     n += groups[j][1] - groups[j][0]
                     if n > MOST_DIGITS:
                         break
@@ -116,9 +122,12 @@ def candidates(text: str) -> list[Span]:
                         out.append(("phone", start, b))
         if ":" in text:
             out += [("ip", m.start(), m.end()) for m in _IP6.finditer(text)]
-    if any(mark in text for mark in _SPELT):
-        near = {("email", m.start(), m.end()) for mark in _MARK.finditer(text) for m in _AT.finditer(text, max(0, mark.start() - 140), mark.end() + 140)}
+    low = text.lower()
+    if any(mark in low for mark in _SPELT):
+        wide = MAILBOX + DOMAIN
+        near = {("email", m.start(), m.end()) for mark in _MARK.finditer(text) for m in _AT.finditer(text, max(0, mark.start() - wide), mark.end() + wide)}
         out += sorted(near, key=_order)
+    out += [("secret", m.start(), m.end()) for m in _LONG.finditer(text) if _DIGIT.search(m.group()) and not m.group().strip("0123456789-+=/_") == ""]
     return out
 
 
@@ -131,12 +140,14 @@ def features(text: str, span: Span) -> list[float]:
     before, after = text[max(0, a - 1) : a], text[b : b + 1]
     clue = next((i + 1 for m in reversed(list(_BEFORE.finditer(text, max(0, a - 24), a))) for i in range(5) if m.group(i + 1)), 0)
     left, right = text[max(0, a - 2) : a], text[b : b + 2]
+    told = next((i + 1 for m in reversed(list(_SECRET.finditer(text, max(0, a - 24), a))) for i in range(2) if m.group(i + 1)), 0) if kind == "secret" else 0
     return [
-        KINDS.index(kind), len(digits), len(groups), groups[0] if groups else 0, groups[-1] if groups else 0,
+        ALL_KINDS.index(kind), len(digits), len(groups), groups[0] if groups else 0, groups[-1] if groups else 0,
         float(groups[-2:] == [3, 4]), float(len(groups) > 1 and set(groups[:-1]) == {4}), float(body.startswith("+")), float("(" in body), len(seps),
         float(luhn(digits)) if digits else 0.0, float(digits[:1] or 0), float(digits == digits[:1] * len(digits)), float("." in seps),
         float(before.isalnum()), float(after.isalnum()), float(bool(re.search("[0-9]", left))), float(bool(re.search("[0-9]", right))), float(left[-1:] in ".,:/=#\"'"), float(right[:1] in "/:=\"'"),
         float(clue), float("@" in body), float(bool(re.search(r"[\[(](?:at|AT)[\])]", body))), float(bool(re.search(r"(?i)[\[( ]dot[\]) ]", body))), float(len(body)), float(body.count("(") == body.count(")")),
+        float(told), float(len(set(body))), float(bool(re.search("[A-Z]", body))), float(body.count("/") + body.count("-") + body.count("_")),
     ]
 
 
@@ -172,7 +183,7 @@ def made_up(rng: np.random.Generator) -> tuple[str, list[Span]]:
     for _ in range(int(rng.integers(1, 4))):
         add(" ".join(word() for _ in range(int(rng.integers(2, 6)))) + " ")
         for _ in range(1 + int(rng.random() < 0.35)):
-            what = int(rng.integers(0, 14))
+            what = int(rng.integers(0, 17))
             a, b, c = _number(rng, 3), _number(rng, 3), _number(rng, 4)
             if what < 3:
                 cc = _number(rng, int(rng.integers(1, 4)))
@@ -185,7 +196,21 @@ def made_up(rng: np.random.Generator) -> tuple[str, list[Span]]:
                 n = _card_number(rng)
                 add(n if rng.random() < 0.6 else _cut(n, [4, 4, 4], str(rng.choice([" ", "-"]))), "card")
             elif what == 8:
-                add(f"{word()}{rng.integers(1, 99)} {rng.choice(['[at]', '(at)', '[AT]'])} {word()} {rng.choice(['[dot]', '(dot)', '.', 'dot'])} {rng.choice(['com', 'org', 'net'])}", "email")
+                at, dot = rng.choice(["[at]", "(at)", "[AT]", "(At)", "@"]), rng.choice(["[dot]", "(dot)", "[DOT]", " dot "])
+                form = rng.choice(["{} {} {} {} {}", "{}{}{}{}{}"])
+                add(" ".join(form.format(f"{word()}{rng.integers(1, 99)}", at, word(), dot, rng.choice(["com", "org", "net"])).split()), "email")
+            elif what == 13:
+                add(str(rng.choice(["0049", "0033", "001"])) + " " + _cut(_number(rng, int(rng.integers(8, 12))), [2] * 4, " "), "phone")
+            elif what in (14, 15):
+                hexes = "".join(rng.choice(list("0123456789abcdef"), int(rng.choice([32, 40, 64]))))
+                mixed = "".join(rng.choice(list("ABCDEFGHJKLMNPQRSTUVWXYZabcdefghijkmnopqrstuvwxyz0123456789_-"), int(rng.integers(24, 48)))) + "7"
+                quote = str(rng.choice(['"', "'", ""]))
+                if what == 14:
+                    add(str(rng.choice(["token", "api_key", "secret", "password", "access_key", "auth"])) + str(rng.choice([" = ", "=", ": "])) + quote)
+                    add(hexes if rng.random() < 0.5 else mixed, "secret")
+                    add(quote)
+                else:
+                    add(str(rng.choice(["sha1 ", "commit ", "md5: ", "id=", "file ", ""])) + quote + str(rng.choice([hexes, f"{word()}-{word()}-{word()}-{word()}-{rng.integers(1, 99)}", f"/{word()}/{word()}/{word()}/{word()}{rng.integers(1, 9)}/{word()}"])) + quote)
             elif what == 9:
                 add(f"{word()} at {word()}. {word()}")
             elif what == 10:
@@ -217,13 +242,13 @@ def trained(made: int = MADE, seed: int = SEED, precision: float = PRECISION) ->
     (x, y, _), (cx, cy, _), (tx, ty, tk) = ((np.array(a), np.array(b, float), np.array(c)) for a, b, c in parts)
     model = Boosted().fit(x, y).calibrate(cx, cy)
     prob = model.probability(tx)
-    return model, {k: cautious_threshold(prob[tk == k], ty[tk == k], precision) if (tk == k).any() else 1.0 for k in KINDS}
+    return model, {k: cautious_threshold(prob[tk == k], ty[tk == k], precision) if (tk == k).any() else 1.0 for k in ALL_KINDS}
 
 
 def added_spans(text: str, base: list[Span], model: Boosted, least: dict[str, float]) -> list[Span]:
     """The best candidates over their thresholds that overlap no base span and none that was chosen before."""
-    taken = [(a, b) for _, a, b in base]
-    free = [c for c in candidates(text) if not any(c[1] < b and a < c[2] for a, b in _near(taken, c))]
+    taken = _Busy.of(base)
+    free = [c for c in candidates(text) if taken.free(c[1], c[2])]
     if not free:
         return []
     prob = model.probability(np.array([features(text, c) for c in free]))
@@ -236,14 +261,6 @@ def added_spans(text: str, base: list[Span], model: Boosted, least: dict[str, fl
     return chosen
 
 
-def _near(taken: list[tuple[int, int]], c: Span) -> list[tuple[int, int]]:
-    """Base spans that may overlap: spans are sorted by start, and a window of them is enough."""
-    import bisect
-
-    at = bisect.bisect_left(taken, (c[2], 0))
-    return taken[max(0, at - 64) : at]
-
-
 class _Busy:
     """Characters that are taken, as sorted disjoint spans."""
 
@@ -251,32 +268,53 @@ class _Busy:
         self.starts: list[int] = []
         self.ends: list[int] = []
 
-    def take(self, a: int, b: int) -> bool:
-        import bisect
+    @classmethod
+    def of(cls, spans: list[Span]) -> _Busy:
+        """The union of spans, which may overlap."""
+        out = cls()
+        for a, b in merged(spans):
+            out.starts.append(a)
+            out.ends.append(b)
+        return out
 
+    def free(self, a: int, b: int) -> bool:
         at = bisect.bisect_left(self.starts, b)
-        if at and self.ends[at - 1] > a:
+        return not at or self.ends[at - 1] <= a
+
+    def take(self, a: int, b: int) -> bool:
+        if not self.free(a, b):
             return False
+        at = bisect.bisect_left(self.starts, b)
         self.starts.insert(at, a)
         self.ends.insert(at, b)
         return True
 
 
+def merged(spans: list[Span]) -> dict[tuple[int, int], list[str]]:
+    """Disjoint stretches that overlapping spans cover together, with the kinds in each."""
+    out: list[tuple[int, int, list[str]]] = []
+    for kind, a, b in sorted(spans, key=_order):
+        if out and a < out[-1][1]:
+            out[-1] = (out[-1][0], max(b, out[-1][1]), out[-1][2] + [kind] * (kind not in out[-1][2]))
+        else:
+            out.append((a, b, [kind]))
+    return {(a, b): kinds for a, b, kinds in out}
+
+
 def joined(spans: list[Span]) -> str:
     return ",".join(f"{k}:{a}:{b}" for k, a, b in spans)
 
 
 def redact(text: str, spans: list[Span], mark: str = "[{}]") -> str:
-    """The text with every span replaced; of overlapping spans the first and longest counts."""
+    """The text with every span replaced; spans that overlap are replaced together, under all their kinds."""
     out, at = [], 0
-    for kind, a, b in sorted(spans, key=lambda s: (s[1], -s[2])):
-        if a >= at:
-            out += [text[at:a], mark.format(kind)]
-            at = b
+    for (a, b), kinds in merged(spans).items():
+        out += [text[at:a], mark.format("/".join(kinds))]
+        at = b
     return "".join([*out, text[at:]])
 
 
-_RESULT = "doc_id bigint, n_email bigint, n_ip bigint, n_card bigint, n_phone bigint, base_sha256 string, spans string, redacted string"
+_RESULT = "doc_id bigint, n_email bigint, n_ip bigint, n_card bigint, n_phone bigint, base_sha256 string, spans string, secrets string, n_found bigint, redacted string"
 
 
 def _find(shared, with_text: bool):
@@ -288,15 +326,16 @@ def _find(shared, with_text: bool):
                 base = base_spans(text)
                 all_spans = sorted(base + added_spans(text, base, model, least), key=_order)
                 counts = [sum(s[0] == k for s in base) for k in KINDS]
-                rows.append((*counts, hashlib.sha256(joined(base).encode()).hexdigest(), joined(all_spans), redact(text, all_spans) if with_text else None))
-            columns = list(zip(*rows, strict=True))
-            yield pa.record_batch([batch.column("doc_id"), *(pa.array(c, pa.int64()) for c in columns[:4]), *(pa.array(c, pa.string()) for c in columns[4:])], ["doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans", "redacted"])
+                told = [[s for s in all_spans if (s[0] in KINDS) == personal] for personal in (True, False)]
+                rows.append((*counts, hashlib.sha256(joined(base).encode()).hexdigest(), *map(joined, told), len(all_spans), redact(text, all_spans) if with_text else None))
+            columns = zip(zip(*rows, strict=True), (pa.int64(),) * 4 + (pa.string(),) * 3 + (pa.int64(), pa.string()), strict=True)
+            yield pa.record_batch([batch.column("doc_id"), *(pa.array(c, t) for c, t in columns)], ["doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans", "secrets", "n_found", "redacted"])
 
     return run
 
 
 def find_pii(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", with_text: bool = False) -> DataFrame:
-    """One row per document: doc_id, n_email, n_ip, n_card, n_phone and base_sha256 of the base spans, spans (all), and on request redacted (the text)."""
+    """One row per document: doc_id, n_email, n_ip, n_card, n_phone and base_sha256 of the base spans, spans (all personal data), secrets (spans likewise), n_found (both), and on request redacted (the text)."""
     shared = docs.sparkSession.sparkContext.broadcast(trained())
     slim = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text"))
     out = slim.mapInArrow(_find(shared, with_text), _RESULT)

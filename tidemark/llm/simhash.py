@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import chunks, first_rows, stored, utf8_of, words_of
+from tidemark.llm.common import chunks, first_rows, join_keyed, stored, utf8_of, words_of
 from tidemark.llm.components import components
 
 SHINGLE, BITS, SEED = 3, 3, 42
@@ -167,20 +167,20 @@ def links(distinct: DataFrame, bits: int = BITS, widths: tuple[int, ...] = WIDTH
 
 
 def _rooted(prints: DataFrame, bits: int, widths: tuple[int, ...]) -> DataFrame:
-    """_fp, root and component_id of every fingerprint."""
-    distinct = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("first")), "distinct")
+    """fp, root and component_id of every fingerprint, and in ``copies`` how many rows have it."""
+    distinct = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("copies")), "distinct")
     rooted = components(links(distinct, bits, widths))
-    label = distinct.join(rooted, distinct["fp"] == rooted["node"], "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
+    label = distinct.join(rooted, distinct["fp"] == rooted["node"], "left").select("fp", "first", "copies", F.coalesce("root", "fp").alias("root"))
     label = stored(label, "roots")
-    least = label.groupBy("root").agg(F.min("first").alias("component_id"))
-    return label.join(least, "root").select(F.col("fp").alias("_fp"), "root", "component_id")
+    least = label.groupBy("root").agg(F.min("first").alias("component_id"), F.count(F.lit(1)).alias("members"))
+    return join_keyed(label, least, "root", "members", label.count()).select("fp", "root", "component_id", "copies")
 
 
 def simhash_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE, bits: int = BITS, widths: tuple[int, ...] = WIDTHS) -> DataFrame:
     """One row per document: doc_id, fingerprint (16 hex digits), component_id (smallest doc_id reachable)."""
     prints = fingerprints(docs, doc_id, text, shingle)
     label = _rooted(prints, bits, widths)
-    out = prints.join(label, prints["fp"] == label["_fp"])
+    out = join_keyed(prints, stored(label, "labels"), "fp", "copies", prints.count())
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
@@ -188,5 +188,5 @@ def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Dat
     """One row of each group, all columns: the one with the smallest id, null last; of equal rows a single one stays."""
     prints = fingerprints(docs, doc_id, text)
     label = _rooted(prints, BITS, WIDTHS)
-    groups = prints.join(label, prints["fp"] == label["_fp"]).select("doc_id", "digest", "root")
+    groups = join_keyed(prints, stored(label, "labels"), "fp", "copies", prints.count()).select("doc_id", "digest", "root")
     return first_rows(docs, groups, doc_id, text)
