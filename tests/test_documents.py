@@ -68,33 +68,127 @@ def artifacts(spark, files):
     return spark.createDataFrame([(c, p, bytearray(b), len(b)) for (c, p), b in files.items()], "capsule string, path string, content binary, length long")
 
 
-def good_tree():
-    picture = images.encode_png(np.indices((96, 1024)).sum(axis=0)[..., None].repeat(3, axis=2) % 251)
-    summary = {"reference": {"length_m": 1.0}, "environment": {k: "x" for k in ("solver", "version", "precision", "partitions", "platform")}, "convergence": {"status": "converged"}, "forces": {"cd": 1.0}}
-    return {("capsule_a", "setup.txt"): b"Node\n", ("capsule_a", "summary.json"): json.dumps(summary).encode(), ("capsule_a", "planes/p.csv"): b"# plane | grid | 4 of 4 nodes | fields %.3f | nondimensional\na,b\n", ("capsule_a", "planes/p.png"): picture}
-
-
-def bad_tree():
-    n = "capsule_b"
-    diff = {"base": 1, "contract": {"levels": 64}, "pairs": [{"variant_view": "views/v.png", "variant_sha256": "00"}]}
-    modes = {"modes": [{"energy_fraction": 0.5, "cumulative": 0.5}, {"energy_fraction": 0.2, "cumulative": 0.9}]}
-    text_chunk = images.encode_png(np.zeros((4, 8, 3)))
-    text_chunk = text_chunk[:33] + b"\x00\x00\x00\x01tEXtx\x00\x00\x00\x00" + text_chunk[33:]
-    summary = {"Force_N": 1, "convergence": {"status": "fine"}, "cd_sd": 1, "status": "draft", "colorbar": {"min": -1, "max": 2, "signed": True}}
+PICTURE = images.encode_png(np.indices((8, 1024)).sum(axis=0)[..., None].repeat(3, axis=2) % 251)
+BLANK = images.encode_png(np.zeros((8, 1024, 3)))
+
+
+def good_tree(name="capsule_a", base="capsule_a"):
+    """Files of a sound capsule, JSON still as objects."""
+    quintet = {"cd": 1.0, "cd_sd": 0.1, "cd_window_iterations": 400, "cd_n_windows": 2, "cd_statistic": "iteration_mean"}
+    summary = {
+        "reference": {"length_m": 1.0, "velocity_m_per_s": 2.0}, "environment": {"solver": "s", "version": "1", "build": "b", "platform": "p", "precision": "double", "renders": {"precision": "mixed", "scope": ["views"]}},
+        "convergence": {"status": "stationary", "uncertainty": {"cd_relative": 0.01, "basis": "two meshes", "source": "measured"}}, "forces": quintet, "balance": {"cd": 1.0, "cd_pressure": 0.7, "cd_friction": 0.3}, "extensions": ["diff"], "angle_deg": 45.0, "length_ratio_m": 2.0,
+        "probes": {"axis": {"value": 1.0, "sd": 0.1, "window_iterations": 400, "n_windows": 2, "statistic": "iteration_mean"}}, "plane_extremes": {"statistic": "window_min_max", "window_iterations": 400, "n_windows": 2},
+        "mesh": {"cells": 1000, "designed_for_Re_range": [100, 300], "wall": {"layers": 5, "layer_coverage": 0.9, "first_layer_D": 0.01}},
+        "discretization": {"space": {"family": ["a", "b"], "iteration_error": [0.1, None], "order_band": [1, 3], "quantities": {"cd": {"behaviour": "monotone", "status": "converged"}}}},
+    }
+    manifest = {"views": [{"file": "views/v.png", "colorbar": {"levels": 256, "signed": True, "range": [-2.0, 2.0]}}]}
+    digest = hashlib.sha256(PICTURE).hexdigest()
+    pair = {"threshold_physical": 0.1, "threshold_comparison": ">=", "output": "diff/d.png", "base_view": "v.png", "variant_view": "v.png", "source_sha256": {"base_view": digest, "variant_view": digest}, "instrument_sha256": {"base_frame": digest, "variant_frame": digest}}
+    diff = {
+        "schema_version": "1", "base": {"alias": "a", "repo": "r", "commit": "0" * 40, "path": f"examples/{base}", "frozen_copy_path": "x"}, "variant": {}, "difference": {}, "view_contract": {"colorbar_levels": 256, "colormap_measured": "grayscale"},
+        "pipeline": {"pixels_evaluated": 10}, "pairs": [pair], "scalar_deltas": {"cd": {"base": 1.0, "relative": 0.1}}, "known_differences": [],
+    }
+    signals = {"n_periods": 4, "window_tU_over_L": [10.0, 30.0], "period_tU_over_L": {"mean": 5.0, "sd": 0.1}}
+    modes = {"n_periods": 4, "total_energy": 2.0, "modes": [{"energy_fraction": 0.7, "cumulative": 0.7}, {"energy_fraction": 0.2995, "cumulative": 0.9995}]}
     return {
-        ("Capsule B!", "x"): b"1", (n, "setup.txt"): b"Node\tKey: 1\nword \xe2\x80\x94 word\n", (n, "summary.json"): json.dumps(summary).encode(), (n, "manifest.json"): b'{"extensions": ["signals"]}', (n, "diff.json"): json.dumps(diff).encode(),
-        (n, "modes/modes.json"): json.dumps(modes).encode(), (n, "planes/p.csv"): b"a,b\n", (n, "planes/q.csv"): b"# plane\na\n", (n, "views/v.png"): text_chunk, (n, "tools/t.py"): b"x", (n, "stray.bin"): b"", (n, "features.json"): b"{,", (n, "README.md"): b"\xff\xfe",
+        "setup.txt": b"Node\n", "summary.json": summary, "manifest.json": manifest, "diff.json": diff, "diff/d.png": PICTURE, "views/v.png": PICTURE, "planes/plane_x.png": PICTURE,
+        "planes/plane_x.csv": b"# plane | grid 2 x 2 | spacing 0.1 | 4 of 4 nodes | fields %.3f | nondimensional\na,b\n", "signals/signals.json": signals, "modes/modes.json": modes,
     }
 
 
-def test_good_tree_passes_and_every_rule_can_fire(spark):
-    a = artifacts(spark, good_tree() | bad_tree())
+def put(path, value):
+    """An edit: sets (or with ``...`` removes) what stands at a path, file first."""
+
+    def edit(tree):
+        file, *keys = path.split("#")
+        if not keys:
+            tree.update({file: value}) if value is not ... else tree.pop(file)
+            return
+        at, *rest = keys[0].split("/"), None
+        node = tree[file]
+        for k in at[:-1]:
+            node = node[int(k) if isinstance(node, list) else k]
+        last = int(at[-1]) if isinstance(node, list) else at[-1]
+        if value is ...:
+            del node[last]
+        else:
+            node[last] = value
+
+    return edit
+
+
+TEXT_CHUNK = PICTURE[:33] + b"\x00\x00\x00\x01tEXtx\x00\x00\x00\x00" + PICTURE[33:]
+SMALL = images.encode_png(np.indices((8, 512)).sum(axis=0)[..., None].repeat(3, axis=2) % 251)
+#: What is done to a sound capsule, and the findings that must follow (id, severity).
+FAULTS = [
+    (put("setup.txt", ...), "required_files E"), (put("summary.json", ...), "required_files E"), (put("notes.txt", b"x"), "declared_files E"), (put("views/a/b.png", PICTURE), "declared_files E"), (put("tools/x.png", PICTURE), "declared_files E"),
+    (put("views/V 1.png", PICTURE), "declared_files E"), (put("setup.txt", b""), "not_empty E"), (put("disclosure.json", b""), "not_empty E"), (put("setup.txt", b"\xff\xfe"), "encoding E"), (put("setup.txt", b"Node\tKey: 1\n"), "setup_notation W"),
+    (put("manifest.json", b"{,"), "json_parses E"), (put("manifest.json", b"\xef\xbb\xbf{}"), "json_parses W"), (put("summary.json#numerics", {}), "environment W"), (put("summary.json#environment", ...), "environment W"), (put("summary.json#environment/build", ...), "environment W"),
+    (put("summary.json#environment/precision", "half"), "environment W"), (put("summary.json#environment/renders/scope", ["gone"]), "environment W"), (put("summary.json#environment/renders/scope", ["a/b"]), "environment W"), (put("summary.json#environment/renders/scope", ...), "environment W"),
+    (put("summary.json#convergence/status", "diverged"), "summary_blocks W"), (put("summary.json#uncertainty", {}), "summary_blocks W"), (put("summary.json#forces/cd_sd", ...), "summary_blocks W"), (put("summary.json#forces/cd_n_windows", ...), "summary_blocks W"),
+    (put("summary.json#forces/cd_statistic", "guess"), "summary_blocks W"), (put("summary.json#forces/cd_statistic", "window_min"), "summary_blocks W"), (put("summary.json#probes/axis/value", ...), "summary_blocks W"), (put("summary.json#plane_extremes/n_windows", ...), "summary_blocks W"),
+    (put("summary.json#mass", {"mdot_in": 1.0}), "summary_blocks W"), (put("summary.json#mesh/cells", 10.5), "summary_blocks W"), (put("summary.json#mesh/designed_for_Re", 100), "summary_blocks W"), (put("summary.json#mesh/designed_for_Re_range", [300, 100]), "summary_blocks W"),
+    (put("summary.json#mesh/wall/layers", ...), "summary_blocks W"), (put("summary.json#mesh/wall/layer_coverage", 1.5), "summary_blocks W"), (put("summary.json#mesh/wall/first_layer_D", 0), "summary_blocks W"), (put("summary.json#convergence/uncertainty/source", "felt"), "summary_blocks W"),
+    (put("summary.json#convergence/uncertainty/basis", ...), "summary_blocks W"), (put("summary.json#balance/cd_friction", 0.5), "summary_blocks W"), (put("summary.json#discretization/space/quantities/cd/status", "fine"), "summary_blocks W"), (put("summary.json#discretization/space/order_band", ...), "summary_blocks W"),
+    (put("summary.json#discretization/space/family", ["a"]), "summary_blocks W"), (put("summary.json#discretization/space/quantities/cd", {"behaviour": "oscillatory", "status": "reduced_order", "assumed": True}), "summary_blocks W"),
+    (put("summary.json#discretization/space/quantities/cd", {"status": "above_order"}), "summary_blocks W"), (put("summary.json#discretization/space/quantities/cd", {"status": "not_asymptotic", "gci_fine": 1}), "summary_blocks W"),
+    (put("planes/plane_x.png", ...), "plane_pairs E"), (put("planes/plane_x.csv", ...), "plane_pairs E"), (put("planes/note.txt", b"x"), "plane_pairs E"), (put("planes/plane_x.csv", b"a,b\n"), "csv_header E"), (put("planes/plane_x.csv", b"# grid 1 | spacing | 1 of 2 nodes | %.3f\n"), "csv_header E"),
+    (put("planes/plane_x.csv", b"# nondimensional | grid 1 | spacing | %.3f\n"), "csv_header W"), (put("views/v.png", SMALL), "png_geometry E"), (put("views/w.png", b"no"), "png_geometry E"), (put("views/w.png", TEXT_CHUNK), "png_metadata E"), (put("views/w.png", BLANK), "view_field W"),
+    (put("manifest.json#views/0/colorbar/signed", 1), "signed_range W"), (put("manifest.json#views/0/colorbar/range", [-1, 2]), "signed_range W"), (put("manifest.json#views/0/colorbar/range", ...), "signed_range W"), (put("signals/signals.json#period_tU_over_L/mean", 6.0), "transient_layers W"),
+    (put("signals/signals.json#period_tU_over_L/sd", -1), "transient_layers W"), (put("modes/modes.json#modes/1/cumulative", 0.9), "transient_layers W"), (put("modes/modes.json#modes/1", {"energy_fraction": 0.1, "cumulative": 0.8}), "transient_layers W"), (put("modes/modes.json#n_periods", 5), "transient_layers W"),
+    (put("modes/modes.json#total_energy", 0), "transient_layers W"), (put("summary.json#reference", ...), "reference_block E"), (put("summary.json#forces/lift_n", 1.0), "dimensional_flags W"), (put("summary.json#reference/velocity", 1.0), "dimensional_flags W"),
+    (put("summary.json#reference/pressure_Pa", 1.0), "dimensional_flags W"), (put("summary.json#reference/rho", {"value": 1, "unit": "kg"}), "dimensional_flags W"), (put("summary.json#extensions", ...), "extensions E"), (put("summary.json#extensions", ["diff", "diff"]), "extensions E"),
+    (put("summary.json#extensions", ["diff", "audio"]), "extensions E"), (put("diff.json", ...), "extensions E"), (put("diff/d.png", ...), "extensions E"), (put("diffsrc/a.png", PICTURE), "no_instrument_dir E"), (put("diff.json#pipeline", ...), "diff_manifest E"),
+    (put("diff.json#base/alias", ...), "diff_manifest E"), (put("diff.json#base/repo", ...), "diff_manifest E"), (put("diff.json#base/commit", "main"), "diff_manifest E"), (put("diff.json#base/commit", "0" * 7), "diff_manifest W"), (put("diff.json#view_contract/colorbar_levels", 64), "diff_manifest E"),
+    (put("diff.json#view_contract/colormap_measured", "jet"), "diff_manifest W"), (put("diff.json#pipeline/pixels_evaluated", "many"), "diff_manifest E"), (put("diff.json#pairs/0/threshold_physical", "x"), "diff_manifest E"), (put("diff.json#pairs/0/threshold_comparison", "<"), "diff_manifest E"),
+    (put("diff.json#pairs/0/output", "views/d.png"), "diff_manifest E"), (put("diff.json#pairs/0/output", "e.png"), "diff_manifest E"), (put("diff.json#pairs/0/base_view", "views/v.png"), "diff_manifest E"), (put("diff.json#scalar_deltas/cd/base", 0.0), "diff_manifest W"),
+    (put("diff.json#pairs/0/instrument_sha256", ...), "diff_view_hashes W"), (put("diff.json#pairs/0/source_sha256/base_view", "00"), "diff_view_hashes W"), (put("diff.json#pairs/0/source_sha256/variant_view", "0" * 64), "diff_view_hashes E"), (put("diff.json#base/path", "examples/capsule_gone"), "diff_view_hashes W"),
+    (put("diff.json#pairs/0/variant_view", "gone.png"), "diff_view_hashes E"), (put("summary.json#status", "draft"), "publication_residue W"), (put("manifest.json#views/0/_todo", 1), "publication_residue W"), (put("setup.txt", "a \u2014 b\n".encode()), "punctuation W"), (put("manifest.json#note", "a \u2212 b"), "punctuation E"),
+]
+
+
+@pytest.fixture(scope="module")
+def judged(spark):
+    """Findings of the sound capsule and of every faulty one, and their roll-up."""
+    trees = {"capsule_a": good_tree(), "Case": good_tree()}
+    for i, (edit, _) in enumerate(FAULTS):
+        trees[f"capsule_f{i}"] = good_tree()
+        edit(trees[f"capsule_f{i}"])
+    as_bytes = lambda v: v if isinstance(v, bytes) else json.dumps(v, ensure_ascii=False).encode()
+    a = artifacts(spark, {(c, p): as_bytes(v) for c, t in trees.items() for p, v in t.items()})
     found = rules.validate(a).collect()
-    assert not [r for r in found if r["capsule"] == "capsule_a"], [r for r in found if r["capsule"] == "capsule_a"]
-    fired = {r["check_id"] for r in found}
-    assert fired >= {c.__name__ if c.__name__ != "root_name" else "root" for c in rules.CHECKS}, {c.__name__ for c in rules.CHECKS} - fired
-    status = {r["capsule"]: r["status"] for r in rules.rollup(spark.createDataFrame(found, "capsule string, check_id string, severity string, message string, path string"), a).collect()}
-    assert status["capsule_a"] == "PASS" and status["capsule_b"] == "FAIL"
+    frame = spark.createDataFrame(found, "capsule string, check_id string, severity string, message string, path string")
+    return found, {strict: {r["capsule"]: r["status"] for r in rules.rollup(frame, a, strict).collect()} for strict in (False, True)}
+
+
+def test_sound_capsule_has_no_finding(judged):
+    found, status = judged
+    assert [r for r in found if r["capsule"] == "capsule_a"] == [] and status[True]["capsule_a"] == "PASS"
+    assert {(r["check_id"], r["severity"]) for r in found if r["capsule"] == "Case"} == {("root", "E")} and status[False]["Case"] == "FAIL"
+
+
+@pytest.mark.parametrize("i", range(len(FAULTS)))
+def test_each_fault_is_found(judged, i):
+    found, status = judged
+    mine = {f"{r['check_id']} {r['severity']}" for r in found if r["capsule"] == f"capsule_f{i}"}
+    assert FAULTS[i][1] in mine, mine
+    worst = "FAIL" if any(m.endswith("E") for m in mine) else "WARN"
+    assert status[False][f"capsule_f{i}"] == worst and status[True][f"capsule_f{i}"] == "FAIL"
+
+
+def test_every_rule_has_a_fault():
+    assert {f.split()[0] for _, f in FAULTS} | {"root"} == {c.__name__ if c.__name__ != "root_name" else "root" for c in rules.CHECKS}
+
+
+def test_deep_keys_are_seen_and_errors_have_a_place(spark):
+    deep = {"_x": 1}
+    for _ in range(200):
+        deep = {"a": deep}
+    docs = spark.createDataFrame([("c", "f", json.dumps(deep)), ("c", "g", '{"a": 1,\n "b" 2}')], "capsule string, file string, text string")
+    got = rules.json_nodes(docs).collect()
+    assert max(r["depth"] for r in got) == 201 and [r["value"] for r in got if r["kind"] == "error"] == ["line 2 column 6: Expecting ':' delimiter"]
+    assert {r["name"] for r in rules.json_leaves(docs.limit(1).withColumn("text", F.lit(json.dumps({"a": {"b": {"c": [{"d": {"e": {"f": {"g": {"h": {"i": {"j": 1}}}}}}}]}}}))), ["file"], "text").collect()} == {"j"}
 
 
 def test_png_filters_round_trip():

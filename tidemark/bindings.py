@@ -524,7 +524,7 @@ def ledger_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT event_id, key AS path, key AS name, json_extract_string(props, '$.' || key) AS value FROM (SELECT event_id, props, unnest(json_keys(props)) AS key FROM events)")
 def json_leaf_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return json_leaves(table(spark, sf_dir, "events"), ["event_id"], "props", 2).drop("type")
+    return json_leaves(table(spark, sf_dir, "events"), ["event_id"], "props").drop("type")
 
 
 @query("SELECT event_type, count(*) AS n, count(*) FILTER (WHERE json_valid(props)) AS valid FROM events GROUP BY 1")

@@ -108,27 +108,34 @@ def frames(df: DataFrame, crop_rows: int = 0) -> DataFrame:
     return _each(df, "height int, width int, pixels array<int>", step)
 
 
-def run_colours(pixels: np.ndarray, every: int = 4, least: int = 16) -> int:
-    """Most distinct colours on one unbroken stretch of a row that isn't background. Background: the commonest colour of every 4th pixel."""
+def run_colours(pixels: np.ndarray, every: int = 4, share: int = 10) -> tuple[int, int]:
+    """Most distinct colours on a stretch without background of at least a ``share``-th of the width, and the longest stretch.
+
+    Background is the commonest colour of every ``every``-th pixel, of equals the one that comes first.
+    """
     colour = (pixels[..., 0].astype(np.int64) << 16) | (pixels[..., 1].astype(np.int64) << 8) | pixels[..., 2]
-    values, counts = np.unique(colour[::every, ::every], return_counts=True)
-    back = values[counts.argmax()]
-    best = 0
-    for row in colour[::every]:
+    values, first, counts = np.unique(colour[::every, ::every], return_index=True, return_counts=True)
+    back = values[np.lexsort((first, -counts))[0]]
+    least = pixels.shape[1] // share
+    best = longest = 0
+    for row in colour:
         edges = np.flatnonzero(np.diff(np.concatenate([[0], (row != back).astype(np.int8), [0]])))
-        for a, b in zip(edges[::2], edges[1::2], strict=True):
-            if b - a >= least:
+        for a, b in zip(edges[::2].tolist(), edges[1::2].tolist(), strict=True):
+            longest = max(longest, b - a)
+            if b - a >= least and b - a > best:
                 best = max(best, len(np.unique(row[a:b])))
-    return best
+    return best, longest
 
 
 def richest_run(df: DataFrame) -> DataFrame:
-    """colours: see :func:`run_colours` (null if the picture can't be read)."""
+    """colours and longest: see :func:`run_colours`; width; error, if the picture can't be read (the others are null then)."""
 
     def step(data: bytes) -> dict:
         try:
-            return {"colours": run_colours(decode_png(data))}
-        except (ValueError, KeyError, zlib.error):
-            return {"colours": None}
+            pixels = decode_png(data)
+            colours, longest = run_colours(pixels)
+            return {"colours": colours, "longest": longest, "width": pixels.shape[1], "error": None}
+        except (ValueError, KeyError, zlib.error) as e:
+            return {"colours": None, "longest": None, "width": None, "error": f"can't read the picture: {e}"}
 
-    return _each(df, "colours int", step)
+    return _each(df, "colours int, longest int, width int, error string", step)
