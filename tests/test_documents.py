@@ -46,7 +46,7 @@ def test_redaction_and_trimming(spark):
 
 def test_migration_keeps_literals_and_order():
     doc = '{"b": 2.50, "a": [1, 2.0], "old": {"x_m": 1e3}}'
-    edits = [("rename", "old", "reference"), ("resuffix", "reference", {"_m": "_metres"}), ("ensure", "version", 2), ("order", "", ["version"]), ("expand", "a", ["lo", "hi"]), ("drop", "nothing")]
+    edits = [("rename", "old", "reference"), ("resuffix", "reference", {"_m": "_metres"}), ("set", "version", 2), ("order", "", ["version"]), ("drop", "nothing")]
     new, report = migrate.migrate(doc, edits)
     assert not report.problems and '"b": 2.50' in new and "1e3" in new and list(json.loads(new)) == ["version", "b", "a", "reference"]
     again, second = migrate.migrate(new, [e for e in edits if e[0] != "rename"] + [("rename", "old", "reference")])

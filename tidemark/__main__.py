@@ -29,9 +29,9 @@ def _ledger(a: argparse.Namespace) -> int:
 
     files = scan_artifacts(local_session(), a.root)
     kind = ledger.kind_of(F.col("path"))
-    rate = F.coalesce(*[F.when(kind == k, F.lit(v)) for k, v in ledger.RATES.items()], F.lit(a.rate))
-    rows = ledger.measured(files, ledger.layer_of(F.col("path")), F.length(F.decode("content", "UTF-8")), rate, kind == "png")
-    ledger.ledger(rows, ["capsule"], a.budget).orderBy("capsule", F.col("layer").asc_nulls_last()).show(10_000, truncate=False)
+    characters = F.when(kind == "image", F.lit(0)).otherwise(F.length(F.decode("content", "UTF-8")))
+    rows = files.select("capsule", ledger.layer_of(F.col("path")).alias("layer"), characters.alias("characters"), ledger.tokens_by_kind(kind, characters).alias("tokens"), (kind == "image").alias("estimated"))
+    _print(ledger.ledger(rows, ["capsule"], a.budget).orderBy("capsule", F.col("layer").asc_nulls_last()), a.format)
     return 0
 
 
@@ -44,7 +44,7 @@ def _frozen(a: argparse.Namespace) -> int:
     spark = local_session()
     here = scan_artifacts(spark, a.root).select(F.concat_ws("/", "capsule", "path").alias("path"), F.sha2("content", 256).alias("sha256"))
     drift = manifest_drift(read_hash_list(spark, a.manifest), here).filter("drift <> 'same'")
-    drift.orderBy("path").show(10_000, truncate=False)
+    _print(drift.orderBy("path"), a.format)
     return int(not drift.isEmpty())
 
 

@@ -42,7 +42,7 @@ def money(c: str) -> Column:
 
 # --- event windows -------------------------------------------------------------------------------------------------
 
-SIZE = 200
+SIZE = 50
 
 
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -57,10 +57,10 @@ def _stats(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
 
 _E = """
 e AS (SELECT event_type, ts, event_id, value, row_number() OVER (PARTITION BY event_type ORDER BY ts, event_id) - 1 AS i FROM events),
-s AS (SELECT event_type, i // 200 AS win, count(*) AS n, avg(value) AS mean, stddev_samp(value) AS sd, min(value) AS least, max(value) AS most
-      FROM e GROUP BY ALL HAVING count(*) = 200),
+s AS (SELECT event_type, i // 50 AS win, count(*) AS n, avg(value) AS mean, stddev_samp(value) AS sd, min(value) AS least, max(value) AS most
+      FROM e GROUP BY ALL HAVING count(*) = 50),
 st AS (SELECT e.event_type, s.win, e.i, CASE WHEN value > mean + 0.1 * sd THEN 1 WHEN value < mean - 0.1 * sd THEN -1 END AS state
-       FROM e JOIN s ON e.event_type = s.event_type AND e.i // 200 = s.win),
+       FROM e JOIN s ON e.event_type = s.event_type AND e.i // 50 = s.win),
 x AS (SELECT event_type, win, state, lag(state) OVER (PARTITION BY event_type, win ORDER BY i) AS before FROM st WHERE state IS NOT NULL),
 c AS (SELECT event_type, win, count(*) FILTER (WHERE before <> state) AS crossings FROM x GROUP BY ALL),
 w AS (SELECT s.*, coalesce(crossings, 0) AS crossings, coalesce(crossings, 0) // 2 AS cycles FROM s LEFT JOIN c USING (event_type, win)),
@@ -71,7 +71,7 @@ gp AS (SELECT *, coalesce(over_se <= 2 AND ratio <= 1, false) AS passed FROM g),
 v AS (SELECT w.event_type, w.win, CASE WHEN sd <= 1e-4 * greatest(abs(mean), 1) THEN 1 WHEN coalesce(passed, false) THEN 2 WHEN w.win + 1 >= 7 THEN 3 END AS rank
       FROM w LEFT JOIN gp USING (event_type, win)),
 d AS (SELECT event_type, min(win) AS win, arg_min(rank, win) AS rank FROM v WHERE rank IS NOT NULL GROUP BY event_type),
-dec AS (SELECT DISTINCT w.event_type, CASE rank WHEN 1 THEN 'converged' WHEN 2 THEN 'stationary' WHEN 3 THEN 'no_steady_state' ELSE 'unfinished' END AS status, d.win, (d.win + 1) * 200 - 1 AS stopped_at
+dec AS (SELECT DISTINCT w.event_type, CASE rank WHEN 1 THEN 'converged' WHEN 2 THEN 'stationary' WHEN 3 THEN 'no_steady_state' ELSE 'unfinished' END AS status, d.win, (d.win + 1) * 50 - 1 AS stopped_at
         FROM w LEFT JOIN d USING (event_type))
 """
 
@@ -104,7 +104,7 @@ def stop_decision(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(f"""WITH {_E} SELECT e.event_type, status, round(CASE WHEN status = 'converged' THEN arg_max(value, i) ELSE avg(value) END, 6) + 0.0 AS published,
-round(CASE WHEN status <> 'converged' THEN stddev_samp(value) END, 6) + 0.0 AS sd, min(value) AS least, max(value) AS most, count(*) AS samples, (max(i) + 1) // 200 AS windows
+round(CASE WHEN status <> 'converged' THEN stddev_samp(value) END, 6) + 0.0 AS sd, min(value) AS least, max(value) AS most, count(*) AS samples, (max(i) + 1) // 50 AS windows
 FROM e JOIN dec ON e.event_type = dec.event_type AND e.i <= stopped_at GROUP BY e.event_type, status""")
 def pooled_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
     e, d = _decision(spark, sf_dir)
@@ -379,14 +379,23 @@ def histogram_fixed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.histogram_fixed(table(spark, sf_dir, "lineitem"), F.col("l_extendedprice") / 40000.0, [0.0, 0.1, 0.25, 0.5, 0.75, 1.0])
 
 
-@query("""WITH c AS (SELECT c_custkey, c_acctbal AS x, CAST(c_nationkey AS DOUBLE) AS y FROM customer WHERE abs(c_acctbal) > 1e-9),
-j AS (SELECT a.c_custkey, b.c_custkey AS nearest, sqrt((-a.x - b.x) * (-a.x - b.x) + (a.y - b.y) * (a.y - b.y)) AS distance FROM c a JOIN c b ON sign(b.x) = -sign(a.x) AND abs(-a.x - b.x) <= 25),
-r AS (SELECT *, row_number() OVER (PARTITION BY c_custkey ORDER BY distance, nearest) AS r FROM j WHERE distance <= 25)
-SELECT c.c_custkey, nearest, round(distance, 6) + 0.0 AS distance, CASE WHEN nearest IS NULL THEN 'unpaired' ELSE 'paired' END AS outcome FROM c LEFT JOIN (SELECT * FROM r WHERE r = 1) r USING (c_custkey)""")
+_MIRROR = """WITH c AS (SELECT c_custkey, c_acctbal AS x, CAST(c_nationkey AS DOUBLE) AS y, CASE c_nationkey % 3 WHEN 0 THEN 25.0 WHEN 1 THEN 10.0 ELSE 12.0 END AS size FROM customer),
+o AS (SELECT * FROM c WHERE abs(x) > 1e-9 * (SELECT max(size) FROM c)),
+j AS (SELECT a.c_custkey, b.c_custkey AS nearest, b.size AS other, sqrt((-a.x - b.x) * (-a.x - b.x) + (a.y - b.y) * (a.y - b.y)) AS distance FROM o a JOIN o b ON sign(b.x) = -sign(a.x) AND abs(-a.x - b.x) <= 25),
+r AS (SELECT *, row_number() OVER (PARTITION BY c_custkey ORDER BY distance, nearest) AS r FROM j WHERE distance <= 25),
+m AS (SELECT o.c_custkey, nearest, distance, distance / size AS delta, CASE WHEN nearest IS NULL OR distance > greatest(size, other) THEN 'unpaired' WHEN abs(log2(size / other)) > 0.5 THEN 'level_mismatch' ELSE 'paired' END AS outcome
+      FROM o LEFT JOIN (SELECT * FROM r WHERE r = 1) r USING (c_custkey))"""
+
+
+def _mirror(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    size = F.when(F.col("c_nationkey") % 3 == 0, 25.0).when(F.col("c_nationkey") % 3 == 1, 10.0).otherwise(12.0)
+    c = table(spark, sf_dir, "customer").select("c_custkey", F.col("c_acctbal").alias("x"), F.col("c_nationkey").cast("double").alias("y"), size.alias("size"))
+    return c, neighbours.mirror_pairs(c, "c_custkey", "x", ["x", "y"], "size", 25.0)
+
+
+@query(f"{_MIRROR} SELECT c_custkey, nearest, round(distance, 6) + 0.0 AS distance, round(delta, 6) + 0.0 AS delta, outcome FROM m")
 def mirror_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c = table(spark, sf_dir, "customer").select("c_custkey", F.col("c_acctbal").alias("x"), F.col("c_nationkey").cast("double").alias("y"), F.lit(25.0).alias("size"))
-    out = neighbours.mirror_pairs(c, "c_custkey", "x", ["x", "y"], "size", 25.0)
-    return out.select("c_custkey", "nearest", rounded("distance").alias("distance"), "outcome")
+    return _mirror(spark, sf_dir)[1].select("c_custkey", "nearest", rounded("distance").alias("distance"), rounded("delta").alias("delta"), "outcome")
 
 
 @query("""SELECT n_nationkey, count(*) FILTER (WHERE c_acctbal > 0) AS n_positive, count(*) FILTER (WHERE c_acctbal < 0) AS n_negative, round(sum(greatest(c_acctbal, 0)), 2) + 0.0 AS sum_positive, round(-sum(least(c_acctbal, 0)), 2) + 0.0 AS sum_negative,
@@ -409,9 +418,9 @@ def lattice_axis(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lattice.lattice_axis(table(spark, sf_dir, "lineitem"), ["l_returnflag"], "l_discount").select("l_returnflag", F.col("l_discount").alias("v"))
 
 
-@query(f"""WITH {_D}, s AS (SELECT t1 - t AS d, first_value(t1 - t) OVER (ORDER BY t) AS h FROM l) SELECT count(*) AS values, max(h) AS step, max(abs(d - h)) AS deviation, count(*) >= 2 AND max(abs(d - h)) <= 1e-4 AS uniform FROM s""")
+@query(f"""WITH {_D}, s AS (SELECT t1 - t AS d, avg(t1 - t) OVER () AS h FROM l) SELECT count(*) AS values, round(max(h), 6) + 0.0 AS step, round(max(abs(d - h)), 6) + 0.0 AS deviation, count(*) >= 2 AND max(abs(d - h)) <= 1e-4 * greatest(1, abs(max(h))) AS uniform FROM s""")
 def uniform_spacing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lattice.uniform_spacing(_daily(spark, sf_dir), ["run"], "t").select("values", "step", "deviation", "uniform")
+    return lattice.uniform_spacing(_daily(spark, sf_dir), ["run"], "t").select("values", rounded("step").alias("step"), rounded("deviation").alias("deviation"), "uniform")
 
 
 @query("""WITH o AS (SELECT o_custkey, o_orderkey, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS k, o_orderkey - o_custkey AS v FROM orders),
@@ -447,12 +456,12 @@ def scalar_delta(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.withColumn("relative", rounded("relative"))
 
 
-@query("""WITH f AS (SELECT doc_id // 20 AS path, source, sha256(text) AS h, row_number() OVER (PARTITION BY source, doc_id // 20 ORDER BY doc_id) AS r FROM documents), a AS (SELECT * FROM f WHERE source = 'src1' AND r = 1), b AS (SELECT * FROM f WHERE source = 'src2' AND r = 1)
-SELECT coalesce(a.path, b.path) AS path, CASE WHEN b.h IS NULL THEN 'missing' WHEN a.h IS NULL THEN 'added' WHEN a.h <> b.h THEN 'changed' ELSE 'same' END AS drift FROM a FULL JOIN b ON a.path = b.path""")
+@query("""WITH f AS (SELECT doc_id // 2 AS path, doc_id % 2 AS side, sha256(text) AS h FROM documents), a AS (SELECT * FROM f WHERE side = 0), b AS (SELECT * FROM f WHERE side = 1)
+SELECT coalesce(a.path, b.path) AS path, CASE WHEN b.path IS NULL THEN 'missing' WHEN a.path IS NULL THEN 'added' WHEN a.h <> b.h THEN 'changed' ELSE 'same' END AS drift FROM a FULL JOIN b ON a.path = b.path""")
 def manifest_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = table(spark, sf_dir, "documents").filter(F.col("source").isin("src1", "src2")).withColumn("path", F.floor(F.col("doc_id") / 20))
-    d = d.groupBy("source", "path").agg(F.min_by(F.sha2("text", 256), "doc_id").alias("sha256"))
-    return diff.manifest_drift(d.filter("source = 'src1'"), d.filter("source = 'src2'"))
+    """Documents of even and odd ids as two states of the same files."""
+    d = table(spark, sf_dir, "documents").select(F.floor(F.col("doc_id") / 2).alias("path"), (F.col("doc_id") % 2).alias("side"), F.sha2("text", 256).alias("sha256"))
+    return diff.manifest_drift(d.filter("side = 0").drop("side"), d.filter("side = 1").drop("side"))
 
 
 @query("""WITH f AS (SELECT 'doc' || (doc_id % 97) AS stem, lang FROM documents WHERE lang IN ('de', 'es')), g AS (SELECT stem, bool_or(lang = 'de') AS a, bool_or(lang = 'es') AS b FROM f GROUP BY 1)
@@ -482,9 +491,9 @@ def richest_run(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""SELECT l_orderkey, l_linenumber, l_partkey, round(abs(l_extendedprice - (l_extendedprice * (1 - l_discount) + l_extendedprice * l_discount - l_tax)), 6) + 0.0 AS gap,
-abs(l_extendedprice - (l_extendedprice * (1 - l_discount) + l_extendedprice * l_discount - l_tax)) <= 1e-6 * abs(l_extendedprice) AS closed FROM lineitem WHERE l_quantity > 45""")
+abs(l_extendedprice - (l_extendedprice * (1 - l_discount) + l_extendedprice * l_discount - l_tax)) <= 1e-6 * abs(l_extendedprice) AS closed FROM lineitem""")
 def split_closure(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = table(spark, sf_dir, "lineitem").filter("l_quantity > 45").withColumn("net", F.col("l_extendedprice") * (1 - F.col("l_discount"))).withColumn("off", F.col("l_extendedprice") * F.col("l_discount")).withColumn("rest", -F.col("l_tax"))
+    li = table(spark, sf_dir, "lineitem").withColumn("net", F.col("l_extendedprice") * (1 - F.col("l_discount"))).withColumn("off", F.col("l_extendedprice") * F.col("l_discount")).withColumn("rest", -F.col("l_tax"))
     return diff.split_closure(li, "l_extendedprice", ["net", "off", "rest"], 1e-6).select("l_orderkey", "l_linenumber", "l_partkey", rounded("gap").alias("gap"), "closed")
 
 
@@ -608,7 +617,7 @@ def text_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
 def json_migration(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tidemark.operators.migrate import migrate_column
 
-    edits = {"": [("rename", "k", "key_number"), ("ensure", "version", 2), ("order", "", ["version"])]}
+    edits = {"": [("rename", "k", "key_number"), ("set", "version", 2), ("order", "", ["version"])]}
     return migrate_column(table(spark, sf_dir, "events").select("event_id", "props"), "props", edits).select("event_id", "migrated", F.size("changes").alias("changes"), F.size("problems").alias("problems"))
 
 
@@ -702,9 +711,9 @@ def object_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return accounts.object_counts(o, ["p_type"])
 
 
-@query("SELECT c_custkey FROM customer WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey)")
+@query("SELECT c_custkey FROM customer WHERE NOT EXISTS (SELECT 1 FROM events WHERE user_id = c_custkey)")
 def missing_owned(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return accounts.missing_owned(table(spark, sf_dir, "orders"), "o_custkey", table(spark, sf_dir, "customer").select("c_custkey"), "c_custkey")
+    return accounts.missing_owned(table(spark, sf_dir, "events"), "user_id", table(spark, sf_dir, "customer").select("c_custkey"), "c_custkey")
 
 
 @query("SELECT page_id, url FROM pages WHERE NOT (regexp_matches(url, '^https://') OR regexp_matches(url, 'page=2'))")
@@ -739,11 +748,10 @@ def first_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return accounts.first_messages(table(spark, sf_dir, "nation"), ["n_regionkey"], "n_name")
 
 
-@query("""WITH p AS (SELECT c_custkey, c_acctbal AS x, CAST(c_nationkey AS DOUBLE) AS y FROM customer WHERE abs(c_acctbal) > 1e-9), j AS (SELECT DISTINCT a.c_custkey FROM p a JOIN p b ON sign(b.x) = -sign(a.x) AND (a.x + b.x) * (a.x + b.x) + (a.y - b.y) * (a.y - b.y) <= 625)
-SELECT count(*) AS cells, count(*) - (SELECT count(*) FROM p) AS on_plane, (SELECT count(*) FROM j) AS paired, CAST(0 AS BIGINT) AS level_mismatch, (SELECT count(*) FROM p) - (SELECT count(*) FROM j) AS unpaired FROM customer""")
+@query(f"{_MIRROR} SELECT (SELECT count(*) FROM c) AS cells, count(*) AS queried, (SELECT count(*) FROM c) - count(*) AS on_plane, count(*) FILTER (WHERE outcome = 'paired') AS paired, count(*) FILTER (WHERE outcome = 'level_mismatch') AS level_mismatch, count(*) FILTER (WHERE outcome = 'unpaired') AS unpaired FROM m")
 def mirror_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c = table(spark, sf_dir, "customer").select("c_custkey", F.col("c_acctbal").alias("x"), F.col("c_nationkey").cast("double").alias("y"), F.lit(25.0).alias("size"))
-    return neighbours.outcome_counts(neighbours.mirror_pairs(c, "c_custkey", "x", ["x", "y"], "size", 25.0), c.count())
+    c, pairs = _mirror(spark, sf_dir)
+    return neighbours.outcome_counts(pairs, c.count())
 
 
 @query("SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey FROM (SELECT *, row_number() OVER (ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey) - 1 AS i FROM lineitem) WHERE i % 50 = 0 AND i < 50 * 200")
@@ -751,3 +759,6 @@ def stride_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     # the first 200 strides only need the 10,000 smallest keys, a top-k
     few = table(spark, sf_dir, "lineitem").select(*_KEYS).orderBy(*_KEYS).limit(50 * 200)
     return sample.stride_sample(few, 50, 200, _KEYS)
+
+
+from tidemark import bindings_more  # noqa: E402, F401  (registers further queries)

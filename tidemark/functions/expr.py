@@ -100,6 +100,63 @@ def percent_error(value: Column | str, reference: Column | str) -> Column:
     return F.when(col(reference) == 0, None).otherwise((col(value) - col(reference)) / col(reference) * 100)
 
 
+def nearest_face(angle: Column | str, faces: list[float]) -> Column:
+    """Of some angles (degrees) the one with the least reduced distance to ``angle``; of equals the first."""
+    a = col(angle)
+    return F.array_min(F.array(*[F.struct(F.abs(reduce90(a - F.lit(float(f)))).alias("away"), F.lit(k).alias("k"), F.lit(float(f)).alias("face")) for k, f in enumerate(faces)]))["face"]
+
+
+def over_flux(flow: Column | str, density: Column | str, velocity: Column | str, side: Column | str) -> Column:
+    """A mass flow over density, velocity and the square of a side; null if any reference is missing or zero."""
+    scale = col(density) * col(velocity) * col(side) * col(side)
+    return F.when(scale != 0, col(flow) / scale)
+
+
+#: How the reason of each final status reads.
+STOP_REASONS = {
+    "stationary": r"Window statistics of cd, cl, cy, cp_base stationary between iterations \d+-\d+ and \d+-\d+ \(max drift/SE = [-+0-9.Ee]+\)\.",
+    "no_steady_state": r"Reached \d+ iterations; (cd|cl|cy|cp_base) failed the stationarity gate in windows \d+-\d+ and \d+-\d+ \((n = \d+ cycles < \d+|drift/SE = \S+ > [-+0-9.Ee]+|sd log ratio = \S+ over tolerance)\)\.",
+    "converged": r"All four coefficients below the steady floor at iteration \d+\.",
+    "diverged": r"NaN / mass imbalance \S+ at iteration \d+\.",
+}
+
+
+def reason_fits(status: Column | str, reason: Column | str) -> Column:
+    """Whether a stop reason reads as its status demands; false for other statuses and nulls."""
+    out = F.lit(False)
+    for name, pattern in STOP_REASONS.items():
+        out = F.when(col(status) == name, col(reason).rlike(f"^(?:{pattern})$")).otherwise(out)
+    return F.coalesce(out, F.lit(False))
+
+
+def is_pair(values: Column | str) -> Column:
+    """Whether an array holds two numbers in ascending order."""
+    v = col(values)
+    return F.coalesce((F.size(v) == 2) & (v[0] <= v[1]), F.lit(False))
+
+
+def array_shape(values: Column | str) -> Column:
+    """Length of an array, how many of its elements are null, and whether all elements are finite numbers."""
+    v = col(values)
+    bad = F.size(F.filter(v, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf"))))
+    return F.struct(F.size(v).alias("length"), F.size(F.filter(v, lambda x: x.isNull())).alias("nulls"), ((bad == 0) & (F.size(v) > 0)).alias("numeric"))
+
+
+def missing_keys(mapped: Column | str, wanted: list[str]) -> Column:
+    """The wanted keys that a map lacks, in their order."""
+    return F.array_except(F.array(*map(F.lit, wanted)), F.map_keys(col(mapped)))
+
+
+def json_get(text: Column | str, path: str, kind: str, default: object = None) -> Column:
+    """A typed value out of JSON text, or a default if it is missing or of another type."""
+    return F.coalesce(F.try_variant_get(F.try_parse_json(col(text)), path, kind), F.lit(default))
+
+
+def utc_stamp(when: Column | str) -> Column:
+    """A time as 2024-01-31T12:00:00Z, whatever the session's zone."""
+    return F.date_format(F.to_utc_timestamp(col(when).cast("timestamp"), F.current_timezone()), "yyyy-MM-dd'T'HH:mm:ss'Z'")
+
+
 def header_base(name: Column | str) -> Column:
     """A header cell without quotes and without its unit in () or []."""
     return F.trim(F.regexp_replace(F.regexp_replace(col(name), "^\\s*\"|\"\\s*$", ""), r"\s*[\(\[].*$", ""))

@@ -37,6 +37,24 @@ def base_lookup(rows: DataFrame, key: str, base: str, value: str) -> DataFrame:
     return rows.join(side, F.col(base) == F.col("_k"), "left").drop("_k")
 
 
+def base_climb(rows: DataFrame, known: DataFrame, start: str, base: str, place: str) -> DataFrame:
+    """Where a relative base path is found, looked up from ``start`` and each folder above it, the nearest first.
+
+    ``known``: the places there are (column ``place``). Adds ``found`` (null if nowhere) and ``climbed`` (folders up).
+    """
+    parts = F.filter(F.split(F.col(start), "/"), lambda p: p != "")
+    tries = F.transform(F.sequence(F.lit(0), F.size(parts)), lambda up: F.struct(up.alias("climbed"), F.array_join(F.concat(F.slice(parts, F.lit(1), F.size(parts) - up), F.split(F.col(base), "/")), "/").alias("at")))
+    numbered = rows.withColumn("_row", F.monotonically_increasing_id())
+    hits = numbered.select("_row", F.explode(tries).alias("t")).select("_row", "t.*").join(known.select(F.col(place).alias("at")).distinct(), "at", "left_semi")
+    best = hits.groupBy("_row").agg(F.min(F.struct("climbed", "at")).alias("b")).select("_row", F.col("b.at").alias("found"), F.col("b.climbed").alias("climbed"))
+    return numbered.join(best, "_row", "left").drop("_row")
+
+
+def elapsed_delta(marks: DataFrame, key: list[str], when: str, counters: list[str]) -> DataFrame:
+    """How far counters (wall, CPU, physical time) went from the first to the last mark of a run."""
+    return marks.groupBy(*key).agg(*[(F.max_by(c, when) - F.min_by(c, when)).alias(c) for c in counters])
+
+
 def time_align(left: DataFrame, right: DataFrame, time: str, digits: int, key: list[str] | None = None) -> DataFrame:
     """Rows of both sides with the same rounded time; the right side's columns are prefixed with r_."""
     key = key or []

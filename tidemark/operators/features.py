@@ -21,6 +21,26 @@ def station_bin(cloud: DataFrame, stations: list[float], width: float, x: str =
     return cloud.withColumn("station", F.explode(near))
 
 
+def cut(cloud: DataFrame, least: Column | float, z: str = "z") -> DataFrame:
+    """The cloud above a height. It comes before the largest value of a station is taken, or that may lie below the cut."""
+    return cloud.filter(F.col(z) >= least)
+
+
+def above_floor(cloud: DataFrame, floor: float, q: str) -> DataFrame:
+    """What an export keeps: rows of at least a floor, a filter that reaches the scan."""
+    return cloud.filter(F.col(q) >= F.lit(floor))
+
+
+def station_sum(clusters: DataFrame, key: list[str], side: Column, value: str) -> DataFrame:
+    """Sum over all clusters of either side: it does not depend on how points fell into clusters."""
+    return clusters.groupBy(*key).agg(F.sum(F.when(side > 0, F.col(value)).otherwise(0.0)).alias("positive"), F.sum(F.when(side < 0, F.col(value)).otherwise(0.0)).alias("negative"))
+
+
+def common_keys(a: DataFrame, b: DataFrame, key: list[str]) -> DataFrame:
+    """Keys that both tables have."""
+    return a.select(*key).intersect(b.select(*key))
+
+
 def relative_threshold(df: DataFrame, key: list[str], value: str, beta: float) -> DataFrame:
     """Rows of at least beta times the largest value of their key; keys without a positive value have none."""
     peak = F.max(value).over(Window.partitionBy(*key))
@@ -45,12 +65,15 @@ def link_radius(df: DataFrame, key: list[str], volume: str, factor: float) -> Da
 
 
 def clustered(points: DataFrame, key: list[str], node: str, y: str, z: str, volume: str, factor: float) -> DataFrame:
-    """Points with the cluster they belong to: the smallest node of all points that chains of links reach."""
+    """Points with the cluster they belong to: the smallest node of all points of the same key that chains of links reach.
+
+    A point may belong to several keys (an edge of two stations): it is clustered in each on its own.
+    """
     radius = link_radius(points, key, volume, factor)
     rows = points.join(radius, key)
     links = proximity_links(rows, key, node, y, z, F.col("link_radius"))
-    root = components(points.select(node), links, node)
-    return rows.join(root.select(F.col("node").alias(node), F.col("root").alias("cluster")), node)
+    root = components(points.select(F.struct(*key, F.col(node).alias("n")).alias("node")), links.select(F.struct(*key, F.col("u").alias("n")).alias("u"), F.struct(*key, F.col("v").alias("n")).alias("v")), "node")
+    return rows.join(root.select(*[F.col(f"node.{k}").alias(k) for k in key], F.col("node.n").alias(node), F.col("root.n").alias("cluster")), [*key, node])
 
 
 def cluster_summary(rows: DataFrame, key: list[str], weight: Column, volume: Column, q: str, node: str, coords: list[str], thickness: float, floor: float = 0.0) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 
 def proximity_links(points: DataFrame, key: list[str], node: str, x: str, y: str, radius: Column | float) -> DataFrame:
-    """Pairs (u < v) of points of the same key within the radius. Cells are as wide as the radius, so partners lie in 9 cells.
+    """Pairs (key, u < v) of points of the same key within the radius. Cells are as wide as the radius, so partners lie in 9 cells.
 
     ``radius`` is a number or a column that is constant within the key.
     """
@@ -18,7 +18,7 @@ def proximity_links(points: DataFrame, key: list[str], node: str, x: str, y: str
     near = cell.withColumn("_s", F.explode(steps)).select(*key, F.col("_id").alias("_id2"), F.col("_x").alias("_x2"), F.col("_y").alias("_y2"), (F.col("_cx") + F.col("_s.i")).alias("_cx"), (F.col("_cy") + F.col("_s.j")).alias("_cy"))
     pairs = cell.join(near, [*key, "_cx", "_cy"]).filter(F.col("_id") < F.col("_id2"))
     d2 = (F.col("_x") - F.col("_x2")) ** 2 + (F.col("_y") - F.col("_y2")) ** 2
-    return pairs.filter(d2 <= F.col("_r") * F.col("_r")).select(F.col("_id").alias("u"), F.col("_id2").alias("v"))
+    return pairs.filter(d2 <= F.col("_r") * F.col("_r")).select(*key, F.col("_id").alias("u"), F.col("_id2").alias("v"))
 
 
 def components(nodes: DataFrame, links: DataFrame, node: str = "node") -> DataFrame:

@@ -12,12 +12,15 @@ def lattice_axis(df: DataFrame, key: list[str], value: str, tolerance: float = 1
 
 
 def uniform_spacing(axis: DataFrame, key: list[str], value: str, tolerance: float = 1e-4) -> DataFrame:
-    """Number of values, the first step, the largest deviation from it, and whether all steps are equal (two values at least)."""
-    order = Window.partitionBy(*key).orderBy(value)
-    steps = axis.withColumn("_d", F.lead(value).over(order) - F.col(value))
-    steps = steps.withColumn("_h", F.first("_d").over(order))
-    out = steps.groupBy(*key).agg(F.count(F.lit(1)).alias("values"), F.max("_h").alias("step"), F.max(F.abs(F.col("_d") - F.col("_h"))).alias("deviation"))
-    return out.withColumn("uniform", (F.col("values") >= 2) & (F.col("deviation") <= tolerance))
+    """Number of values, the mean step, the largest deviation from it, and whether all steps are equal (two values at least).
+
+    The tolerance is relative to the mean step where that is above one.
+    """
+    steps = axis.withColumn("_d", F.lead(value).over(Window.partitionBy(*key).orderBy(value)) - F.col(value))
+    out = steps.groupBy(*key).agg(F.count(F.lit(1)).alias("values"), F.avg("_d").alias("step"), F.max("_d").alias("_most"), F.min("_d").alias("_least"))
+    deviation = F.greatest(F.col("_most") - F.col("step"), F.col("step") - F.col("_least"))
+    out = out.withColumn("deviation", deviation).drop("_most", "_least")
+    return out.withColumn("uniform", (F.col("values") >= 2) & (F.col("deviation") <= F.lit(tolerance) * F.greatest(F.lit(1.0), F.abs("step"))))
 
 
 def lattice_missing(nodes: DataFrame, a: str, b: str, key: list[str] | None = None) -> DataFrame:

@@ -7,20 +7,26 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.expr import two_significant
 
-#: Characters per token of a text kind, and tokens of a picture of the standard size.
-RATES = {"json": 2.5, "csv": 2.5, "txt": 4.0}
-PICTURE_TOKENS = 1000
+#: Characters per token of each kind (a picture has none), tokens of a picture, and a reader's budget.
+RATES = {"setup_report": 3.5, "json": 4.0, "csv": 2.5, "code": 3.5, "other": 3.5}
+PICTURE_TOKENS, BUDGET = 1200, 60_000
 
 
 def kind_of(path: Column) -> Column:
-    """Extension of the last path component, lower case."""
-    return F.lower(F.element_at(F.split(F.element_at(F.split(path, "/"), -1), r"\."), -1))
+    """setup_report, image, json, csv, code or other, by the name of the file."""
+    name = F.lower(F.element_at(F.split(path, "/"), -1))
+    return F.when(name == "setup.txt", "setup_report").when(name.endswith(".png"), "image").when(name.endswith(".json"), "json").when(name.endswith(".csv"), "csv").when(name.rlike(r"\.(java|py)$"), "code").otherwise("other")
 
 
 def layer_of(path: Column) -> Column:
-    """The top folder of a file, or the name of the root file without its extension."""
-    parts = F.split(path, "/")
-    return F.when(F.size(parts) > 1, F.element_at(parts, 1)).otherwise(F.element_at(F.split(F.element_at(parts, -1), r"\."), 1))
+    """The first part of the path: the top folder of a file, or the root file itself."""
+    return F.element_at(F.split(path, "/"), 1)
+
+
+def tokens_by_kind(kind: Column, characters: Column) -> Column:
+    """Tokens of a file (half-even): characters over the rate of its kind, a fixed number for pictures."""
+    rate = F.element_at(F.create_map(*[F.lit(x) for kv in RATES.items() for x in kv]), kind)
+    return F.when(kind == "image", F.lit(PICTURE_TOKENS)).otherwise(F.bround(characters / rate)).cast("bigint")
 
 
 def measured(files: DataFrame, layer: Column, characters: Column, rate: Column, estimated: Column | None = None) -> DataFrame:

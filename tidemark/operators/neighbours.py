@@ -29,25 +29,27 @@ def nearest_within(queries: DataFrame, points: DataFrame, dims: list[str], radiu
 def mirror_pairs(cloud: DataFrame, cell_id: str, axis: str, dims: list[str], size: str, radius: float, on_plane: float = 1e-9) -> DataFrame:
     """Every cell off the plane with the nearest cell of the other side to its mirror image.
 
-    outcome: paired (within half the larger of both cell sizes and of the same size level), level_mismatch (near, but of another size),
-    unpaired. ``radius`` bounds the search: at least half the largest cell size.
+    outcome: paired (within the larger of both cell sizes, sizes in a ratio of at most the root of two), level_mismatch
+    (near, but of another size), unpaired. delta: distance over the cell's own size. ``radius`` bounds the search: at
+    least the largest cell size. Cells within ``on_plane`` times the largest size lie on the plane.
     """
-    off = cloud.filter(F.abs(axis) > on_plane)
+    largest = cloud.agg(F.max(size).alias("_largest"))
+    off = cloud.crossJoin(F.broadcast(largest)).filter(F.abs(axis) > F.lit(on_plane) * F.col("_largest")).drop("_largest")  # one row
     query = off.withColumn("_side", -F.signum(axis)).withColumn(axis, -F.col(axis))
     points = off.withColumn("_side", F.signum(axis))
     hit = nearest_within(query, points, dims, radius, cell_id, cell_id, ["_side"])
     other = cloud.select(F.col(cell_id).alias("_oid"), F.col(size).alias("_osize"))
     rows = hit.join(other, hit["nearest"] == other["_oid"], "left").drop("_oid", "_side")
     reach = F.greatest(F.col(size), F.col("_osize"))
-    delta = F.col("distance") / reach
+    delta = F.col("distance") / F.col(size)
     outcome = F.when(F.col("nearest").isNull() | (F.col("distance") > reach), "unpaired").when(F.abs(F.log2(F.col(size) / F.col("_osize"))) > 0.5, "level_mismatch").otherwise("paired")
     return rows.withColumn("delta", delta).withColumn("outcome", outcome).drop("_osize")
 
 
 def outcome_counts(pairs: DataFrame, cells: int) -> DataFrame:
-    """Counts per outcome and of cells on the plane. They add up to all cells."""
+    """Counts per outcome, of cells on the plane and of cells that were looked for. On the plane and looked for add up to all cells."""
     n = lambda o: F.count_if(F.col("outcome") == o)
-    return pairs.agg(F.lit(cells).cast("bigint").alias("cells"), (F.lit(cells) - F.count(F.lit(1))).alias("on_plane"), n("paired").alias("paired"), n("level_mismatch").alias("level_mismatch"), n("unpaired").alias("unpaired"))
+    return pairs.agg(F.lit(cells).cast("bigint").alias("cells"), F.count(F.lit(1)).alias("queried"), (F.lit(cells) - F.count(F.lit(1))).alias("on_plane"), n("paired").alias("paired"), n("level_mismatch").alias("level_mismatch"), n("unpaired").alias("unpaired"))
 
 
 def nearest_rank(df: DataFrame, key: list[str], value: str, ranks: tuple[float, ...] = (0.5, 0.95, 0.99)) -> DataFrame:
@@ -65,6 +67,18 @@ def histogram_fixed(df: DataFrame, value: Column, edges: list[float]) -> DataFra
     return every.join(counts, "bin", "left").select("bin", F.coalesce("n", F.lit(0)).cast("bigint").alias("n")).filter((F.col("bin") >= 0) | (F.col("n") > 0))
 
 
+def side_of(y: Column, dead: float = 0.0) -> Column:
+    """1, -1, or 0 within the dead band about the plane."""
+    return F.when(y > F.lit(dead), 1).when(y < F.lit(-dead), -1).otherwise(0)
+
+
+def worst_balance(balance: DataFrame, key: str) -> DataFrame:
+    """All keys together and the worst of them: n_positive, n_negative, sum_positive, sum_negative, imbalance, worst, worst_imbalance."""
+    p, n = F.sum("sum_positive"), F.sum("sum_negative")
+    worst = F.max(F.struct("imbalance", F.col(key).alias("k")))
+    return balance.agg(F.sum("n_positive").alias("n_positive"), F.sum("n_negative").alias("n_negative"), p.alias("sum_positive"), n.alias("sum_negative"), (F.abs(p - n) / F.greatest(p, n, F.lit(1e-30))).alias("imbalance"), worst["k"].alias("worst"), worst["imbalance"].alias("worst_imbalance"))
+
+
 def side_balance(df: DataFrame, key: list[str], side: Column, value: str) -> DataFrame:
     """Count and sum of both sides of each key and their relative difference, and which key is worst."""
     pos, neg = F.sum(F.when(side > 0, F.col(value)).otherwise(0)), F.sum(F.when(side < 0, F.col(value)).otherwise(0))

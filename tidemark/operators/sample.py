@@ -14,9 +14,11 @@ def importance_sample(df: DataFrame, keep: int, weight: Column, keys: list[str],
     return rows.orderBy(F.col("sample_key").desc(), *keys).limit(keep)
 
 
-def totals(df: DataFrame, weight: Column, volume: Column) -> DataFrame:
-    """One row: rows, sum of weight, sum of volume, rows without weight."""
-    return df.agg(F.count(F.lit(1)).alias("n"), F.sum(weight).alias("total_weight"), F.sum(volume).alias("total_volume"), F.count_if(~(weight > 0)).alias("zero_weight"))
+def totals(df: DataFrame, weight: Column, volume: Column, tracer: Column | None = None) -> DataFrame:
+    """One row: rows, sum of the positive weights, sum of volume, rows without positive weight, and the bounds of ``tracer``."""
+    positive = F.coalesce(weight > 0, F.lit(False))
+    bounds = [] if tracer is None else [F.min(tracer).alias("tracer_min"), F.max(tracer).alias("tracer_max")]
+    return df.agg(F.count(F.lit(1)).alias("n"), F.sum(F.when(positive, weight).otherwise(0.0)).alias("total_weight"), F.sum(volume).alias("total_volume"), F.count_if(~positive).alias("zero_weight"), *bounds)
 
 
 def with_volume_weight(sample: DataFrame, total_weight: float, total_volume: float, volume: str = "volume") -> DataFrame:

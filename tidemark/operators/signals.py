@@ -202,6 +202,35 @@ def phase_lag(phase_means: DataFrame, key: list[str], signal: str, reference: st
     return joined.select(*key, signal, (F.col("crest") / phases).alias("crest_phase"), lag.alias("lag"))
 
 
+def scale(df: DataFrame, columns: list[str], by: Column) -> DataFrame:
+    """Columns over a reference quantity (value and deviation alike); null where that is missing or zero."""
+    return df.withColumns({c: F.when(by != 0, F.col(c) / by) for c in columns})
+
+
+def within(df: DataFrame, **bounds: tuple[float, float]) -> DataFrame:
+    """Rows whose columns all lie within their bounds, both ends closed."""
+    for c, (lo, hi) in bounds.items():
+        df = df.filter(F.col(c).between(lo, hi))
+    return df
+
+
+def variance_below(spectrum: DataFrame, key: list[str], frequency: str, power: str, most: float) -> DataFrame:
+    """Number of bins up to a frequency, the variance that they carry, and its share of all bins'."""
+    low = F.col(frequency) <= F.lit(most)
+    return spectrum.groupBy(*key).agg(F.count_if(low).alias("bins"), F.sum(F.when(low, F.col(power)).otherwise(0.0)).alias("variance"), (F.sum(F.when(low, F.col(power)).otherwise(0.0)) / F.sum(power)).alias("share"))
+
+
+def lateral_trend(points: DataFrame, key: list[str], x: str, most: float) -> DataFrame:
+    """Points up to a limit, numbered by their place along x, with the change to the one before."""
+    order = Window.partitionBy(*key).orderBy(x)
+    return points.filter(F.col(x) <= F.lit(most)).withColumn("place", F.row_number().over(order))
+
+
+def rms_about_mean(df: DataFrame, key: list[str], value: str) -> DataFrame:
+    """Root mean square of the fluctuation about the mean (population)."""
+    return df.groupBy(*key).agg(F.avg(value).alias("mean"), F.stddev_pop(value).alias("rms"))
+
+
 def settled(signal: DataFrame, key: list[str], least: float, margin: float = 0.01) -> DataFrame:
     """Samples after max(first + margin, least)."""
     t0 = F.greatest(F.min("t").over(Window.partitionBy(*key)) + margin, F.lit(least))

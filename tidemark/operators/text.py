@@ -114,7 +114,11 @@ def _decimals(number: str) -> int:
 
 
 def _as_number(value: float, like: str) -> str:
-    return f"{value:.{_decimals(like)}f}"
+    """A number written like another: a decimal as the shortest one that reads back equal, an integer with the same zero padding."""
+    if "." in like:
+        return repr(value)
+    digits, n = like.lstrip("-"), round(value)
+    return f"{n:0{len(digits) + (n < 0)}d}" if digits.startswith("0") else str(n)
 
 
 def _template(rows: list[str]) -> str | None:
@@ -138,7 +142,7 @@ def _template(rows: list[str]) -> str | None:
 
 
 def _fill(template: str, k: int) -> str:
-    return _SLOT.sub(lambda m: _as_number(float(m[1]) + k * float(m[2]), m[1] if _decimals(m[1]) >= _decimals(m[2]) else m[2]), template)
+    return _SLOT.sub(lambda m: _as_number(float(m[1]) + k * float(m[2]), m[1]), template)
 
 
 class _Seen:

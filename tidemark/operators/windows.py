@@ -18,6 +18,17 @@ def windowed(history: DataFrame, size: int, position: str = "i") -> DataFrame:
     return history.withColumn("window", F.floor(F.col(position) / size).cast("bigint"))
 
 
+def discard(history: DataFrame, key: list[str], first: int, position: str = "i") -> DataFrame:
+    """The history behind a transient: positions after ``first``, numbered anew from zero."""
+    return history.filter(F.col(position) > F.lit(first)).withColumn(position, F.col(position) - F.lit(first + 1))
+
+
+def on_grid(history: DataFrame, key: list[str], step: int, position: str) -> DataFrame:
+    """Whether the positions of a run are step, 2 step, 3 step, ...: rows, last, regular."""
+    out = history.groupBy(*key).agg(F.count(F.lit(1)).alias("rows"), F.max(position).alias("last"), F.count_distinct(position).alias("_d"), F.bool_and(F.pmod(position, F.lit(step)) == 0).alias("_m"), F.min(position).alias("_f"))
+    return out.withColumn("regular", F.col("_m") & (F.col("_d") == F.col("rows")) & (F.col("_f") == step) & (F.col("last") == F.col("rows") * step)).drop("_d", "_m", "_f")
+
+
 def window_stats(history: DataFrame, size: int, key: list[str], position: str = "i", value: str = "value") -> DataFrame:
     """Per key and full window: n, mean, sd (n - 1), least, most."""
     out = windowed(history, size, position).groupBy(*key, "window").agg(
