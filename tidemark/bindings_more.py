@@ -296,3 +296,14 @@ for _name, _rule, _sql in (
 @query("SELECT p_partkey, regexp_matches(p_name, '\\t|(^|\\n)@|\\^$') AS marks FROM part")
 def setup_marks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "part").select("p_partkey", text.has_marks(F.col("p_name")).alias("marks"))
+
+
+# --- the moving stop ----------------------------------------------------------------------------------------------------------
+
+
+@query("""WITH e AS (SELECT user_id, event_id, sin(event_id * 0.7) AS a, cos(event_id * 0.3) AS b FROM events), w AS (SELECT user_id, event_id, count(*) OVER k AS n, degrees(atan2(avg(b) OVER k, avg(a) OVER k)) AS angle FROM e WINDOW k AS (PARTITION BY user_id ORDER BY event_id ROWS 6 PRECEDING)),
+h AS (SELECT *, n >= 7 AND abs((angle - 60) - 360 * round((angle - 60) / 360)) <= 15 AS near FROM w)
+SELECT user_id, CASE WHEN bool_or(near) THEN 'angle' ELSE 'end' END AS reason, coalesce(min(event_id) FILTER (WHERE near), max(event_id)) AS stopped_at, round(coalesce(arg_min(angle, event_id) FILTER (WHERE near), arg_max(angle, event_id)), 6) + 0.0 AS angle FROM h GROUP BY 1""")
+def moving_stop(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = table(spark, sf_dir, "events").select("user_id", "event_id", F.sin(F.col("event_id") * 0.7).alias("a"), F.cos(F.col("event_id") * 0.3).alias("b"))
+    return windows.moving_stop(e, ["user_id"], "event_id", "a", "b", 60.0, 15.0).withColumn("angle", rounded("angle"))

@@ -88,6 +88,21 @@ def stop_decision(stats: DataFrame, gate: DataFrame, run: list[str], signal: lis
     return out.select(*run, F.when(fired_at_all, names).otherwise("unfinished").alias("status"), F.when(fired_at_all, F.col("v.window")).alias("window"), F.when(fired_at_all, F.col("v.at")).alias("stopped_at"))
 
 
+def moving_stop(history: DataFrame, key: list[str], position: str, across: str, up: str, target: float, tolerance: float = 5.0, width: int = 7) -> DataFrame:
+    """Per key where the direction of the moving means of two components first comes within ``tolerance`` degrees of ``target``.
+
+    stopped_at and angle (of that row); reason is ``angle``, or ``end`` with the last row where it never does. Means over
+    fewer than ``width`` rows don't count.
+    """
+    last = Window.partitionBy(*key).orderBy(position).rowsBetween(1 - width, 0)
+    rows = history.withColumn("_n", F.count(F.lit(1)).over(last)).withColumn("_angle", F.degrees(F.atan2(F.avg(up).over(last), F.avg(across).over(last))))
+    away = F.col("_angle") - F.lit(target)
+    near = (F.col("_n") >= width) & (F.abs(away - F.lit(360.0) * F.round(away / 360)) <= tolerance)
+    out = rows.groupBy(*key).agg(F.min(F.when(near, F.struct(F.col(position).alias("at"), F.col("_angle").alias("angle")))).alias("hit"), F.max(F.struct(F.col(position).alias("at"), F.col("_angle").alias("angle"))).alias("end"))
+    pick = F.coalesce("hit", "end")
+    return out.select(*key, F.when(F.col("hit").isNotNull(), "angle").otherwise("end").alias("reason"), pick["at"].alias("stopped_at"), pick["angle"].alias("angle"))
+
+
 def pooled_publish(history: DataFrame, decision: DataFrame, size: int, run: list[str], signal: list[str], position: str = "i", value: str = "value") -> DataFrame:
     """Per run and signal the published value: over all closed windows (mean, sd, min, max), or the last sample if the run converged or diverged."""
     rows = history.join(decision, run).filter(F.col("stopped_at").isNotNull() & (F.col(position) <= F.col("stopped_at")))

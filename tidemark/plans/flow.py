@@ -9,9 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.expr import close
-from tidemark.operators import rules, signals, windows
+from tidemark.operators import features, ledger, rules, signals, windows
 from tidemark.session import ship
-from tidemark.sources import readers
+from tidemark.sources import readers, sinks
 
 
 def replay(history: DataFrame, size: int, run: list[str], signal: list[str], offenders: DataFrame | None = None, position: str = "i", value: str = "value") -> dict[str, DataFrame]:
@@ -55,6 +55,37 @@ def check_artifacts(spark: SparkSession, root: str, strict: bool = False) -> tup
     return findings, rules.rollup(findings, artifacts, strict)
 
 
+def feature_flow(cloud: DataFrame, stations: list[float], width: float, cut: float, beta: float, link: float, floor: float = 0.0) -> DataFrame:
+    """Clusters per station and sense in one plan: z cut, stations, relative threshold, sign, links, summary, floor.
+
+    ``cloud``: node, x, y, z, volume, q, wx (signed weight). The cut comes before the largest q of a station is taken.
+    """
+    binned = features.station_bin(features.cut(cloud, cut), stations, width)
+    points = features.relative_threshold(binned, ["station"], "q", beta).filter(F.col("wx") != 0).withColumn("sense", F.signum("wx").cast("int"))
+    rows = features.clustered(points, ["station", "sense"], "node", "y", "z", "volume", link)
+    return features.cluster_summary(rows, ["station", "sense", "cluster"], F.col("wx"), F.col("volume"), "q", "node", ["y", "z"], width, floor)
+
+
+def build_sweep(spark: SparkSession, points: dict[str, str], out: str, declared: list[str], strict: bool = True) -> list[Outcome]:
+    """Every point from its source folder: copy of the declared files, strict check, tokens, archive. A point that fails does not stop the others.
+
+    ``points``: name to source folder. The result of a point: its status, tokens and archive.
+    """
+
+    def build(name: str) -> dict:
+        target = f"{out.rstrip('/')}/{name}"
+        sinks.whitelist_copy(points[name], target, declared)
+        artifacts = readers.scan_artifacts(spark, out).filter(F.col("capsule") == name)
+        status = rules.rollup(rules.validate(artifacts), artifacts, strict).first()
+        kind = ledger.kind_of(F.col("path"))
+        characters = F.when(kind == "image", F.lit(0)).otherwise(F.length(F.decode("content", "UTF-8")))
+        tokens = artifacts.agg(F.sum(ledger.tokens_by_kind(kind, characters))).first()[0]
+        sinks.write_zip(target, f"{target}.zip")
+        return {"status": status["status"], "errors": status["errors"], "tokens": tokens, "archive": f"{target}.zip"}
+
+    return sweep(points, build)
+
+
 @dataclass
 class Outcome:
     point: str

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -71,12 +73,84 @@ def data_rows(text: str = "text"):
     return F.greatest(F.size(lines) - 1, F.lit(0))
 
 
-def read_signals(spark: SparkSession, path: str, time: str = "tU_D") -> DataFrame:
-    """Two-column files as signal (the file's stem), t, y. Files whose first header cell is not ``time`` are left out."""
-    lines = spark.read.text(path).select(F.regexp_extract(F.col("_metadata.file_name"), r"^(.*)\.[^.]*$", 1).alias("signal"), F.split("value", ",").alias("c"))
-    proper = lines.groupBy("signal").agg(F.count_if(header_base(F.col("c")[0]) == time).alias("n")).filter("n = 1").select("signal")
-    rows = lines.join(F.broadcast(proper) if proper.count() <= 100_000 else proper, "signal").filter(F.size("c") == 2)
-    return rows.select("signal", F.expr("try_cast(c[0] AS double)").alias("t"), F.expr("try_cast(c[1] AS double)").alias("y")).filter(F.col("t").isNotNull() & F.col("y").isNotNull())
+def read_signals(spark: SparkSession, path: str, time: str = "tU_D", strict: bool = False) -> DataFrame:
+    """Two-column files as signal (the file's stem), folder, t, y, line.
+
+    Files that don't have exactly two columns headed by ``time`` are left out, or an error under ``strict``.
+    """
+    name = r"^(.*)\.[^.]*$"
+    lines = spark.read.text(path, wholetext=True).select(F.regexp_extract(F.col("_metadata.file_name"), name, 1).alias("signal"), F.regexp_replace("_metadata.file_path", "/[^/]*$", "").alias("folder"), F.posexplode(F.split("value", r"\r\n|\r|\n")).alias("line", "row"))
+    cells = lines.filter("row <> ''").withColumn("c", F.split("row", ","))
+    heads = cells.groupBy("folder", "signal").agg(F.min_by("c", "line").alias("h"))
+    wrong = heads.filter((F.size("h") != 2) | (header_base(F.col("h")[0]) != time))
+    if strict and (bad := [r["signal"] for r in wrong.orderBy("signal").limit(20).collect()]):
+        raise ColumnError(f"not a signal over {time}: {', '.join(bad)}")
+    rows = cells.join(wrong.select("folder", "signal"), ["folder", "signal"], "left_anti").filter(F.size("c") == 2)
+    return rows.select("signal", "folder", F.expr("try_cast(c[0] AS double)").alias("t"), F.expr("try_cast(c[1] AS double)").alias("y"), (F.col("line") + 1).alias("line")).filter(F.col("t").isNotNull() & F.col("y").isNotNull())
+
+
+def read_cells(spark: SparkSession, path: str) -> DataFrame:
+    """Files of one header ``cells`` and one number: file, cells (rounded half to even; null if the file is not of this kind)."""
+    lines = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_name").alias("file"), F.filter(F.split("value", r"\r\n|\r|\n"), lambda x: x != "").alias("l"))
+    proper = (F.size("l") == 2) & (F.try_element_at("l", F.lit(1)) == "cells")
+    return lines.select("file", F.when(proper, F.bround(F.try_element_at("l", F.lit(2)).try_cast("double"))).cast("bigint").alias("cells"))
+
+
+def read_monitor_export(spark: SparkSession, path: str) -> DataFrame:
+    """A monitor's export as t, y: time is the first column named Physical Time, else the only one with Time in it; the value is the last other."""
+    header = [c.strip().strip('"') for c in (spark.read.text(path).filter(F.trim("value") != "").first() or [""])[0].split(",")]
+    physical = [i for i, h in enumerate(header) if "Physical Time" in h]
+    any_time = [i for i, h in enumerate(header) if "Time" in h]
+    if not physical and len(any_time) != 1 or len(header) < 2:
+        raise ColumnError(f"{len(any_time)} columns answer to 'Time'")
+    t = (physical or any_time)[0]
+    y = max(i for i in range(len(header)) if i != t)
+    raw = spark.read.csv(path, schema=", ".join(f"c{i} string" for i in range(len(header))), header=True, enforceSchema=True)
+    return raw.select(F.col(f"c{t}").try_cast("double").alias("t"), F.col(f"c{y}").try_cast("double").alias("y")).filter(F.col("t").isNotNull() & F.col("y").isNotNull())
+
+
+def read_named_csv(spark: SparkSession, path: str, wanted: dict[str, str]) -> DataFrame:
+    """Columns of a CSV by their exact names, with the wanted names and types (``name: type``)."""
+    raw = spark.read.csv(path, header=True)
+    lost = [c for c in wanted if c not in raw.columns]
+    if lost:
+        raise ColumnError(f"no column {', '.join(lost)}")
+    return raw.select(*[F.col(f"`{c}`").try_cast(kind).alias(c) for c, kind in wanted.items()])
+
+
+def project_named(df: DataFrame, wanted: dict[str, str], mode: str = "base") -> DataFrame:
+    """The wanted columns in their order under their new names, each found in the header as :func:`resolve_columns` does."""
+    return df.select(*[F.col(f"`{old}`").alias(new) for new, old in resolve_columns(df.columns, wanted, mode).items()])
+
+
+#: Keys of a sweep file with their types; those of a declared point.
+SWEEP_KEYS = {"points": list, "baseline": int, "designed_for_Re_range": list, "regime_ref": str, "declared": dict}
+POINT_KEYS = {"regime_expected": str, "uncertainty": dict}
+
+
+def read_sweep(text: str) -> dict:
+    """A checked sweep file. Unknown keys, wrong types, points that are declared but not swept, and a missing source are errors."""
+    config = json.loads(text)
+    if not isinstance(config, dict):
+        raise ValueError("a sweep is an object")
+    for place, block, kinds in [("", config, SWEEP_KEYS), *[(f"declared/{k}/", v, POINT_KEYS) for k, v in config.get("declared", {}).items()]]:
+        for key, value in block.items():
+            if key not in kinds:
+                raise ValueError(f"unknown key {place}{key}")
+            if not isinstance(value, kinds[key]) or isinstance(value, bool):
+                raise ValueError(f"{place}{key} is not of type {kinds[key].__name__}")
+    points = config.get("points", [])
+    if not points or not all(type(p) is int and p > 0 for p in points) or len(set(points)) < len(points):
+        raise ValueError("points are distinct positive integers")
+    stray = sorted(set(config.get("declared", {})) - {str(p) for p in points})
+    if stray:
+        raise ValueError(f"declared but not swept: {', '.join(stray)}")
+    if any("regime_expected" in d for d in config.get("declared", {}).values()) and "regime_ref" not in config:
+        raise ValueError("regime_expected needs regime_ref")
+    span = config.get("designed_for_Re_range")
+    if span is not None and not (len(span) == 2 and all(type(v) is int for v in span) and span[0] <= span[1]):
+        raise ValueError("designed_for_Re_range is two integers, low then high")
+    return config
 
 
 def read_hash_list(spark: SparkSession, path: str) -> DataFrame:

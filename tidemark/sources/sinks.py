@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import json
 import os
+import re
+import shutil
 import tempfile
 import zipfile
 from pathlib import Path
@@ -79,6 +81,54 @@ def archive_previous(path: str) -> str | None:
     return f"{path}_{k}"
 
 
+def whitelist_copy(source: str, target: str, declared: list[str]) -> list[str]:
+    """Copy the files whose relative paths fully match a declared pattern, by way of a staging folder; what was there moves aside.
+
+    Returns the copied paths. A pattern without a file is an error, and then nothing changes.
+    """
+    names = sorted(f.relative_to(source).as_posix() for f in Path(source).rglob("*") if f.is_file())
+    lost = [p for p in declared if not any(re.fullmatch(p, n) for n in names)]
+    if lost:
+        raise FileNotFoundError(f"declared but not there: {', '.join(lost)}")
+    chosen = [n for n in names if any(re.fullmatch(p, n) for p in declared)]
+    staging = Path(f"{target.rstrip('/')}.staging-{os.getpid()}")
+    for n in chosen:
+        (staging / n).parent.mkdir(parents=True, exist_ok=True)
+        shutil.copyfile(Path(source) / n, staging / n)
+    archive_previous(target.rstrip("/"))
+    os.rename(staging, target.rstrip("/"))
+    return chosen
+
+
+def _shown(value: object) -> str:
+    return "" if value is None else f"{value:.6g}" if isinstance(value, float) else str(value)
+
+
+def report_text(df: DataFrame) -> str:
+    """An aligned table: a header line, then a line per row; numbers to the right."""
+    rows = _rows(df)
+    cells = [[_shown(v) for v in r] for r in rows]
+    numeric = [any(isinstance(r[k], (int, float)) for r in rows) for k in range(len(df.columns))]
+    wide = [max(len(x) for x in column) for column in zip(df.columns, *cells, strict=True)]
+    line = lambda row: "  ".join(c.rjust(w) if right else c.ljust(w) for c, w, right in zip(row, wide, numeric, strict=True)).rstrip()
+    return "\n".join([line(df.columns), *map(line, cells)]) + "\n"
+
+
+def report_markdown(df: DataFrame, title: str | None = None) -> str:
+    lines = [f"## {title}", ""] if title else []
+    lines += ["| " + " | ".join(df.columns) + " |", "|" + "---|" * len(df.columns)]
+    lines += ["| " + " | ".join(_shown(v).replace("|", "\\|") for v in r) + " |" for r in _rows(df)]
+    return "\n".join(lines) + "\n"
+
+
+def report_json(df: DataFrame) -> str:
+    """The rows as a list of objects, columns in order."""
+    return json.dumps([r.asDict(recursive=True) for r in _rows(df)], indent=2, ensure_ascii=False, default=str) + "\n"
+
+
+REPORTS = {"text": report_text, "markdown": report_markdown, "json": report_json}
+
+
 def settle(measure, write, rounds: int = 5):
     """Repeat measuring and writing until the measure no longer changes."""
     before = None

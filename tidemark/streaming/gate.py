@@ -73,6 +73,30 @@ def streaming_gate(samples: DataFrame, size: int, run: str = "run", order: str =
     return samples.groupBy(run).applyInPandasWithState(step, _OUT, _STATE, "append", GroupStateTimeout.NoTimeout)
 
 
+def streaming_moving_stop(samples: DataFrame, target: float, tolerance: float = 5.0, width: int = 7, run: str = "run", order: str = "i", across: str = "across", up: str = "up") -> DataFrame:
+    """The stream's twin of :func:`windows.moving_stop`: one row (run, stopped_at, angle) when a run's direction comes near the target.
+
+    State per run: the last ``width`` samples, and whether it has stopped.
+    """
+
+    def step(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        a, b, done = state.get if state.exists else ([], [], False)
+        a, b, out = list(a), list(b), []
+        rows = pd.concat(list(batches)).sort_values(order)
+        for at, x, y in zip(rows[order], rows[across], rows[up], strict=True):
+            if done:
+                break
+            a, b = [*a, float(x)][-width:], [*b, float(y)][-width:]
+            angle = math.degrees(math.atan2(math.fsum(b) / len(b), math.fsum(a) / len(a)))
+            if len(a) == width and abs(math.remainder(angle - target, 360.0)) <= tolerance:
+                out, done = [(key[0], int(at), angle)], True
+        state.update((a, b, done))
+        if out:
+            yield pd.DataFrame(out, columns=["run", "stopped_at", "angle"])
+
+    return samples.groupBy(run).applyInPandasWithState(step, "run string, stopped_at bigint, angle double", "a array<double>, b array<double>, done boolean", "append", GroupStateTimeout.NoTimeout)
+
+
 def running_field_stats(samples: DataFrame, cell: str, value: str) -> DataFrame:
     """Running mean and rms of the fluctuation per cell, as a streaming aggregation (complete or update mode)."""
     from pyspark.sql import functions as F
