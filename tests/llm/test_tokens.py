@@ -96,3 +96,24 @@ def test_a_torn_file_is_noticed():
 
 def test_no_documents(spark):
     assert token_files.token_files(spark.createDataFrame([], "doc_id long, text string")).collect() == []
+
+
+def test_slices_of_elias_fano_match_the_whole():
+    rng = np.random.default_rng(7)
+    for n, u in ((1, 1), (5, 3), (1000, 50), (3000, 10**7)):
+        values = np.sort(rng.integers(0, u, n))
+        ef = EliasFano.of(values)
+        for a, b in [(0, n), (0, 0), *(sorted(rng.integers(0, n + 1, 2).tolist()) for _ in range(20))]:
+            assert ef.slice(a, b).tolist() == values[a:b].tolist()
+
+
+def test_manifest_is_beside_the_shards_and_blocks_do_not_matter(spark, monkeypatch):
+    rows = [(None if i % 9 == 0 else i // 2, f"text {i} " * (i % 5), "x") for i in range(300)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, start string")
+    manifest = token_files.write_shards(df, token_files.default_tokenizer())
+    assert token_files.read_manifest(manifest[0]["uri"]) == manifest
+    one = sorted(map(tuple, token_files.read_shards(spark, manifest).collect()), key=repr)
+    assert len(one) == 300
+    store, _ = token_files.fs.FileSystem.from_uri(manifest[0]["uri"])
+    shard = token_files.Shard(store.open_input_stream(manifest[0]["name"]).read())
+    assert sum((shard.doc_ids(a, min(a + 7, len(shard))) for a in range(0, len(shard), 7)), []) == shard.doc_ids()

@@ -81,6 +81,16 @@ class EliasFano:
         low = int(_unpack(self.low, np.array([i]), self.low_bits)[0])
         return (place - i) << self.low_bits | low
 
+    def slice(self, start: int, stop: int) -> np.ndarray:
+        """Values start to stop - 1; only the words that hold them are looked at."""
+        if start >= stop:
+            return np.zeros(0, np.uint64)
+        first, last = (int(np.searchsorted(self.rank, i, side="right")) - 1 for i in (start, stop - 1))
+        ones = np.flatnonzero(np.unpackbits(self.words[first : last + 1].view(np.uint8), bitorder="little"))
+        place = ones[start - int(self.rank[first]) :][: stop - start] + 64 * first
+        at = np.arange(start, stop)
+        return (place - at).astype(np.uint64) << np.uint64(self.low_bits) | _unpack(self.low, at, self.low_bits)
+
     def all(self) -> np.ndarray:
         """All values in order."""
         place = np.flatnonzero(np.unpackbits(self.high, bitorder="little"))[: self.n]

@@ -18,6 +18,7 @@ by text; an empty table gives no shards and an empty result; other columns are i
 from __future__ import annotations
 
 import functools
+import json
 import struct
 import uuid
 import zlib
@@ -37,7 +38,9 @@ from tidemark.llm.subwords import encoder
 MAGIC, END = b"TDMKTOK1", 0
 _HEAD = struct.Struct("<8sIQQ")
 #: A worker hands a shard on when it holds so many ids, so that memory stays bounded whatever the partition.
-SHARD_IDS = 24_000_000
+SHARD_IDS = 16_000_000
+#: Documents whose boundaries are decoded at once when a shard is read.
+BLOCK_DOCS = 4096
 _RESULT = "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint"
 
 
@@ -71,8 +74,10 @@ class Shard:
     def document(self, i: int) -> np.ndarray:
         return self.ids[self.ends.select(i - 1) if i else 0 : self.ends.select(i)]
 
-    def doc_ids(self) -> list[int | None]:
-        return [None] * self.nulls + (self.names.all().astype(np.int64) + self.least).tolist()
+    def doc_ids(self, start: int = 0, stop: int | None = None) -> list[int | None]:
+        stop = len(self) if stop is None else stop
+        none, first = max(0, min(self.nulls, stop) - start), max(0, start - self.nulls)
+        return [None] * none + (self.names.slice(first, max(first, stop - self.nulls)).astype(np.int64) + self.least).tolist()
 
 
 def _write(uri: str, path: str, end: int):
@@ -129,9 +134,18 @@ def write_shards(docs: DataFrame, tokenizer_path: str, doc_id: str = "doc_id", t
     for r in sorted(rows, key=lambda r: (r["part"], r["serial"])):
         manifest.append({"name": r["name"], "start": at, "n_ids": r["n_ids"], "n_docs": r["n_docs"], "uri": uri})
         at += r["n_ids"]
+    with store.open_output_stream(f"{base}/manifest.json") as f:
+        f.write(json.dumps([{k: v for k, v in m.items() if k != "uri"} for m in manifest]).encode())
     return manifest
 
 
+def read_manifest(uri: str) -> list[dict]:
+    """The manifest that :func:`write_shards` left beside its shards."""
+    store, base = fs.FileSystem.from_uri(uri)
+    with store.open_input_stream(f"{base}/manifest.json") as f:
+        return [m | {"uri": uri} for m in json.loads(f.read())]
+
+
 def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for entry in batch.to_pylist():
@@ -140,10 +154,12 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 shard = Shard(f.read())
             if len(shard) != entry["n_docs"] or shard.n_ids != entry["n_ids"]:
                 raise ValueError(f"{entry['name']} does not agree with the manifest")
-            ends = shard.ends.all().astype(np.int64)
-            starts = np.concatenate([[0], ends[:-1]])
-            crc = [zlib.crc32(shard.ids[a:b].astype("<u4").tobytes()) for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
-            yield pa.record_batch([pa.array(shard.doc_ids(), pa.int64()), pa.array(starts + entry["start"]), pa.array(ends - starts), pa.array(crc, pa.int64())], ["doc_id", "start", "n_tokens", "ids_crc32"])
+            for lo in range(0, len(shard), BLOCK_DOCS):
+                hi = min(lo + BLOCK_DOCS, len(shard))
+                ends = shard.ends.slice(lo, hi).astype(np.int64)
+                starts = np.concatenate([[shard.ends.select(lo - 1) if lo else 0], ends[:-1]])
+                crc = [zlib.crc32(shard.ids[a:b].astype("<u4").tobytes()) for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
+                yield pa.record_batch([pa.array(shard.doc_ids(lo, hi), pa.int64()), pa.array(starts + entry["start"]), pa.array(ends - starts), pa.array(crc, pa.int64())], ["doc_id", "start", "n_tokens", "ids_crc32"])
 
 
 def read_shards(spark, manifest: list[dict]) -> DataFrame:
