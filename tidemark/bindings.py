@@ -606,14 +606,16 @@ def tracks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return features.track_links(c, ["s_nationkey"])
 
 
-@query()
+@query("SELECT page_id, true AS same FROM pages")
 def text_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A compact form of each page's visible lines, decoded again."""
+    """A compact form of each page's visible lines, decoded again: it is the same text."""
     lines = F.concat(F.lit("page\n"), F.array_join(F.transform(F.filter(F.split(text.strip_tags(F.col("html")), r"[.,] "), lambda s: s != ""), lambda s: F.concat(F.lit("  "), s)), "\n"))
-    return text.encode_column(table(spark, sf_dir, "pages").select("page_id", lines.alias("text"))).select("page_id", F.octet_length("text").alias("before"), F.octet_length("result").alias("after"), "error")
+    pages = table(spark, sf_dir, "pages").select("page_id", lines.alias("text"))
+    coded = text.encode_column(pages).select("page_id", F.col("text").alias("plain"), F.col("result").alias("text"))
+    return text.decode_column(coded).select("page_id", F.col("plain").eqNullSafe(F.col("result")).alias("same"))
 
 
-@query()
+@query("""SELECT event_id, '{' || chr(10) || '  "version": 2,' || chr(10) || '  "key_number": ' || json_extract_string(props, '$.k') || chr(10) || '}' || chr(10) AS migrated, 3 AS changes, 0 AS problems FROM events""")
 def json_migration(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tidemark.operators.migrate import migrate_column
 
@@ -628,21 +630,24 @@ def pod_modes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return modal.pod(m, "l_suppkey", "step", ["u"])[1]
 
 
-@query()
+@query(f"""WITH {_E} SELECT w.event_type AS run, w.win AS window_no, w.n, round(w.mean, 6) + 0.0 AS mean, round(w.sd, 6) + 0.0 AS sd, w.cycles, CASE WHEN w.win = dec.win THEN dec.status ELSE 'running' END AS status
+FROM w JOIN dec ON w.event_type = dec.event_type AND (dec.win IS NULL OR w.win <= dec.win)""")
 def streaming_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The window gate over the events as a stream of micro-batches."""
+    import tempfile
     import uuid
 
     from tidemark.streaming.gate import streaming_gate as gate
 
     e = _events(spark, sf_dir).select(F.col("event_type").alias("run"), F.col("i").cast("bigint").alias("i"), "value")
-    base = ship(spark).conf.get("spark.checkpoint.dir", None) or "/tmp"
+    base = ship(spark).conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="tidemark-")  # unset in tests only
     root = f"{base.rstrip('/')}/tidemark/stream-{uuid.uuid4().hex}"
     e.write.parquet(f"{root}/in")
     stream = spark.readStream.schema(e.schema).parquet(f"{root}/in")
     q = gate(stream, SIZE).writeStream.format("parquet").option("path", f"{root}/out").option("checkpointLocation", f"{root}/state").outputMode("append").trigger(availableNow=True).start()
     q.awaitTermination()
-    return spark.read.schema("run string, window bigint, n bigint, mean double, sd double, cycles bigint, status string").parquet(f"{root}/out")
+    out = spark.read.schema("run string, window bigint, n bigint, mean double, sd double, cycles bigint, status string").parquet(f"{root}/out")
+    return out.withColumn("mean", rounded("mean")).withColumn("sd", rounded("sd")).withColumnRenamed("window", "window_no")
 
 
 @query("SELECT source, CAST(round_even(length(text) / 2.5, 0) AS BIGINT) AS tokens, doc_id FROM documents")
