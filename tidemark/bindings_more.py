@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.bindings import query, rounded, table
 from tidemark.functions import expr
-from tidemark.operators import accounts, features, lattice, ledger, neighbours, rules, sample, signals, text, windows
+from tidemark.operators import accounts, diff, features, lattice, ledger, neighbours, rules, sample, signals, text, windows
+from tidemark.sources import readers
 
 # --- columns and keys ------------------------------------------------------------------------------------------------
 
@@ -298,6 +302,146 @@ def setup_marks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "part").select("p_partkey", text.has_marks(F.col("p_name")).alias("marks"))
 
 
+# --- files written and read again ----------------------------------------------------------------------------------------------
+
+
+def _folder(spark: SparkSession, name: str) -> str:
+    """A new place in the shared folder for exports."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="tidemark-")  # unset in tests only
+    return f"{base.rstrip('/')}/tidemark/{name}-{uuid.uuid4().hex}"
+
+
+@query("SELECT s_suppkey::DOUBLE AS x, s_acctbal AS volume FROM supplier WHERE s_acctbal > 0")
+def csv_strict(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Suppliers exported with units in the header; rows without a positive volume are rejected."""
+    path = _folder(spark, "csv")
+    table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("X (m)"), F.col("s_name").alias("note"), F.col("s_acctbal").alias("Volume (m^3)")).coalesce(1).write.csv(path, header=True)
+    return readers.read_csv_strict(spark, path, {"x": "X", "volume": "Volume"}, positive=("volume",))[0]
+
+
+@query("SELECT CAST(s_acctbal AS VARCHAR) AS volume, 'volume is not positive' AS reason FROM supplier WHERE s_acctbal <= 0")
+def csv_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = _folder(spark, "csv")
+    table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("X (m)"), F.col("s_acctbal").alias("Volume (m^3)")).coalesce(1).write.csv(path, header=True)
+    return readers.read_csv_strict(spark, path, {"x": "X", "volume": "Volume"}, positive=("volume",))[1].select("volume", "reason")
+
+
+@query("SELECT n_nationkey::BIGINT AS a, n_name AS b FROM nation")
+def csv_commented(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = _folder(spark, "txt")
+    n = table(spark, sf_dir, "nation").orderBy("n_nationkey")
+    lines = n.agg(F.concat_ws("\n", F.lit("# nations"), F.lit("a,b"), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("n_nationkey", "n_name"))), lambda s: F.concat_ws(",", s["n_nationkey"].cast("string"), s["n_name"])), "\n")).alias("value"))
+    lines.coalesce(1).write.text(path)
+    return readers.read_csv_commented(spark, path, "a bigint, b string")[0]
+
+
+@query("SELECT sha256(p_name) AS sha256, 'p/' || p_partkey AS path FROM part")
+def hash_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = _folder(spark, "list")
+    table(spark, sf_dir, "part").select(F.concat(F.sha2("p_name", 256), F.lit("  p/"), F.col("p_partkey").cast("string")).alias("value")).write.text(path)
+    return readers.read_hash_list(spark, path)
+
+
+@query("SELECT 'capsule_x' AS capsule, r_regionkey || '.txt' AS path, length(r_name)::BIGINT + 1 AS length, sha256(r_name || chr(10)) AS digest FROM region")
+def artifact_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A tree of small files, as an export leaves it."""
+    root = _folder(spark, "tree")
+    for r in table(spark, sf_dir, "region").collect():  # one file per region
+        spark.createDataFrame([(r["r_name"],)], "value string").coalesce(1).write.mode("append").text(f"{root}/capsule_x/{r['r_regionkey']}.txt.d")
+    files = readers.scan_artifacts(spark, root).filter(F.col("path").rlike(r"/part-[^/]*\.txt$"))
+    return files.select("capsule", F.regexp_extract("path", r"^([^/]*)\.d/", 1).alias("path"), "length", F.sha2("content", 256).alias("digest"))
+
+
+@query("SELECT n_regionkey::INT AS region, n_name AS name FROM nation")
+def project_named(spark: SparkSession, sf_dir: str) -> DataFrame:
+    n = table(spark, sf_dir, "nation").select(F.col("n_name").alias("Name [text]"), F.col("n_nationkey").alias("Key"), F.col("n_regionkey").cast("int").alias("Region (id)"))
+    return readers.project_named(n, {"region": "Region", "name": "Name"})
+
+
+# --- agreements, sets and corrections --------------------------------------------------------------------------------------------
+
+
+@query("SELECT round(a, 2) + 0.0 AS route_a, round(b, 2) + 0.0 AS route_b, abs(a - b) / greatest(abs(a), abs(b)) < 1e-9 AS agree FROM (SELECT sum(o_totalprice) AS a FROM orders), (SELECT sum(v) AS b FROM (SELECT sum(o_totalprice) AS v FROM orders GROUP BY o_custkey))")
+def two_route_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    o = table(spark, sf_dir, "orders")
+    c = accounts.two_route_check(o.agg(F.sum("o_totalprice").alias("v")), o.groupBy("o_custkey").agg(F.sum("o_totalprice").alias("p")).agg(F.sum("p").alias("v")), "v")
+    return c.select(rounded("route_a", 2).alias("route_a"), rounded("route_b", 2).alias("route_b"), (F.col("difference") < 1e-9).alias("agree"))
+
+
+@query("SELECT (SELECT count(*) FROM lineitem) AS n, (SELECT max(l_partkey) FROM lineitem) AS top, false AS agree")
+def three_way_equal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    li = table(spark, sf_dir, "lineitem")
+    one = li.agg(F.count(F.lit(1)).alias("n"), F.max("l_partkey").alias("top"))
+    return diff.three_way_equal([one, one, one.withColumn("top", F.col("top") + 1)], ["n", "top"])
+
+
+@query("""WITH a AS (SELECT DISTINCT p_type FROM part WHERE p_size <= 20), b AS (SELECT DISTINCT p_type FROM part WHERE p_size > 20)
+SELECT (SELECT coalesce(string_agg(p_type, ',' ORDER BY p_type), '') FROM a WHERE p_type NOT IN (FROM b)) AS only_first, (SELECT coalesce(string_agg(p_type, ',' ORDER BY p_type), '') FROM b WHERE p_type NOT IN (FROM a)) AS only_second, (SELECT coalesce(string_agg(p_type, ',' ORDER BY p_type), '') FROM a WHERE p_type IN (FROM b)) AS both_sides""")
+def key_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = table(spark, sf_dir, "part").select("p_type", F.when(F.col("p_size") <= 20, "low").otherwise("high").alias("side"))
+    k = accounts.key_sets(p, "side", "p_type", ("low", "high"))
+    return k.select(F.array_join("only_first", ",").alias("only_first"), F.array_join("only_second", ",").alias("only_second"), F.array_join("both", ",").alias("both_sides"))
+
+
+@query("SELECT event_id, event_id % 3 <> 0 AS equal FROM events")
+def contract_equal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two spellings of one contract; every third differs in value."""
+    e = table(spark, sf_dir, "events")
+    a = e.select("event_id", F.concat(F.lit('{"a": 1, "b": '), F.col("event_id").cast("string"), F.lit("}")).alias("c"))
+    b = e.select("event_id", F.concat(F.lit('{ "b":'), (F.col("event_id") + F.when(F.col("event_id") % 3 == 0, 1).otherwise(0)).cast("string"), F.lit(',"a":1 }')).alias("c"))
+    return accounts.contract_equal(a, b, ["event_id"], "c")
+
+
+@query("SELECT vec_id, abs(vec_id % 256 - 128) <= 2 AND (vec_id % 7 <> 0 OR abs(128 - 0) <= 2) AS masked FROM embeddings")
+def corners_masked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pictures of two pixels: the left one carries the id, the right one is the mask except on every seventh."""
+    v = (F.col("vec_id") % 256).cast("int")
+    other = F.when(F.col("vec_id") % 7 == 0, 0).otherwise(128)
+    frames = table(spark, sf_dir, "embeddings").select("vec_id", F.lit(2).alias("width"), F.array(v, v, v, other, other, other).alias("pixels"))
+    return accounts.corners_masked(frames, (128, 128, 128)).select("vec_id", "masked")
+
+
+@query("""WITH n AS (SELECT c_nationkey, c_mktsegment AS track, count(*) OVER (PARTITION BY c_nationkey, c_mktsegment) AS n, c_custkey FROM customer), s AS (SELECT c_nationkey, count(DISTINCT track) FILTER (WHERE n < 10) AS fragments FROM n GROUP BY 1)
+SELECT n.c_nationkey, track, c_custkey, fragments FROM n JOIN s USING (c_nationkey) WHERE n >= 10""")
+def long_tracks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = table(spark, sf_dir, "customer").select("c_nationkey", F.col("c_mktsegment").alias("track"), "c_custkey")
+    return features.long_tracks(c, ["c_nationkey"], 10).withColumn("fragments", F.col("fragments").cast("bigint"))
+
+
+@query("""WITH s AS (SELECT l_suppkey, l_linenumber::DOUBLE AS t, sum(l_quantity) AS y FROM lineitem GROUP BY ALL), d AS (SELECT *, lead(t) OVER (PARTITION BY l_suppkey ORDER BY t) - t AS dt, min(t) OVER (PARTITION BY l_suppkey) AS a, max(t) OVER (PARTITION BY l_suppkey) AS b FROM s),
+k AS (SELECT *, first_value(dt) OVER (PARTITION BY l_suppkey ORDER BY t) AS step FROM d) SELECT l_suppkey, t, a <= 2 + step / 2 AND b >= 5 - step / 2 AS spans FROM k WHERE t BETWEEN 2 - 1e-6 * step AND 5 + 1e-6 * step""")
+def search_window(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = table(spark, sf_dir, "lineitem").groupBy("l_suppkey", F.col("l_linenumber").cast("double").alias("t")).agg(F.sum("l_quantity").alias("y"))
+    return signals.search_window(s, ["l_suppkey"], 2.0, 5.0).select("l_suppkey", "t", "spans")
+
+
+@query("WITH s AS (SELECT DISTINCT l_suppkey, l_linenumber::DOUBLE AS t FROM lineitem) SELECT l_suppkey, t FROM (SELECT *, min(t) OVER (PARTITION BY l_suppkey) AS a FROM s) WHERE t > greatest(a + 0.01, 3)")
+def settled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = table(spark, sf_dir, "lineitem").select("l_suppkey", F.col("l_linenumber").cast("double").alias("t")).distinct()
+    return signals.settled(s, ["l_suppkey"], 3.0)
+
+
+@query("""SELECT o_orderkey, round(24.0 / re * (1 + 0.15 * pow(re, 0.681)) + 0.407 / (1 + 8710 * pow(re, -1)), 6) + 0.0 AS drag, round(-3.3265 / re + 0.1816 + 1.6e-4 * re, 6) + 0.0 AS strouhal, round((re - 150) / 150 * 100, 6) + 0.0 AS percent, 're' || lpad(CAST(CAST(re AS BIGINT) AS VARCHAR), 4, '0') AS alias
+FROM (SELECT o_orderkey, 50.0 + o_orderkey % 400 AS re FROM orders)""")
+def correlations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    o = table(spark, sf_dir, "orders").select("o_orderkey", (50.0 + F.col("o_orderkey") % 400).alias("re"))
+    return o.select("o_orderkey", rounded(expr.drag_correlation("re", 0.15, 0.681, 0.407, 8710, -1)).alias("drag"), rounded(expr.strouhal_correlation("re")).alias("strouhal"), rounded(expr.percent_error("re", F.lit(150.0))).alias("percent"), expr.sweep_alias("re", F.col("re").cast("bigint")).alias("alias"))
+
+
+@query("SELECT p_partkey, p_size * (p_retailprice - 100) / 256 AS level, (p_size + p_partkey % 5 + 7) / 3.0 AS grey, p_size = p_partkey % 5 AND p_size = 7 AS is_grey, trim(regexp_replace(p_name || ' (m)', '\\s*\\(.*$', '')) AS base FROM part")
+def colours_and_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    r, g, b = F.col("p_size"), F.col("p_partkey") % 5, F.lit(7)
+    return table(spark, sf_dir, "part").select("p_partkey", expr.level_value("p_size", F.lit(100.0), "p_retailprice").alias("level"), expr.grey(r, g, b).alias("grey"), expr.is_grey(r, g, b).alias("is_grey"), expr.header_base(F.concat("p_name", F.lit(" (m)"))).alias("base"))
+
+
+@query("SELECT event_type, round(avg(value), 6) + 0.0 AS mean, round(sqrt(greatest(var_pop(value), 0)), 6) + 0.0 AS rms, count(*) AS n FROM events GROUP BY 1")
+def running_field_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidemark.streaming.gate import running_field_stats as running
+
+    r = running(table(spark, sf_dir, "events").select("event_type", "value"), "event_type", "value")
+    return r.withColumn("mean", rounded("mean")).withColumn("rms", rounded("rms"))
+
+
 # --- the moving stop ----------------------------------------------------------------------------------------------------------
 
 

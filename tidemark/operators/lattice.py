@@ -24,11 +24,15 @@ def uniform_spacing(axis: DataFrame, key: list[str], value: str, tolerance: floa
 
 
 def lattice_missing(nodes: DataFrame, a: str, b: str, key: list[str] | None = None) -> DataFrame:
-    """Nodes of the full lattice (all a times all b of a key) that are not there."""
+    """Nodes of the full lattice (all a times all b of a key) that are not there.
+
+    The values of b travel as one array per key, so only what is missing becomes rows; the full product never does.
+    """
     key = key or []
-    left, right = nodes.select(*key, a).distinct(), nodes.select(*key, b).distinct()
-    full = left.join(right, key) if key else left.crossJoin(F.broadcast(right) if right.count() <= 1_000_000 else right)
-    return full.join(nodes.select(*key, a, b).distinct(), [*key, a, b], "left_anti")
+    there = nodes.groupBy(*key, a).agg(F.collect_set(b).alias("_have"))
+    every = nodes.groupBy(*key).agg(F.collect_set(b).alias("_all"))
+    both = there.join(every, key) if key else there.crossJoin(F.broadcast(every))  # one row
+    return both.select(*key, a, F.explode(F.array_except("_all", "_have")).alias(b))
 
 
 def inside_body(coords: list[Column], half_widths: list[float], tolerance: float = 1e-6) -> Column:

@@ -38,13 +38,13 @@ def concentration(df: DataFrame, weight: Column, volume: Column, marks: tuple[fl
     """For each mark the share of weight and of volume in that share of the rows, heaviest first (at least one row).
 
     Equal weights are taken together, and rows of one weight count in proportion. Running sums go over distinct weights
-    within bins of the weight's range; only the totals of at most ``bins`` bins are added up in one task, and rows are
+    within bins of about equally many distinct weights, however heavy the tail; only the totals of at most ``bins`` bins are added up in one task, and rows are
     never ordered as a whole.
     """
     per = df.groupBy(weight.cast("double").alias("w")).agg(F.count(F.lit(1)).alias("n"), F.sum(volume).alias("v")).filter(F.col("w").isNotNull())
-    ends = per.agg(F.min("w").alias("_lo"), F.max("w").alias("_hi"))
-    place = F.when(F.col("_hi") > F.col("_lo"), F.least(F.floor((F.col("w") - F.col("_lo")) / (F.col("_hi") - F.col("_lo")) * bins), F.lit(bins - 1))).otherwise(0)
-    per = per.crossJoin(F.broadcast(ends)).withColumn("bin", place.cast("int")).drop("_lo", "_hi")  # one row
+    edges = per.agg(F.approx_percentile("w", F.array(*[F.lit(k / 256) for k in range(1, 256)]), F.lit(4 * bins)).alias("_edges"))
+    coarse = F.size(F.filter("_edges", lambda e: e <= F.col("w")))  # quantiles, so no bin holds much more than others
+    per = per.crossJoin(F.broadcast(edges)).withColumn("bin", coarse.cast("int")).drop("_edges")  # one row
     down = Window.orderBy(F.col("bin").desc()).rowsBetween(Window.unboundedPreceding, -1)
     every = Window.partitionBy()
     whole = per.groupBy("bin").agg(F.sum("n").alias("bn"), F.sum(F.col("w") * F.col("n")).alias("bw"), F.sum("v").alias("bv"))
