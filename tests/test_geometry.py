@@ -122,3 +122,16 @@ def test_principal_axis_of_a_line(spark):
     df = spark.createDataFrame([("a", float(i), 0.5 * i) for i in range(10)], "k string, x double, y double")
     r = features.principal_axis(df, ["k"], "x", "y").first()
     assert r["axis_angle"] == pytest.approx(math.degrees(math.atan(0.5))) and r["planarity"] == pytest.approx(1.0)
+
+
+def test_pod_energies_match_numpy_with_gaps(spark):
+    """Two values per node, nodes without some steps: energies are those of the matrix of fluctuations."""
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(40, 2, 6))
+    there = rng.random((40, 6)) < 0.8
+    rows = [(n, k, float(x[n, 0, k]), float(x[n, 1, k])) for n in range(40) for k in range(6) if there[n, k]]
+    energies, _, _ = modal.pod(spark.createDataFrame(rows, "node long, step long, u double, v double").repartition(5), "node", "step", ["u", "v"], share=1.0)
+    m = np.where(there[:, None, :], x, np.nan)
+    m = np.nan_to_num(m - np.nanmean(m, axis=2, keepdims=True)).reshape(-1, 6)
+    want = np.sort(np.linalg.eigvalsh(m.T @ m / 40 / 6))[::-1]
+    assert np.allclose(energies, want[: len(energies)], atol=1e-9)

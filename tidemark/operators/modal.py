@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -34,24 +38,47 @@ def discretization(df: DataFrame, key: list[str], fine: str, medium: str, coarse
     return rows.select(*key, "behaviour", "p", extrapolated.alias("extrapolated"), gci.alias("gci_fine"), "status")
 
 
+def _inner_products(steps: int, values: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((steps, steps))
+        for batch in batches:
+            for lo in range(0, batch.num_rows, 256):  # so many nodes at once are a matrix of at most 256 x values x steps
+                part = batch.slice(lo, 256)
+                n = pc.list_value_length(part.column("at")).to_numpy()
+                x = np.zeros((part.num_rows, values, steps))
+                x[np.repeat(np.arange(len(n)), n), :, part.column("at").flatten().to_numpy()] = part.column("x").flatten().flatten().to_numpy().reshape(-1, values)
+                flat = x.reshape(-1, steps)
+                total += flat.T @ flat
+        yield pa.record_batch([pa.array(np.arange(steps, dtype=np.int32)), pa.array([row.tobytes() for row in total], pa.binary())], ["i", "c"])
+
+    return run
+
+
+def _added(rows: pa.Table) -> pa.Table:
+    """The sum of one row of all tasks' matrices."""
+    total = sum(np.frombuffer(c) for c in rows.column("c").to_pylist())
+    return pa.table({"i": rows.column("i").slice(0, 1), "c": pa.array([total.tobytes()], pa.binary())})
+
+
 def pod(snapshots: DataFrame, node: str, step: str, values: list[str], share: float = 0.999, most_steps: int = 2048) -> tuple[list[float], DataFrame, DataFrame]:
     """Energies (with their running share), modes (node, k, one column per value) and coefficients (step, k, a), by the method of snapshots.
 
-    The fluctuation about the time mean is taken per node; the matrix of inner products is a grouped sum over an equi-join
-    on the node, steps x steps rows; only this matrix, of a checked size, is decomposed on the driver.
+    The fluctuation about the time mean is taken per node; a node without a step does not move there. Each task adds up
+    the inner products of its nodes in numpy, rows of these matrices are summed by row number, and only the one matrix, of
+    a checked size, is decomposed on the driver.
     """
     steps = [r[0] for r in snapshots.select(step).distinct().orderBy(step).limit(most_steps + 1).collect()]
     if len(steps) > most_steps:
         raise ValueError(f"more than {most_steps} snapshots; thin them out or work in blocks")
     mean = snapshots.groupBy(node).agg(*[F.avg(v).alias(f"_m{v}") for v in values])
     moving = snapshots.join(mean, node).select(node, step, *[(F.col(v) - F.col(f"_m{v}")).alias(v) for v in values])
-    per_node = moving.groupBy(node).agg(F.sort_array(F.collect_list(F.struct(step, *values))).alias("_s"))  # at most ``most_steps`` entries
+    place = snapshots.sparkSession.createDataFrame([(s, k) for k, s in enumerate(steps)], f"`{step}` {dict(snapshots.dtypes)[step]}, _k int")
+    per_node = moving.join(F.broadcast(place), step).groupBy(node).agg(F.collect_list("_k").alias("at"), F.collect_list(F.array(*[F.col(v).cast("double") for v in values])).alias("x"))  # at most ``most_steps`` entries
     nodes = per_node.count()
-    pairs = per_node.select(F.posexplode("_s").alias("i", "x"), "_s").select("i", "x", F.posexplode("_s").alias("j", "y")).filter("i <= j")
-    inner = sum((F.col(f"x.{v}") * F.col(f"y.{v}") for v in values), F.lit(0.0))
+    rows = per_node.select("at", "x").mapInArrow(_inner_products(len(steps), len(values)), "i int, c binary").groupBy("i").applyInArrow(_added, "i int, c binary").toArrow()
     matrix = np.zeros((len(steps), len(steps)))
-    for r in pairs.groupBy("i", "j").agg((F.sum(inner) / nodes).alias("c")).collect():  # steps squared over two
-        matrix[r["i"], r["j"]] = matrix[r["j"], r["i"]] = r["c"]
+    for i, c in zip(rows.column("i").to_pylist(), rows.column("c").to_pylist(), strict=True):
+        matrix[i] = np.frombuffer(c) / nodes
     power, vectors = np.linalg.eigh(matrix / len(steps))
     power, vectors = np.maximum(power[::-1], 0), vectors[:, ::-1]
     cumulative = np.cumsum(power) / max(power.sum(), 1e-300)
