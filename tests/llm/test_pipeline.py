@@ -72,6 +72,46 @@ def test_run_gives_the_same(spark, folder):
     assert starts[0][0] == 0 and all(a + n == b for (a, n), (b, _) in zip(starts, starts[1:]))
 
 
+CLASH = ["_sized", "log_weight", "evidence", "Key", "_digest", "digest", "root", "node", "mix_source", "mix_goal", "_copy", "row", "hash", "fp"]
+
+
+def odd_tables(spark, out, docs, labels=True, items=True):
+    names = "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"{c} string" for c in CLASH)
+    spark.createDataFrame([(*d, *CLASH) for d in docs], names).write.parquet(f"{out}/documents.parquet")
+    spark.createDataFrame([(1, 1, 0), (2, 0, 1), (None, 1, 0), (3, None, None)] if labels else [], "doc_id long, quality int, toxic int").write.parquet(f"{out}/labels.parquet")
+    spark.createDataFrame([(None, None), (1, ""), (2, "a benchmark passage that is long enough to be looked for in segments")] if items else [], "item_id long, text string").write.parquet(f"{out}/benchmark.parquet")
+    return spark.read.parquet(f"{out}/documents.parquet")
+
+
+ODD = [(1, "sea wind stone", "en", "a", 14), (2, None, None, None, None), (None, "sea wind stone", "en", None, 14), (None, "another text without an id", "en", "b", 0), (3, "", "en", "a", 0), (3, "x " * 60_000, "en", "a", 0), (3, "x " * 60_000, "en", "a", 0), (4, "same", "en", "a", 0), (4, "different", "en", "b", 0)]
+
+
+def test_stages_take_odd_rows_and_clashing_columns(spark, tmp_path):
+    frame = odd_tables(spark, str(tmp_path), ODD)
+    for name, stage in corpus_pipeline.STAGES:
+        after = stage(spark, frame, str(tmp_path))
+        rows = after.collect()
+        if name != "tokens":
+            assert after.columns == frame.columns and all([r[c] for c in CLASH] == CLASH for r in rows)
+        if name == "near_dedup":  # the copies of "sea wind stone" and of the long text are one row each; null and empty text are copies
+            assert sorted((repr(r["doc_id"]), (r["text"] or "")[:9]) for r in rows) == sorted([("1", "sea wind "), ("2", ""), ("None", "another t"), ("3", "x x x x x"), ("4", "same"), ("4", "different")])
+        frame = spark.createDataFrame(rows, after.schema) if rows else after.limit(0)
+    assert len(rows) >= 4
+
+
+def test_stages_take_empty_tables(spark, tmp_path):
+    frame = odd_tables(spark, str(tmp_path), [], labels=False, items=False)
+    for name, stage in corpus_pipeline.STAGES:
+        after = stage(spark, frame, str(tmp_path))
+        assert after.collect() == [] and (name == "tokens" or after.columns == frame.columns)
+
+
+def test_nothing_is_rejected_without_labels_or_items(spark, tmp_path):
+    frame = odd_tables(spark, str(tmp_path), ODD, labels=False, items=False)
+    stages = dict(corpus_pipeline.STAGES)
+    assert stages["quality"](spark, frame, str(tmp_path)).count() == stages["decontamination"](spark, frame, str(tmp_path)).count() == len(ODD)
+
+
 @pytest.mark.skipif(not os.path.isdir(SF), reason="the standard tables are not here")
 @pytest.mark.parametrize("name", sorted(queries.ORACLE_SQL))
 def test_query_equals_sql(spark, name):
