@@ -4,13 +4,14 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.operators.graph import components, proximity_links
 
-#: Tolerance of tracking: constant and share of the gap, and the longest gap.
+#: Tolerance of tracking, constant and share of the gap, and the longest gap.
 TRACK_BASE, TRACK_SLOPE, TRACK_GAP = 0.03, 0.35, 0.201
 
 
@@ -107,21 +108,16 @@ def track_links(clusters: DataFrame, key: list[str], base: float = TRACK_BASE, s
 
     def one(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.assign(_s=-pdf["circulation"].abs()).sort_values(["x", "_s"], kind="stable").drop(columns="_s").reset_index(drop=True)
+        x, y, z, sense = (pdf[c].to_numpy() for c in ("x", "y", "z", "sense"))
         heads: list[int] = []
         track = []
-        for i, c in pdf.iterrows():
-            best, least = None, math.inf
-            for k, j in enumerate(heads):
-                last = pdf.loc[j]
-                gap = c["x"] - last["x"]
-                if last["sense"] == c["sense"] and 0 < gap <= longest:
-                    d = math.hypot(c["y"] - last["y"], c["z"] - last["z"])
-                    if d <= base + slope * gap and d < least:
-                        best, least = k, d
-            if best is None:
-                best = len(heads)
-                heads.append(i)
-            heads[best] = i
+        for i in range(len(pdf)):
+            j = np.array(heads, int)
+            gap = x[i] - x[j]
+            d = np.hypot(y[i] - y[j], z[i] - z[j])
+            d[(sense[j] != sense[i]) | (gap <= 0) | (gap > longest) | (d > base + slope * gap)] = np.inf
+            best = int(d.argmin()) if len(d) and d.min() < np.inf else len(heads)
+            heads[best : best + 1] = [i]
             track.append(best)
         return pdf.assign(track=track)
 
