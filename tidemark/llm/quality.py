@@ -122,9 +122,8 @@ class Models:
 
     def judge(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Log importance weight and toxic evidence of each text."""
-        bucket, doc = ngram_buckets(texts, len(self.ratio))
-        weight = np.bincount(doc, weights=self.ratio[bucket], minlength=len(texts)).astype(float)
-        bucket, doc = ngram_buckets(texts, len(self.toxic))
+        bucket, doc = ngram_buckets(texts, len(self.toxic))  # a bucket of the larger table tells that of the smaller one
+        weight = np.bincount(doc, weights=self.ratio[bucket % len(self.ratio)], minlength=len(texts)).astype(float)
         told = np.flatnonzero(self.toxic[bucket])
         key = np.unique(doc[told] * len(self.toxic) + bucket[told])
         evidence = np.bincount(key // len(self.toxic), weights=self.toxic[key % len(self.toxic)], minlength=len(texts)).astype(float)
@@ -132,7 +131,9 @@ class Models:
 
 
 def fit(docs: DataFrame, sample: DataFrame, doc_id: str = "doc_id", text: str = "text", buckets: int = BUCKETS, toxic_buckets: int = TOXIC_BUCKETS, smooth: float = SMOOTH) -> Models:
-    """The models, counted in one pass over all documents."""
+    """The models, counted in one pass over all documents. ``toxic_buckets`` must be a multiple of ``buckets``."""
+    if toxic_buckets % buckets:
+        raise ValueError("toxic_buckets must be a multiple of buckets")
     known = F.broadcast(sample.filter("fits").select("label_id", "good", "toxic"))  # at most FIT_ROWS rows
     slim = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text"))
     marked = slim.join(known, F.col("doc_id") == F.col("label_id"), "left").select("text", "good", "toxic")
