@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tidemark.bindings import query, rounded, table
 from tidemark.functions import expr
-from tidemark.operators import accounts, diff, features, lattice, ledger, neighbours, rules, sample, signals, text, windows
+from tidemark.operators import accounts, diff, features, lattice, ledger, modal, neighbours, rules, sample, signals, text, windows
 from tidemark.sources import readers
 
 # --- columns and keys ------------------------------------------------------------------------------------------------
@@ -294,6 +294,54 @@ for _name, _rule, _sql in (
     query(f"WITH {_ART} " + _FOUND.format(_name.removeprefix("check_"), _sql))(_run)
 
 
+# --- JSON artifacts, one capsule per event: five kinds of each file -----------------------------------------------------------------
+
+_JSON = {
+    "summary.json": [
+        '{"reference":{"length_m":1},"environment":{"solver":"s","version":"1","build":"b","platform":"p","precision":"double"},"convergence":{"status":"converged"}}',
+        '{"environment":{"solver":"s","precision":"half"},"status":"draft","lift_n":2.5}',
+        '{"reference":{"velocity":3},"_todo":1,"extensions":["audio"],"convergence":{"status":"fine"}}',
+        "{,",
+        '{"reference":{"pressure_Pa":3,"rho":{"value":1,"unit":"kg"}},"numerics":{}}',
+    ],
+    "manifest.json": ['{"views":[{"colorbar":{"signed":true,"range":[-2,2]}}]}', '{"views":[{"colorbar":{"signed":true,"range":[-1,2]}}]}', '{"views":[{"colorbar":{"signed":1}}]}', '{"views":[{"colorbar":{"signed":true}}]}', "{}"],
+    "diff.json": ['{"base":{"commit":"main"}}', "{}", "[]", '{"schema_version":"1","base":{"alias":"a","repo":"r","commit":"0000000","path":"p","frozen_copy_path":"f"},"variant":{},"difference":{},"view_contract":{"colorbar_levels":256},"pipeline":{"pixels_evaluated":1},"pairs":[],"scalar_deltas":{},"known_differences":[]}', '{"pairs":1}'],
+    "modes/modes.json": ['{"modes":[{"energy_fraction":0.7,"cumulative":0.7},{"energy_fraction":0.2995,"cumulative":0.9995}]}', '{"modes":[{"energy_fraction":0.7,"cumulative":0.9}]}', '{"modes":[{"energy_fraction":1.7,"cumulative":1.7}]}', '{"modes":[{"energy_fraction":0.5,"cumulative":0.5}]}', '{"modes":[{"energy_fraction":0.9999,"cumulative":0.9999}]}'],
+}
+
+
+def _json_artifacts(spark: SparkSession, sf_dir: str, file: str) -> tuple[DataFrame, DataFrame]:
+    body = F.element_at(F.array(*map(F.lit, _JSON[file])), (F.col("event_id") % 5 + 1).cast("int")).cast("binary")
+    a = rules.texts(table(spark, sf_dir, "events").select(F.concat(F.lit("capsule_"), F.col("event_id").cast("string")).alias("capsule"), F.lit(file).alias("path"), body.alias("content"), F.octet_length(body).cast("bigint").alias("length")))
+    return a, rules.json_nodes(a.select("capsule", F.col("path").alias("file"), "text"))
+
+
+def _json_check(check, file: str):
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return check(*_json_artifacts(spark, sf_dir, file)).select("capsule", "severity").distinct()
+
+    return run
+
+
+_AT = "json_extract(t, '$.{0}') IS NOT NULL"
+for _rule, _file, _severity, _when in (
+    (rules.json_parses, "summary.json", "E", "NOT json_valid(t)"),
+    (rules.environment, "summary.json", "W", "json_extract(t, '$.environment') IS NULL OR json_extract(t, '$.numerics') IS NOT NULL OR json_extract(t, '$.environment.version') IS NULL OR json_extract_string(t, '$.environment.precision') NOT IN ('single', 'double', 'mixed')"),
+    (rules.reference_block, "summary.json", "E", "json_extract(t, '$.reference') IS NULL"),
+    (rules.dimensional_flags, "summary.json", "W", f"{_AT.format('lift_n')} OR {_AT.format('reference.velocity')} OR {_AT.format('reference.pressure_Pa')} OR {_AT.format('reference.rho.unit')}"),
+    (rules.publication_residue, "summary.json", "W", f"{_AT.format('status')} OR {_AT.format('_todo')}"),
+    (rules.extensions, "summary.json", "E", "json_extract_string(t, '$.extensions[0]') <> 'diff'"),
+    (rules.summary_blocks, "summary.json", "W", "json_extract_string(t, '$.convergence.status') NOT IN ('converged', 'stationary', 'not_stationary', 'no_steady_state')"),
+    (rules.signed_range, "manifest.json", "W", "json_type(t, '$.views[0].colorbar.signed') <> 'BOOLEAN' OR json_extract_string(t, '$.views[0].colorbar.signed') = 'true' AND (json_extract(t, '$.views[0].colorbar.range') IS NULL OR json_extract(t, '$.views[0].colorbar.range[0]')::DOUBLE + json_extract(t, '$.views[0].colorbar.range[1]')::DOUBLE <> 0)"),
+    (rules.diff_manifest, "diff.json", "E", "json_type(t) = 'OBJECT' AND (json_extract(t, '$.known_differences') IS NULL OR json_type(t, '$.pairs') <> 'ARRAY')"),
+    (rules.transient_layers, "modes/modes.json", "W", "abs(json_extract(t, '$.modes[0].energy_fraction')::DOUBLE - json_extract(t, '$.modes[0].cumulative')::DOUBLE) > 1e-3 OR json_extract(t, '$.modes[0].energy_fraction')::DOUBLE > 1 OR greatest(json_extract(t, '$.modes[0].cumulative')::DOUBLE, coalesce(json_extract(t, '$.modes[1].cumulative')::DOUBLE, 0)) < 0.998"),
+):
+    _run = _json_check(_rule, _file)
+    _run.__name__ = f"check_{_rule.__name__}"
+    _texts = ", ".join("'" + t.replace("'", "''") + "'" for t in _JSON[_file])
+    query(f"WITH a AS (SELECT 'capsule_' || event_id AS capsule, list_extract([{_texts}], CAST(event_id % 5 + 1 AS INTEGER)) AS t FROM events) SELECT capsule, '{_severity}' AS severity FROM a WHERE CASE WHEN {'true' if _rule is rules.json_parses else 'json_valid(t)'} THEN {_when} ELSE false END" + (" UNION ALL SELECT capsule, 'W' FROM a WHERE json_extract_string(t, '$.base.commit') = '0000000'" if _rule is rules.diff_manifest else ""))(_run)
+
+
 # --- texts -----------------------------------------------------------------------------------------------------
 
 
@@ -442,6 +490,20 @@ def running_field_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return r.withColumn("mean", rounded("mean")).withColumn("rms", rounded("rms"))
 
 
+# --- modes -----------------------------------------------------------------------------------------------------------------
+
+
+@query("SELECT l_suppkey, year(l_shipdate) AS step, round(sum(CAST(l_extendedprice AS DECIMAL(18,2)))::DOUBLE / 1e6, 4) + 0.0 AS u FROM lineitem GROUP BY ALL")
+def pod_reconstruct(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Yearly revenue per supplier, taken apart into all modes and put together again."""
+    li = table(spark, sf_dir, "lineitem")
+    m = li.groupBy("l_suppkey", F.year("l_shipdate").alias("step")).agg((F.sum(F.col("l_extendedprice").cast("decimal(18,2)")).cast("double") / 1e6).alias("u"))
+    _, modes, coefficients = modal.pod(m, "l_suppkey", "step", ["u"], share=1.0)
+    mean = m.groupBy("l_suppkey").agg(F.avg("u").alias("u"))
+    back = modal.reconstruct(modes, coefficients, "l_suppkey", "step", ["u"], mean)
+    return back.join(m.select("l_suppkey", "step"), ["l_suppkey", "step"]).withColumn("u", rounded("u", 4))
+
+
 # --- the moving stop ----------------------------------------------------------------------------------------------------------
 
 
