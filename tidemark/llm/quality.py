@@ -36,12 +36,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import _TO_LOWER, chunks, fresh, pieces, stored, utf8_of
+from tidemark.llm.common import _TO_LOWER, CHUNK_BYTES, chunks, fresh, pieces, stored, utf8_of
 
 #: Hash buckets of the n-gram models; additive smoothing per bucket; labelled rows used at most; seed of the noise.
 BUCKETS, SMOOTH, FIT_ROWS, SEED = 1 << 16, 1.0, 50_000, 7
 #: Buckets of the toxic models; how much likelier (log) an n-gram must be to tell; share of other documents that the limit may cost.
 TOXIC_BUCKETS, TELLING, LOSS = 1 << 18, 1.5, 0.005
+#: Bytes of text at once; n-grams take some 50 times that while they are counted.
+PART_BYTES = 1 << 20
 #: Bins per histogram of keys, and rows of the boundary bin that may be looked at on the driver.
 BINS, FEW = 4096, 10_000
 
@@ -89,7 +91,7 @@ def _count(buckets: int, toxic_buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         raw, good = np.zeros(buckets, np.int64), np.zeros(buckets, np.int64)
         toxic, other = np.zeros(toxic_buckets, np.int64), np.zeros(toxic_buckets, np.int64)
-        for batch in chunks(batches):
+        for batch in chunks(batches, limit=PART_BYTES):
             bucket, doc = ngram_buckets(batch.column("text"), buckets)
             target = batch.column("good").fill_null(False).to_numpy(zero_copy_only=False)
             raw += np.bincount(bucket, minlength=buckets)
@@ -157,7 +159,7 @@ def weigh(docs: DataFrame, models: Models, text: str = "text", weight: str = "lo
     shared = docs.sparkSession.sparkContext.broadcast(models)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in chunks_of(batches, text):
+        for batch in chunks_of(batches, text, PART_BYTES):
             w, e = shared.value.judge(batch.column(batch.schema.get_field_index(text)).fill_null(""))
             yield batch.append_column(weight, pa.array(w, pa.float64())).append_column(evidence, pa.array(e, pa.float64()))
 
@@ -165,11 +167,11 @@ def weigh(docs: DataFrame, models: Models, text: str = "text", weight: str = "lo
     return docs.mapInArrow(run, schema)
 
 
-def chunks_of(batches: Iterator[pa.RecordBatch], text: str) -> Iterator[pa.RecordBatch]:
+def chunks_of(batches: Iterator[pa.RecordBatch], text: str, limit: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
     """As :func:`common.chunks`, but nulls in ``text`` stay nulls in the batch that is passed on."""
     for batch in batches:
         (sized,) = fresh(batch.schema.names, "sized")
-        for part in chunks([batch.append_column(sized, pc.fill_null(batch.column(batch.schema.get_field_index(text)), ""))], sized):
+        for part in chunks([batch.append_column(sized, pc.fill_null(batch.column(batch.schema.get_field_index(text)), ""))], sized, limit):
             yield part.drop_columns([sized])
 
 
