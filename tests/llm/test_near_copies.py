@@ -89,3 +89,8 @@ def test_copies_of_one_text_that_differ_from_each_other_stay_together(spark, mon
         rows.append((i, " ".join(own)))
     got = {r["root"] for r in nc.near_groups(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert len(got) == 1
+
+
+def test_packed_hashes_come_back():
+    x = np.random.default_rng(1).integers(0, 1 << 63, 1000, dtype=np.uint64)
+    assert np.array_equal(nc.unpacked(nc.packed(x).tobytes()), x & np.uint64((1 << 48) - 1)) and len(nc.unpacked(b"")) == 0
