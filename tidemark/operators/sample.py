@@ -42,7 +42,7 @@ def concentration(df: DataFrame, weight: Column, volume: Column, marks: tuple[fl
     never ordered as a whole.
     """
     per = df.groupBy(weight.cast("double").alias("w")).agg(F.count(F.lit(1)).alias("n"), F.sum(volume).alias("v")).filter(F.col("w").isNotNull())
-    edges = per.agg(F.approx_percentile("w", F.array(*[F.lit(k / 256) for k in range(1, 256)]), F.lit(4 * bins)).alias("_edges"))
+    edges = per.agg(F.approx_percentile("w", F.array(*[F.lit(k / 64) for k in range(1, 64)]), F.lit(bins)).alias("_edges"))
     coarse = F.size(F.filter("_edges", lambda e: e <= F.col("w")))  # quantiles, so no bin holds much more than others
     per = per.crossJoin(F.broadcast(edges)).withColumn("bin", coarse.cast("int")).drop("_edges")  # one row
     down = Window.orderBy(F.col("bin").desc()).rowsBetween(Window.unboundedPreceding, -1)
