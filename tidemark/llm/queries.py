@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import decontaminate, exact_dedup, language_id, language_model, mixing, pii, quality, simhash, token_files, warc
+from tidemark.llm import decontaminate, divergence, embedding_dedup, exact_dedup, fill_in_middle, language_id, language_model, mixing, pii, quality, simhash, token_files, warc
 from tidemark.llm.common import table
 
 
@@ -59,5 +59,24 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_language_id, op2_token_files, op3_quality, op4_mixing, op5_simhash, op6_decontaminate, op7_warc_audit, op8_language_model, op9_pii, op10_exact_dedup)}
-ORACLE_SQL = {"op4_mixing": mixing.ORACLE, "op10_exact_dedup": exact_dedup.ORACLE}
+def op11_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
+def op12_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.embedding_groups(table(spark, sf_dir, "embeddings"))
+
+
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fill_in_middle.digests(table(spark, sf_dir, "documents"))
+
+
+NAMED = (
+    op1_language_id, op2_token_files, op3_quality, op4_mixing, op5_simhash, op6_decontaminate, op7_warc_audit, op8_language_model, op9_pii, op10_exact_dedup,
+    op11_divergence, op12_embedding_dedup, op13_fill_in_middle,
+)
+QUERIES = {f.__name__: f for f in NAMED}
+ORACLE_SQL = {
+    "op4_mixing": mixing.ORACLE, "op10_exact_dedup": exact_dedup.ORACLE, "op11_divergence": divergence.ORACLE, "op12_embedding_dedup": embedding_dedup.ORACLE,
+    "op13_fill_in_middle": fill_in_middle.ORACLE,
+}
