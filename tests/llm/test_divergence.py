@@ -30,7 +30,7 @@ def test_equals_sql(spark):
     compare_tables(spark, dv.audit, dv.ORACLE, {"documents": (docs(), SCHEMA)})
 
 
-@pytest.mark.parametrize(("block", "held"), [(400, 50), (3000, 7)])
+@pytest.mark.parametrize(("block", "held"), [(400, 50), (3000, 7), (60_000, 7)])
 def test_vocabularies_of_several_blocks_and_counts_handed_on_early(spark, monkeypatch, block, held):
     monkeypatch.setattr(dv, "BLOCK_BYTES", block)
     monkeypatch.setattr(dv, "HELD", held)

@@ -7,8 +7,9 @@ occurrences of whole terms are found and no others. The counts of (language, sou
 that a source lacks have a share that depends on the source alone, so a pair's sum over all kept terms is a sum over the
 terms that both have, over the distinct shares of either, and a product for those that neither has.
 
-The vocabulary grows with the corpus, so it is never broadcast whole: it is dealt by hash to blocks of about
-``BLOCK_BYTES`` bytes, and the second pass runs once per block. Terms of more than ``LONG`` bytes go by their digest, in
+The vocabulary grows with the corpus, so it is never broadcast whole. Languages are packed into blocks of at most
+``BLOCK_BYTES`` bytes, a larger one is dealt by hash to several blocks, and for each block the second pass reads the
+texts of its languages alone. Terms of more than ``LONG`` bytes go by their digest, in
 the automaton and in the texts, which bounds its size by the number of terms.
 
 Cases: null text, lang or source count as ''; texts without terms and empty texts still make their (lang, source) occur;
@@ -24,6 +25,7 @@ import re
 import uuid
 from collections import Counter
 from collections.abc import Iterator
+from operator import itemgetter
 
 import ahocorasick
 import pyarrow as pa
@@ -34,10 +36,10 @@ from pyspark.sql.window import Window
 from tidemark.llm.common import chunks, join_keyed, prepared, shared_dir, stored
 
 LEAST_DOCS, TOP_TERMS = 3, 200
-#: Bytes of kept terms in one automaton (a node for each takes some 60), and of a term that is not replaced by its digest.
-BLOCK_BYTES, LONG = 2 << 20, 200
+#: Bytes of the kept terms of a block (a node takes 40, and terms share their beginnings), and of a term that is not replaced by its digest.
+BLOCK_BYTES, LONG = 5 << 20, 200
 #: Counted terms that a task holds before it hands them on.
-HELD = 200_000
+HELD = 100_000
 #: Shares of the histograms of a language are dealt to so many parts.
 PARTS = 32
 
@@ -89,29 +91,30 @@ def kept_terms(docs: DataFrame) -> DataFrame:
 
 
 class Vocabulary:
-    """The automata of a block, one per language, made once per worker."""
+    """The kept terms of a block by language, and their automata, made once per worker."""
 
     _made: dict[str, dict] = {}
 
-    def __init__(self, terms: list[tuple[str, str]], name: str):
-        self.terms, self.name = terms, name
+    def __init__(self, terms: dict[str, list[str]]):
+        self.terms, self.name = terms, uuid.uuid4().hex
 
     def automata(self) -> dict[str, ahocorasick.Automaton]:
         if self.name not in self._made:
             self._made.clear()
-            out: dict[str, ahocorasick.Automaton] = {}
-            for i, (lang, term) in enumerate(self.terms):
-                raw = term.encode()
-                word = term if len(raw) <= LONG else _mark(raw).decode()
-                out.setdefault(lang, ahocorasick.Automaton(ahocorasick.STORE_INTS)).add_word(f" {word} ", i)
-            for a in out.values():
-                a.make_automaton()
-            self._made[self.name] = out
+            self._made[self.name] = {lang: self._automaton(terms) for lang, terms in self.terms.items()}
         return self._made[self.name]
 
+    @staticmethod
+    def _automaton(terms: list[str]) -> ahocorasick.Automaton:
+        out = ahocorasick.Automaton(ahocorasick.STORE_INTS)
+        for i, term in enumerate(terms):
+            raw = term.encode()
+            out.add_word(f" {term if len(raw) <= LONG else _mark(raw).decode()} ", i)
+        out.make_automaton()
+        return out
 
-def _found(found: Iterator[tuple[int, int]]) -> Iterator[int]:
-    return (i for _, i in found)
+
+_which = itemgetter(1)
 
 
 def _occurrences(vocabulary):
@@ -121,7 +124,7 @@ def _occurrences(vocabulary):
         automata, counts, held = block.automata(), {}, 0
 
         def rows() -> pa.RecordBatch:
-            named = {k: {block.terms[i][1]: n for i, n in c.items()} for k, c in counts.items() if c}
+            named = {k: {block.terms[k[0]][i]: n for i, n in c.items()} for k, c in counts.items() if c}
             return _rows(named, ["lang", "source", "term", "count"], pa.string())
 
         for batch in chunks(batches):
@@ -132,7 +135,7 @@ def _occurrences(vocabulary):
                 raw = _LONG.sub(lambda m: _mark(m[0]), _spaced(text))
                 own = counts.setdefault((lang, source), Counter())
                 before = len(own)
-                own.update(_found(automata[lang].iter(f" {raw.decode()} ")))
+                own.update(map(_which, automata[lang].iter(f" {raw.decode()} ")))
                 held += len(own) - before
             if held > HELD:
                 yield rows()
@@ -143,20 +146,48 @@ def _occurrences(vocabulary):
     return run
 
 
+def blocks_of(kept: DataFrame) -> list[tuple[Column, Column]]:
+    """Conditions on lang and term that deal kept terms to blocks, and on lang for the texts that each block needs.
+
+    The driver sees the languages that hold more than a sixteenth of a block; all others are dealt by hash.
+    """
+    lang, term = F.col("lang"), F.col("term")
+    weights = stored(kept.groupBy("lang").agg(F.sum(F.least(F.octet_length("term") + 2, F.lit(LONG + 2))).alias("weight")), "weights")
+    large = weights.filter(F.col("weight") > BLOCK_BYTES / 16)
+    out, packed, room = [], [], 0
+    for name, weight in sorted(map(tuple, large.collect()), key=lambda r: (-r[1], r[0])):
+        parts = -(-weight // BLOCK_BYTES)
+        if parts > 1:
+            out += [((lang == name) & (F.pmod(F.xxhash64(term), F.lit(parts)) == k), lang == name) for k in range(parts)]
+        elif packed and weight <= room:
+            packed[-1].append(name)
+            room -= weight
+        else:
+            packed.append([name])
+            room = BLOCK_BYTES - weight
+    out += [(lang.isin(names), lang.isin(names)) for names in packed]
+    rest = weights.filter(F.col("weight") <= BLOCK_BYTES / 16)
+    bins = -(-2 * (rest.agg(F.sum("weight")).first()[0] or 0) // BLOCK_BYTES)
+    if bins:
+        known = [r[0] for r in large.select("lang").collect()]
+        for k in range(bins):
+            own = ~lang.isin(known) & (F.pmod(F.xxhash64(lang), F.lit(bins)) == k)
+            out.append((own, own))
+    return out
+
+
 def postings(docs: DataFrame, kept: DataFrame) -> DataFrame:
     """lang, source, term, count (above 0) of the kept terms, written block by block."""
     spark = prepared(docs.sparkSession)
-    weight = F.octet_length("term") + 2
-    total = kept.agg(F.sum(F.least(weight, F.lit(LONG + 2)))).first()[0] or 0
-    blocks = -(-total // BLOCK_BYTES)
     path = shared_dir(spark, "postings")
     schema = "lang string, source string, term string, count bigint"
     spark.createDataFrame([], schema).write.parquet(path)
-    for k in range(blocks):
-        # Bounded: terms are dealt evenly and each weighs at most LONG bytes here.
-        own = [(r[0], r[1]) for r in kept.filter(F.pmod(F.xxhash64("term"), F.lit(blocks)) == k).toLocalIterator()]
-        vocabulary = spark.sparkContext.broadcast(Vocabulary(own, uuid.uuid4().hex))
-        found = docs.select("lang", "source", "text").mapInArrow(_occurrences(vocabulary), schema)
+    for of_terms, of_texts in blocks_of(kept):
+        terms: dict[str, list[str]] = {}
+        for lang, term in kept.filter(of_terms).toLocalIterator():  # a block, so bounded
+            terms.setdefault(lang, []).append(term)
+        vocabulary = spark.sparkContext.broadcast(Vocabulary(terms))
+        found = docs.filter(of_texts).select("lang", "source", "text").mapInArrow(_occurrences(vocabulary), schema)
         found.groupBy("lang", "source", "term").agg(F.sum("count").alias("count")).write.mode("append").parquet(path)
         vocabulary.unpersist()
     return spark.read.schema(schema).parquet(path)
