@@ -150,7 +150,7 @@ def test_both_ways_of_searching_a_key_agree():
             root[max(a, b)] = min(a, b)
         return [find(i) for i in range(len(fps))]
 
-    assert parts(simhash._forest_by_comparison(fps, 3)) == parts(simhash._forest_by_flips(fps, mask, 3))
+    assert parts(simhash.forest_by_comparison(fps, 3)) == parts(simhash._forest_by_flips(fps, mask, 3))
 
 
 def test_simhash_of_nothing(spark):

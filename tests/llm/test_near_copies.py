@@ -5,6 +5,7 @@ from __future__ import annotations
 import random
 
 import numpy as np
+import pytest
 
 import corpus_pipeline
 from tidemark.llm import near_copies as nc
@@ -62,33 +63,57 @@ def test_rows_without_id_or_with_repeated_ids(spark):
         assert sum(t in (" ".join(b), near(b)) for _, t in got) == 1
 
 
-def test_nearest_forest_is_the_least_one():
-    rng = np.random.default_rng(2)
-    for n in (1, 2, 40):
-        fps = (rng.integers(0, 1 << 63, 4, dtype=np.uint64)[rng.integers(0, 4, n)]) ^ (np.uint64(1) << rng.integers(0, 63, n).astype(np.uint64)) ^ (np.uint64(1) << rng.integers(0, 63, n).astype(np.uint64))
-        a, b = nc.nearest_forest(fps, 20)
-        links = sorted((int(fps[i] ^ fps[j]).bit_count(), i, j) for i in range(n) for j in range(i) if int(fps[i] ^ fps[j]).bit_count() <= 20)
-        root, cost, trees = list(range(n)), 0, 0
-        find = lambda i: i if root[i] == i else find(root[i])
-        for d, i, j in links:
-            if find(i) != find(j):
-                root[find(i)] = find(j)
-                cost, trees = cost + d, trees + 1
-        assert len(a) == trees and int(np.bitwise_count(fps[a] ^ fps[b]).sum()) == cost
-
-
-def test_copies_of_one_text_that_differ_from_each_other_stay_together(spark, monkeypatch):
-    """Copies of one original, each similar enough to it but not to each other: one group, whatever comes first."""
-    rng = random.Random(12)
-    words = [f"{rng.choice('abcdefgh')}{i}" for i in range(400)]
-    rows = [(500, " ".join(words))]
-    for i in range(60):
-        own = list(words)
-        for at in rng.sample(range(0, 400, 12), 5):
+def family(rng, copies, changed, words=400):
+    """A text and copies of it, each with its own words at ``changed`` random places."""
+    first = [f"{rng.choice('abcdefgh')}{rng.randrange(10**6)}" for _ in range(words)]
+    out = [first]
+    for i in range(copies):
+        own = list(first)
+        for at in rng.sample(range(words), changed):
             own[at] = f"x{i}_{at}"
-        rows.append((i, " ".join(own)))
-    got = {r["root"] for r in nc.near_groups(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
-    assert len(got) == 1
+        out.append(own)
+    return out
+
+
+def roots(spark, texts):
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")
+    return {r["doc_id"]: r["root"] for r in nc.near_groups(docs).collect()}
+
+
+def brute(texts):
+    """Components over all pairs that are similar enough."""
+    sets = [{tuple(t[i : i + 5]) for i in range(max(1, len(t) - 4))} for t in texts]
+    root = list(range(len(texts)))
+    find = lambda i: i if root[i] == i else find(root[i])
+    for i in range(len(texts)):
+        for j in range(i):
+            if 5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j]):
+                root[find(i)] = find(j)
+    return [find(i) for i in range(len(texts))]
+
+
+def same(found, expected):
+    return len({(found[i], e) for i, e in enumerate(expected)}) == len(set(found.values())) == len(set(expected))
+
+
+@pytest.mark.parametrize("tile", [2048, 16])
+def test_star_families_stay_together(spark, monkeypatch, tile):
+    """Copies of one text, each near it but not near each other, at random places: one group per family, in tiles too."""
+    monkeypatch.setattr(nc, "TILE_ROWS", tile)
+    texts = [t for seed in range(3) for changed in (5, 6, 7) for t in family(random.Random(10 * seed + changed), 120, changed)]
+    found = roots(spark, texts)
+    assert same(found, brute(texts)), len(set(found.values()))
+
+
+def test_chains_and_very_long_texts(spark, monkeypatch):
+    rng = random.Random(8)
+    chain = [[f"c{i}" for i in range(300)]]
+    for i in range(40):
+        chain.append([w if k not in (7 * i, 7 * i + 3) else f"y{i}" for k, w in enumerate(chain[-1])])
+    long_ = [f"l{rng.randrange(10**6)}" for _ in range(300_000)]
+    texts = [*chain, long_, [*long_[:-2], "other"], [f"m{i}" for i in range(50)]]
+    monkeypatch.setattr(nc, "TILE_BYTES", 20_000)
+    assert same(roots(spark, texts), brute(texts))
 
 
 def test_packed_hashes_come_back():

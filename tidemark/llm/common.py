@@ -7,6 +7,7 @@ lineage.
 
 from __future__ import annotations
 
+import itertools
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -160,3 +161,37 @@ def words_of(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
     kept = np.flatnonzero(~sep)
     starts = np.searchsorted(kept, at)
     return pieces(_TO_LOWER[data[kept]], np.append(starts, len(kept))), per
+
+
+def groups_of(batches: Iterator[pa.RecordBatch], by: list[str]) -> Iterator[pa.RecordBatch]:
+    """Rows come sorted by ``by``; yields the rows of each group, which may lie in several batches."""
+    held: list[pa.RecordBatch] = []
+    last = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        marks = np.stack([batch.column(c).to_numpy() for c in by])
+        cuts = [0, *(np.flatnonzero((marks[:, 1:] != marks[:, :-1]).any(axis=0)) + 1).tolist(), batch.num_rows]
+        for a, b in itertools.pairwise(cuts):
+            own = tuple(marks[:, a].tolist())
+            if held and own != last:
+                yield pa.concat_batches(held)
+                held = []
+            held.append(batch.slice(a, b - a))
+            last = own
+    if held:
+        yield pa.concat_batches(held)
+
+
+def hooked(root: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """``root`` after the ends of every link (i, j) got the same root."""
+    while True:
+        a, b = root[i], root[j]
+        open_ = a != b
+        if not open_.any():
+            return root
+        i, j, a, b = i[open_], j[open_], a[open_], b[open_]
+        root = root.copy()
+        np.minimum.at(root, np.maximum(a, b), np.minimum(a, b))
+        while not np.array_equal(root, jumped := root[root]):
+            root = jumped

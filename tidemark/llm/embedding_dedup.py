@@ -19,7 +19,6 @@ smallest id that is not null); an empty table gives an empty result; other colum
 
 from __future__ import annotations
 
-import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import join_keyed, stored
+from tidemark.llm.common import groups_of, hooked, join_keyed, stored
 from tidemark.llm.components import components
 
 LEAST = 0.98
@@ -79,33 +78,13 @@ def _hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.record_batch([*(batch.column(c) for c in ("node", "copies", "first", "vector")), listed, pa.array(sketch)], ["node", "copies", "first", "vector", "keys", "sketch"])
 
 
-def _groups(batches: Iterator[pa.RecordBatch], by: list[str]) -> Iterator[pa.RecordBatch]:
-    """Rows come sorted by ``by``; yields the rows of each group, which may lie in several batches."""
-    held: list[pa.RecordBatch] = []
-    last = None
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        marks = np.stack([batch.column(c).to_numpy() for c in by])
-        cuts = [0, *(np.flatnonzero((marks[:, 1:] != marks[:, :-1]).any(axis=0)) + 1).tolist(), batch.num_rows]
-        for a, b in itertools.pairwise(cuts):
-            own = tuple(marks[:, a].tolist())
-            if held and own != last:
-                yield pa.concat_batches(held)
-                held = []
-            held.append(batch.slice(a, b - a))
-            last = own
-    if held:
-        yield pa.concat_batches(held)
-
-
 def _near(sketch: np.ndarray, rows: np.ndarray) -> np.ndarray:
     return np.bitwise_count(sketch[rows][:, None] ^ sketch[None, :]) <= SKETCH_BITS
 
 
 def _with_partner(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The rows of each bucket that have a partner by sketch."""
-    for group in _groups(batches, ["key"]):
+    for group in groups_of(batches, ["key"]):
         sketch = group.column("sketch").to_numpy().view(np.uint64)
         if len(sketch) > 1:
             parts = (np.arange(at, min(at + BLOCK, len(sketch))) for at in range(0, len(sketch), BLOCK))
@@ -117,7 +96,7 @@ def _with_partner(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 def _linked(least: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Of each group: node, root (a node of the group that links lead to) and links found here first, copies counted."""
-        for group in _groups(batches, ["key", "left", "right"]):
+        for group in groups_of(batches, ["key", "left", "right"]):
             n = group.num_rows
             if n < 2:
                 continue
@@ -140,7 +119,7 @@ def _linked(least: float):
                     hit &= tile[rows][:, None] != tile[None, :]
                 i, j = np.nonzero(hit)
                 i += at
-                root = _hooked(root, i, j)
+                root = hooked(root, i, j)
                 first = np.ones(len(i), bool)
                 for t in range(own):
                     first &= keys[i, t] != keys[j, t]
@@ -151,20 +130,6 @@ def _linked(least: float):
     return run
 
 
-def _hooked(root: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
-    """``root`` after the ends of every link (i, j) got the same root."""
-    while True:
-        a, b = root[i], root[j]
-        open_ = a != b
-        if not open_.any():
-            return root
-        i, j, a, b = i[open_], j[open_], a[open_], b[open_]
-        root = root.copy()
-        np.minimum.at(root, np.maximum(a, b), np.minimum(a, b))
-        while not np.array_equal(root, jumped := root[root]):
-            root = jumped
-
-
 def embedding_groups(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "embedding", label: str = "label", least: float = LEAST) -> DataFrame:
     """One row per vector: vec_id, n_links (other vectors linked directly), component_id, kept (vec_id = component_id).
 

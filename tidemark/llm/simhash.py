@@ -80,10 +80,10 @@ def block_masks(widths: tuple[int, ...] = WIDTHS, bits: int = BITS) -> list[int]
 
 def forest(fps: np.ndarray, mask: int, bits: int = BITS) -> tuple[np.ndarray, np.ndarray]:
     """Edges (two index arrays) that connect what links of at most ``bits`` differing bits connect. ``fps``: distinct, equal under ``mask``."""
-    return _forest_by_comparison(fps, bits) if len(fps) <= DIRECT else _forest_by_flips(fps, mask, bits)
+    return forest_by_comparison(fps, bits) if len(fps) <= DIRECT else _forest_by_flips(fps, mask, bits)
 
 
-def _forest_by_comparison(fps: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+def forest_by_comparison(fps: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
     """Breadth-first search; each fingerprint is compared with those not reached yet, so a dense group is cheap."""
     rest, a_out, b_out = np.arange(len(fps)), [], []
     while len(rest) > 1:
