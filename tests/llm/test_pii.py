@@ -42,6 +42,18 @@ def test_long_runs_take_linear_time():
     assert time.time() - began < 60
 
 
+def test_scores_of_equal_surroundings_are_shared_without_a_change(monkeypatch):
+    rng = np.random.default_rng(4)
+    text = " ".join(pii.made_up(rng)[0] for _ in range(60)) + " 1-2-3" * 400
+    model, least = pii.trained()
+    base = pii.base_spans(text)
+    once = pii.added_spans(text, base, model, least)
+    monkeypatch.setattr(pii, "SCORED", 7)
+    assert pii.added_spans(text, base, model, least) == once
+    monkeypatch.setattr(pii, "_surroundings", lambda text, c: c)
+    assert pii.added_spans(text, base, model, least) == once and once
+
+
 def test_neighbours_that_spoil_each_other_are_added():
     t = "call +1 (269) 555-3296 4524132264652876 and so on"
     assert pii.base_spans(t) == []

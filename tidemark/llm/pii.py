@@ -11,7 +11,7 @@ Candidates are bounded by what the formats allow: 19 digits of a card, 64 charac
 The trees are trained here, on sentences made from a seed: texts in which the truth is known by construction.
 
 Cases: null text counts as empty; texts of any length take time in proportion to their length (no pattern backtracks
-over a run twice); repeated rows are reported each; an empty table gives an empty result; other columns are ignored.
+over a run twice) and memory for the candidates that pass their thresholds only; repeated rows are reported each; an empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -19,6 +19,7 @@ from __future__ import annotations
 import bisect
 import functools
 import hashlib
+import itertools
 import re
 from collections.abc import Iterator
 
@@ -37,6 +38,8 @@ ALL_KINDS = (*KINDS, "secret")
 PRECISION, MADE, SEED = 0.995, 4000, 11
 #: Most digits of a candidate, so each digit group starts a bounded number of candidates; characters of a mailbox and of a domain.
 MOST_DIGITS, MAILBOX, DOMAIN = 19, 64, 253
+#: Characters before a candidate that its features see, and candidates scored at once.
+SEEN_BEFORE, SCORED = 24, 4096
 
 _LOCAL, _DOMAIN = re.compile(r"[A-Za-z0-9._%+-]"), re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _LOCAL_RUN = re.compile(r"[A-Za-z0-9._%+-]*\Z")
@@ -100,9 +103,8 @@ def _order(s: Span) -> tuple[int, int, int]:
     return s[1], ALL_KINDS.index(s[0]), s[2]
 
 
-def candidates(text: str) -> list[Span]:
+def candidates(text: str) -> Iterator[Span]:
     """Overlapping spans that might be personal data."""
-    out: list[Span] = []
     if _DIGIT.search(text):
         for region in _REGION.finditer(text):
             groups = [(m.start(), m.end()) for m in _GROUP.finditer(text, region.start(), region.end())]
@@ -114,21 +116,20 @@ def candidates(text: str) -> list[Span]:
                         break
                     b = groups[j][1]
                     if n >= 13:
-                        out.append(("card", a, b))
+                        yield "card", a, b
                     if 9 <= n <= 15:
                         start = a
                         while start > region.start() and text[start - 1] in "+(":
                             start -= 1
-                        out.append(("phone", start, b))
+                        yield "phone", start, b
         if ":" in text:
-            out += [("ip", m.start(), m.end()) for m in _IP6.finditer(text)]
+            yield from (("ip", m.start(), m.end()) for m in _IP6.finditer(text))
     low = text.lower()
     if any(mark in low for mark in _SPELT):
         wide = MAILBOX + DOMAIN
         near = {("email", m.start(), m.end()) for mark in _MARK.finditer(text) for m in _AT.finditer(text, max(0, mark.start() - wide), mark.end() + wide)}
-        out += sorted(near, key=_order)
-    out += [("secret", m.start(), m.end()) for m in _LONG.finditer(text) if _DIGIT.search(m.group()) and not m.group().strip("0123456789-+=/_") == ""]
-    return out
+        yield from sorted(near, key=_order)
+    yield from (("secret", m.start(), m.end()) for m in _LONG.finditer(text) if _DIGIT.search(m.group()) and not m.group().strip("0123456789-+=/_") == "")
 
 
 def features(text: str, span: Span) -> list[float]:
@@ -138,9 +139,9 @@ def features(text: str, span: Span) -> list[float]:
     digits = _digits(body)
     seps = {c for c in body if c in " .-()"}
     before, after = text[max(0, a - 1) : a], text[b : b + 1]
-    clue = next((i + 1 for m in reversed(list(_BEFORE.finditer(text, max(0, a - 24), a))) for i in range(5) if m.group(i + 1)), 0)
+    clue = next((i + 1 for m in reversed(list(_BEFORE.finditer(text, max(0, a - SEEN_BEFORE), a))) for i in range(5) if m.group(i + 1)), 0)
     left, right = text[max(0, a - 2) : a], text[b : b + 2]
-    told = next((i + 1 for m in reversed(list(_SECRET.finditer(text, max(0, a - 24), a))) for i in range(2) if m.group(i + 1)), 0) if kind == "secret" else 0
+    told = next((i + 1 for m in reversed(list(_SECRET.finditer(text, max(0, a - SEEN_BEFORE), a))) for i in range(2) if m.group(i + 1)), 0) if kind == "secret" else 0
     return [
         ALL_KINDS.index(kind), len(digits), len(groups), groups[0] if groups else 0, groups[-1] if groups else 0,
         float(groups[-2:] == [3, 4]), float(len(groups) > 1 and set(groups[:-1]) == {4}), float(body.startswith("+")), float("(" in body), len(seps),
@@ -245,20 +246,32 @@ def trained(made: int = MADE, seed: int = SEED, precision: float = PRECISION) ->
     return model, {k: cautious_threshold(prob[tk == k], ty[tk == k], precision) if (tk == k).any() else 1.0 for k in ALL_KINDS}
 
 
+def _surroundings(text: str, span: Span) -> tuple[str, int, bool, str]:
+    """All that :func:`features` looks at: equal ones give equal features, which saves long runs of one pattern."""
+    kind, a, b = span
+    first = max(0, a - SEEN_BEFORE)
+    return kind, a - first, first == 0, text[first : b + 2]
+
+
 def added_spans(text: str, base: list[Span], model: Boosted, least: dict[str, float]) -> list[Span]:
-    """The best candidates over their thresholds that overlap no base span and none that was chosen before."""
+    """The best candidates over their thresholds that overlap no base span and none that was chosen before.
+
+    Candidates are scored in blocks; only those over their thresholds are held, whatever the length of the text.
+    """
     taken = _Busy.of(base)
-    free = [c for c in candidates(text) if taken.free(c[1], c[2])]
-    if not free:
-        return []
-    prob = model.probability(np.array([features(text, c) for c in free]))
-    chosen: list[Span] = []
+    good: list[tuple[float, Span]] = []
+    known: dict[tuple, float] = {}
+    for block in itertools.batched(candidates(text), SCORED):
+        free = [(_surroundings(text, c), c) for c in block if taken.free(c[1], c[2])]
+        new = {k: c for k, c in free if k not in known}
+        if new:
+            if len(known) > SCORED:
+                known = {k: known[k] for k, _ in free if k in known}
+            known.update(zip(new, model.probability(np.array([features(text, c) for c in new.values()])).tolist(), strict=True))
+        good += [(known[k], c) for k, c in free if known[k] >= least[c[0]]]
+    good.sort(key=lambda g: (-g[0], g[1][1] - g[1][2], g[1][1]))
     busy = _Busy()
-    for i in np.lexsort(([c[1] for c in free], [c[1] - c[2] for c in free], -prob)):
-        c = free[i]
-        if prob[i] >= least[c[0]] and busy.take(c[1], c[2]):
-            chosen.append(c)
-    return chosen
+    return [c for _, c in good if busy.take(c[1], c[2])]
 
 
 class _Busy:
