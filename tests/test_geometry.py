@@ -70,7 +70,7 @@ def test_mirror_pairs_on_a_lattice(spark):
     h = 0.5
     rows = [(k, (i + 0.5) * h, (j + 0.5) * h) for k, (i, j) in enumerate((i, j) for i in range(-4, 4) for j in range(3))]
     df = spark.createDataFrame([(k, x, y, h) for k, x, y in rows], "id long, x double, y double, size double")
-    out = neighbours.mirror_pairs(df, "id", "x", ["x", "y"], "size", h)
+    out = neighbours.mirror_pairs(df, "id", "x", ["x", "y"], "size")
     assert out.filter("outcome = 'paired' and distance < 1e-9").count() == len(rows)
     c = neighbours.outcome_counts(out, len(rows)).first()
     assert c["on_plane"] + c["paired"] + c["level_mismatch"] + c["unpaired"] == c["cells"]

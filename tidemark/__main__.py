@@ -115,11 +115,10 @@ def _mirror(a: argparse.Namespace) -> int:
 
     good, bad = read_csv_strict(_session(), a.table, {"x": "X", "y": "Y", "z": "Z", "volume": "Volume"}, positive=("volume",))
     if not bad.isEmpty():
-        _print(bad.limit(20), a.format)
+        _print(bad, a.format)
         return 1
     cloud = good.withColumn("cell", F.monotonically_increasing_id()).withColumn("size", F.cbrt("volume")).checkpoint()
-    reach = cloud.agg(F.max("size")).first()[0]
-    pairs = neighbours.mirror_pairs(cloud, "cell", a.axis, ["x", "y", "z"], "size", reach).checkpoint()
+    pairs = neighbours.mirror_pairs(cloud, "cell", a.axis, ["x", "y", "z"], "size").checkpoint()
     _print(neighbours.outcome_counts(pairs, cloud.count()), a.format)
     _print(neighbours.nearest_rank(pairs.filter("outcome = 'paired'").withColumn("all", F.lit("all")), ["all"], "delta"), a.format)
     return 0

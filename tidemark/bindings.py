@@ -381,8 +381,8 @@ def histogram_fixed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _MIRROR = """WITH c AS (SELECT c_custkey, c_acctbal AS x, CAST(c_nationkey AS DOUBLE) AS y, CASE c_nationkey % 3 WHEN 0 THEN 25.0 WHEN 1 THEN 10.0 ELSE 12.0 END AS size FROM customer),
 o AS (SELECT * FROM c WHERE abs(x) > 1e-9 * (SELECT max(size) FROM c)),
-j AS (SELECT a.c_custkey, b.c_custkey AS nearest, b.size AS other, sqrt((-a.x - b.x) * (-a.x - b.x) + (a.y - b.y) * (a.y - b.y)) AS distance FROM o a JOIN o b ON sign(b.x) = -sign(a.x) AND abs(-a.x - b.x) <= 25),
-r AS (SELECT *, row_number() OVER (PARTITION BY c_custkey ORDER BY distance, nearest) AS r FROM j WHERE distance <= 25),
+j AS (SELECT a.c_custkey, b.c_custkey AS nearest, b.size AS other, sqrt((-a.x - b.x) * (-a.x - b.x) + (a.y - b.y) * (a.y - b.y)) AS distance FROM o a JOIN o b ON sign(b.x) = -sign(a.x) ),
+r AS (SELECT *, row_number() OVER (PARTITION BY c_custkey ORDER BY distance, nearest) AS r FROM j),
 m AS (SELECT o.c_custkey, nearest, distance, distance / size AS delta, CASE WHEN nearest IS NULL OR distance > greatest(size, other) THEN 'unpaired' WHEN abs(log2(size / other)) > 0.5 THEN 'level_mismatch' ELSE 'paired' END AS outcome
       FROM o LEFT JOIN (SELECT * FROM r WHERE r = 1) r USING (c_custkey))"""
 
@@ -390,7 +390,7 @@ m AS (SELECT o.c_custkey, nearest, distance, distance / size AS delta, CASE WHEN
 def _mirror(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     size = F.when(F.col("c_nationkey") % 3 == 0, 25.0).when(F.col("c_nationkey") % 3 == 1, 10.0).otherwise(12.0)
     c = table(spark, sf_dir, "customer").select("c_custkey", F.col("c_acctbal").alias("x"), F.col("c_nationkey").cast("double").alias("y"), size.alias("size"))
-    return c, neighbours.mirror_pairs(c, "c_custkey", "x", ["x", "y"], "size", 25.0)
+    return c, neighbours.mirror_pairs(c, "c_custkey", "x", ["x", "y"], "size")
 
 
 @query(f"{_MIRROR} SELECT c_custkey, nearest, round(distance, 6) + 0.0 AS distance, round(delta, 6) + 0.0 AS delta, outcome FROM m")

@@ -9,6 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.operators import ranks
 from tidemark.operators.graph import components, proximity_links
 
 #: Tolerance of tracking, constant and share of the gap, and the longest gap.
@@ -62,7 +63,8 @@ def with_sense(df: DataFrame, value: str) -> DataFrame:
 
 def link_radius(df: DataFrame, key: list[str], volume: str, factor: float) -> DataFrame:
     """Factor times the median edge length of the cells of a key."""
-    return df.groupBy(*key).agg((F.lit(factor) * F.median(F.cbrt(volume))).alias("link_radius"))
+    edges = ranks.median(df.select(*key, F.cbrt(volume).alias("_edge")), key, "_edge", "_middle")
+    return edges.select(*key, (F.lit(factor) * F.col("_middle")).alias("link_radius"))
 
 
 def clustered(points: DataFrame, key: list[str], node: str, y: str, z: str, volume: str, factor: float) -> DataFrame:
@@ -148,7 +150,11 @@ def symmetry_profile(df: DataFrame, side: str, sides: tuple[str, str], x: str, v
     rows = df.filter(F.col(side).isin(*sides)).groupBy(F.round(x, digits).alias("x")).agg(F.sum(F.when(F.col(side) == sides[0], F.col(value))).alias("a"), F.sum(F.when(F.col(side) == sides[1], F.col(value))).alias("b"))
     both = rows.filter(F.col("a").isNotNull() & F.col("b").isNotNull())
     diff = both.withColumn("difference", F.abs(F.abs("a") - F.abs("b")) / F.greatest(F.abs("a"), F.abs("b"), F.lit(1e-30)))
-    return diff.agg(F.count(F.lit(1)).alias("stations"), F.max("difference").alias("largest"), F.max_by("x", F.struct(F.col("difference"), -F.col("x"))).alias("largest_at"), F.median("difference").alias("middle"), F.median(F.when(F.col("x") >= downstream, F.col("difference"))).alias("middle_downstream"))
+    largest = F.max_by("x", F.struct(F.col("difference"), -F.col("x"))).alias("largest_at")
+    out = diff.agg(F.count(F.lit(1)).alias("stations"), F.max("difference").alias("largest"), largest)
+    for part, name in ((diff, "middle"), (diff.filter(F.col("x") >= downstream), "middle_downstream")):
+        out = out.join(F.broadcast(ranks.median(part.select("difference"), [], "difference", name)), how="cross")  # one row each
+    return out
 
 
 def rank_label(df: DataFrame, side: list[str], sense: str, strength: str, tie: str) -> DataFrame:

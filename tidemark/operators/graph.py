@@ -1,24 +1,75 @@
-"""Clusters of nearby points: a grid-hash self-join and connected components by label propagation with pointer jumping."""
+"""Clusters of nearby points: a graph of cells, and connected components by label propagation with pointer jumping."""
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.operators.nearest import nearest
+
+#: Points of the smaller of two neighbouring cells up to which all pairs of both are tried.
+FEW = 32
+#: The side of a cell, in radii: a little below 1 / sqrt(2), so that rounding never makes its diagonal longer than the radius.
+SIDE = (1 - 1e-9) / math.sqrt(2)
+
 
 def proximity_links(points: DataFrame, key: list[str], node: str, x: str, y: str, radius: Column | float) -> DataFrame:
-    """Pairs (key, u < v) of points of the same key within the radius. Cells are as wide as the radius, so partners lie in 9 cells.
+    """Links (key, u, v) that connect what points of the same key within the radius of each other connect.
 
-    ``radius`` is a number or a column that is constant within the key.
+    Their number is in proportion to the points, however dense the cloud. All points of a cell are within the radius of
+    each other, so each is linked to the cell's smallest node; two cells at most two apart are linked once, if any of
+    their points are near enough. Boxes decide most of them; where the smaller cell has few points all pairs are tried,
+    elsewhere its points look for their nearest one in the other cell. ``radius`` is a number or a column that is constant
+    within the key. Points without coordinates have no links.
     """
     r = F.lit(float(radius)) if isinstance(radius, (int, float)) else radius
-    base = points.select(*key, F.col(node).alias("_id"), F.col(x).alias("_x"), F.col(y).alias("_y"), r.alias("_r"))
-    cell = base.withColumn("_cx", F.floor(F.col("_x") / F.col("_r"))).withColumn("_cy", F.floor(F.col("_y") / F.col("_r")))
-    steps = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in (-1, 0, 1) for j in (-1, 0, 1)])
-    near = cell.withColumn("_s", F.explode(steps)).select(*key, F.col("_id").alias("_id2"), F.col("_x").alias("_x2"), F.col("_y").alias("_y2"), (F.col("_cx") + F.col("_s.i")).alias("_cx"), (F.col("_cy") + F.col("_s.j")).alias("_cy"))
-    pairs = cell.join(near, [*key, "_cx", "_cy"]).filter(F.col("_id") < F.col("_id2"))
-    d2 = (F.col("_x") - F.col("_x2")) ** 2 + (F.col("_y") - F.col("_y2")) ** 2
-    return pairs.filter(d2 <= F.col("_r") * F.col("_r")).select(*key, F.col("_id").alias("u"), F.col("_id2").alias("v"))
+    base = points.select(*key, F.col(node).alias("_id"), F.col(x).cast("double").alias("_x"), F.col(y).cast("double").alias("_y"), r.cast("double").alias("_r"))
+    base = base.filter("_x IS NOT NULL AND _y IS NOT NULL")
+    at = [F.floor(F.col(c) / (F.col("_r") * SIDE)).alias(n) for c, n in (("_x", "_cx"), ("_y", "_cy"))]
+    placed = base.select("*", *at).checkpoint()
+    cell = [*key, "_cx", "_cy"]
+    box = [f(c).alias(f"_{n}{c[1]}") for c in ("_x", "_y") for n, f in (("lo", F.min), ("hi", F.max))]
+    cells = placed.groupBy(*cell).agg(F.min("_id").alias("_first"), F.count(F.lit(1)).alias("_n"), F.first("_r").alias("_r"), *box).checkpoint()
+    inner = placed.join(cells.select(*cell, "_first"), cell).filter("_id <> _first").select(*key, F.col("_first").alias("u"), F.col("_id").alias("v"))
+
+    # Half of the 24 cells around: each pair of cells meets once.
+    steps = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in range(-2, 3) for j in range(-2, 3) if (i, j) > (0, 0)])
+    names = ("_cx", "_cy", "_first", "_n", "_lox", "_hix", "_loy", "_hiy")
+    other = cells.select(*key, *[F.col(c).alias(f"{c}2") for c in names])
+    around = cells.withColumn("_s", F.explode(steps)).withColumn("_cx2", F.col("_cx") + F.col("_s.i")).withColumn("_cy2", F.col("_cy") + F.col("_s.j")).drop("_s")
+    met = around.join(other, [*key, "_cx2", "_cy2"])
+    c = F.col
+    gap = lambda d: F.greatest(c(f"_lo{d}") - c(f"_hi{d}2"), c(f"_lo{d}2") - c(f"_hi{d}"), F.lit(0.0))
+    span = lambda d: F.greatest(c(f"_hi{d}2") - c(f"_lo{d}"), c(f"_hi{d}") - c(f"_lo{d}2"))
+    r2 = c("_r") * c("_r")
+    met = met.withColumn("_near", gap("x") * gap("x") + gap("y") * gap("y")).withColumn("_far", span("x") * span("x") + span("y") * span("y")).filter(c("_near") <= r2).checkpoint()
+    link = lambda df: df.select(*key, c("_first").alias("u"), c("_first2").alias("v"))
+    sure = link(met.filter(c("_far") <= r2))
+
+    # The others: a is the smaller cell, b the larger one. Only points within the radius of the other's box matter.
+    unsure = met.filter(c("_far") > r2)
+    ends = lambda s: F.struct(*[c(f"{n}{s}").alias(n) for n in names])
+    two = unsure.select(*key, "_r", F.when(c("_n") <= c("_n2"), ends("")).otherwise(ends("2")).alias("a"), F.when(c("_n") <= c("_n2"), ends("2")).otherwise(ends("")).alias("b")).withColumn("_pair", F.struct("a._first", c("b._first").alias("_other")))
+    two = two.checkpoint()
+
+    def reaching(pairs: DataFrame, own: str, far: str) -> DataFrame:
+        out = lambda d: F.greatest(c(f"{far}._lo{d}") - c(f"_{d}"), c(f"_{d}") - c(f"{far}._hi{d}"), F.lit(0.0))
+        rows = pairs.select(*key, "_pair", far, c(f"{own}._cx").alias("_cx"), c(f"{own}._cy").alias("_cy")).join(placed, cell)
+        return rows.filter(out("x") * out("x") + out("y") * out("y") <= c("_r") * c("_r")).select(*key, "_pair", "_id", "_x", "_y", "_r")
+
+    few, many = two.filter(c("a._n") <= FEW), two.filter(c("a._n") > FEW)
+    on = [*key, "_pair"]
+    b = reaching(few, "b", "a").select(*on, c("_x").alias("_x2"), c("_y").alias("_y2"))
+    d2 = (c("_x") - c("_x2")) * (c("_x") - c("_x2")) + (c("_y") - c("_y2")) * (c("_y") - c("_y2"))
+    tried = reaching(few, "a", "b").join(b, on).filter(d2 <= c("_r") * c("_r")).select(*on).distinct()
+    if not many.isEmpty():
+        q = reaching(many, "a", "b").withColumn("_query", F.struct(*on, "_id"))
+        hit = nearest(q, reaching(many, "b", "a").drop("_r"), ["_x", "_y"], "_query", "_id", on)
+        tried = tried.unionByName(hit.filter(c("distance") <= c("_r")).select(*on).distinct())
+    outer = tried.select(*key, c("_pair._first").alias("u"), c("_pair._other").alias("v"))
+    return inner.unionByName(sure).unionByName(outer).select(*key, F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"))
 
 
 def components(nodes: DataFrame, links: DataFrame, node: str = "node") -> DataFrame:

@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.operators.nearest import nearest
+from tidemark.operators.ranks import at_ranks
+
 
 def nearest_within(queries: DataFrame, points: DataFrame, dims: list[str], radius: float, query_id: str, point_id: str, key: list[str] | None = None) -> DataFrame:
     """The nearest point of each query within the radius (null if there is none), ties to the smallest id.
@@ -26,18 +29,18 @@ def nearest_within(queries: DataFrame, points: DataFrame, dims: list[str], radiu
     return queries.join(best, queries[query_id] == best["_qid"], "left").drop("_qid")
 
 
-def mirror_pairs(cloud: DataFrame, cell_id: str, axis: str, dims: list[str], size: str, radius: float, on_plane: float = 1e-9) -> DataFrame:
+def mirror_pairs(cloud: DataFrame, cell_id: str, axis: str, dims: list[str], size: str, on_plane: float = 1e-9) -> DataFrame:
     """Every cell off the plane with the nearest cell of the other side to its mirror image.
 
     outcome: paired (within the larger of both cell sizes, sizes in a ratio of at most the root of two), level_mismatch
-    (near, but of another size), unpaired. delta: distance over the cell's own size. ``radius`` bounds the search: at
-    least the largest cell size. Cells within ``on_plane`` times the largest size lie on the plane.
+    (near, but of another size), unpaired. delta: distance over the cell's own size. The nearest cell is found however far
+    it is; it is null only where the other side has no cells. Cells within ``on_plane`` times the largest size lie on the
+    plane.
     """
     largest = cloud.agg(F.max(size).alias("_largest"))
     off = cloud.crossJoin(F.broadcast(largest)).filter(F.abs(axis) > F.lit(on_plane) * F.col("_largest")).drop("_largest")  # one row
     query = off.withColumn("_side", -F.signum(axis)).withColumn(axis, -F.col(axis))
-    points = off.withColumn("_side", F.signum(axis))
-    hit = nearest_within(query, points, dims, radius, cell_id, cell_id, ["_side"])
+    hit = nearest(query, off.withColumn("_side", F.signum(axis)), dims, cell_id, cell_id, ["_side"])
     other = cloud.select(F.col(cell_id).alias("_oid"), F.col(size).alias("_osize"))
     rows = hit.join(other, hit["nearest"] == other["_oid"], "left").drop("_oid", "_side")
     reach = F.greatest(F.col(size), F.col("_osize"))
@@ -53,10 +56,9 @@ def outcome_counts(pairs: DataFrame, cells: int) -> DataFrame:
 
 
 def nearest_rank(df: DataFrame, key: list[str], value: str, ranks: tuple[float, ...] = (0.5, 0.95, 0.99)) -> DataFrame:
-    """Nearest-rank percentiles and the maximum."""
-    names = [f"p{round(100 * r):02d}" for r in ranks]
-    parts = [F.expr(f"percentile_disc({r}) WITHIN GROUP (ORDER BY `{value}`)").alias(n) for r, n in zip(ranks, names, strict=True)]
-    return df.groupBy(*key).agg(*parts, F.max(value).alias("largest"))
+    """Nearest-rank percentiles and the maximum, exact for groups of any size; null values don't count."""
+    wanted = {f"p{round(100 * r):02d}": lambda n, r=r: F.greatest(F.ceil(F.lit(r) * n), F.lit(1)) for r in ranks}
+    return at_ranks(df, key, value, wanted | {"largest": lambda n: n})
 
 
 def histogram_fixed(df: DataFrame, value: Column, edges: list[float]) -> DataFrame:
