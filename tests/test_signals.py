@@ -74,3 +74,27 @@ def test_reconstruction_and_lag(spark):
     assert lag == pytest.approx({"u": 0.0, "v": 0.25})
     q = spark.createDataFrame([("u", 0.0, 10.0, 2, 2.5)], "signal string, a double, b double, periods int, tq double")
     assert signals.reconstruct_at(m, q, ["signal"], 16).first()["yq"] == pytest.approx(-1.0)
+
+
+@pytest.mark.parametrize("samples", [7, 300, 100_000])
+def test_series_of_one_two_and_many_buckets(spark, monkeypatch, samples):
+    """Crossings, cycles, segments, resampling and moving means over buckets equal the plain loop; gaps leave empty buckets."""
+    monkeypatch.setattr("tidemark.operators.ordered.SAMPLES", samples)
+    monkeypatch.setattr(signals, "SAMPLES", samples)
+    times = [0.1 * i for i in range(150)] + [60 + 0.1 * i for i in range(150)]
+    y = [math.sin(2.1 * t) + 0.3 * math.sin(7.7 * t) for t in times]
+    rows = [("a", t, v) for t, v in zip(times, y, strict=True)] + [("b", 3.0, 1.0), ("c", 1.0, -1.0), ("c", 1.0 + 1e-9, 1.0)]
+    s = spark.createDataFrame(rows, "run string, t double, y double").repartition(5)
+    c = signals.upward_crossings(s, ["run"])
+    want = [t0 + (t1 - t0) * -y0 / (y1 - y0) for t0, t1, y0, y1 in zip(times, times[1:], y, y[1:], strict=False) if y0 < 0 <= y1]
+    got = {run: [r["t_cross"] for r in c.filter(F.col("run") == run).orderBy("k").collect()] for run in "abc"}
+    assert got["a"] == want and got["b"] == [] and len(got["c"]) == 1
+    assert [r["k"] for r in c.filter("run = 'a'").orderBy("t_cross").collect()] == list(range(len(want)))
+    seg = {r["t"]: (r["t1"], r["y1"]) for r in signals.segments(s, ["run"]).filter("run = 'a'").collect()}
+    assert seg == {t0: (t1, y1) for t0, t1, y1 in zip(times, times[1:], y[1:], strict=False)}
+    cycles = {r["t"]: r["cycle"] for r in signals.cycles_of(s, c, ["run"]).collect()}
+    assert cycles == {t: sum(x <= t for x in want) - 1 for t in times if want[0] <= t < want[-1]}
+    for width in (1, 4, 9, 400):
+        smooth = {r["t"]: r["smooth"] for r in signals.moving_mean(s, ["run"], width).filter("run = 'a'").collect()}
+        padded = [0.0] * 500 + y + [0.0] * 500
+        assert [smooth[t] for t in times] == pytest.approx([sum(padded[500 + i - width // 2 : 500 + i - width // 2 + width]) / width for i in range(len(y))], abs=1e-9)

@@ -1,42 +1,57 @@
 """Time signals: crossings, whole-period windows, trapezoidal statistics, phase averages and spectra.
 
-A signal is key columns, ``t`` and ``y``. Spark orders by ``t`` within the key; everything else is projections, grouped
-sums and equi-joins on time buckets, so there is no range join.
+A signal is key columns, ``t`` and ``y``. Order matters within time buckets only, and what a bucket needs from the one
+before is carried over (:mod:`tidemark.operators.ordered`); everything else is projections, grouped sums and equi-joins
+on time buckets. So neither a window nor a group holds a whole series, and there is no range join; spectra sum per bin.
 """
 
 from __future__ import annotations
 
 import math
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-
-def _by(key: list[str]) -> Window:
-    return Window.partitionBy(*key).orderBy("t")
+from tidemark.operators.ordered import SAMPLES, beside, bucketed, numbered, placed, running_sum
 
 
 def about_mean(signal: DataFrame, key: list[str]) -> DataFrame:
-    return signal.withColumn("y", F.col("y") - F.avg("y").over(Window.partitionBy(*key)))
+    means = signal.groupBy(*key).agg(F.avg("y").alias("_mean"))
+    return with_group(signal, means, key).withColumn("y", F.col("y") - F.col("_mean")).drop("_mean")
+
+
+def with_group(rows: DataFrame, groups: DataFrame, key: list[str]) -> DataFrame:
+    """Rows with the values of their group, one row per key."""
+    return rows.join(groups, key) if key else rows.crossJoin(F.broadcast(groups))  # one row
 
 
 def search_window(signal: DataFrame, key: list[str], t0: float, t1: float) -> DataFrame:
     """Samples within [t0, t1] (and a millionth of a step), with ``spans`` false where the signal does not reach both ends within half a step."""
-    w = Window.partitionBy(*key)
-    nexts = signal.withColumn("_dt", F.lead("t").over(_by(key)) - F.col("t"))
-    dt = F.min_by("_dt", "t").over(w)
-    rows = nexts.withColumn("_step", dt).withColumn("spans", (F.min("t").over(w) <= F.lit(t0) + F.col("_step") / 2) & (F.max("t").over(w) >= F.lit(t1) - F.col("_step") / 2))
-    return rows.filter(F.col("t").between(F.lit(t0) - 1e-6 * F.col("_step"), F.lit(t1) + 1e-6 * F.col("_step"))).drop("_dt", "_step")
+    first = signal.groupBy(*key).agg(F.min("t").alias("_t0"), F.max("t").alias("_t1"))
+    second = with_group(signal, first, key).filter(F.col("t") > F.col("_t0")).groupBy(*key).agg(F.min("t").alias("_t2"))
+    ends = first.join(second, key, "left") if key else first.join(F.broadcast(second), how="cross")
+    step = F.col("_t2") - F.col("_t0")
+    reach = (F.col("_t0") <= F.lit(t0) + step / 2) & (F.col("_t1") >= F.lit(t1) - step / 2)
+    rows = with_group(signal, ends.select(*key, step.alias("_step"), reach.alias("spans")), key)
+    return rows.filter(F.col("t").between(F.lit(t0) - 1e-6 * F.col("_step"), F.lit(t1) + 1e-6 * F.col("_step"))).drop("_step")
 
 
 def upward_crossings(signal: DataFrame, key: list[str]) -> DataFrame:
     """Times where y passes zero upwards, linear between samples: key, k (0-based), t_cross."""
-    rows = signal.withColumn("_y0", F.lag("y").over(_by(key))).withColumn("_t0", F.lag("t").over(_by(key)))
+    rows, _ = bucketed(signal, key)
+    rows = beside(rows, key, "t", {"_t0": "t", "_y0": "y"})
     hit = rows.filter((F.col("_y0") < 0) & (F.col("y") >= 0))
     at = F.col("_t0") + (F.col("t") - F.col("_t0")) * (-F.col("_y0")) / (F.col("y") - F.col("_y0"))
-    out = hit.select(*key, at.alias("t_cross"))
-    return out.withColumn("k", (F.row_number().over(Window.partitionBy(*key).orderBy("t_cross")) - 1).cast("bigint"))
+    out = numbered(hit.withColumn("t_cross", at), key, ["t_cross"], F.col("_bucket"), "k")
+    return out.select(*key, "t_cross", F.col("k").cast("bigint").alias("k"))
+
+
+def with_next(crossings: DataFrame, key: list[str], name: str = "_next") -> DataFrame:
+    """Crossings with the time of the one behind; the last has none and is left out."""
+    behind = crossings.select(*key, (F.col("k") - 1).alias("k"), F.col("t_cross").alias(name))
+    return crossings.join(behind, [*key, "k"])
 
 
 def period_window(crossings: DataFrame, key: list[str]) -> DataFrame:
@@ -47,13 +62,14 @@ def period_window(crossings: DataFrame, key: list[str]) -> DataFrame:
 
 def period_lengths(crossings: DataFrame, key: list[str]) -> DataFrame:
     """Mean, sd, first and last length of the cycles, and their number."""
-    rows = crossings.withColumn("length", F.lead("t_cross").over(Window.partitionBy(*key).orderBy("k")) - F.col("t_cross")).filter(F.col("length").isNotNull())
+    rows = with_next(crossings, key).withColumn("length", F.col("_next") - F.col("t_cross"))
     return rows.groupBy(*key).agg(F.avg("length").alias("mean_length"), F.stddev_samp("length").alias("sd_length"), F.min_by("length", "k").alias("first_length"), F.max_by("length", "k").alias("last_length"), F.count(F.lit(1)).alias("cycles"))
 
 
 def segments(signal: DataFrame, key: list[str]) -> DataFrame:
     """Neighbouring samples as t, y, t1, y1."""
-    return signal.withColumn("t1", F.lead("t").over(_by(key))).withColumn("y1", F.lead("y").over(_by(key))).filter(F.col("t1").isNotNull())
+    rows, _ = bucketed(signal, key)
+    return beside(rows, key, "t", {"t1": "t", "y1": "y"}, ahead=True).drop("_bucket").filter(F.col("t1").isNotNull())
 
 
 def trapezoid_stats(signal: DataFrame, spans: DataFrame, key: list[str], span: list[str]) -> DataFrame:
@@ -73,12 +89,13 @@ def trapezoid_stats(signal: DataFrame, spans: DataFrame, key: list[str], span: l
 
 def cycles_of(signal: DataFrame, crossings: DataFrame, key: list[str]) -> DataFrame:
     """Samples with the number of their cycle; samples outside the whole periods are dropped. Crossings are merged into the time order, not joined."""
-    marks = crossings.select(*key, F.col("t_cross").alias("t"), F.lit(None).cast("double").alias("y"), F.lit(1).alias("_mark"))
-    both = signal.select(*key, "t", "y", F.lit(0).alias("_mark")).unionByName(marks)
-    so_far = F.sum("_mark").over(Window.partitionBy(*key).orderBy("t", F.col("_mark").desc()).rowsBetween(Window.unboundedPreceding, 0))
-    total = F.sum("_mark").over(Window.partitionBy(*key))
-    rows = both.withColumn("cycle", (so_far - 1).cast("bigint")).withColumn("_all", total)
-    return rows.filter((F.col("_mark") == 0) & (F.col("cycle") >= 0) & (F.col("cycle") < F.col("_all") - 1)).drop("_mark", "_all")
+    rows, bounds = bucketed(signal.select(*key, "t", "y"), key)
+    marks = placed(crossings.select(*key, F.col("t_cross").alias("t"), F.lit(None).cast("double").alias("y")), bounds, key)
+    both = rows.withColumn("_mark", F.lit(0)).unionByName(marks.withColumn("_mark", F.lit(1)))
+    total = crossings.groupBy(*key).agg(F.count(F.lit(1)).alias("_all"))
+    out = running_sum(both, key, ["t", F.col("_mark").desc()], "_mark", "cycle").withColumn("cycle", (F.col("cycle") - 1).cast("bigint"))
+    out = with_group(out.filter(F.col("_mark") == 0), total, key)
+    return out.filter((F.col("cycle") >= 0) & (F.col("cycle") < F.col("_all") - 1)).select(*key, "t", "y", "cycle")
 
 
 def peak_to_peak(signal: DataFrame, crossings: DataFrame, key: list[str]) -> DataFrame:
@@ -89,8 +106,7 @@ def peak_to_peak(signal: DataFrame, crossings: DataFrame, key: list[str]) -> Dat
 
 def half_spans(crossings: DataFrame, key: list[str]) -> DataFrame:
     """The first and the last floor(n / 2) periods; with an odd number the middle one belongs to neither."""
-    n = F.max("k").over(Window.partitionBy(*key))
-    rows = crossings.withColumn("_n", n).withColumn("_h", F.floor(F.col("_n") / 2))
+    rows = with_group(crossings, crossings.groupBy(*key).agg(F.max("k").alias("_n")), key).withColumn("_h", F.floor(F.col("_n") / 2))
     at = lambda k: F.max(F.when(F.col("k") == k, F.col("t_cross")))
     ends = rows.groupBy(*key).agg(F.max("_n").alias("periods"), at(F.lit(0)).alias("c0"), at(F.col("_h")).alias("ch"), at(F.col("_n") - F.col("_h")).alias("cm"), at(F.col("_n")).alias("cn"))
     two = F.inline(F.array(F.struct(F.lit("first").alias("half"), F.col("c0").alias("a"), F.col("ch").alias("b")), F.struct(F.lit("second").alias("half"), F.col("cm").alias("a"), F.col("cn").alias("b"))))
@@ -114,11 +130,10 @@ def interp_at(signal: DataFrame, queries: DataFrame, key: list[str], width: floa
 
     Times outside the samples take the nearest end's value. ``width`` is a few sample steps.
     """
-    s = segments(signal, key)
-    last = F.col("t1") == F.max("t1").over(Window.partitionBy(*key))
-    s = s.withColumn("_last", last).withColumn("_b", F.explode(F.sequence(F.floor(F.col("t") / width), F.floor(F.col("t1") / width))))
     ends = signal.groupBy(*key).agg(F.min("t").alias("_lo"), F.max("t").alias("_hi"))
-    q = queries.join(ends, key).withColumn("_c", F.least(F.greatest(F.col(at), F.col("_lo")), F.col("_hi"))).withColumn("_b", F.floor(F.col("_c") / width))
+    s = with_group(segments(signal, key), ends.select(*key, "_hi"), key).withColumn("_last", F.col("t1") == F.col("_hi")).drop("_hi")
+    s = s.withColumn("_b", F.explode(F.sequence(F.floor(F.col("t") / width), F.floor(F.col("t1") / width))))
+    q = with_group(queries, ends, key).withColumn("_c", F.least(F.greatest(F.col(at), F.col("_lo")), F.col("_hi"))).withColumn("_b", F.floor(F.col("_c") / width))
     hit = q.join(s, [*key, "_b"]).filter((F.col("_c") >= F.col("t")) & ((F.col("_c") < F.col("t1")) | F.col("_last") & (F.col("_c") == F.col("t1"))))
     y = F.col("y") + (F.col("y1") - F.col("y")) * (F.col("_c") - F.col("t")) / (F.col("t1") - F.col("t"))
     return hit.withColumn("yq", y).select(*queries.columns, "yq")
@@ -126,8 +141,7 @@ def interp_at(signal: DataFrame, queries: DataFrame, key: list[str], width: floa
 
 def phase_average(signal: DataFrame, crossings: DataFrame, key: list[str], phases: int, width: float) -> DataFrame:
     """Per phase j / phases: mean and sd (n - 1) over the cycles of the interpolated signal."""
-    spans = crossings.withColumn("_next", F.lead("t_cross").over(Window.partitionBy(*key).orderBy("k"))).filter(F.col("_next").isNotNull())
-    q = spans.withColumn("phase_no", F.explode(F.sequence(F.lit(0), F.lit(phases - 1)))).select(*key, "k", "phase_no", (F.col("t_cross") + (F.col("_next") - F.col("t_cross")) * F.col("phase_no") / phases).alias("tq"))
+    q = with_next(crossings, key).withColumn("phase_no", F.explode(F.sequence(F.lit(0), F.lit(phases - 1)))).select(*key, "k", "phase_no", (F.col("t_cross") + (F.col("_next") - F.col("t_cross")) * F.col("phase_no") / phases).alias("tq"))
     return interp_at(signal, q, key, width).groupBy(*key, "phase_no").agg(F.avg("yq").alias("mean"), F.stddev_samp("yq").alias("sd"), F.count(F.lit(1)).alias("cycles"))
 
 
@@ -161,9 +175,16 @@ def hann_spectrum(even: DataFrame, key: list[str], bins: int, y: str = "y") -> D
 
 def moving_mean(signal: DataFrame, key: list[str], width: int) -> DataFrame:
     """Centred running sum over the width, zero padded at both ends."""
-    back = width // 2
-    w = _by(key).rowsBetween(-back, width - 1 - back)
-    return signal.withColumn("smooth", F.sum("y").over(w) / width)
+    back, fore = width // 2, width - 1 - width // 2
+    rows, _ = bucketed(signal, key)
+    rows = numbered(rows, key, ["t"], F.col("_bucket"), "_i")
+    size = max(SAMPLES, width)
+    # Rows near the end of a block also go to the next one, where they only take part in sums.
+    blocks = F.array_distinct(F.transform(F.array(F.col("_i") - fore, F.col("_i"), F.col("_i") + back), lambda i: F.floor(i / size)))
+    dealt = rows.withColumn("_block", F.explode(blocks))
+    w = Window.partitionBy(*key, "_block").orderBy("_i").rowsBetween(-back, fore)
+    out = dealt.withColumn("smooth", F.sum("y").over(w) / width).filter(F.col("_block") == F.floor(F.col("_i") / size))
+    return out.drop("_i", "_block")
 
 
 def fft_lowpass(signal: DataFrame, key: list[str], period: float, pad: int = 300) -> DataFrame:
