@@ -156,8 +156,8 @@ def spectrum(even: DataFrame, key: list[str], bins: int, y: str = "y", weight: C
 
     The bins are exploded map-side and summed before the shuffle, so the exchange carries one row per bin and task.
     """
-    w = Window.partitionBy(*key)
-    rows = even.withColumn("_n", F.count(F.lit(1)).over(w)).withColumn("_y", (F.col(y) - F.avg(y).over(w)) * (F.lit(1.0) if weight is None else weight))
+    sums = even.groupBy(*key).agg(F.count(F.lit(1)).alias("_n"), F.avg(y).alias("_m"))
+    rows = with_group(even, sums, key).withColumn("_y", (F.col(y) - F.col("_m")) * (F.lit(1.0) if weight is None else weight))
     rows = rows.withColumn("bin", F.explode(F.sequence(F.lit(1), F.least(F.lit(bins), F.floor(F.col("_n") / 2).cast("int")))))
     angle = F.lit(2 * math.pi) * F.pmod(F.col("bin") * F.col("i"), F.col("_n")) / F.col("_n")  # reduced exactly before the cosine
     out = rows.groupBy(*key, "bin").agg(F.max("_n").alias("_n"), F.sum(F.col("_y") * F.cos(angle)).alias("_c"), F.sum(F.col("_y") * F.sin(angle)).alias("_s"))
@@ -167,8 +167,8 @@ def spectrum(even: DataFrame, key: list[str], bins: int, y: str = "y", weight: C
 
 def hann_spectrum(even: DataFrame, key: list[str], bins: int, y: str = "y") -> DataFrame:
     """As :func:`spectrum` with a Hann taper, normalised to its largest bin."""
-    n = F.count(F.lit(1)).over(Window.partitionBy(*key))
-    tapered = even.withColumn("_taper", F.lit(0.5) - F.lit(0.5) * F.cos(F.lit(2 * math.pi) * F.col("i") / (n - 1)))
+    counted = with_group(even, even.groupBy(*key).agg(F.count(F.lit(1)).alias("_all")), key)
+    tapered = counted.withColumn("_taper", F.lit(0.5) - F.lit(0.5) * F.cos(F.lit(2 * math.pi) * F.col("i") / (F.col("_all") - 1))).drop("_all")
     out = spectrum(tapered, key, bins, y, F.col("_taper"))
     return out.withColumn("power", F.col("power") / F.max("power").over(Window.partitionBy(*key)))
 
@@ -242,7 +242,7 @@ def variance_below(spectrum: DataFrame, key: list[str], frequency: str, power: s
 
 
 def lateral_trend(points: DataFrame, key: list[str], x: str, most: float) -> DataFrame:
-    """Points up to a limit, numbered by their place along x, with the change to the one before."""
+    """Points up to a limit, numbered by their place along x."""
     order = Window.partitionBy(*key).orderBy(x)
     return points.filter(F.col(x) <= F.lit(most)).withColumn("place", F.row_number().over(order))
 
@@ -254,6 +254,6 @@ def rms_about_mean(df: DataFrame, key: list[str], value: str) -> DataFrame:
 
 def settled(signal: DataFrame, key: list[str], least: float, margin: float = 0.01) -> DataFrame:
     """Samples after max(first + margin, least)."""
-    t0 = F.greatest(F.min("t").over(Window.partitionBy(*key)) + margin, F.lit(least))
-    return signal.withColumn("_t0", t0).filter(F.col("t") > F.col("_t0")).drop("_t0")
+    first = signal.groupBy(*key).agg(F.greatest(F.min("t") + margin, F.lit(least)).alias("_t0"))
+    return with_group(signal, first, key).filter(F.col("t") > F.col("_t0")).drop("_t0")
 
