@@ -6,10 +6,9 @@ import argparse
 import json
 import re
 import sys
-import tempfile
 from pathlib import Path
 
-from tidemark.session import local_session
+from tidemark.session import local_session, shared_base
 
 
 def _print(df, kind: str = "text") -> None:
@@ -30,7 +29,7 @@ def _validate(a: argparse.Namespace) -> int:
 
 def _session():
     spark = local_session()
-    spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", tempfile.mkdtemp(prefix="tidemark-")))
+    spark.sparkContext.setCheckpointDir(shared_base(spark))
     return spark
 
 

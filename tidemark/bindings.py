@@ -16,7 +16,7 @@ from tidemark.functions.expr import reduce90, rounded, tokens_of
 from tidemark.operators import accounts, diff, features, lattice, ledger, modal, neighbours, sample, signals, text, windows
 from tidemark.operators.ordered import numbered
 from tidemark.operators.rules import json_leaves
-from tidemark.session import ship
+from tidemark.session import shared_base, ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -634,13 +634,12 @@ def pod_modes(spark: SparkSession, sf_dir: str) -> DataFrame:
 FROM w JOIN dec ON w.event_type = dec.event_type AND (dec.win IS NULL OR w.win <= dec.win)""")
 def streaming_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The window gate over the events as a stream of micro-batches."""
-    import tempfile
     import uuid
 
     from tidemark.streaming.gate import streaming_gate as gate
 
     e = _events(spark, sf_dir).select(F.col("event_type").alias("run"), F.col("i").cast("bigint").alias("i"), "value")
-    base = ship(spark).conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="tidemark-")  # unset in tests only
+    base = shared_base(spark)
     root = f"{base.rstrip('/')}/tidemark/stream-{uuid.uuid4().hex}"
     e.write.parquet(f"{root}/in")
     stream = spark.readStream.schema(e.schema).parquet(f"{root}/in")

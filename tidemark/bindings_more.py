@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,6 +10,7 @@ from pyspark.sql import functions as F
 from tidemark.bindings import query, rounded, table
 from tidemark.functions import expr
 from tidemark.operators import accounts, diff, features, lattice, ledger, modal, neighbours, rules, sample, signals, text, windows
+from tidemark.session import shared_base
 from tidemark.sources import readers
 
 # --- columns and keys ------------------------------------------------------------------------------------------------
@@ -355,8 +355,7 @@ def setup_marks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _folder(spark: SparkSession, name: str) -> str:
     """A new place in the shared folder for exports."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="tidemark-")  # unset in tests only
-    return f"{base.rstrip('/')}/tidemark/{name}-{uuid.uuid4().hex}"
+    return f"{shared_base(spark).rstrip('/')}/tidemark/{name}-{uuid.uuid4().hex}"
 
 
 @query("SELECT s_suppkey::DOUBLE AS x, s_acctbal AS volume FROM supplier WHERE s_acctbal > 0")

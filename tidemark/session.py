@@ -26,9 +26,22 @@ def ship(spark: SparkSession) -> SparkSession:
                 z.write(f, f.relative_to(root.parent))
         context.addPyFile(str(target))
         context._tidemark_shipped = True
+        if context.master.startswith("local"):
+            shared_base(spark)
     return spark
 
 
+def shared_base(spark: SparkSession) -> str:
+    """The folder named by ``spark.checkpoint.dir``. Only a local session may do without: it gets a temporary one, once per context."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or getattr(spark.sparkContext, "_tidemark_base", None)
+    if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        base = spark.sparkContext._tidemark_base = tempfile.mkdtemp(prefix="tidemark-")
+        spark.sparkContext.setCheckpointDir(base)
+    return base
+
+
 def local_session(cores: int | str = "*", partitions: int = 8) -> SparkSession:
     """A session for tests and benchmarks on one machine."""
     conf = {
