@@ -8,7 +8,6 @@ lineage.
 from __future__ import annotations
 
 import itertools
-import tempfile
 import uuid
 from collections.abc import Iterator
 
@@ -18,7 +17,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.session import ship
+from tidemark.session import shared_base, ship
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: A word: anything but space and the five control characters from tab to carriage return.
@@ -42,11 +41,8 @@ def prepared(spark: SparkSession) -> SparkSession:
 
 
 def shared_dir(spark: SparkSession, name: str) -> str:
-    """A new, empty place below ``spark.checkpoint.dir``, as a URI. Only where that is unset (tests) it is set to a temporary folder."""
-    base = prepared(spark).conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = tempfile.mkdtemp(prefix="tidemark-")
-        spark.conf.set("spark.checkpoint.dir", base)
+    """A new, empty place below ``spark.checkpoint.dir``, as a URI. Only a local session may leave that unset."""
+    base = shared_base(prepared(spark))
     path = spark._jvm.org.apache.hadoop.fs.Path(f"{base.rstrip('/')}/tidemark/{name}-{uuid.uuid4().hex}")
     full = path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toString()
     return full.replace("file:/", "file:///", 1) if full.startswith("file:/") and not full.startswith("file://") else full
