@@ -66,6 +66,32 @@ def test_tracking_is_greedy_and_tolerates_gaps(spark):
     assert len({r["track"] for r in got if r["sense"] == 1}) == 1 and len({r["track"] for r in got if r["sense"] == -1}) == 2
 
 
+def plain_tracks(rows: list[tuple]) -> dict[tuple, int]:
+    """All clusters of one case in order, each against all tracks so far."""
+    heads, out = [], {}
+    for x, y, z, sense, c in sorted(rows, key=lambda r: (r[0], -abs(r[4]), r[1], r[2])):
+        fits = [(math.hypot(y - h[1], z - h[2]), k) for k, h in enumerate(heads) if h[3] == sense and 0 < x - h[0] <= features.TRACK_GAP and math.hypot(y - h[1], z - h[2]) <= features.TRACK_BASE + features.TRACK_SLOPE * (x - h[0])]
+        k = min(fits)[1] if fits else len(heads)
+        heads[k : k + 1] = [(x, y, z, sense)]
+        out[x, y, z, sense, c] = k
+    return out
+
+
+@pytest.mark.parametrize("spread", [0.2, 3.0])
+def test_competing_clusters_are_tracked_as_in_one_group(spark, spread):
+    """Several clusters per station compete: with little spread all are one neighbourhood, with much they are many."""
+    rng = random.Random(int(spread * 10))
+    cases = {c: [(round(0.1 * k, 1), rng.uniform(-spread, spread), rng.uniform(-0.1, 0.1), rng.choice((-1, 1)), round(rng.uniform(0.5, 2), 1)) for k in range(-3, 6) for _ in range(12)] for c in ("a", "b")}
+    df = spark.createDataFrame([(c, *r) for c, rows in cases.items() for r in rows], "case string, x double, y double, z double, sense int, circulation double")
+    got = {(r["case"], *list(r)[1:6]): r["track"] for r in features.track_links(df.repartition(3), ["case"]).collect()}
+    assert got == {(c, *r): k for c, rows in cases.items() for r, k in plain_tracks(rows).items()}
+
+
+def test_tracks_of_nothing(spark):
+    df = spark.createDataFrame([], "case string, x double, y double, z double, sense int, circulation double, track_note string")
+    assert features.track_links(df, ["case"]).count() == 0
+
+
 def test_mirror_pairs_on_a_lattice(spark):
     h = 0.5
     rows = [(k, (i + 0.5) * h, (j + 0.5) * h) for k, (i, j) in enumerate((i, j) for i in range(-4, 4) for j in range(3))]
@@ -95,6 +121,18 @@ def test_histogram_and_missing_nodes(spark):
     assert lattice.unexplained(lost, [F.col("a") - 1.5, F.col("b") - 2.0], [0.5, 0.5]).count() == 0
 
 
+@pytest.mark.parametrize("stretch", [1, 3, 1 << 15])
+def test_missing_nodes_by_stretches(spark, stretch):
+    """Keys with other axes, repeated nodes, a null in a (an a of its own), nulls in b and the key (no nodes)."""
+    rng = random.Random(stretch)
+    rows = [(k, a, b) for k, n in (("p", 20), ("q", 5)) for a in [*range(6), None] for b in range(n) if rng.random() < 0.7 for _ in range(rng.choice((1, 2)))]
+    df = spark.createDataFrame([*rows, (None, 1, 77), ("p", 2, None)], "k string, a int, b int")
+    got = sorted(map(tuple, lattice.lattice_missing(df, "a", "b", ["k"], stretch).collect()), key=str)
+    axes = {k: ({a for q, a, _ in rows if q == k}, {b for q, _, b in rows if q == k}) for k in ("p", "q")}
+    assert got == sorted(((k, a, b) for k, (xs, ys) in axes.items() for a in xs for b in ys if (k, a, b) not in set(rows)), key=str)
+    assert lattice.lattice_missing(df.limit(0), "a", "b", ["k"], stretch).count() == 0
+
+
 def test_arithmetic_runs(spark):
     df = spark.createDataFrame([("a", i, v) for i, v in enumerate([1, 3, 5, 7, 8, 20, 19, 18])], "k string, i long, v long")
     assert sorted((r["length"], r["start"], r["step"]) for r in lattice.arithmetic_runs(df, ["k"], "i", "v").collect()) == [(3, 20, -1), (4, 1, 2)]

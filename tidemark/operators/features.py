@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import ranks
 from tidemark.operators.graph import components, proximity_links
+from tidemark.operators.ordered import numbered
 
 #: Tolerance of tracking, constant and share of the gap, and the longest gap.
 TRACK_BASE, TRACK_SLOPE, TRACK_GAP = 0.03, 0.35, 0.201
@@ -104,27 +105,43 @@ def argmax_row(df: DataFrame, key: list[str], value: str, columns: list[str], ti
 def track_links(clusters: DataFrame, key: list[str], base: float = TRACK_BASE, slope: float = TRACK_SLOPE, longest: float = TRACK_GAP) -> DataFrame:
     """Greedy tracking of clusters (x, y, z, sense, circulation) over the stations of a case: column ``track``.
 
-    Strongest first within a station, nearest last centroid of the same sense, within a tolerance that grows with the gap.
-    The choice depends on the ones before, so a case is one group; a case has stations times clusters rows.
+    Strongest first within a station (then by y and z), nearest last centroid of the same sense, within a tolerance that
+    grows with the gap; tracks are numbered in the order in which they begin. A choice depends on those before it, but
+    only among clusters that chains of possible links connect. So each case is cut into such neighbourhoods, by way of a
+    graph of occupied cells as wide as the longest link, and these are tracked apart: the result is that of the case as a whole.
     """
+    wide = base + slope * longest
+    cell = F.struct(*key, "sense", F.floor(F.col("x") / longest).alias("_i"), F.floor(F.col("y") / wide).alias("_j"), F.floor(F.col("z") / wide).alias("_k"))
+    rows = clusters.withColumn("_cell", cell)
+    cells = rows.select(F.col("_cell").alias("node")).distinct()
+    steps = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"), F.lit(k).alias("k")) for i in (0, 1) for j in (-1, 0, 1) for k in (-1, 0, 1) if (i, j, k) > (0, 0, 0)])
+    beside = F.struct(*[F.col(f"node.{c}").alias(c) for c in [*key, "sense"]], *[(F.col(f"node._{c}") + F.col(f"_s.{c}")).alias(f"_{c}") for c in "ijk"])
+    near = cells.withColumn("_s", F.explode(steps)).select(F.col("node").alias("u"), beside.alias("v")).join(cells.withColumnRenamed("node", "v"), "v")
+    root = components(cells, near.select("u", "v"), "node")
+    rows = rows.join(root.select(F.col("node").alias("_cell"), F.col("root").alias("_root")), "_cell").drop("_cell")
+    place = ["x", "_strength", "y", "z"]
 
     def one(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.assign(_s=-pdf["circulation"].abs()).sort_values(["x", "_s"], kind="stable").drop(columns="_s").reset_index(drop=True)
-        x, y, z, sense = (pdf[c].to_numpy() for c in ("x", "y", "z", "sense"))
+        pdf = pdf.sort_values(place, kind="stable").reset_index(drop=True)
+        x, y, z = (pdf[c].to_numpy() for c in ("x", "y", "z"))
         heads: list[int] = []
         track = []
         for i in range(len(pdf)):
             j = np.array(heads, int)
             gap = x[i] - x[j]
             d = np.hypot(y[i] - y[j], z[i] - z[j])
-            d[(sense[j] != sense[i]) | (gap <= 0) | (gap > longest) | (d > base + slope * gap)] = np.inf
+            d[(gap <= 0) | (gap > longest) | (d > base + slope * gap)] = np.inf
             best = int(d.argmin()) if len(d) and d.min() < np.inf else len(heads)
             heads[best : best + 1] = [i]
             track.append(best)
-        return pdf.assign(track=track)
-
-    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in clusters.schema) + ", track bigint"
-    return clusters.groupBy(*key).applyInPandas(one, schema)
+        return pdf.assign(_track=track)
+
+    rows = rows.withColumn("_strength", -F.abs("circulation"))
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema) + ", _track bigint"
+    apart = rows.groupBy("_root").applyInPandas(one, schema)
+    first = apart.groupBy(*key, "_root", "_track").agg(F.min(F.struct(*place, "sense")).alias("_first"))
+    first = numbered(first.select(*key, "_root", "_track", "_first.*"), key, [*place, "sense"], F.col("x"), "track")
+    return apart.join(first.select("_root", "_track", F.col("track").cast("bigint").alias("track")), ["_root", "_track"]).select(*clusters.columns, "track")
 
 
 def long_tracks(tracks: DataFrame, key: list[str], least: int = 3) -> DataFrame:

@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+#: Values of one axis that are numbered together, on average.
+STRETCH = 1 << 15
+
 
 def lattice_axis(df: DataFrame, key: list[str], value: str, tolerance: float = 1e-4) -> DataFrame:
     """Distinct values, those with the same rounded multiple of the tolerance merged into the smallest."""
@@ -23,16 +26,24 @@ def uniform_spacing(axis: DataFrame, key: list[str], value: str, tolerance: floa
     return out.withColumn("uniform", (F.col("values") >= 2) & (F.col("deviation") <= F.lit(tolerance) * F.greatest(F.lit(1.0), F.abs("step"))))
 
 
-def lattice_missing(nodes: DataFrame, a: str, b: str, key: list[str] | None = None) -> DataFrame:
-    """Nodes of the full lattice (all a times all b of a key) that are not there.
+def lattice_missing(nodes: DataFrame, a: str, b: str, key: list[str] | None = None, stretch: int = STRETCH) -> DataFrame:
+    """Nodes of the full lattice (all a times all b of a key) that are not there. Rows with a null in b or the key are no nodes; repeated ones count once.
 
-    The values of b travel as one array per key, so only what is missing becomes rows; the full product never does.
+    The values of b are dealt to stretches of some ``stretch`` values and numbered there. Per (key, a, stretch) only the
+    numbers that are present meet, and their complement becomes rows: neither the full product nor all b of a key ever do.
     """
-    key = key or []
-    there = nodes.groupBy(*key, a).agg(F.collect_set(b).alias("_have"))
-    every = nodes.groupBy(*key).agg(F.collect_set(b).alias("_all"))
-    both = there.join(every, key) if key else there.crossJoin(F.broadcast(every))  # one row
-    return both.select(*key, a, F.explode(F.array_except("_all", "_have")).alias(b))
+    by = key or ["_all"]
+    rows = (nodes if key else nodes.withColumn("_all", F.lit(1))).select(*by, a, b).dropna(subset=[*by, b])
+    values = rows.select(*by, b).distinct()
+    parts = values.groupBy(*by).agg(F.ceil(F.count(F.lit(1)) / F.lit(stretch)).alias("_parts"))
+    dealt = values.join(parts, by).withColumn("_part", F.pmod(F.xxhash64(b), F.col("_parts")))
+    ranked = dealt.select(*by, b, "_part", F.row_number().over(Window.partitionBy(*by, "_part").orderBy(b)).alias("_rank"))
+    sizes = ranked.groupBy(*by, "_part").agg(F.count(F.lit(1)).cast("int").alias("_size"))
+    frame = rows.select(*by, a).distinct().join(sizes, by).select(*by, a, "_part", "_size", F.lit(None).cast("int").alias("_rank"))
+    there = rows.join(ranked, [*by, b]).select(*by, a, "_part", F.lit(None).cast("int").alias("_size"), "_rank")
+    held = frame.unionByName(there).groupBy(*by, a, "_part").agg(F.max("_size").alias("_size"), F.collect_set("_rank").alias("_have"))
+    lost = held.filter(F.size("_have") < F.col("_size")).select(*by, a, "_part", F.explode(F.array_except(F.sequence(F.lit(1), F.col("_size")), F.col("_have"))).alias("_rank"))
+    return lost.join(ranked, [*by, "_part", "_rank"]).select(*(key or []), a, b)
 
 
 def inside_body(coords: list[Column], half_widths: list[float], tolerance: float = 1e-6) -> Column:
