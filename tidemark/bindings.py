@@ -98,9 +98,19 @@ def _decision(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     return e, windows.stop_decision(s, windows.stationarity_gate(s, ["event_type"]), ["event_type"], [], SIZE)
 
 
-@query(f'WITH {_E} SELECT event_type, status, win AS window_no, stopped_at FROM dec')
+_KINDS = "event_type || '/' || (event_id % 4)"
+_SHAPES = "CASE event_id % 4 WHEN 0 THEN 5 + value * 1e-9 WHEN 1 THEN value + event_id WHEN 2 THEN value ELSE value * (1 + user_id % 2 * 4) END"
+
+
+@query(f"WITH {_E.replace('event_id, value, row_number', f'event_id, {_SHAPES} AS value, row_number', 1).replace('SELECT event_type, ts', f'SELECT {_KINDS} AS event_type, ts', 1).replace('PARTITION BY event_type ORDER BY ts', f'PARTITION BY {_KINDS} ORDER BY ts', 1)} SELECT event_type, status, win AS window_no, stopped_at FROM dec")
 def stop_decision(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _decision(spark, sf_dir)[1].withColumnRenamed("window", "window_no")
+    """Events of a type in four runs: one made flat, one with a drift, two as they are."""
+    k = F.col("event_id") % 4
+    shaped = F.when(k == 0, 5 + F.col("value") * 1e-9).when(k == 1, F.col("value") + F.col("event_id")).when(k == 2, F.col("value")).otherwise(F.col("value") * (1 + F.col("user_id") % 2 * 4))
+    e = table(spark, sf_dir, "events").select(F.concat("event_type", F.lit("/"), k.cast("string")).alias("event_type"), "ts", "event_id", shaped.alias("value"))
+    e = numbered(e, ["event_type"], ["ts", "event_id"], F.date_trunc("day", "ts"))
+    s = windows.schmitt_cycles(e, windows.window_stats(e, SIZE, ["event_type"]), SIZE, ["event_type"])
+    return windows.stop_decision(s, windows.stationarity_gate(s, ["event_type"]), ["event_type"], [], SIZE).withColumnRenamed("window", "window_no")
 
 
 @query(f"""WITH {_E} SELECT e.event_type, status, round(CASE WHEN status = 'converged' THEN arg_max(value, i) ELSE avg(value) END, 6) + 0.0 AS published,
@@ -456,19 +466,23 @@ def scalar_delta(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.withColumn("relative", rounded("relative"))
 
 
-@query("""WITH f AS (SELECT doc_id // 2 AS path, doc_id % 2 AS side, sha256(text) AS h FROM documents), a AS (SELECT * FROM f WHERE side = 0), b AS (SELECT * FROM f WHERE side = 1)
+@query("""WITH d AS (SELECT doc_id AS path, doc_id % 7 AS k, coalesce(text, '') AS t FROM documents), a AS (SELECT path, sha256(t) AS h FROM d WHERE k <> 1), b AS (SELECT path, sha256(CASE WHEN k = 2 THEN rtrim(t) || '.' ELSE t END) AS h FROM d WHERE k <> 0)
 SELECT coalesce(a.path, b.path) AS path, CASE WHEN b.path IS NULL THEN 'missing' WHEN a.path IS NULL THEN 'added' WHEN a.h <> b.h THEN 'changed' ELSE 'same' END AS drift FROM a FULL JOIN b ON a.path = b.path""")
 def manifest_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents of even and odd ids as two states of the same files."""
-    d = table(spark, sf_dir, "documents").select(F.floor(F.col("doc_id") / 2).alias("path"), (F.col("doc_id") % 2).alias("side"), F.sha2("text", 256).alias("sha256"))
-    return diff.manifest_drift(d.filter("side = 0").drop("side"), d.filter("side = 1").drop("side"))
+    """Documents before and after an edit that drops a seventh of them, adds a seventh and changes a seventh."""
+    d = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("path"), (F.col("doc_id") % 7).alias("k"), F.coalesce("text", F.lit("")).alias("t"))
+    before = d.filter("k <> 1").select("path", F.sha2("t", 256).alias("sha256"))
+    after = d.filter("k <> 0").select("path", F.sha2(F.when(F.col("k") == 2, F.concat(F.rtrim("t"), F.lit("."))).otherwise(F.col("t")), 256).alias("sha256"))
+    return diff.manifest_drift(before, after)
 
 
-@query("""WITH f AS (SELECT 'doc' || (doc_id % 97) AS stem, lang FROM documents WHERE lang IN ('de', 'es')), g AS (SELECT stem, bool_or(lang = 'de') AS a, bool_or(lang = 'es') AS b FROM f GROUP BY 1)
-SELECT stem, CASE WHEN a THEN 'es' ELSE 'de' END AS missing FROM g WHERE a <> b""")
+@query("""WITH g AS (SELECT source, 'text' || n_chars AS stem, bool_or(doc_id % 2 = 0) AS a, bool_or(doc_id % 2 = 1) AS b FROM documents GROUP BY ALL)
+SELECT source, stem, CASE WHEN a THEN 'odd' ELSE 'even' END AS missing FROM g WHERE a <> b""")
 def pair_stems(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = table(spark, sf_dir, "documents").select(F.concat(F.lit("doc"), (F.col("doc_id") % 97).cast("string")).alias("stem"), "lang")
-    return diff.unpaired_stems(d, [], "stem", "lang", ("de", "es"))
+    """All documents: even and odd ids as two fields, stems by source and length."""
+    side = F.when(F.col("doc_id") % 2 == 0, "even").otherwise("odd")
+    d = table(spark, sf_dir, "documents").select("source", F.concat(F.lit("text"), F.col("n_chars").cast("string")).alias("stem"), side.alias("side"))
+    return diff.unpaired_stems(d, ["source"], "stem", "side", ("even", "odd"))
 
 
 @query("""WITH q AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(greatest(-1.0, least(1.0, CAST(x AS DOUBLE))) * 127.5 + 127.5) AS INTEGER)) AS p FROM embeddings),
@@ -509,8 +523,8 @@ def energy_cumulative(spark: SparkSession, sf_dir: str) -> DataFrame:
 _RATE = "CASE lang WHEN 'en' THEN 4.0 ELSE 2.5 END"
 
 
-def _ledger_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = table(spark, sf_dir, "documents")
+def _ledger_rows(spark: SparkSession, sf_dir: str, capsule: Column | str = "source") -> DataFrame:
+    d = table(spark, sf_dir, "documents").withColumn("source", F.col(capsule) if isinstance(capsule, str) else capsule)
     return ledger.measured(d.select("source", "lang", "text"), F.col("lang"), F.length("text").cast("bigint"), F.when(F.col("lang") == "en", 4.0).otherwise(2.5), F.col("lang") != "en")
 
 
@@ -521,11 +535,14 @@ def token_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ledger.ledger(_ledger_rows(spark, sf_dir), ["source"], 200_000).withColumn("budget_share", rounded("budget_share"))
 
 
-@query(f"""WITH t AS (SELECT source, lang, CAST(round_even(length(text) / {_RATE}, 0) AS BIGINT) AS t FROM documents)
-SELECT lang AS layer, CAST(coalesce(sum(t) FILTER (WHERE source = 'src0'), 0) AS BIGINT) AS src0, CAST(coalesce(sum(t) FILTER (WHERE source = 'src1'), 0) AS BIGINT) AS src1, CAST(coalesce(sum(t) FILTER (WHERE source = 'src2'), 0) AS BIGINT) AS src2 FROM t WHERE source IN ('src0', 'src1', 'src2') GROUP BY 1""")
+_FILES = ", ".join(f"CAST(coalesce(sum(t) FILTER (WHERE capsule = 'ids_{k}'), 0) AS BIGINT) AS ids_{k}" for k in range(4))
+
+
+@query(f"""WITH t AS (SELECT 'ids_' || (doc_id % 4) AS capsule, lang, CAST(round_even(length(text) / {_RATE}, 0) AS BIGINT) AS t FROM documents) SELECT lang AS layer, {_FILES} FROM t GROUP BY 1""")
 def ledger_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _ledger_rows(spark, sf_dir).filter(F.col("source").isin("src0", "src1", "src2"))
-    return ledger.ledger_pivot(rows, "source", ["src0", "src1", "src2"])
+    """All documents as four capsules by the remainder of their id, languages as layers."""
+    capsule = F.concat(F.lit("ids_"), F.pmod("doc_id", F.lit(4)).cast("string"))
+    return ledger.ledger_pivot(_ledger_rows(spark, sf_dir, capsule), "source", [f"ids_{k}" for k in range(4)])
 
 
 # --- documents -----------------------------------------------------------------------------------------------------
@@ -571,13 +588,21 @@ def rule_findings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", F.explode(F.filter(found, lambda x: x.isNotNull())).alias("f")).select("doc_id", "f.check_id", "f.severity")
 
 
-@query("""WITH f AS (SELECT o_orderpriority, avg(o_totalprice) FILTER (WHERE o_orderkey % 2 = 0) AS fine, avg(o_totalprice) FILTER (WHERE o_orderkey % 3 = 0) AS medium, avg(o_totalprice) FILTER (WHERE o_orderkey % 5 = 0) AS coarse FROM orders GROUP BY 1),
-d AS (SELECT *, medium - fine AS d1, coarse - medium AS d2 FROM f)
-SELECT o_orderpriority, CASE WHEN d1 * d2 < 0 THEN 'oscillatory' ELSE 'monotone' END AS behaviour, round(abs(ln(abs(d2 / d1))) / ln(2) * sign(abs(d2 / d1) - 1), 6) + 0.0 AS p FROM d""")
+_MESH = "CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) FILTER (WHERE o_orderkey % {0} = 0) AS DOUBLE) / nullif(count(*) FILTER (WHERE o_orderkey % {0} = 0), 0)"
+
+
+@query(f"""WITH f AS (SELECT o_custkey % 40 AS quantity, {_MESH.format(2)} AS fine, {_MESH.format(3)} AS medium, {_MESH.format(5)} AS coarse FROM orders GROUP BY 1),
+d AS (SELECT *, medium - fine AS d1, coarse - medium AS d2, greatest(fine, medium, coarse) - least(fine, medium, coarse) AS span FROM f),
+o AS (SELECT *, CASE WHEN d1 * d2 < 0 THEN 'oscillatory' ELSE 'monotone' END AS behaviour, CASE WHEN d1 <> 0 AND d2 <> 0 THEN abs(ln(abs(d2 / d1))) / ln(2) * sign(abs(d2 / d1) - 1) END AS p FROM d),
+s AS (SELECT *, CASE WHEN greatest(abs(d1), abs(d2)) <= 0 THEN 'nominal' WHEN p IS NULL OR NOT abs(d1) < abs(d2) THEN 'not_asymptotic' WHEN behaviour = 'oscillatory' THEN 'converged' WHEN p > 2.5 THEN 'above_order' WHEN p < 1.5 THEN 'reduced_order' ELSE 'converged' END AS status FROM o)
+SELECT quantity, behaviour, status, round(p, 6) + 0.0 AS p, round(CASE WHEN behaviour = 'monotone' AND status IN ('converged', 'reduced_order') THEN fine - d1 / (pow(2, p) - 1) END, 3) + 0.0 AS extrapolated,
+round(CASE WHEN status IN ('not_asymptotic', 'nominal') THEN NULL WHEN behaviour <> 'monotone' THEN abs(span / 2 / fine) WHEN status = 'above_order' THEN 3.0 * abs(d1 / fine) / 3 ELSE 1.25 * abs(d1 / fine) / (pow(2, p) - 1) END, 6) + 0.0 AS gci_fine FROM s""")
 def richardson(spark: SparkSession, sf_dir: str) -> DataFrame:
-    part = lambda k: F.avg(F.when(F.col("o_orderkey") % k == 0, F.col("o_totalprice")))
-    f = table(spark, sf_dir, "orders").groupBy("o_orderpriority").agg(part(2).alias("fine"), part(3).alias("medium"), part(5).alias("coarse"))
-    return modal.discretization(f, ["o_orderpriority"], "fine", "medium", "coarse", 2.0).select("o_orderpriority", "behaviour", rounded("p").alias("p"))
+    """Mean prices over a half, a third and a fifth of the orders as one quantity on three meshes."""
+    part = lambda k: F.sum(F.when(F.col("o_orderkey") % k == 0, money("o_totalprice"))).cast("double") / F.nullif(F.count_if(F.col("o_orderkey") % k == 0), F.lit(0))
+    f = table(spark, sf_dir, "orders").groupBy((F.col("o_custkey") % 40).alias("quantity")).agg(part(2).alias("fine"), part(3).alias("medium"), part(5).alias("coarse"))
+    d = modal.discretization(f, ["quantity"], "fine", "medium", "coarse", 2.0)
+    return d.select("quantity", "behaviour", "status", rounded("p").alias("p"), rounded("extrapolated", 3).alias("extrapolated"), rounded("gci_fine").alias("gci_fine"))
 
 
 @query("SELECT l_returnflag, round(regr_intercept(l_extendedprice, l_quantity), 3) + 0.0 AS extrapolated FROM lineitem GROUP BY 1")
@@ -599,20 +624,26 @@ def clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def tracks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Monthly revenue of suppliers by nation as clusters that move: at most stations times suppliers rows per nation."""
+    """Suppliers of a nation as clusters that move from month to month with their revenue, and compete for the tracks."""
     m = _monthly(spark, sf_dir).join(table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey"), F.col("l_suppkey") == F.col("s_suppkey"))
-    per = m.groupBy("s_nationkey", "m").agg(F.avg("q").alias("q"), F.count(F.lit(1)).alias("k"))
-    c = per.select("s_nationkey", ((F.year("m") - 1992) + F.month("m") / 100.0).alias("x"), (F.col("q") / 1e7).alias("y"), F.lit(0.0).alias("z"), F.lit(1).alias("sense"), F.col("q").alias("circulation"))
+    station = (F.year("m") * 12 + F.month("m")) / 10
+    mean = m.groupBy("s_nationkey").agg(F.avg("q").alias("_mean"))
+    c = m.join(mean, "s_nationkey").select(
+        "s_nationkey", station.alias("x"), (F.col("q") / F.col("_mean") / 10).alias("y"), (F.col("s_suppkey") % 3 / 20).alias("z"),
+        F.when(F.col("s_suppkey") % 2 == 0, 1).otherwise(-1).alias("sense"), F.round(F.col("q") / 1000).alias("circulation"),
+    )
     return features.track_links(c, ["s_nationkey"])
 
 
-@query("SELECT page_id, true AS same FROM pages")
+@query(r"""WITH b AS (SELECT page_id, trim(regexp_replace(regexp_replace(regexp_replace(html, '(?is)<script\b.*?</script>|<style\b.*?</style>|<!--.*?-->', ' ', 'g'), '(?s)<[^>]*>', ' ', 'g'), '[ \t\r\n]+', ' ', 'g')) AS body FROM pages),
+t AS (SELECT page_id, list_filter(regexp_split_to_array(body, '[.,] '), lambda x: x <> '') AS l FROM b)
+SELECT page_id, len(l)::BIGINT + 1 AS lines, sha256('page' || chr(10) || array_to_string(list_transform(l, lambda x: '  ' || x), chr(10))) AS digest FROM t""")
 def text_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A compact form of each page's visible lines, decoded again: it is the same text."""
+    """Each page's visible lines, written in the compact form and decoded again."""
     lines = F.concat(F.lit("page\n"), F.array_join(F.transform(F.filter(F.split(text.strip_tags(F.col("html")), r"[.,] "), lambda s: s != ""), lambda s: F.concat(F.lit("  "), s)), "\n"))
-    pages = table(spark, sf_dir, "pages").select("page_id", lines.alias("text"))
-    coded = text.encode_column(pages).select("page_id", F.col("text").alias("plain"), F.col("result").alias("text"))
-    return text.decode_column(coded).select("page_id", F.col("plain").eqNullSafe(F.col("result")).alias("same"))
+    coded = text.encode_column(table(spark, sf_dir, "pages").select("page_id", lines.alias("text"))).select("page_id", F.col("result").alias("text"))
+    back = text.decode_column(coded)
+    return back.select("page_id", F.size(F.split("result", "\n")).cast("bigint").alias("lines"), F.sha2("result", 256).alias("digest"))
 
 
 @query("""SELECT event_id, '{' || chr(10) || '  "version": 2,' || chr(10) || '  "key_number": ' || json_extract_string(props, '$.k') || chr(10) || '}' || chr(10) AS migrated, 3 AS changes, 0 AS problems FROM events""")

@@ -63,15 +63,24 @@ def stop_reason(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "orders").select("o_orderkey", expr.reason_fits(status, reason).alias("fits"))
 
 
-@query("SELECT vec_id, len(embedding)::BIGINT AS length, len(list_filter(embedding, lambda x: x IS NULL))::BIGINT AS nulls, len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0 AS is_numeric FROM embeddings")
+@query("""WITH e AS (SELECT vec_id, list_concat(list_slice(CAST(embedding AS DOUBLE[]), 1, vec_id % 5), CASE vec_id % 3 WHEN 0 THEN [NULL] ELSE [] END, CASE vec_id % 7 WHEN 1 THEN ['nan'::DOUBLE] ELSE [] END) AS v FROM embeddings)
+SELECT vec_id, len(v)::BIGINT AS length, len(list_filter(v, lambda x: x IS NULL))::BIGINT AS nulls, len(v) > 0 AND len(list_filter(v, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0 AS is_numeric FROM e""")
 def array_shape(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s = table(spark, sf_dir, "embeddings").select("vec_id", expr.array_shape("embedding").alias("s"))
+    """Starts of the vectors, some of them empty, some with a null or NaN behind."""
+    none = F.array().cast("array<double>")
+    more = [F.when(F.col("vec_id") % k == r, F.array(F.lit(x).cast("double"))).otherwise(none) for k, r, x in ((3, 0, None), (7, 1, float("nan")))]
+    v = F.concat(F.slice(F.col("embedding").cast("array<double>"), F.lit(1), (F.col("vec_id") % 5).cast("int")), *more)
+    s = table(spark, sf_dir, "embeddings").select("vec_id", expr.array_shape(v).alias("s"))
     return s.select("vec_id", F.col("s.length").cast("bigint").alias("length"), F.col("s.nulls").cast("bigint").alias("nulls"), F.col("s.numeric").alias("is_numeric"))
 
 
-@query("SELECT event_id, list_aggregate(list_filter(['k', 'z'], lambda x: NOT list_contains(coalesce(json_keys(CASE WHEN json_valid(props) THEN props END), []), x)), 'string_agg', ',') AS missing FROM events")
+@query("""WITH e AS (SELECT event_id, CASE event_id % 4 WHEN 0 THEN replace(props, '"k"', '"z"') WHEN 1 THEN replace(props, '"k"', '"z": 0, "k"') WHEN 2 THEN '{' ELSE props END AS p FROM events)
+SELECT event_id, list_aggregate(list_filter(['k', 'z'], lambda x: NOT list_contains(coalesce(json_keys(CASE WHEN json_valid(p) THEN p END), []), x)), 'string_agg', ',') AS missing FROM e""")
 def missing_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
-    parsed = F.coalesce(F.from_json("props", "map<string,string>"), F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<string>")))
+    """Properties with the one key, the other, both, and text that is no JSON."""
+    k, key = F.col("event_id") % 4, F.lit('"k"')
+    p = F.when(k == 0, F.replace("props", key, F.lit('"z"'))).when(k == 1, F.replace("props", key, F.lit('"z": 0, "k"'))).when(k == 2, "{").otherwise(F.col("props"))
+    parsed = F.coalesce(F.from_json(p, "map<string,string>"), F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<string>")))
     return table(spark, sf_dir, "events").select("event_id", F.nullif(F.array_join(expr.missing_keys(parsed, ["k", "z"]), ","), F.lit("")).alias("missing"))
 
 
@@ -99,52 +108,20 @@ def hash_patterns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select("doc_id", digest.alias("digest"), rules.is_sha256(digest).alias("is_sha"), rules.commit_kind(F.substring(digest, F.lit(1), (F.col("doc_id") % 42).cast("int"))).alias("commit_kind"))
 
 
-@query("""WITH p AS (SELECT page_id, regexp_replace(url, '^[a-z]+://', '') AS u FROM pages), l AS (SELECT u, string_split(u, '/')[1] AS layer, lower(string_split(u, '/')[-1]) AS name FROM p),
+_TAILS = [".png", "/run.json", ".CSV", ".py", "/setup.txt", "/Main.java", ""]
+
+
+@query(f"""WITH p AS (SELECT page_id, regexp_replace(url, '^[a-z]+://', '') || list_extract({_TAILS}, CAST(page_id % {len(_TAILS)} + 1 AS INTEGER)) AS u FROM pages), l AS (SELECT u, string_split(u, '/')[1] AS layer, lower(string_split(u, '/')[-1]) AS name FROM p),
 k AS (SELECT layer, CASE WHEN name = 'setup.txt' THEN 'setup_report' WHEN name LIKE '%.png' THEN 'image' WHEN name LIKE '%.json' THEN 'json' WHEN name LIKE '%.csv' THEN 'csv' WHEN regexp_matches(name, '\\.(java|py)$') THEN 'code' ELSE 'other' END AS kind, length(u) AS n FROM l)
 SELECT layer, kind, count(*) AS files, sum(CASE kind WHEN 'image' THEN 1200 WHEN 'json' THEN round_even(n / 4.0, 0) WHEN 'csv' THEN round_even(n / 2.5, 0) ELSE round_even(n / 3.5, 0) END)::BIGINT AS tokens FROM k GROUP BY ALL""")
 def kinds_and_layers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = F.regexp_replace("url", "^[a-z]+://", "")
+    """The addresses of all pages as files of seven endings."""
+    tail = F.element_at(F.array(*map(F.lit, _TAILS)), (F.col("page_id") % len(_TAILS) + 1).cast("int"))
+    path = F.concat(F.regexp_replace("url", "^[a-z]+://", ""), tail)
     rows = table(spark, sf_dir, "pages").select(ledger.layer_of(path).alias("layer"), ledger.kind_of(path).alias("kind"), F.length(path).alias("n"))
     return rows.groupBy("layer", "kind").agg(F.count(F.lit(1)).alias("files"), F.sum(ledger.tokens_by_kind(F.col("kind"), F.col("n"))).alias("tokens"))
 
 
-@query("SELECT o_orderkey, round(abs(o_totalprice - o_custkey) / greatest(abs(o_totalprice), abs(o_custkey), 1e-30), 9) + 0.0 AS relative, abs(o_totalprice - o_custkey * 100) <= 0.05 * greatest(abs(o_totalprice), abs(o_custkey * 100)) AS near FROM orders")
-def relative_measures(spark: SparkSession, sf_dir: str) -> DataFrame:
-    a, b = F.col("o_totalprice"), F.col("o_custkey").cast("double")
-    return table(spark, sf_dir, "orders").select("o_orderkey", rounded(F.abs(expr.relative(a, b)), 9).alias("relative"), expr.close(a, b * 100, 0.05).alias("near"))
-
-
-# --- windows, signals and samples ----------------------------------------------------------------------------------------
-
-
-@query("""WITH e AS (SELECT event_type, ts, event_id, value, row_number() OVER (PARTITION BY event_type ORDER BY ts, event_id) - 1 AS i FROM events)
-SELECT event_type, (i - 101) // 50 AS window_no, count(*) AS n, round(avg(value), 6) + 0.0 AS mean FROM e WHERE i > 100 GROUP BY ALL HAVING count(*) = 50""")
-def discard_transient(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from tidemark.bindings import _events
-
-    s = windows.window_stats(windows.discard(_events(spark, sf_dir), ["event_type"], 100), 50, ["event_type"])
-    return s.select("event_type", F.col("window").alias("window_no"), "n", rounded("mean").alias("mean"))
-
-
-@query("SELECT l_returnflag, count(*) AS rows, max(l_linenumber) AS last, bool_and(l_linenumber % 1 = 0) AND count(DISTINCT l_linenumber) = count(*) AND min(l_linenumber) = 1 AND max(l_linenumber) = count(*) AS regular FROM lineitem GROUP BY ALL UNION ALL SELECT 'r' || r_regionkey, 1, r_regionkey + 1, r_regionkey = 0 FROM region")
-def sampling_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
-    a = table(spark, sf_dir, "lineitem").select("l_returnflag", F.col("l_linenumber").cast("bigint").alias("p"))
-    b = table(spark, sf_dir, "region").select(F.concat(F.lit("r"), F.col("r_regionkey").cast("string")).alias("l_returnflag"), (F.col("r_regionkey") + 1).cast("bigint").alias("p"))
-    return windows.on_grid(a.unionByName(b), ["l_returnflag"], 1, "p")
-
-
-@query("SELECT l_returnflag, count(*) FILTER (WHERE l_quantity <= 12) AS bins, round(sum(CASE WHEN l_quantity <= 12 THEN l_tax ELSE 0 END), 6) + 0.0 AS variance, round(sum(CASE WHEN l_quantity <= 12 THEN l_tax ELSE 0 END) / sum(l_tax), 6) + 0.0 AS share FROM lineitem GROUP BY 1")
-def variance_below(spark: SparkSession, sf_dir: str) -> DataFrame:
-    v = signals.variance_below(table(spark, sf_dir, "lineitem"), ["l_returnflag"], "l_quantity", "l_tax", 12)
-    return v.withColumn("variance", rounded("variance")).withColumn("share", rounded("share"))
-
-
-@query("SELECT s_nationkey, s_suppkey, s_acctbal, row_number() OVER (PARTITION BY s_nationkey ORDER BY s_acctbal) AS place FROM supplier WHERE s_acctbal <= 4000")
-def lateral_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s = table(spark, sf_dir, "supplier").select("s_nationkey", "s_suppkey", "s_acctbal")
-    return signals.lateral_trend(s, ["s_nationkey"], "s_acctbal", 4000).withColumn("place", F.col("place").cast("bigint"))
-
-
 @query("SELECT event_type, round(avg(value), 6) + 0.0 AS mean, round(stddev_pop(value), 6) + 0.0 AS rms FROM events GROUP BY 1")
 def rms_about_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
     r = signals.rms_about_mean(table(spark, sf_dir, "events"), ["event_type"], "value")
@@ -230,10 +207,10 @@ def plane_integral(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p.select("l_returnflag", rounded(p.columns[-1]).alias("integral"))
 
 
-@query("SELECT user_id, max(value) - 0 AS span, arg_max(event_id, ts) - arg_min(event_id, ts) AS steps FROM (SELECT user_id, ts, event_id, 0 AS value FROM events) GROUP BY 1")
+@query("SELECT user_id, round(arg_max(value, (ts, event_id)) - arg_min(value, (ts, event_id)), 6) + 0.0 AS span, arg_max(event_id, (ts, event_id)) - arg_min(event_id, (ts, event_id)) AS steps FROM events GROUP BY 1")
 def elapsed_delta(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = table(spark, sf_dir, "events").select("user_id", "ts", "event_id", F.col("event_id").alias("steps"), F.lit(0).alias("span"))
-    return accounts.elapsed_delta(e, ["user_id"], "ts", ["span", "steps"])
+    e = table(spark, sf_dir, "events").select("user_id", F.struct("ts", "event_id").alias("when"), F.col("event_id").alias("steps"), F.col("value").alias("span"))
+    return accounts.elapsed_delta(e, ["user_id"], "when", ["span", "steps"]).withColumn("span", rounded("span"))
 
 
 @query("""WITH c AS (SELECT c_custkey, 'n' || c_nationkey || '/s' || (c_custkey % 5) || '/c' || c_custkey AS start FROM customer), known AS (SELECT 'n' || n_nationkey || '/base' AS spot FROM nation WHERE n_nationkey % 2 = 0 UNION ALL SELECT 'n' || n_nationkey || '/s3/base' FROM nation UNION ALL SELECT 'base' FROM region WHERE r_regionkey = 0),
@@ -247,10 +224,10 @@ def base_climb(spark: SparkSession, sf_dir: str) -> DataFrame:
     return accounts.base_climb(c, known, "start", "base", "place").select("c_custkey", "found", F.col("climbed").cast("bigint").alias("climbed"))
 
 
-@query("""WITH f AS (SELECT c_custkey, c_mktsegment, c_acctbal FROM customer), w AS (SELECT c_mktsegment, CASE WHEN min(c_acctbal) < -900 THEN 2 WHEN max(c_acctbal) > 9000 THEN 1 ELSE 0 END AS r, count(*) FILTER (WHERE c_acctbal < -900) AS errors, count(*) FILTER (WHERE c_acctbal > 9000) AS warnings FROM f GROUP BY 1)
-SELECT c_mktsegment AS capsule, CASE r WHEN 2 THEN 'FAIL' WHEN 1 THEN 'WARN' ELSE 'PASS' END AS status, errors, warnings FROM w""")
+@query("""WITH w AS (SELECT 'nation_' || c_nationkey AS capsule, CASE WHEN min(c_acctbal) < -900 THEN 2 WHEN max(c_acctbal) > 9900 THEN 1 ELSE 0 END AS r, count(*) FILTER (WHERE c_acctbal < -900) AS errors, count(*) FILTER (WHERE c_acctbal > 9900) AS warnings FROM customer GROUP BY 1)
+SELECT capsule, CASE r WHEN 2 THEN 'FAIL' WHEN 1 THEN 'WARN' ELSE 'PASS' END AS status, errors, warnings FROM w""")
 def findings_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c = table(spark, sf_dir, "customer").select(F.col("c_mktsegment").alias("capsule"), F.when(F.col("c_acctbal") < -900, "E").when(F.col("c_acctbal") > 9000, "W").alias("severity"))
+    c = table(spark, sf_dir, "customer").select(F.concat(F.lit("nation_"), F.col("c_nationkey").cast("string")).alias("capsule"), F.when(F.col("c_acctbal") < -900, "E").when(F.col("c_acctbal") > 9900, "W").alias("severity"))
     return rules.rollup(c.filter("severity IS NOT NULL"), c)
 
 
@@ -345,9 +322,16 @@ for _rule, _file, _severity, _when in (
 # --- texts -----------------------------------------------------------------------------------------------------
 
 
-@query("SELECT p_partkey, regexp_matches(p_name, '\\t|(^|\\n)@|\\^$') AS marks FROM part")
+_SIGNS = ["p_name || chr(9)", "'  @k=0..3 ' || p_name", "p_name || chr(10) || '@k=0..12 x'", "p_name || ' ^'", "'@k=0..3' || p_name || '^'", "p_name || '{-1:2.5}'", "p_name || '{a:2}'", "p_name"]
+
+
+@query(f"SELECT p_partkey, regexp_matches(CASE p_partkey % 8 {' '.join(f'WHEN {k} THEN {t}' for k, t in enumerate(_SIGNS))} END, '\\t|\\{{-?[0-9]+(\\.[0-9]+)?:-?[0-9]+(\\.[0-9]+)?\\}}|(^|\\n) *@k=0\\.\\.[0-9]+ | \\^') AS marks FROM part")
 def setup_marks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "part").select("p_partkey", text.has_marks(F.col("p_name")).alias("marks"))
+    """Names of parts with each of the marks, with what only looks like them, and as they are."""
+    n = F.col("p_name")
+    forms = [F.concat(n, F.lit("\t")), F.concat(F.lit("  @k=0..3 "), n), F.concat(n, F.lit("\n@k=0..12 x")), F.concat(n, F.lit(" ^")), F.concat(F.lit("@k=0..3"), n, F.lit("^")), F.concat(n, F.lit("{-1:2.5}")), F.concat(n, F.lit("{a:2}")), n]
+    form = F.coalesce(*[F.when(F.col("p_partkey") % 8 == k, f) for k, f in enumerate(forms)])
+    return table(spark, sf_dir, "part").select("p_partkey", text.has_marks(form).alias("marks"))
 
 
 # --- files written and read again ----------------------------------------------------------------------------------------------
@@ -415,11 +399,16 @@ def two_route_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     return c.select(rounded("route_a", 2).alias("route_a"), rounded("route_b", 2).alias("route_b"), (F.col("difference") < 1e-9).alias("agree"))
 
 
-@query("SELECT (SELECT count(*) FROM lineitem) AS n, (SELECT max(l_partkey) FROM lineitem) AS top, false AS agree")
+@query("""WITH a AS (SELECT count(*) AS n, max(l_partkey) AS top FROM lineitem), o AS (SELECT sum(k)::BIGINT AS n, max(top) AS top FROM (SELECT count(*) AS k, max(l_partkey) AS top FROM lineitem GROUP BY l_orderkey)), s AS (SELECT sum(k)::BIGINT AS n, max(top) AS top FROM (SELECT count(*) AS k, max(l_partkey) AS top FROM lineitem GROUP BY l_suppkey)),
+b AS (SELECT count(*) AS n, max(l_partkey) AS top FROM lineitem WHERE l_returnflag <> 'R')
+SELECT 'all' AS of, a.n, a.top, a.n = o.n AND a.n = s.n AND a.top = o.top AND a.top = s.top AS agree FROM a, o, s UNION ALL SELECT 'returns left out', a.n, a.top, a.n = o.n AND a.n = b.n AND a.top = o.top AND a.top = b.top FROM a, o, b""")
 def three_way_equal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines counted at once, by order and by supplier; and once with the returned lines left out."""
     li = table(spark, sf_dir, "lineitem")
-    one = li.agg(F.count(F.lit(1)).alias("n"), F.max("l_partkey").alias("top"))
-    return diff.three_way_equal([one, one, one.withColumn("top", F.col("top") + 1)], ["n", "top"])
+    one = lambda rows: rows.agg(F.count(F.lit(1)).alias("n"), F.max("l_partkey").alias("top"))
+    by = lambda key: li.groupBy(key).agg(F.count(F.lit(1)).alias("k"), F.max("l_partkey").alias("top")).agg(F.sum("k").alias("n"), F.max("top").alias("top"))
+    agreed = lambda name, last: diff.three_way_equal([one(li), by("l_orderkey"), last], ["n", "top"]).withColumn("of", F.lit(name))
+    return agreed("all", by("l_suppkey")).unionByName(agreed("returns left out", one(li.filter("l_returnflag <> 'R'"))))
 
 
 @query("""WITH a AS (SELECT DISTINCT p_type FROM part WHERE p_size <= 20), b AS (SELECT DISTINCT p_type FROM part WHERE p_size > 20)
@@ -455,10 +444,10 @@ def long_tracks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return features.long_tracks(c, ["c_nationkey"], 10).withColumn("fragments", F.col("fragments").cast("bigint"))
 
 
-@query("""WITH s AS (SELECT l_suppkey, l_linenumber::DOUBLE AS t, sum(l_quantity) AS y FROM lineitem GROUP BY ALL), d AS (SELECT *, lead(t) OVER (PARTITION BY l_suppkey ORDER BY t) - t AS dt, min(t) OVER (PARTITION BY l_suppkey) AS a, max(t) OVER (PARTITION BY l_suppkey) AS b FROM s),
+@query("""WITH s AS (SELECT l_suppkey, (l_linenumber + l_suppkey % 3)::DOUBLE AS t, sum(l_quantity) AS y FROM lineitem GROUP BY ALL), d AS (SELECT *, lead(t) OVER (PARTITION BY l_suppkey ORDER BY t) - t AS dt, min(t) OVER (PARTITION BY l_suppkey) AS a, max(t) OVER (PARTITION BY l_suppkey) AS b FROM s),
 k AS (SELECT *, first_value(dt) OVER (PARTITION BY l_suppkey ORDER BY t) AS step FROM d) SELECT l_suppkey, t, a <= 2 + step / 2 AND b >= 5 - step / 2 AS spans FROM k WHERE t BETWEEN 2 - 1e-6 * step AND 5 + 1e-6 * step""")
 def search_window(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s = table(spark, sf_dir, "lineitem").groupBy("l_suppkey", F.col("l_linenumber").cast("double").alias("t")).agg(F.sum("l_quantity").alias("y"))
+    s = table(spark, sf_dir, "lineitem").groupBy("l_suppkey", (F.col("l_linenumber") + F.col("l_suppkey") % 3).cast("double").alias("t")).agg(F.sum("l_quantity").alias("y"))
     return signals.search_window(s, ["l_suppkey"], 2.0, 5.0).select("l_suppkey", "t", "spans")
 
 
@@ -475,9 +464,9 @@ def correlations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return o.select("o_orderkey", rounded(expr.drag_correlation("re", 0.15, 0.681, 0.407, 8710, -1)).alias("drag"), rounded(expr.strouhal_correlation("re")).alias("strouhal"), rounded(expr.percent_error("re", F.lit(150.0))).alias("percent"), expr.sweep_alias("re", F.col("re").cast("bigint")).alias("alias"))
 
 
-@query("SELECT p_partkey, p_size * (p_retailprice - 100) / 256 AS level, (p_size + p_partkey % 5 + 7) / 3.0 AS grey, p_size = p_partkey % 5 AND p_size = 7 AS is_grey, trim(regexp_replace(p_name || ' (m)', '\\s*\\(.*$', '')) AS base FROM part")
+@query("SELECT p_partkey, p_size * (p_retailprice - 100) / 256 AS level, (p_size % 5 + p_partkey % 5 + 2) / 3.0 AS grey, p_size % 5 = p_partkey % 5 AND p_size % 5 = 2 AS is_grey, trim(regexp_replace(p_name || ' (m)', '\\s*\\(.*$', '')) AS base FROM part")
 def colours_and_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    r, g, b = F.col("p_size"), F.col("p_partkey") % 5, F.lit(7)
+    r, g, b = F.col("p_size") % 5, F.col("p_partkey") % 5, F.lit(2)
     return table(spark, sf_dir, "part").select("p_partkey", expr.level_value("p_size", F.lit(100.0), "p_retailprice").alias("level"), expr.grey(r, g, b).alias("grey"), expr.is_grey(r, g, b).alias("is_grey"), expr.header_base(F.concat("p_name", F.lit(" (m)"))).alias("base"))
 
 
