@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import os
 import random
 
 import numpy as np
@@ -87,6 +88,18 @@ def test_competing_clusters_are_tracked_as_in_one_group(spark, spread):
     assert got == {(c, *r): k for c, rows in cases.items() for r, k in plain_tracks(rows).items()}
 
 
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.001"), reason="the standard tables are not here")
+def test_tracks_of_the_suppliers(spark):
+    """The query against plain tracking of each nation, of which suppliers compete."""
+    from tidemark import bindings
+
+    rows = bindings.tracks(spark, "/root/testdata/sf0.01").collect()
+    of = {k: [tuple(r)[1:6] for r in rows if r["s_nationkey"] == k] for k in {r["s_nationkey"] for r in rows}}
+    want = {(k, *r): t for k, some in of.items() for r, t in plain_tracks(some).items()}
+    assert {(r["s_nationkey"], *tuple(r)[1:6]): r["track"] for r in rows} == want and len(rows) == len(want)
+    assert sum(len(x) for x in of.values()) > 3 * sum(len({t for k, t in ((key[0], t) for key, t in want.items()) if k == n}) for n in of) > 3 * len(of)
+
+
 def test_tracks_of_nothing(spark):
     df = spark.createDataFrame([], "case string, x double, y double, z double, sense int, circulation double, track_note string")
     assert features.track_links(df, ["case"]).count() == 0
@@ -173,3 +186,37 @@ def test_pod_energies_match_numpy_with_gaps(spark):
     m = np.nan_to_num(m - np.nanmean(m, axis=2, keepdims=True)).reshape(-1, 6)
     want = np.sort(np.linalg.eigvalsh(m.T @ m / 40 / 6))[::-1]
     assert np.allclose(energies, want[: len(energies)], atol=1e-9)
+
+
+@pytest.mark.parametrize(("steps", "rank"), [(40, 6), (30, 30)])
+def test_modes_by_the_range_finder_are_those_of_the_gram_matrix(spark, steps, rank):
+    """Two values per node, nodes without some steps; once with few modes, once with as many as steps."""
+    rng = np.random.default_rng(rank)
+    x = np.einsum("nr,rt->nt", rng.normal(size=(120, rank)), rng.normal(size=(rank, steps)) * (0.6 ** np.arange(rank))[:, None]).reshape(60, 2, steps)
+    rows = [(n, t, float(x[n, 0, t]), float(x[n, 1, t])) for n in range(60) for t in range(steps) if (n * 7 + t) % 11]
+    df = spark.createDataFrame(rows, "node long, step long, u double, v double").repartition(5)
+    share = 0.99 if rank < steps else 1.0
+    want, modes, a = modal.pod(df, "node", "step", ["u", "v"], share=share)
+    got, other, b = modal.pod_of_many(df, "node", "step", ["u", "v"], share=share, search=4, passes=8)
+    assert len(got) == len(want) and got == pytest.approx(want, rel=1e-6, abs=1e-12)
+    strong = sum(w > 1e-3 * want[0] for w in want)
+    for left, right, key, values in ((modes, other, "node", ["u", "v"]), (a, b, "step", ["a"])):
+        far = left.filter(F.col("k") <= strong).alias("l").join(right.alias("r"), [key, "k"]).agg(F.count(F.lit(1)), *[F.max(F.abs(F.col(f"l.{v}") - F.col(f"r.{v}"))) for v in values]).first()
+        assert far[0] == strong * (60 if key == "node" else steps) and max(far[1:]) < 1e-3
+
+
+def test_modes_of_five_thousand_steps(spark):
+    rng = np.random.default_rng(1)
+    t = np.arange(5000)
+    left = np.linalg.qr(rng.normal(size=(20, 3)))[0]
+    field = left @ (np.array([3.0, 2.0, 1.0])[:, None] * np.stack([np.sin(0.3 * t), np.cos(0.11 * t), np.sin(0.017 * t)]))
+    nodes = spark.createDataFrame([(n, field[n].tolist()) for n in range(20)], "node int, u array<double>")
+    df = nodes.select("node", F.posexplode("u").alias("step", "u"))
+    energies, modes, a = modal.pod(df, "node", "step", ["u"])
+    still = field - field.mean(axis=1, keepdims=True)
+    want = np.linalg.svd(still, compute_uv=False) ** 2 / 20 / 5000
+    assert len(energies) == 4 and energies[:3] == pytest.approx(want[:3], rel=1e-8)
+    back = modal.reconstruct(modes, a, "node", "step", ["u"])
+    far = back.join(df.withColumnRenamed("u", "w"), ["node", "step"]).join(df.groupBy("node").agg(F.avg("u").alias("m")), "node")
+    assert far.agg(F.count(F.lit(1)), F.max(F.abs(F.col("u") + F.col("m") - F.col("w")))).first()[0] == 100_000
+    assert far.agg(F.max(F.abs(F.col("u") + F.col("m") - F.col("w")))).first()[0] < 1e-6

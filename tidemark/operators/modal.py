@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.session import shared_base
+
 #: Safety factor with three meshes, and where the order is above its band.
 SAFETY, SAFETY_ABOVE = 1.25, 3.0
 
@@ -60,16 +63,179 @@ def _added(rows: pa.Table) -> pa.Table:
     return pa.table({"i": rows.column("i").slice(0, 1), "c": pa.array([total.tobytes()], pa.binary())})
 
 
+#: Nodes and steps on a side of a tile, on average; columns of the first search for modes beyond ``most_steps``, and passes over the tiles.
+TILE, SEARCH, PASSES = 256, 16, 4
+
+
+def _dealt(rows: DataFrame, name: str, prefix: str) -> tuple[DataFrame, int]:
+    """Every distinct value of a column with its block and place there, and how many values there are."""
+    values = rows.select(name).distinct()
+    many = values.count()
+    block = F.pmod(F.xxhash64(name), F.lit(-(-many // TILE) or 1))
+    place = F.row_number().over(Window.partitionBy(f"{prefix}_block").orderBy(name)) - 1
+    return values.withColumn(f"{prefix}_block", block).withColumn(f"{prefix}_at", place), many
+
+
+def _product(tiles: DataFrame, other: DataFrame, by: str, to: str, transposed: bool) -> DataFrame:
+    """(to, m): the tiles' matrix, or its transpose, times a matrix whose blocks are rows (by, m) of ``other``."""
+
+    def times(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for high, wide, x, m in zip(*(batch.column(c).to_pylist() for c in ("high", "wide", "x", "m")), strict=True):
+                x = np.frombuffer(x).reshape(high, wide)
+                x = x.T if transposed else x
+                out.append((x @ np.frombuffer(m).reshape(x.shape[1], -1)).tobytes())
+            yield pa.record_batch([batch.column(to), pa.array(out, pa.binary())], [to, "m"])
+
+    def added(rows: pa.Table) -> pa.Table:
+        total = sum(np.frombuffer(m) for m in rows.column("m").to_pylist())
+        return pa.table({to: rows.column(to).slice(0, 1), "m": pa.array([total.tobytes()], pa.binary())})
+
+    schema = f"{to} bigint, m binary"
+    parts = tiles.join(other, by).select(to, "high", "wide", "x", "m").mapInArrow(times, schema)
+    # partial sums by a few salts first, so that a block of steps that all nodes share is no single task
+    salted = parts.withColumn("salt", F.pmod(F.monotonically_increasing_id(), F.lit(64)))
+    some = salted.groupBy(to, "salt").applyInArrow(added, schema)
+    return some.groupBy(to).applyInArrow(added, schema)
+
+
+def _gram(blocks: DataFrame, wide: int) -> np.ndarray:
+    """The small matrix of inner products of the columns of a matrix in blocks."""
+
+    def own(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((wide, wide))
+        for batch in batches:
+            for m in batch.column("m").to_pylist():
+                m = np.frombuffer(m).reshape(-1, wide)
+                total += m.T @ m
+        yield pa.record_batch([pa.array([total.tobytes()], pa.binary())], ["m"])
+
+    # the tasks' sums are small and as many as tasks: one row each
+    return sum((np.frombuffer(r["m"]) for r in blocks.select("m").mapInArrow(own, "m binary").toLocalIterator()), np.zeros(wide * wide)).reshape(wide, wide)
+
+
+def _mixed(blocks: DataFrame, key: str, by: np.ndarray) -> DataFrame:
+    """A matrix in blocks times a small matrix."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = [(np.frombuffer(m).reshape(-1, len(by)) @ by).tobytes() for m in batch.column("m").to_pylist()]
+            yield pa.record_batch([batch.column(key), pa.array(out, pa.binary())], [key, "m"])
+
+    return blocks.select(key, "m").mapInArrow(run, f"{key} bigint, m binary")
+
+
+def _unfolded(blocks: DataFrame, key: str, names: DataFrame, at: str, columns: list[str], wide: int) -> DataFrame:
+    """Blocks as rows: every named place with its ``columns``, each an array of ``wide`` numbers."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k, m in zip(batch.column(key).to_pylist(), batch.column("m").to_pylist(), strict=True):
+                m = np.frombuffer(m).reshape(-1, len(columns), wide)
+                arrays = [pa.FixedSizeListArray.from_arrays(pa.array(m[:, i].ravel()), wide).cast(pa.list_(pa.float64())) for i in range(len(columns))]
+                yield pa.record_batch([pa.array([k] * len(m), pa.int64()), pa.array(np.arange(len(m), dtype=np.int32)), *arrays], [key, at, *columns])
+
+    schema = f"{key} bigint, {at} int, " + ", ".join(f"`{c}` array<double>" for c in columns)
+    return blocks.select(key, "m").mapInArrow(run, schema).join(names, [key, at])
+
+
+def pod_of_many(snapshots: DataFrame, node: str, step: str, values: list[str], share: float = 0.999, search: int = SEARCH, passes: int = PASSES) -> tuple[list[float], DataFrame, DataFrame]:
+    """As :func:`pod` for any number of steps, by a randomised range finder with subspace iteration.
+
+    The fluctuations are cut into tiles of nodes and steps, written once. A random matrix of ``search`` columns is
+    multiplied by them back and forth; what is left spans the strongest modes. Only matrices of ``search`` squared come
+    to the driver. The energy of everything is summed exactly, so it is known whether the modes found hold the wanted share;
+    while they don't, ``search`` is doubled, at most to the number of steps, where the result is complete.
+    """
+    spark = snapshots.sparkSession
+    mean = snapshots.groupBy(node).agg(*[F.avg(v).alias(f"_m{v}") for v in values])
+    moving = snapshots.join(mean, node).select(node, step, *[(F.col(v) - F.col(f"_m{v}")).cast("double").alias(v) for v in values])
+    place_n, nodes = _dealt(snapshots, node, "n")
+    place_s, steps = _dealt(snapshots, step, "s")
+    base = f"{shared_base(spark).rstrip('/')}/tidemark/modes-{uuid.uuid4().hex}"
+    place_n.write.parquet(f"{base}/nodes")
+    place_s.write.parquet(f"{base}/steps")
+    place_n, place_s = spark.read.parquet(f"{base}/nodes"), spark.read.parquet(f"{base}/steps")
+    size_n = place_n.groupBy("n_block").agg((F.count(F.lit(1)) * len(values)).cast("int").alias("high"))
+    size_s = place_s.groupBy("s_block").agg(F.count(F.lit(1)).cast("int").alias("wide"))
+
+    def tile(rows: pa.Table) -> pa.Table:
+        high, wide = rows.column("high")[0].as_py(), rows.column("wide")[0].as_py()
+        x = np.zeros((high // len(values), len(values), wide))
+        x[rows.column("n_at").to_numpy(), :, rows.column("s_at").to_numpy()] = np.column_stack([rows.column(v).to_numpy() for v in values])
+        head = {c: rows.column(c).slice(0, 1) for c in ("n_block", "s_block", "high", "wide")}
+        return pa.table({**head, "x": pa.array([x.tobytes()], pa.binary()), "e": pa.array([float((x * x).sum())])})
+
+    placed = moving.join(place_n, node).join(place_s, step).join(size_n, "n_block").join(size_s, "s_block")
+    placed = placed.select("n_block", "n_at", "s_block", "s_at", "high", "wide", *values)
+    placed.groupBy("n_block", "s_block").applyInArrow(tile, "n_block bigint, s_block bigint, high int, wide int, x binary, e double").write.parquet(f"{base}/tiles")
+    tiles = spark.read.parquet(f"{base}/tiles")
+    everything = tiles.agg(F.sum("e")).first()[0] or 0.0
+
+    def kept_at(name: str, df: DataFrame) -> DataFrame:
+        df.write.parquet(f"{base}/{name}")
+        return spark.read.parquet(f"{base}/{name}")
+
+    while True:
+        search = max(1, min(search, steps))
+
+        def random_block(batches: Iterator[pa.RecordBatch], columns: int = search) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                out = [np.random.default_rng([k, columns]).normal(size=(n, columns)).tobytes() for k, n in zip(batch.column("s_block").to_pylist(), batch.column("wide").to_pylist(), strict=True)]
+                yield pa.record_batch([batch.column("s_block"), pa.array(out, pa.binary())], ["s_block", "m"])
+
+        q = kept_at(f"q{search}_0", size_s.mapInArrow(random_block, "s_block bigint, m binary"))
+        for k in range(passes + 1):
+            q = _orthonormal(q, "s_block", search)
+            y = kept_at(f"y{search}_{k}", _product(tiles, q, "s_block", "n_block", False))
+            if k < passes:
+                q = kept_at(f"q{search}_{k + 1}", _product(tiles, y, "n_block", "s_block", True))
+        power, v = np.linalg.eigh(_gram(y, search))
+        power, v = np.maximum(power[::-1], 0), v[:, ::-1]
+        running = np.cumsum(power) / max(everything, 1e-300)
+        if running[-1] >= share - 1e-9 or search == steps:
+            break
+        search *= 2
+    kept = int(np.searchsorted(running, min(share - 1e-12, running[-1]))) + 1
+    kept = min(kept + kept % 2, len(power))  # whole pairs
+    v, root = v[:, :kept], np.sqrt(np.maximum(power[:kept], 1e-300))
+    scale = np.sqrt(1.0 / max(nodes, 1))  # coefficients carry the energy per node
+    some = np.where(power[:kept] > 1e-14 * max(power[0], 1e-300), 1.0 / (root * scale), 0.0)
+    modes = kept_at("modes", _unfolded(_mixed(y, "n_block", v * some), "n_block", place_n, "n_at", values, kept))
+    a = _unfolded(_mixed(q, "s_block", v * root * scale), "s_block", place_s, "s_at", ["a"], kept)
+    k = F.explode(F.sequence(F.lit(1), F.lit(kept))).alias("k")
+    flat = modes.select(node, k, *values).select(node, "k", *[F.element_at(x, F.col("k")).alias(x) for x in values])
+    sign = _signs(flat, values)
+    flip = lambda df, cols: df.join(F.broadcast(sign), "k").select(*[(F.col(c) * F.col("_sign")).alias(c) if c in cols else F.col(c) for c in df.columns])
+    return (power[:kept] / max(nodes, 1) / max(steps, 1)).tolist(), flip(flat, values), flip(a.select(step, k, "a").select(step, "k", F.element_at("a", F.col("k")).alias("a")), ["a"])
+
+
+def _orthonormal(blocks: DataFrame, key: str, wide: int) -> DataFrame:
+    """A matrix in blocks with orthonormal columns of the same span: by the small matrix's eigenvectors, twice for accuracy. Empty directions become zero."""
+    for _ in range(2):
+        power, v = np.linalg.eigh(_gram(blocks, wide))
+        blocks = _mixed(blocks, key, v * np.where(power > 1e-24 * max(power[-1], 1e-300), 1.0 / np.sqrt(np.maximum(power, 1e-300)), 0.0))
+    return blocks
+
+
+def _signs(modes: DataFrame, values: list[str]) -> DataFrame:
+    """(k, _sign): what makes the largest component of each mode positive."""
+    peak = modes.groupBy("k").agg(*[F.max_by(v, F.abs(v)).alias(f"_p{v}") for v in values])
+    largest = F.element_at(F.sort_array(F.array(*[F.struct(F.abs(f"_p{v}").alias("m"), F.col(f"_p{v}").alias("s")) for v in values]), asc=False), 1)["s"]
+    return peak.select("k", F.when(largest < 0, -1.0).otherwise(1.0).alias("_sign"))
+
+
 def pod(snapshots: DataFrame, node: str, step: str, values: list[str], share: float = 0.999, most_steps: int = 2048) -> tuple[list[float], DataFrame, DataFrame]:
     """Energies (with their running share), modes (node, k, one column per value) and coefficients (step, k, a), by the method of snapshots.
 
     The fluctuation about the time mean is taken per node; a node without a step does not move there. Each task adds up
     the inner products of its nodes in numpy, rows of these matrices are summed by row number, and only the one matrix, of
-    a checked size, is decomposed on the driver.
+    a checked size, is decomposed on the driver. With more than ``most_steps`` steps, :func:`pod_of_many` finds the same modes.
     """
     steps = [r[0] for r in snapshots.select(step).distinct().orderBy(step).limit(most_steps + 1).collect()]
     if len(steps) > most_steps:
-        raise ValueError(f"more than {most_steps} snapshots; thin them out or work in blocks")
+        return pod_of_many(snapshots, node, step, values, share)
     mean = snapshots.groupBy(node).agg(*[F.avg(v).alias(f"_m{v}") for v in values])
     moving = snapshots.join(mean, node).select(node, step, *[(F.col(v) - F.col(f"_m{v}")).alias(v) for v in values])
     place = snapshots.sparkSession.createDataFrame([(s, k) for k, s in enumerate(steps)], f"`{step}` {dict(snapshots.dtypes)[step]}, _k int")
@@ -89,9 +255,7 @@ def pod(snapshots: DataFrame, node: str, step: str, values: list[str], share: fl
     coefficients = spark.createDataFrame([(steps[i], k + 1, float(a[i, k])) for i in range(len(steps)) for k in range(kept)], f"`{step}` {dict(snapshots.dtypes)[step]}, k int, a double")
     scale = spark.createDataFrame([(k + 1, float(power[k] * len(steps))) for k in range(kept)], "k int, _e double").filter("_e > 0")
     modes = moving.join(coefficients, step).groupBy(node, "k").agg(*[F.sum(F.col(v) * F.col("a")).alias(v) for v in values]).join(F.broadcast(scale), "k").select(node, "k", *[(F.col(v) / F.col("_e")).alias(v) for v in values])
-    peak = modes.groupBy("k").agg(*[F.max_by(v, F.abs(v)).alias(f"_p{v}") for v in values])
-    largest = F.element_at(F.sort_array(F.array(*[F.struct(F.abs(f"_p{v}").alias("m"), F.col(f"_p{v}").alias("s")) for v in values]), asc=False), 1)["s"]
-    sign = peak.select("k", F.when(largest < 0, -1.0).otherwise(1.0).alias("_sign"))
+    sign = _signs(modes, values)
     flip = lambda df, cols: df.join(F.broadcast(sign), "k").select(*[(F.col(c) * F.col("_sign")).alias(c) if c in cols else F.col(c) for c in df.columns])
     return power[:kept].tolist(), flip(modes, values), flip(coefficients, ["a"])
 
