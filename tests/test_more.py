@@ -165,3 +165,35 @@ def test_commands(spark, tmp_path, capsys, monkeypatch):
         (tmp_path / side / "capsule_x" / "v.png").write_bytes(images.encode_png(np.full((4, 4, 3), level)))
     capsys.readouterr()
     assert cli.main(["diff", str(tmp_path / "a"), str(tmp_path / "b"), "--threshold", "3"]) == 0 and "capsule_x/v.png" in capsys.readouterr().out
+
+
+def test_rejects_have_their_lines_over_blocks(spark, tmp_path):
+    """Files of many blocks, with blank lines, a repeated header, quotes, short rows and another header: lines as counted by reading the file whole."""
+    files = {}
+    for f in ("a.csv", "b.csv"):
+        lines = ["", "X (m), Note ,Volume (m^3)"]
+        for k in range(900):
+            lines.append({0: "", 1: f"{k},x,-1", 2: f"{k},\"a, b\",nan", 3: f"{k}", 4: "X (m), Note ,Volume (m^3)"}.get(k % 37, f"{k},\"p, q\",{k + 1}.5"))
+        files[f] = lines
+    files["c.csv"] = ["Volume (m^3),X (m)", "1,2,3"]
+    for f, lines in files.items():
+        (tmp_path / f).write_text("\n".join(lines) + "\n")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes"), spark.conf.get("spark.sql.files.openCostInBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1000")
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        blocks = readers.text_lines(spark, str(tmp_path))[1].count()
+        rows, rejects = readers.read_csv_strict(spark, str(tmp_path), {"x": "X", "volume": "Volume"}, positive=("volume",))
+        good, bad = rows.count(), sorted((r["file"].rsplit("/", 1)[1], r["line"], r["reason"]) for r in rejects.collect())
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before[0])
+        spark.conf.set("spark.sql.files.openCostInBytes", before[1])
+    why = {1: "volume is not positive", 2: "volume is not a finite number", 3: "volume is not a finite number"}
+    want = [(f, k + 3, why[k % 37]) for f in ("a.csv", "b.csv") for k in range(900) if k % 37 in why]
+    assert blocks > 20 and bad == sorted([*want, ("c.csv", 1, "x is not a finite number")])
+    assert good == 2 * sum(k % 37 > 4 for k in range(900)) + 1
+
+
+def test_csv_of_nothing_but_a_header(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("X,Volume\n")
+    assert [df.count() for df in readers.read_csv_strict(spark, str(tmp_path), {"x": "X"})] == [0, 0]

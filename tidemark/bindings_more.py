@@ -350,11 +350,14 @@ def csv_strict(spark: SparkSession, sf_dir: str) -> DataFrame:
     return readers.read_csv_strict(spark, path, {"x": "X", "volume": "Volume"}, positive=("volume",))[0]
 
 
-@query("SELECT CAST(s_acctbal AS VARCHAR) AS volume, 'volume is not positive' AS reason FROM supplier WHERE s_acctbal <= 0")
+@query("""WITH r AS (SELECT s_suppkey, CASE WHEN s_suppkey % 5 = 3 THEN 'n/a' ELSE CAST(s_acctbal AS VARCHAR) END AS volume, s_acctbal, row_number() OVER (ORDER BY s_suppkey) + 1 AS line FROM supplier)
+SELECT volume, CASE WHEN s_suppkey % 5 = 3 THEN 'volume is not a finite number' ELSE 'volume is not positive' END AS reason, line FROM r WHERE s_suppkey % 5 = 3 OR s_acctbal <= 0""")
 def csv_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Suppliers exported in order, a fifth without a number: what is rejected, why, and in which line."""
     path = _folder(spark, "csv")
-    table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("X (m)"), F.col("s_acctbal").alias("Volume (m^3)")).coalesce(1).write.csv(path, header=True)
-    return readers.read_csv_strict(spark, path, {"x": "X", "volume": "Volume"}, positive=("volume",))[1].select("volume", "reason")
+    volume = F.when(F.col("s_suppkey") % 5 == 3, "n/a").otherwise(F.col("s_acctbal").cast("string"))
+    table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("X (m)"), volume.alias("Volume (m^3)")).coalesce(1).sortWithinPartitions("X (m)").write.csv(path, header=True)
+    return readers.read_csv_strict(spark, path, {"x": "X", "volume": "Volume"}, positive=("volume",))[1].select("volume", "reason", "line")
 
 
 @query("SELECT n_nationkey::BIGINT AS a, n_name AS b FROM nation")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import json
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.expr import header_base
@@ -43,22 +43,47 @@ def resolve_columns(header: list[str], wanted: dict[str, str], mode: str = "base
     return out
 
 
+def text_lines(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """Lines of text files, read in parallel by blocks, and where each block begins.
+
+    The lines have file, value, _block and _place; :func:`line_numbers` turns the latter into the line within its file.
+    The second table has one row per block: its first place and the lines in all blocks of the file before it.
+    """
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("_block"))
+    lines = lines.withColumn("_place", F.monotonically_increasing_id())  # rising and without holes within a block
+    blocks = lines.groupBy("file", "_block").agg(F.min("_place").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    earlier = F.sum("_n").over(Window.partitionBy("file").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1))
+    return lines, blocks.withColumn("_earlier", F.coalesce(earlier, F.lit(0))).drop("_n")
+
+
+def line_numbers(rows: DataFrame, blocks: DataFrame) -> DataFrame:
+    """``line`` (from 1) for rows of :func:`text_lines`, or some of them: only these are shuffled."""
+    out = rows.join(blocks, ["file", "_block"])
+    return out.withColumn("line", F.col("_place") - F.col("_first") + F.col("_earlier") + 1).drop("_block", "_place", "_first", "_earlier")
+
+
 def read_csv_strict(spark: SparkSession, path: str, wanted: dict[str, str], mode: str = "base", positive: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame]:
-    """Rows with all wanted columns as finite doubles, and the rejected rows with the reason. Blank rows are skipped; other columns are never parsed."""
-    header = spark.read.text(path).filter(F.trim("value") != "").first()
-    names = [c.strip() for c in (header[0] if header else "").split(",")]
+    """Rows with all wanted columns as finite doubles, and the rejected rows with the reason, the file and the line in it.
+
+    The first line that is not blank is the header; it is left out wherever it occurs, so every file may have it. A file
+    whose header differs has that line among the rejects. Blank rows are skipped (but counted); other columns are never parsed.
+    """
+    head = spark.read.text(path).filter(F.trim("value") != "").first()
+    header = head[0].strip() if head else ""
+    names = [c.strip() for c in header.split(",")]
     chosen = resolve_columns(names, wanted, mode)
+    lines, blocks = text_lines(spark, path)
     schema = ", ".join(f"c{i} string" for i in range(len(names)))
-    raw = spark.read.csv(path, schema=schema, header=True, enforceSchema=True, mode="PERMISSIVE")
-    cells = {n: F.trim(F.col(f"c{names.index(h)}")) for n, h in chosen.items()}
-    rows = raw.select(*[c.alias(f"_{n}") for n, c in cells.items()])
-    rows = rows.filter(F.coalesce(*[F.nullif(F.col(f"_{n}"), F.lit("")) for n in cells]).isNotNull())
-    for n in cells:
+    rows = lines.filter((F.trim("value") != "") & (F.trim("value") != header)).withColumn("_c", F.from_csv("value", schema, {"mode": "PERMISSIVE"}))
+    rows = rows.select("file", "_block", "_place", *[F.trim(F.col(f"_c.c{names.index(h)}")).alias(f"_{n}") for n, h in chosen.items()])
+    rows = rows.filter(F.coalesce(*[F.nullif(F.col(f"_{n}"), F.lit("")) for n in chosen]).isNotNull())
+    for n in chosen:
         rows = rows.withColumn(n, F.expr(f"try_cast(`_{n}` AS double)"))
-    odd = [(F.col(n).isNull() | F.isnan(n) | (F.abs(n) == float("inf")), f"{n} is not a finite number") for n in cells] + [(F.col(n) <= 0, f"{n} is not positive") for n in positive]
+    odd = [(F.col(n).isNull() | F.isnan(n) | (F.abs(n) == float("inf")), f"{n} is not a finite number") for n in chosen] + [(F.col(n) <= 0, f"{n} is not positive") for n in positive]
     reason = F.coalesce(*[F.when(F.coalesce(test, F.lit(True)), F.lit(said)) for test, said in odd])
     marked = rows.withColumn("reason", reason)
-    return marked.filter(F.col("reason").isNull()).select(*cells), marked.filter(F.col("reason").isNotNull()).select(*[F.col(f"_{n}").alias(n) for n in cells], "reason")
+    rejects = line_numbers(marked.filter(F.col("reason").isNotNull()), blocks)
+    return marked.filter(F.col("reason").isNull()).select(*chosen), rejects.select(*[F.col(f"_{n}").alias(n) for n in chosen], "reason", "file", "line")
 
 
 def read_csv_commented(spark: SparkSession, path: str, columns: str) -> tuple[DataFrame, DataFrame]:
@@ -74,19 +99,21 @@ def data_rows(text: str = "text"):
 
 
 def read_signals(spark: SparkSession, path: str, time: str = "tU_D", strict: bool = False) -> DataFrame:
-    """Two-column files as signal (the file's stem), folder, t, y, line.
+    """Two-column files as signal (the file's stem), folder, t, y, line; long files are read by blocks.
 
     Files that don't have exactly two columns headed by ``time`` are left out, or an error under ``strict``.
     """
-    name = r"^(.*)\.[^.]*$"
-    lines = spark.read.text(path, wholetext=True).select(F.regexp_extract(F.col("_metadata.file_name"), name, 1).alias("signal"), F.regexp_replace("_metadata.file_path", "/[^/]*$", "").alias("folder"), F.posexplode(F.split("value", r"\r\n|\r|\n")).alias("line", "row"))
-    cells = lines.filter("row <> ''").withColumn("c", F.split("row", ","))
-    heads = cells.groupBy("folder", "signal").agg(F.min_by("c", "line").alias("h"))
+    lines, blocks = text_lines(spark, path)
+    cells = lines.withColumn("value", F.rtrim("value", F.lit("\r"))).filter("value <> ''").withColumn("c", F.split("value", ","))
+    heads = cells.groupBy("file").agg(F.min_by("c", F.struct("_block", "_place")).alias("h"))
     wrong = heads.filter((F.size("h") != 2) | (header_base(F.col("h")[0]) != time))
-    if strict and (bad := [r["signal"] for r in wrong.orderBy("signal").limit(20).collect()]):
+    signal = F.url_decode(F.replace(F.regexp_extract("file", r"([^/]*)\.[^./]*$", 1), F.lit("+"), F.lit("%2B")))
+    if strict and (bad := [r["signal"] for r in wrong.select(signal.alias("signal")).orderBy("signal").limit(20).collect()]):
         raise ColumnError(f"not a signal over {time}: {', '.join(bad)}")
-    rows = cells.join(wrong.select("folder", "signal"), ["folder", "signal"], "left_anti").filter(F.size("c") == 2)
-    return rows.select("signal", "folder", F.expr("try_cast(c[0] AS double)").alias("t"), F.expr("try_cast(c[1] AS double)").alias("y"), (F.col("line") + 1).alias("line")).filter(F.col("t").isNotNull() & F.col("y").isNotNull())
+    number = lambda i: F.expr(f"try_cast(c[{i}] AS double)")
+    rows = cells.filter(F.size("c") == 2).select("file", "_block", "_place", number(0).alias("t"), number(1).alias("y")).filter("t IS NOT NULL AND y IS NOT NULL")
+    rows = line_numbers(rows.join(wrong.select("file"), "file", "left_anti"), blocks)
+    return rows.select(signal.alias("signal"), F.regexp_replace("file", "/[^/]*$", "").alias("folder"), "t", "y", "line")
 
 
 def read_cells(spark: SparkSession, path: str) -> DataFrame:
