@@ -680,6 +680,41 @@ def streaming_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumn("mean", rounded("mean")).withColumn("sd", rounded("sd")).withColumnRenamed("window", "window_no")
 
 
+_SIGNALS = "(event_id % 4) || '/' || event_type"
+
+
+@query(f"""WITH {_E.replace('event_id, value, row_number', f'event_id, {_SHAPES} AS value, row_number', 1).replace('SELECT event_type, ts', f'SELECT {_SIGNALS} AS event_type, ts', 1).replace('PARTITION BY event_type ORDER BY ts', f'PARTITION BY {_SIGNALS} ORDER BY ts', 1)},
+kinds AS (SELECT count(DISTINCT event_type) AS k FROM events),
+per AS (SELECT split_part(event_type, '/', 1) AS run, win, bool_and(sd <= 1e-4 * greatest(abs(mean), 1)) AS calm, count(*) AS n FROM w GROUP BY ALL HAVING count(*) = (SELECT k FROM kinds)),
+gs AS (SELECT split_part(event_type, '/', 1) AS run, win, bool_and(passed) AS passed FROM gp GROUP BY ALL),
+r AS (SELECT per.run, per.win, CASE WHEN calm THEN 'converged' WHEN coalesce(passed, false) THEN 'stationary' WHEN per.win + 1 >= 7 THEN 'no_steady_state' ELSE 'running' END AS status FROM per LEFT JOIN gs ON per.run = gs.run AND per.win = gs.win),
+stop AS (SELECT run, min(win) AS last FROM r WHERE status <> 'running' GROUP BY 1)
+SELECT r.run, r.win AS window_no, (r.win + 1) * 50 - 1 AS stopped_at, status FROM r LEFT JOIN stop ON r.run = stop.run WHERE last IS NULL OR r.win <= last""")
+def streaming_signals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All events as a stream of four runs, of which the event types are the signals: a verdict needs all of them."""
+    import uuid
+
+    from tidemark.streaming.gate import STORE, signals_gate
+
+    k = F.col("event_id") % 4
+    shaped = F.when(k == 0, 5 + F.col("value") * 1e-9).when(k == 1, F.col("value") + F.col("event_id")).when(k == 2, F.col("value")).otherwise(F.col("value") * (1 + F.col("user_id") % 2 * 4))
+    e = table(spark, sf_dir, "events").select(k.cast("string").alias("run"), F.col("event_type").alias("signal"), "ts", "event_id", shaped.alias("value"))
+    names = [r[0] for r in e.select("signal").distinct().collect()]  # the kinds of signals, a handful by nature
+    e = numbered(e, ["run", "signal"], ["ts", "event_id"], F.date_trunc("day", "ts")).select("run", "signal", F.col("i").cast("bigint").alias("i"), "value")
+    root = f"{shared_base(spark).rstrip('/')}/tidemark/stream-{uuid.uuid4().hex}"
+    e.write.parquet(f"{root}/in")
+    before = spark.conf.get(STORE[0])
+    spark.conf.set(*STORE)
+    try:
+        stream = spark.readStream.schema(e.schema).option("maxFilesPerTrigger", 4).parquet(f"{root}/in")
+        sink = signals_gate(stream, SIZE, names).writeStream.format("parquet").option("path", f"{root}/out").option("checkpointLocation", f"{root}/state")
+        sink.outputMode("append").trigger(availableNow=True).start().awaitTermination()
+    finally:
+        spark.conf.set(STORE[0], before)
+    out = spark.read.schema("run string, window bigint, at bigint, status string").parquet(f"{root}/out")
+    return out.withColumnsRenamed({"window": "window_no", "at": "stopped_at"})
+
+
 @query("SELECT source, CAST(round_even(length(text) / 2.5, 0) AS BIGINT) AS tokens, doc_id FROM documents")
 def token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select("source", tokens_of(F.length("text")).alias("tokens"), "doc_id")
