@@ -706,7 +706,7 @@ def streaming_signals(spark: SparkSession, sf_dir: str) -> DataFrame:
     before = spark.conf.get(STORE[0])
     spark.conf.set(*STORE)
     try:
-        stream = spark.readStream.schema(e.schema).option("maxBytesPerTrigger", "256m").parquet(f"{root}/in")
+        stream = spark.readStream.schema(e.schema).option("maxBytesPerTrigger", 256 << 20).parquet(f"{root}/in")
         sink = signals_gate(stream, SIZE, names).writeStream.format("parquet").option("path", f"{root}/out").option("checkpointLocation", f"{root}/state")
         sink.outputMode("append").trigger(availableNow=True).start().awaitTermination()
     finally:
