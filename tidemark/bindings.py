@@ -831,4 +831,4 @@ def stride_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sample.stride_sample(few, 50, 200, _KEYS)
 
 
-from tidemark import bindings_artifacts, bindings_more, bindings_trees  # noqa: E402, F401  (register further queries)
+from tidemark import bindings_artifacts, bindings_files, bindings_more, bindings_trees  # noqa: E402, F401  (register further queries)
