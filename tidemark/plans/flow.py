@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+import threading
+import time
+import uuid
+from collections import deque
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -93,12 +98,56 @@ class Outcome:
     error: str | None = None
 
 
-def sweep(points: Iterable[str], step: Callable[[str], object]) -> list[Outcome]:
-    """Run every point; a failure is recorded and the next point goes on."""
-    out = []
-    for p in points:
+def sweep(points: Iterable[str], step: Callable[[str], object], spark: SparkSession | None = None, at_once: int = 4, timeout: float | None = None) -> list[Outcome]:
+    """Run ``at_once`` points at the same time; outcomes come in the order of the points. A failure is recorded and the others go on.
+
+    With ``spark``, the jobs of a point run in a scheduler pool and under a tag of their own: under the fair scheduler
+    (``spark.scheduler.mode``) no point waits for all stages of another, and a point that takes longer than ``timeout``
+    seconds has its jobs cancelled and its place given to the next. What such a point does outside of Spark can't be
+    stopped: it goes on in a daemon thread, but jobs that it starts while the sweep still runs are cancelled too.
+    """
+    names = list(points)
+    outcomes: list[Outcome | None] = [None] * len(names)
+    late: set[str] = set()
+    waiting = deque(enumerate(names))
+    running: dict[int, tuple[threading.Thread, float, str]] = {}
+    mark = uuid.uuid4().hex[:12]
+
+    def run(k: int, tag: str) -> None:
+        if spark is not None:
+            spark.sparkContext.setLocalProperty("spark.scheduler.pool", tag)
+            spark.sparkContext.addJobTag(tag)
+            spark.sparkContext.setInterruptOnCancel(True)
         try:
-            out.append(Outcome(p, step(p)))
+            done = Outcome(names[k], step(names[k]))
         except Exception as e:  # the point fails, not the sweep
-            out.append(Outcome(p, error=f"{type(e).__name__}: {e}"))
-    return out
+            done = Outcome(names[k], error=f"{type(e).__name__}: {e}")
+        if tag not in late:
+            outcomes[k] = done
+
+    def start() -> None:
+        k, _ = waiting.popleft()
+        tag = f"sweep-{mark}-{k}"
+        target = inheritable_thread_target(spark)(run) if spark is not None else run
+        thread = threading.Thread(target=target, args=(k, tag), daemon=True)
+        running[k] = (thread, time.monotonic(), tag)
+        thread.start()
+
+    given_up: list[tuple[threading.Thread, str]] = []
+    while waiting or running:
+        while waiting and len(running) < at_once:
+            start()
+        next(iter(running.values()))[0].join(0.05)
+        for k, (thread, began, tag) in list(running.items()):
+            if not thread.is_alive():
+                del running[k]
+            elif timeout is not None and time.monotonic() - began > timeout:
+                late.add(tag)
+                outcomes[k] = Outcome(names[k], error=f"TimeoutError: not done after {timeout:g} s")
+                given_up.append((thread, tag))
+                del running[k]
+        given_up = [(thread, tag) for thread, tag in given_up if thread.is_alive()]
+        if spark is not None:
+            for _, tag in given_up:
+                spark.sparkContext.cancelJobsWithTag(tag)
+    return outcomes
