@@ -84,6 +84,34 @@ def test_build_sweep_goes_on_after_a_failure(spark, tmp_path):
     assert out[1].error and (tmp_path / "out" / "capsule_a.zip").exists()
 
 
+def test_build_sweep_compares_with_the_base_and_settles_tokens(spark, tmp_path):
+    points = {}
+    for name, cd in (("capsule_a", 2.0), ("capsule_b", 2.5), ("capsule_c", 0.0)):
+        points[name] = str(tmp_path / "src" / name)
+        (tmp_path / "src" / name).mkdir(parents=True)
+        (tmp_path / "src" / name / "setup.txt").write_text("Node\n" * 30)
+        (tmp_path / "src" / name / "summary.json").write_text(json.dumps({"forces": {"cd": cd, f"only_{name}": 1}, "note": "n", "list": [1, cd]}))
+        (tmp_path / "src" / name / "manifest.json").write_text('{"planes": []}')
+    (tmp_path / "src" / "capsule_c" / "setup.txt").unlink()
+    build = lambda base, chosen: {o.point: o for o in flow.build_sweep(spark, chosen, str(tmp_path / "out"), [r"setup\.txt", r".*\.json"], base=base, contract={"base": {"commit": "c" * 40}})}
+    out = build("capsule_a", points)
+    assert "declared but not there" in out["capsule_c"].error and "no difference" not in str(out["capsule_b"].result["blockers"])
+    told = json.loads((tmp_path / "out/capsule_b/diff.json").read_text())
+    change = {"base": 2.0, "variant": 2.5, "delta": 0.5, "relative": 0.25}
+    assert told["base"] == {"capsule": "capsule_a", "commit": "c" * 40} and not (tmp_path / "out/capsule_a/diff.json").exists()
+    assert sorted(told["scalar_deltas"].values(), key=lambda d: d["base"]) == [{"base": 1.0, "variant": 1.0, "delta": 0.0, "relative": 0.0}, change, change]
+    rates = {"setup.txt": 3.5, "summary.json": 4.0, "manifest.json": 4.0, "diff.json": 4.0}
+    for name in ("capsule_a", "capsule_b"):
+        folder = tmp_path / "out" / name
+        total = sum(round(len(f.read_text()) / rates[f.name]) for f in folder.iterdir())
+        held = json.loads((folder / "manifest.json").read_text())
+        assert held["tokens"]["total"] == total == out[name].result["tokens"] and list(held) == ["planes", "tokens"]
+    alone = build("capsule_c", {"capsule_a": points["capsule_a"]})
+    assert "no difference: capsule_c is not built" in alone["capsule_a"].result["blockers"]
+    earlier = build("capsule_b", {"capsule_a": points["capsule_a"]})  # the base lies there from an earlier sweep
+    assert "no difference" not in str(earlier["capsule_a"].result["blockers"]) and (tmp_path / "out/capsule_a/diff.json").exists()
+
+
 def test_moving_stop_as_a_stream(spark, tmp_path):
     rng = random.Random(3)
     rows = [(run, i, math.cos(a) + rng.gauss(0, 0.01), math.sin(a) + rng.gauss(0, 0.01)) for run, speed in (("turns", 0.05), ("stays", 0.0)) for i in range(120) for a in [speed * i]]

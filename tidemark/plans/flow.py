@@ -2,19 +2,21 @@
 
 from __future__ import annotations
 
+import json
 import threading
 import time
 import uuid
 from collections import deque
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass
+from pathlib import Path
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.expr import close
-from tidemark.operators import features, ledger, rules, signals, windows
+from tidemark.operators import diff, features, ledger, rules, signals, windows
 from tidemark.session import ship
 from tidemark.sources import readers, sinks
 
@@ -71,24 +73,70 @@ def feature_flow(cloud: DataFrame, stations: list[float], width: float, cut: flo
     return features.cluster_summary(rows, ["station", "sense", "cluster"], F.col("wx"), F.col("volume"), "q", "node", ["y", "z"], width, floor)
 
 
-def build_sweep(spark: SparkSession, points: dict[str, str], out: str, declared: list[str], strict: bool = True) -> list[Outcome]:
-    """Every point from its source folder: copy of the declared files, strict check, tokens, archive. A point that fails does not stop the others.
+def build_sweep(
+    spark: SparkSession, points: dict[str, str], out: str, declared: list[str], strict: bool = True, base: str | None = None, contract: dict | None = None, at_once: int = 4
+) -> list[Outcome]:
+    """Every point from its source folder: copies of the declared files, the difference to the base, tokens, a check, an archive.
 
-    ``points``: name to source folder. The result of a point: its status, tokens and archive.
+    All points are copied before the first difference is taken, and tokens are counted after it, so they include it. A
+    point that fails does not stop the others. ``points``: name to source folder. ``base``: the point to which all
+    others are compared, built here or by an earlier sweep; ``contract``: what else their diff.json says. A result has
+    status, errors, tokens, archive and blockers: reasons why the point can't be published.
     """
-
-    def build(name: str) -> dict:
-        target = f"{out.rstrip('/')}/{name}"
-        sinks.whitelist_copy(points[name], target, declared)
-        artifacts = readers.scan_artifacts(spark, out).filter(F.col("capsule") == name)
+    top = out.rstrip("/")
+    copied = sweep(points, lambda name: sinks.whitelist_copy(points[name], f"{top}/{name}", declared), at_once=at_once)
+    failed = {o.point for o in copied if o.error is not None}
+    there = base is not None and base not in failed and Path(f"{top}/{base}/summary.json").is_file()
+
+    def finish(name: str) -> dict:
+        target, blockers = f"{top}/{name}", []
+        if base is not None and name != base:
+            if there:
+                sinks.write_json(against(spark, f"{top}/{base}", target, contract or {}), f"{target}/diff.json")
+            else:
+                blockers.append(f"no difference: {base} is not built")
+        files = lambda: readers.scan_artifacts(spark, out).filter(F.col("capsule") == name)
+        tokens = settled_tokens(target, files)
+        artifacts = files()
         status = rules.rollup(rules.validate(artifacts), artifacts, strict).first()
-        kind = ledger.kind_of(F.col("path"))
-        characters = F.when(kind == "image", F.lit(0)).otherwise(F.length(F.decode("content", "UTF-8")))
-        tokens = artifacts.agg(F.sum(ledger.tokens_by_kind(kind, characters))).first()[0]
+        if status["status"] == "FAIL":
+            blockers.append("the check fails")
         sinks.write_zip(target, f"{target}.zip")
-        return {"status": status["status"], "errors": status["errors"], "tokens": tokens, "archive": f"{target}.zip"}
+        return {"status": status["status"], "errors": status["errors"], "tokens": tokens, "archive": f"{target}.zip", "blockers": blockers}
+
+    finished = {o.point: o for o in sweep([p for p in points if p not in failed], finish, spark, at_once)}
+    outcomes = [finished.get(o.point, o) for o in copied]
+    if there and base in finished and finished[base].error is not None:
+        for o in outcomes:
+            if o.error is None:
+                o.result["blockers"].append(f"{base} failed after the difference")
+    return outcomes
+
+
+def against(spark: SparkSession, base: str, variant: str, contract: dict) -> dict:
+    """What diff.json says: the contract, and the change of every number that both summaries hold, by its place."""
+    texts = [(side, "summary.json", Path(f"{folder}/summary.json").read_text("utf-8")) for side, folder in (("base", base), ("variant", variant))]
+    numbers = rules.json_nodes(ship(spark).createDataFrame(texts, "capsule string, file string, text string")).filter("kind = 'number'").select("capsule", "path", "number")
+    side = lambda s: numbers.filter(F.col("capsule") == s).drop("capsule")
+    deltas = diff.scalar_delta(side("base"), side("variant"), ["path"], "number").orderBy("path").collect()  # at most the numbers of one summary
+    shown = {r["path"]: {"base": r["base"], "variant": r["variant"], "delta": r["delta"]} | ({} if r["relative"] is None else {"relative": r["relative"]}) for r in deltas}
+    return contract | {"base": {"capsule": Path(base).name} | contract.get("base", {}), "scalar_deltas": shown}
+
+
+def settled_tokens(target: str, files: Callable[[], DataFrame]) -> int:
+    """Tokens of all files of an artifact. With a manifest they are written into it and counted again until that changes nothing."""
+    kind = ledger.kind_of(F.col("path"))
+    characters = F.when(kind == "image", F.lit(0)).otherwise(F.length(F.decode("content", "UTF-8")))
+    manifest = Path(f"{target}/manifest.json")
+
+    def measure() -> dict:
+        rows = files().groupBy(kind.alias("kind")).agg(F.sum(ledger.tokens_by_kind(kind, characters)).alias("tokens")).orderBy("kind").collect()
+        return {"total": sum(r["tokens"] for r in rows), "by_kind": {r["kind"]: r["tokens"] for r in rows}}
 
-    return sweep(points, build)
+    if not manifest.is_file():
+        return measure()["total"]
+    write = lambda now: sinks.write_json(json.loads(manifest.read_text("utf-8")) | {"tokens": now}, str(manifest))
+    return sinks.settle(measure, write)["total"]
 
 
 @dataclass
