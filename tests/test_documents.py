@@ -231,6 +231,7 @@ def test_readers(spark, tmp_path):
     assert tuple(readers.read_hash_list(spark, str(tmp_path / "list")).first()) == (digest, "a/b.txt")
     (tmp_path / "root" / "capsule_x" / "planes").mkdir(parents=True)
     (tmp_path / "root" / "capsule_x" / "planes" / "p.csv").write_text("# a\n")
+    (tmp_path / "root" / "capsule_x.md").write_text("beside the folder")
     assert [(r["capsule"], r["path"]) for r in readers.scan_artifacts(spark, str(tmp_path / "root")).collect()] == [("capsule_x", "planes/p.csv")]
 
 

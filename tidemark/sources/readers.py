@@ -11,11 +11,11 @@ from tidemark.functions.expr import header_base
 
 
 def scan_artifacts(spark: SparkSession, root: str) -> DataFrame:
-    """All files below ``root``: capsule (first folder), path (below it), content, length."""
+    """All files in the folders of ``root``: capsule (the folder), path (below it), content, length. Files beside the folders belong to none."""
     base = root.rstrip("/")
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(base)
     rel = F.regexp_replace(F.expr("substring_index(path, '" + base.replace("'", "") + "/', -1)"), "^/", "")
-    return files.select(F.element_at(F.split(rel, "/"), 1).alias("capsule"), F.regexp_replace(rel, "^[^/]*/", "").alias("path"), "content", "length")
+    return files.filter(rel.contains("/")).select(F.element_at(F.split(rel, "/"), 1).alias("capsule"), F.regexp_replace(rel, "^[^/]*/", "").alias("path"), "content", "length")
 
 
 class ColumnError(ValueError):
