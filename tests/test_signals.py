@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -98,3 +99,15 @@ def test_series_of_one_two_and_many_buckets(spark, monkeypatch, samples):
         smooth = {r["t"]: r["smooth"] for r in signals.moving_mean(s, ["run"], width).filter("run = 'a'").collect()}
         padded = [0.0] * 500 + y + [0.0] * 500
         assert [smooth[t] for t in times] == pytest.approx([sum(padded[500 + i - width // 2 : 500 + i - width // 2 + width]) / width for i in range(len(y))], abs=1e-9)
+
+
+def test_padded_hann_spectrum_equals_numpy(spark):
+    n, pad = 90, 8
+    y = [math.sin(2 * math.pi * 7.3 * i / n) + 0.2 * math.cos(i) + 3 for i in range(n)]
+    even = spark.createDataFrame([("r", i, v) for i, v in enumerate(y)], "run string, i long, y double")
+    got = {r["bin"]: r["power"] for r in signals.hann_spectrum(even, ["run"], 10_000, padding=pad).collect()}
+    power = np.abs(np.fft.rfft((np.array(y) - np.mean(y)) * np.hanning(n), n * pad))[1:] ** 2
+    power[:-1] *= 2  # one-sided, all but the last bin
+    assert sorted(got) == list(range(1, n * pad // 2 + 1))
+    assert [got[b] for b in sorted(got)] == pytest.approx(list(power / power.max()), abs=1e-9)
+    assert max(got, key=got.get) == round(7.3 * pad)  # without padding the peak would be told as 7

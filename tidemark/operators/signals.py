@@ -151,25 +151,26 @@ def linear_resample(signal: DataFrame, spans: DataFrame, key: list[str], n: int,
     return interp_at(signal, q, key, width)
 
 
-def spectrum(even: DataFrame, key: list[str], bins: int, y: str = "y", weight: Column | None = None) -> DataFrame:
+def spectrum(even: DataFrame, key: list[str], bins: int, y: str = "y", weight: Column | None = None, padding: int = 1) -> DataFrame:
     """One-sided power of evenly sampled rows (column ``i``): bins 1..bins of the DFT about the mean; all bins together sum to the variance.
 
     The bins are exploded map-side and summed before the shuffle, so the exchange carries one row per bin and task.
+    ``padding``: as if zeros behind the rows made them so many times longer; the bins lie that much closer together.
     """
     sums = even.groupBy(*key).agg(F.count(F.lit(1)).alias("_n"), F.avg(y).alias("_m"))
     rows = with_group(even, sums, key).withColumn("_y", (F.col(y) - F.col("_m")) * (F.lit(1.0) if weight is None else weight))
-    rows = rows.withColumn("bin", F.explode(F.sequence(F.lit(1), F.least(F.lit(bins), F.floor(F.col("_n") / 2).cast("int")))))
-    angle = F.lit(2 * math.pi) * F.pmod(F.col("bin") * F.col("i"), F.col("_n")) / F.col("_n")  # reduced exactly before the cosine
+    rows = rows.withColumn("bin", F.explode(F.sequence(F.lit(1), F.least(F.lit(bins), F.floor(padding * F.col("_n") / 2).cast("int")))))
+    angle = F.lit(2 * math.pi) * F.pmod(F.col("bin") * F.col("i"), padding * F.col("_n")) / (padding * F.col("_n"))  # reduced exactly before the cosine
     out = rows.groupBy(*key, "bin").agg(F.max("_n").alias("_n"), F.sum(F.col("_y") * F.cos(angle)).alias("_c"), F.sum(F.col("_y") * F.sin(angle)).alias("_s"))
-    one_sided = F.when(2 * F.col("bin") == F.col("_n"), 1.0).otherwise(2.0)  # the Nyquist bin is not doubled
+    one_sided = F.when(2 * F.col("bin") == padding * F.col("_n"), 1.0).otherwise(2.0)  # the Nyquist bin is not doubled
     return out.select(*key, F.col("bin").cast("bigint").alias("bin"), (one_sided * (F.col("_c") * F.col("_c") + F.col("_s") * F.col("_s")) / (F.col("_n") * F.col("_n"))).alias("power"))
 
 
-def hann_spectrum(even: DataFrame, key: list[str], bins: int, y: str = "y") -> DataFrame:
-    """As :func:`spectrum` with a Hann taper, normalised to its largest bin."""
+def hann_spectrum(even: DataFrame, key: list[str], bins: int, y: str = "y", padding: int = 1) -> DataFrame:
+    """As :func:`spectrum` with a Hann taper, normalised to its largest bin. A padding of 8 shows a peak between the bins of the rows alone."""
     counted = with_group(even, even.groupBy(*key).agg(F.count(F.lit(1)).alias("_all")), key)
     tapered = counted.withColumn("_taper", F.lit(0.5) - F.lit(0.5) * F.cos(F.lit(2 * math.pi) * F.col("i") / (F.col("_all") - 1))).drop("_all")
-    out = spectrum(tapered, key, bins, y, F.col("_taper"))
+    out = spectrum(tapered, key, bins, y, F.col("_taper"), padding)
     return out.withColumn("power", F.col("power") / F.max("power").over(Window.partitionBy(*key)))
 
 
