@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tidemark.bindings import query, rounded, table
 from tidemark.functions import expr
 from tidemark.operators import accounts, diff, features, lattice, ledger, modal, neighbours, rules, sample, signals, text, windows
-from tidemark.session import shared_base
+from tidemark.session import shared_base, stored
 from tidemark.sources import readers
 
 # --- columns and keys ------------------------------------------------------------------------------------------------
@@ -290,7 +290,7 @@ _JSON = {
 def _json_artifacts(spark: SparkSession, sf_dir: str, file: str) -> tuple[DataFrame, DataFrame]:
     body = F.element_at(F.array(*map(F.lit, _JSON[file])), (F.col("event_id") % 5 + 1).cast("int")).cast("binary")
     a = rules.texts(table(spark, sf_dir, "events").select(F.concat(F.lit("capsule_"), F.col("event_id").cast("string")).alias("capsule"), F.lit(file).alias("path"), body.alias("content"), F.octet_length(body).cast("bigint").alias("length")))
-    return a, rules.json_nodes(a.select("capsule", F.col("path").alias("file"), "text"))
+    return a, stored(rules.json_nodes(a.select("capsule", F.col("path").alias("file"), "text")), "nodes")
 
 
 def _json_check(check, file: str):
