@@ -378,12 +378,11 @@ def hash_list(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT 'capsule_x' AS capsule, r_regionkey || '.txt' AS path, length(r_name)::BIGINT + 1 AS length, sha256(r_name || chr(10)) AS digest FROM region")
 def artifact_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A tree of small files, as an export leaves it."""
+    """A tree of small files, as an export leaves it: the tasks write one file per region."""
     root = _folder(spark, "tree")
-    for r in table(spark, sf_dir, "region").collect():  # one file per region
-        spark.createDataFrame([(r["r_name"],)], "value string").coalesce(1).write.mode("append").text(f"{root}/capsule_x/{r['r_regionkey']}.txt.d")
+    table(spark, sf_dir, "region").select(F.col("r_regionkey").alias("file"), F.col("r_name").alias("value")).write.partitionBy("file").text(f"{root}/capsule_x")
     files = readers.scan_artifacts(spark, root).filter(F.col("path").rlike(r"/part-[^/]*\.txt$"))
-    return files.select("capsule", F.regexp_extract("path", r"^([^/]*)\.d/", 1).alias("path"), "length", F.sha2("content", 256).alias("digest"))
+    return files.select("capsule", F.concat(F.regexp_extract("path", r"^file=([^/]*)/", 1), F.lit(".txt")).alias("path"), "length", F.sha2("content", 256).alias("digest"))
 
 
 @query("SELECT n_regionkey::INT AS region, n_name AS name FROM nation")
