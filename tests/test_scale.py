@@ -5,11 +5,12 @@ from __future__ import annotations
 import json
 import os
 
+import pandas as pd
 import pytest
 
 from tidemark import bindings
 from tidemark.operators import nearest as nearest_module
-from tidemark.operators import neighbours, rules
+from tidemark.operators import neighbours, rules, text
 
 SF = "/root/testdata/sf0.001"
 tables = pytest.mark.skipif(not os.path.isdir(SF), reason="the standard tables are not here")
@@ -26,8 +27,8 @@ def test_documents_are_parsed_once(spark, name):
 
 
 def test_objects_need_no_shuffle_and_hold_their_keys(spark):
-    text = json.dumps({"a": {"b": 1, "c": [{"d": None}], "a/b": "x"}, "e": {}, "f": True})
-    docs = spark.createDataFrame([("c", f"{i}", text) for i in range(3)] + [("c", "broken", "{,")], "capsule string, file string, text string")
+    body = json.dumps({"a": {"b": 1, "c": [{"d": None}], "a/b": "x"}, "e": {}, "f": True})
+    docs = spark.createDataFrame([("c", f"{i}", body) for i in range(3)] + [("c", "broken", "{,")], "capsule string, file string, text string")
     found = rules.objects(rules.json_nodes(docs))
     assert "Aggregate" not in plan(found) and "Join" not in plan(found)
     got = {(r["file"], r["path"]): {k: tuple(v) for k, v in r["keys"].items()} for r in found.collect()}
@@ -56,3 +57,23 @@ def test_nearest_within_meets_no_pairs_of_a_dense_cloud(spark):
     cloud = spark.range(2_000).selectExpr("id", "CAST(id AS DOUBLE) / 1000 AS x", "0.0D AS y")
     out = neighbours.nearest_within(cloud, cloud.withColumnRenamed("id", "pid"), ["x", "y"], 300.0, "id", "pid")
     assert "explode" not in plan(out) and out.filter("id = nearest AND distance = 0").count() == 2_000
+
+
+@tables
+def test_the_tree_is_written_by_tasks(spark, monkeypatch):
+    monkeypatch.setattr(type(spark), "createDataFrame", lambda *a, **k: pytest.fail("rows go through the driver"))
+    assert {r["path"] for r in bindings.QUERIES["artifact_tree"](spark, SF).collect()} == {f"{i}.txt" for i in range(5)}
+
+
+def test_codec_takes_texts_in_pieces(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(text, "PIECE_CHARS", 100)
+
+    class Frame:
+        schema = spark.range(0).selectExpr("id", "'' AS text").schema
+
+        def mapInPandas(self, run, schema):  # noqa: N802
+            seen.extend(len(p) for p in run(iter([pd.DataFrame({"id": range(7), "text": ["x" * 40] * 5 + ["y" * 500, None]})])))
+
+    text._codec(Frame(), "text", lambda t: t)
+    assert seen == [2, 2, 1, 1, 1]
