@@ -130,3 +130,15 @@ def test_what_can_not_be_replayed(judged):
     assert set(judged["bare"]) == {"G01"} and judged["bare"]["G01"]
     assert judged["header"]["G02"] and set(judged["header"]) == {"G01", "G02", "G03"}
     assert "status" in judged["nan"]["G08"] and "iterations" in judged["nan"]["G08"]
+
+
+def test_a_history_is_split_once(spark):
+    """Neither heads nor rows split the file again for each of its lines: both read the rows that were parsed once."""
+    lines = [",".join(g.HEADER), *[",".join(str(10 * k) for _ in g.HEADER) for k in range(1, 2001)]]
+    files = [("long", "monitor_history_re0300.csv", "\r\n".join(lines)), ("empty", "monitor_history_re0300.csv", ""), ("odd", "monitor_history_re0300.csv", f"{lines[0]}\nx,1"), ("bare", "monitor_history_re0300.csv", lines[0])]
+    heads, rows = g.histories(spark.createDataFrame(files, "capsule string, path string, text string"))
+    for df in (heads, rows):
+        assert "Generate" not in df._jdf.queryExecution().optimizedPlan().toString()
+    found = {r["capsule"]: (r["header"], r["numeric"], r["rows"]) for r in heads.collect()}
+    assert found == {"long": (list(g.HEADER), True, 2000), "empty": ([""], False, 0), "odd": (list(g.HEADER), False, 1), "bare": (list(g.HEADER), False, 0)}
+    assert sorted((r["capsule"], r["line"], r["cd"]) for r in rows.collect()) == [("long", k, 10.0 * (k + 1)) for k in range(2000)]
