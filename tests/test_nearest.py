@@ -108,3 +108,19 @@ def test_exact_ranks(spark, monkeypatch, few):
     assert middle == {k: (sorted(vs)[(len(vs) - 1) // 2] + sorted(vs)[len(vs) // 2]) / 2 for k, vs in groups.items()}
     every = sorted(v for vs in groups.values() for v in vs)
     assert ranks.at_ranks(df, [], "v", {"a": lambda n: F.lit(17), "b": lambda n: n + 1}).first() == (every[16], None)
+
+
+def test_ranks_of_large_groups_shuffle_no_rows(spark, monkeypatch):
+    """Rows of a large group stay where they are: only sketches, counts and the rows of narrow brackets are shuffled; ties may hold a rank."""
+    monkeypatch.setattr(ranks, "FEW", 500)
+    rng = random.Random(5)
+    values = {"ties": [rng.choice([1.0, 2.0, 2.0, 2.0, 7.0]) for _ in range(3000)], "tail": [rng.paretovariate(0.3) for _ in range(3000)], "edge": [0.0] * 2990 + [-1.0] * 5 + [1.0] * 5, None: [rng.gauss(0, 1) for _ in range(2000)], "few": [3.0, 1.0]}
+    df = spark.createDataFrame([(k, v) for k, vs in values.items() for v in vs], "k string, v double").repartition(3).checkpoint()
+    wanted = {f"r{i}": (lambda n, i=i: F.greatest(F.lit(1), F.floor(n * i / 10)).cast("bigint")) for i in range(11)} | {"none": lambda n: n + 1}
+    seen = []
+    checkpoint = type(df).checkpoint
+    monkeypatch.setattr(type(df), "checkpoint", lambda self, *a: seen.append(self._jdf.queryExecution().optimizedPlan().toString()) or checkpoint(self, *a))
+    got = {r["k"]: list(r)[1:] for r in ranks.at_ranks(df, ["k"], "v", wanted).collect()}
+    assert got == {k: [*[sorted(vs)[max(1, len(vs) * i // 10) - 1] for i in range(11)], None] for k, vs in values.items()}
+    anti = [line for plan in seen for line in plan.splitlines() if "Join LeftAnti" in line]
+    assert anti and all("broadcast" in line for line in anti)
