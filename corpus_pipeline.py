@@ -24,7 +24,7 @@ def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Near-dedup by five-word shingles at a similarity of 0.8: one document of each group stays."""
+    """Near-dedup by SimHash blocks and minima of five-word shingles, settled at a similarity of 0.8: one document of each group stays."""
     return near_copies.keep_one(docs)
 
 

@@ -119,3 +119,23 @@ def test_chains_and_very_long_texts(spark, monkeypatch):
 def test_packed_hashes_come_back():
     x = np.random.default_rng(1).integers(0, 1 << 63, 1000, dtype=np.uint64)
     assert np.array_equal(nc.unpacked(nc.packed(x).tobytes()), x & np.uint64((1 << 48) - 1)) and len(nc.unpacked(b"")) == 0
+
+
+def test_blocks_of_fingerprints_propose_pairs(spark, monkeypatch):
+    """Whatever the minima miss, near copies within 3 bits meet in the pigeonhole blocks; other texts with such fingerprints stay."""
+    rng = random.Random(8)
+    monkeypatch.setattr(nc, "_propose", lambda batches: (b.select(["node", "fp"]).slice(0, 0).rename_columns(["u", "v"]) for b in batches))
+    monkeypatch.setattr(nc, "_minima", lambda grams: np.random.default_rng(int(grams[0] % np.uint64(1 << 32)) + len(grams)).integers(0, 1 << 63, nc.KEYS * nc.MINIMA, dtype=np.uint64))
+    rows, near = [], []
+    for i in range(60):
+        words = [rng.choice(WORDS) for _ in range(800)]
+        for copy, text in enumerate((words, [*words[:-1], "other"], edited(rng, words, 4))):
+            rows.append((10 * i + copy, " ".join(text)))
+            bits = [nc._fingerprint(g) for _, g in nc.shingle_sets(nc.pa.array([" ".join(words), " ".join(text)]))]
+            if copy and (bits[0] ^ bits[1]).bit_count() <= simhash.BITS:
+                near.append(10 * i + copy)
+    assert len(near) > 60
+    stay = {r["doc_id"] for r in kept(spark, rows)}
+    assert not stay & set(near) and {10 * i for i in range(60)} <= stay
+    links = nc.proposed_by_blocks(spark.createDataFrame([(1, 0), (2, 0), (3, 7), (4, 1 << 40 | 7), (5, 255), (6, -1)], "node long, fp long"))
+    assert {(r["u"], r["v"]) for r in links.collect()} == {(1, 2), (1, 3), (3, 4)}

@@ -1,14 +1,14 @@
 """Near copies by the Jaccard similarity of their word shingles.
 
-Texts whose sets of five-word shingles have a similarity of at least 0.8 differ in some 10 of the 64 bits of a SimHash
-fingerprint, too many for the pigeonhole blocks of :mod:`tidemark.llm.simhash`. So texts meet in 20 keys of 5 minima
-each (at 0.8 all keys miss a pair in 4 of 10,000 cases), and those of a key are linked where their fingerprints differ
-in at most ``BITS`` bits. These links are only ever handed on as spanning forests; their components are clusters, and
-every pair that may be a near copy lies within one.
-
-The shingle sets (48-bit hashes) of a cluster come together once. Pairs that share a key and are within ``BITS`` bits are
-settled by the sets, nearest fingerprints first, and a pair that settled links connect already is left out: so no link is
-lost, whatever forest the keys took, and a family of n texts costs little more than n comparisons where they are alike. A
+Fingerprints are SimHashes of the five-word shingles, and the pigeonhole blocks of :mod:`tidemark.llm.simhash` propose all
+pairs that differ in at most 3 of their 64 bits. Texts with a similarity of at least 0.8 differ in some 10 bits, too many
+for the blocks alone. So texts also meet in 20 keys of 5 minima each (at 0.8 all keys miss a pair in 4 of 10,000 cases),
+and those of a key are linked where their fingerprints differ in at most ``BITS`` bits. All these links are only ever
+handed on as spanning forests; their components are clusters, and every pair that may be a near copy lies within one.
+
+The shingle sets (48-bit hashes) of a cluster come together once. Pairs within ``simhash.BITS`` bits, and pairs that share
+a key and are within ``BITS`` bits, are settled by the sets, nearest fingerprints first, and a pair that settled links
+connect already is left out: so no link is lost, whatever forest the keys took, and a family of n texts costs little more than n comparisons where they are alike. A
 cluster of more than ``TILE_ROWS`` texts or ``TILE_BYTES`` is dealt to pairs of tiles, each a group of its own. Only
 distinct texts take part: copies cost nothing.
 
@@ -29,7 +29,9 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import chunks, first_rows, groups_of, hooked, join_keyed, pieces, stored, utf8_of, words_of
 from tidemark.llm.components import components
+from tidemark.llm.simhash import BITS as BLOCK_BITS
 from tidemark.llm.simhash import forest_by_comparison
+from tidemark.llm.simhash import links as block_links
 
 SHINGLE, LEAST = 5, 0.8
 #: Keys, minima in each, and bits in which the fingerprints of a proposed pair may differ (at 0.8: 10 on average, deviation 3).
@@ -127,6 +129,21 @@ def _propose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 yield pa.record_batch([pa.array(np.minimum(node[a], node[b])), pa.array(np.maximum(node[a], node[b]))], ["u", "v"])
 
 
+def proposed_by_blocks(distinct: DataFrame) -> DataFrame:
+    """u, v: links between nodes that connect all texts whose fingerprints differ in at most ``simhash.BITS`` bits."""
+    prints = stored(distinct.groupBy("fp").agg(F.min("node").alias("first"), F.count(F.lit(1)).alias("texts")), "fingerprints")
+    equal = join_keyed(distinct.select("fp", "node"), prints.filter("texts > 1"), "fp", "texts", distinct.count()).filter("node <> first")
+    # Each fingerprint is a row here, but a link may name one many times: the ends that it has are counted first.
+    ends = stored(block_links(prints.select("fp")).distinct(), "blocks")
+    total = ends.count()
+    for end, node in (("u", "a"), ("v", "b")):
+        often = ends.groupBy(end).agg(F.count(F.lit(1)).alias("times"))
+        named = often.join(prints.select(F.col("fp").alias(end), F.col("first").alias(node)).hint("merge"), end)
+        ends = join_keyed(ends, named, end, "times", total)
+    pairs = ends.select("a", "b").unionByName(equal.select(F.col("node").alias("a"), F.col("first").alias("b")))
+    return pairs.select(F.least("a", "b").alias("u"), F.greatest("a", "b").alias("v"))
+
+
 def similarity(a: np.ndarray, b: np.ndarray) -> float:
     """Jaccard similarity of two sets, each distinct."""
     both = len(np.intersect1d(a, b, assume_unique=True))
@@ -151,7 +168,7 @@ def settled(fp: np.ndarray, keys: np.ndarray, tile: np.ndarray, apart: bool, set
             i, j = i[order] + at, j[order]
             for part in range(0, len(i), 1 << 16):
                 a, b = i[part : part + (1 << 16)], j[part : part + (1 << 16)]
-                met = (root[a] != root[b]) & (keys[a] == keys[b]).any(axis=1)
+                met = (root[a] != root[b]) & ((np.bitwise_count(fp[a] ^ fp[b]) <= BLOCK_BITS) | (keys[a] == keys[b]).any(axis=1))
                 for x, y in zip(a[met].tolist(), b[met].tolist(), strict=True):
                     if root[x] != root[y] and similarity(sets[x], sets[y]) >= least:
                         u.append(x)
@@ -186,7 +203,7 @@ def near_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lea
     one = F.struct("row", "fp", "keys", F.octet_length("grams").alias("bytes"))
     distinct = stored(rows.groupBy("node").agg(F.min_by(one, "row").alias("one"), F.count(F.lit(1)).alias("copies")).select("node", "copies", "one.*"), "distinct")
     keyed = distinct.select(F.explode("keys").alias("key"), "fp", "node").repartition("key").sortWithinPartitions("key")
-    pairs = stored(keyed.mapInArrow(_propose, "u bigint, v bigint").distinct(), "proposed")
+    pairs = stored(keyed.mapInArrow(_propose, "u bigint, v bigint").unionByName(proposed_by_blocks(distinct)).distinct(), "proposed")
     led = stored(components(pairs), "clusters")
     members = led.unionByName(led.select(F.col("root").alias("node"), "root").distinct())
     members = stored(distinct.select("node", "row", "bytes").join(members.hint("merge"), "node"), "members")
