@@ -220,3 +220,15 @@ def test_modes_of_five_thousand_steps(spark):
     far = back.join(df.withColumnRenamed("u", "w"), ["node", "step"]).join(df.groupBy("node").agg(F.avg("u").alias("m")), "node")
     assert far.agg(F.count(F.lit(1)), F.max(F.abs(F.col("u") + F.col("m") - F.col("w")))).first()[0] == 100_000
     assert far.agg(F.max(F.abs(F.col("u") + F.col("m") - F.col("w")))).first()[0] < 1e-6
+
+
+def test_tracking_hands_plain_columns_to_pandas(spark, monkeypatch):
+    """A struct would be an object per row in a worker."""
+    from pyspark.sql import GroupedData
+
+    seen, apply = [], GroupedData.applyInPandas
+    monkeypatch.setattr(GroupedData, "applyInPandas", lambda self, f, schema: seen.append(schema) or apply(self, f, schema))
+    rows = [(k, x / 10, 0.01 * x, 0.0, 1, 2.0) for k in ("a", "b") for x in range(5)]
+    got = features.track_links(spark.createDataFrame(rows, "case string, x double, y double, z double, sense int, circulation double"), ["case"]).collect()
+    assert seen and "struct" not in seen[0]
+    assert sorted((str(r["case"]), r["track"]) for r in got) == [("a", 0)] * 5 + [("b", 0)] * 5

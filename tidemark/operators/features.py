@@ -118,7 +118,9 @@ def track_links(clusters: DataFrame, key: list[str], base: float = TRACK_BASE, s
     beside = F.struct(*[F.col(f"node.{c}").alias(c) for c in [*key, "sense"]], *[(F.col(f"node._{c}") + F.col(f"_s.{c}")).alias(f"_{c}") for c in "ijk"])
     near = cells.withColumn("_s", F.explode(steps)).select(F.col("node").alias("u"), beside.alias("v")).join(cells.withColumnRenamed("node", "v"), "v")
     root = components(cells, near.select("u", "v"), "node")
-    rows = rows.join(root.select(F.col("node").alias("_cell"), F.col("root").alias("_root")), "_cell").drop("_cell")
+    # A cell has the key and the sense of its rows, so plain columns tell a neighbourhood: of a struct, pandas would make an object per row.
+    corner = ("_i", "_j", "_k")
+    rows = rows.join(root.select(F.col("node").alias("_cell"), *[F.col(f"root.{c}").alias(c) for c in corner]), "_cell").drop("_cell")
     place = ["x", "_strength", "y", "z"]
 
     def one(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -138,7 +140,7 @@ def track_links(clusters: DataFrame, key: list[str], base: float = TRACK_BASE, s
 
     rows = rows.withColumn("_strength", -F.abs("circulation"))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema) + ", _track bigint"
-    apart = rows.groupBy("_root").applyInPandas(one, schema)
+    apart = rows.groupBy(*key, "sense", *corner).applyInPandas(one, schema).withColumn("_root", F.struct(*key, "sense", *corner))
     first = apart.groupBy(*key, "_root", "_track").agg(F.min(F.struct(*place, "sense")).alias("_first"))
     first = numbered(first.select(*key, "_root", "_track", "_first.*"), key, [*place, "sense"], F.col("x"), "track")
     return apart.join(first.select("_root", "_track", F.col("track").cast("bigint").alias("track")), ["_root", "_track"]).select(*clusters.columns, "track")
