@@ -57,3 +57,11 @@ def test_no_rows_and_long_texts(spark):
     long_ = [(i, ("sea wind " * 200_000) + "b" * 400_000, "en", f"s{i % 2}", None, None, None) for i in range(4)]
     rows = [*long_, (9, "wind", "en", "s0", None, None, None)]
     compare_tables(spark, dv.audit, dv.ORACLE, {"documents": (rows, SCHEMA)})
+
+
+def test_long_terms_are_found_by_stretches():
+    for size in (0, 1, dv.LONG - 1, dv.LONG, dv.LONG + 1, 3 * dv.LONG):
+        for head in (b"", b" ", b"a" * dv.LONG + b" ", b"b c " * 99):
+            for tail in (b"", b" ", b" d" * dv.LONG):
+                raw = head + b"x" * size + tail
+                assert dv._has_long(raw) == (dv._LONG.search(raw) is not None)

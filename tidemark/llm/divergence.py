@@ -38,8 +38,8 @@ from tidemark.llm.common import chunks, join_keyed, prepared, shared_dir, stored
 LEAST_DOCS, TOP_TERMS = 3, 200
 #: Bytes of the kept terms of a block (a node takes 40, and terms share their beginnings), and of a term that is not replaced by its digest.
 BLOCK_BYTES, LONG = 5 << 20, 200
-#: Counted terms that a task holds before it hands them on.
-HELD = 100_000
+#: Counted terms that a task holds before it hands them on (some 200 bytes each).
+HELD = 300_000
 #: Shares of the histograms of a language are dealt to so many parts.
 PARTS = 32
 
@@ -57,6 +57,17 @@ def _mark(term: bytes) -> bytes:
     return b"\x01" + hashlib.md5(term).hexdigest().encode()
 
 
+def _has_long(spaced: bytes) -> bool:
+    """Whether a term has more than LONG bytes: looks for a space in every stretch of that length, not at every byte."""
+    at, end = 0, len(spaced)
+    while end - at > LONG:
+        space = spaced.rfind(b" ", at, at + LONG + 1)
+        if space < 0:
+            return True
+        at = space + 1
+    return False
+
+
 def _rows(counts: dict[tuple[str, ...], Counter], names: list[str], kind: pa.DataType) -> pa.RecordBatch:
     keys = [k for k, c in counts.items() for _ in range(len(c))]
     terms = [t for c in counts.values() for t in c]
@@ -132,7 +143,9 @@ def _occurrences(vocabulary):
             for lang, source, text in zip(batch.column("lang").to_pylist(), batch.column("source").to_pylist(), texts, strict=True):
                 if lang not in automata:
                     continue
-                raw = _LONG.sub(lambda m: _mark(m[0]), _spaced(text))
+                raw = _spaced(text)
+                if _has_long(raw):
+                    raw = _LONG.sub(lambda m: _mark(m[0]), raw)
                 own = counts.setdefault((lang, source), Counter())
                 before = len(own)
                 own.update(map(_which, automata[lang].iter(f" {raw.decode()} ")))
