@@ -119,6 +119,55 @@ def test_scores_of_a_long_text_agree_with_one_window_at_a_time(small):
         assert got[place] == pytest.approx(A.log_probability(s.layers, small, y, small.rank[seq[place + 2 : place + 3]])[0] / math.log(10), rel=1e-4)
 
 
+def test_places_without_a_target_go_where_a_step_is_cheapest(small, monkeypatch):
+    """They weigh nothing, and cost no output of a group."""
+    seen, real = [], A.gradients
+    monkeypatch.setattr(A, "gradients", lambda w, v, now, before, target, live, g: (seen.append((target, live)), real(w, v, now, before, target, live, g))[1])
+    windows = np.random.default_rng(2).integers(0, 200, (4, A.WINDOW + 2))
+    windows[:, 40:] = -1
+    assert small.rank[0] >= small.head
+    flat = A.train_locally(A.start_weights(small), small, windows, 0.01, 4)
+    ((target, live),) = seen
+    assert not live[:, 38:].any() and (target[~live] == 0).all() and np.isfinite(flat).all()
+
+
+@pytest.mark.parametrize("block", [16, 24, A.WINDOW])
+def test_blocks_of_places_change_neither_states_nor_gradients(small, monkeypatch, block):
+    data = batch_of(small, np.random.default_rng(3))
+    flat = A.start_weights(small).astype(np.float64)
+    w = A.unflatten(flat, small.shapes())
+
+    def all_of():
+        g = A.unflatten(np.zeros_like(flat), small.shapes())
+        loss, sparse = A.gradients(w, small, *data, g)
+        states = [A._attended(w, *data[:2], skip, safe)[-1] for skip in (0, A.WINDOW - A.STRIDE) for safe in (True, False)]
+        return [np.array(loss), *g.values(), *(x for pair in sparse.values() for x in pair), *states]
+
+    want = all_of()
+    monkeypatch.setattr(A, "BLOCK", block)
+    for a, b in zip(want, all_of(), strict=True):
+        np.testing.assert_allclose(a, b, rtol=1e-5, atol=1e-8)
+
+
+def test_freed_memory_is_kept_by_the_process():
+    """Arrays of a step use the same pages again: no page faults once they were touched."""
+    import subprocess
+    import sys
+
+    program = """
+import resource, numpy as np
+from tidemark.llm import attention as A
+A.keep_pages()
+def step():
+    held = [np.ones(1 << 18, np.float32) for _ in range(20)]
+for _ in range(3): step()
+before = resource.getrusage(resource.RUSAGE_SELF).ru_minflt
+for _ in range(10): step()
+print(resource.getrusage(resource.RUSAGE_SELF).ru_minflt - before)
+"""
+    assert int(subprocess.run([sys.executable, "-c", program], capture_output=True, text=True, check=True).stdout) < 1000
+
+
 def test_segments_hold_every_target_once():
     rng = np.random.default_rng(5)
     sizes = np.array([0, 3, 5000, 2047, 2048, 64])

@@ -9,6 +9,8 @@ counts. So every subword has a probability, and the probabilities of all subword
 
 from __future__ import annotations
 
+import ctypes
+
 import numpy as np
 
 #: Places of a window; places that a scoring window adds (the rest is context); widths of the embeddings and of the keys.
@@ -21,9 +23,24 @@ _SCALE = np.float32(1 / np.sqrt(KEYS))
 _DISTANCE = np.arange(WINDOW)[:, None] - np.arange(WINDOW)[None, :]
 _PAST = (_DISTANCE >= 0).astype(np.float32)
 _DISTANCE = np.maximum(_DISTANCE, 0)
+#: Places whose shares are computed at once: a block sees the places up to its end and none behind it.
+BLOCK = 32
 #: Logits of the output layer held at once, so that they stay in the processor's cache.
 _LOGITS = 1 << 18
 _EMBEDDINGS = ("now", "before")
+#: Settings of glibc's allocator (trim threshold, top padding, threshold of mappings) and their values.
+_HEAP = ((-1, 64 << 20), (-2, 16 << 20), (-3, 8 << 20))
+
+
+def keep_pages() -> None:
+    """Let this process keep up to 64 MB of freed memory.
+
+    Every step takes and frees arrays of about a megabyte. By default their pages go back to the system each time, and
+    getting them again, zeroed, takes as long as a third of the arithmetic. Without glibc nothing happens.
+    """
+    set_option = getattr(ctypes.CDLL(None), "mallopt", None)
+    for name, value in _HEAP if set_option else ():
+        set_option(name, value)
 
 
 def group_edges(share: np.ndarray, rows: int) -> list[int]:
@@ -114,48 +131,59 @@ def _by_row(rows: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarra
     order = np.argsort(rows, kind="stable")
     ranked = rows[order]
     first = np.flatnonzero(np.concatenate([[True], ranked[1:] != ranked[:-1]]))
-    return ranked[first], np.add.reduceat(values[order], first, axis=0)
+    return ranked[first], np.add.reduceat(values.take(order, axis=0), first, axis=0)
 
 
 def _attended(w: dict, now: np.ndarray, before: np.ndarray, skip: int = 0, safe: bool = True) -> tuple:
-    """States of all places from ``skip`` on, with all that the gradients need. ``now``, ``before``: windows x WINDOW rows."""
+    """States of all places from ``skip`` on, with all that the gradients need. ``now``, ``before``: windows x WINDOW rows.
+
+    Shares come by blocks of places: first and last place, unscaled shares, their sums.
+    """
     n = len(now)
-    x = w["now"][now.reshape(-1)]
-    x += w["before"][before.reshape(-1)]
+    x = w["now"].take(now.reshape(-1), axis=0)
+    x += w["before"].take(before.reshape(-1), axis=0)
     qkv = (x @ w["qkv"]).reshape(n, WINDOW, -1)
     x = x.reshape(n, WINDOW, WIDTH)
     q = qkv[:, skip:, :KEYS] * _SCALE
     k, v = qkv[:, :, KEYS : 2 * KEYS], qkv[:, :, 2 * KEYS :]
-    a = np.matmul(q, np.ascontiguousarray(k.transpose(0, 2, 1)))
-    if not safe:
-        a += w["near"][_DISTANCE[skip:]]
-        a[:, _PAST[skip:] == 0] = -np.inf
-        a -= a.max(axis=2, keepdims=True)
-    np.exp(a, out=a)
-    if safe:
-        a *= (np.exp(w["near"])[_DISTANCE] * _PAST)[skip:]
-    total = np.matmul(a, np.ones(WINDOW, a.dtype))[:, :, None]
-    o = np.matmul(a, v)
-    o /= total
+    across = np.ascontiguousarray(k.transpose(0, 2, 1))
+    near = (np.exp(w["near"]) if safe else w["near"])[_DISTANCE]
+    o = np.empty((n, WINDOW - skip, WIDTH), x.dtype)
+    shares = []
+    for lo in range(skip, WINDOW, BLOCK):
+        hi = min(lo + BLOCK, WINDOW)
+        a = np.matmul(q[:, lo - skip : hi - skip], across[:, :, :hi])
+        if not safe:
+            a += near[lo:hi, :hi]
+            a[:, _PAST[lo:hi, :hi] == 0] = -np.inf
+            a -= a.max(axis=2, keepdims=True)
+        np.exp(a, out=a)
+        if safe:
+            a *= near[lo:hi, :hi] * _PAST[lo:hi, :hi]
+        total = np.matmul(a, np.ones(hi, a.dtype))[:, :, None]
+        part = np.matmul(a, v[:, :hi])
+        np.divide(part, total, out=o[:, lo - skip : hi - skip])
+        shares.append((lo, hi, a, total))
     if skip:
         x = np.ascontiguousarray(x[:, skip:])
     y = x.reshape(-1, WIDTH) @ w["mix"]
     y += o.reshape(-1, WIDTH) @ w["join"]
-    np.tanh(y, out=y)
     one = np.ones((len(y), WIDTH + 1), y.dtype)  # the last column carries the bias
-    one[:, :WIDTH] = y
-    return x, q, k, v, a, total, o, one
+    np.tanh(y, out=one[:, :WIDTH])
+    return x, q, k, v, shares, o, one
 
 
-def _pieces(vocabulary: Vocabulary, target: np.ndarray) -> tuple[np.ndarray, list[tuple[np.ndarray, np.ndarray]]]:
-    """For ranks: the entry of the first softmax, and the tokens of each group with their place in it."""
-    entry = target.astype(np.int64)
+def _pieces(vocabulary: Vocabulary, target: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[tuple[slice, np.ndarray]]]:
+    """For ranks: their order by rank and, in that order, the entry of the first softmax, and where the tokens of each group stand with their place in it."""
+    order = np.argsort(target.astype(np.uint16 if len(vocabulary.rank) <= 1 << 16 else np.int64), kind="stable")
+    ranked = target.take(order).astype(np.int64)
+    entry = ranked.copy()
     inner = []
     for g, (a, b) in enumerate(vocabulary.groups):
-        at = np.flatnonzero((target >= a) & (target < b))
+        at = slice(*np.searchsorted(ranked, (a, b)).tolist())
         entry[at] = vocabulary.head + g
-        inner.append((at, target[at].astype(np.int64) - a))
-    return entry, inner
+        inner.append((at, ranked[at] - a))
+    return order, entry, inner
 
 
 def _step(weights: np.ndarray) -> int:
@@ -169,20 +197,23 @@ def _layers(w: dict, vocabulary: Vocabulary) -> list[np.ndarray]:
 
 def log_probability(layers: list[np.ndarray], vocabulary: Vocabulary, y: np.ndarray, target: np.ndarray, safe: bool = True) -> np.ndarray:
     """Natural log probability of each target rank. ``y``: states, a row per target."""
-    entry, inner = _pieces(vocabulary, target)
-    out = np.zeros(len(y), np.float32)
-    for weights, (at, place) in zip(layers, [(None, entry), *inner], strict=False):
+    order, entry, inner = _pieces(vocabulary, target)
+    y = y.take(order, axis=0)
+    ranked = np.zeros(len(y), np.float32)
+    for weights, (at, place) in zip(layers, [(slice(0, len(y)), entry), *inner], strict=False):
         ones, step = np.ones(weights.shape[1], np.float32), _step(weights)
-        for lo in range(0, len(place), step):
-            some = slice(lo, lo + step) if at is None else at[lo : lo + step]
+        for lo in range(at.start, at.stop, step):
+            some = slice(lo, min(lo + step, at.stop))
             s = y[some] @ weights
             if not safe:
                 s -= s.max(axis=1, keepdims=True)
-            picked = s[np.arange(len(s)), place[lo : lo + step]]
-            out[some] += picked - np.log(np.exp(s, out=s) @ ones)
+            picked = s[np.arange(len(s)), place[some.start - at.start : some.stop - at.start]]
+            ranked[some] += picked - np.log(np.exp(s, out=s) @ ones)
     if vocabulary.rest is not None:
         at, place = inner[-1]
-        out[at] += vocabulary.rest[place]
+        ranked[at] += vocabulary.rest[place]
+    out = np.empty_like(ranked)
+    out[order] = ranked
     return out
 
 
@@ -206,35 +237,44 @@ def gradients(w: dict, vocabulary: Vocabulary, now: np.ndarray, before: np.ndarr
     Those of the embeddings are returned as rows and sums, all others are written to ``g``. The mean, without the fixed
     shares of the last group, comes first.
     """
-    x, q, k, v, a, total, o, y = _attended(w, now, before)
-    share = (live / max(1, int(live.sum()))).astype(y.dtype).reshape(-1)
-    entry, inner = _pieces(vocabulary, target.reshape(-1))
-    loss, dy = 0.0, np.zeros_like(y)
+    x, q, k, v, shares, o, y = _attended(w, now, before)
+    order, entry, inner = _pieces(vocabulary, target.reshape(-1))
+    share = (live / max(1, int(live.sum()))).astype(y.dtype).reshape(-1).take(order)
+    ranked = y.take(order, axis=0)
+    loss, more = 0.0, np.zeros_like(ranked)
     g["out"][:] = 0
-    for weights, (at, place), (c, d) in zip(_layers(w, vocabulary), [(None, entry), *inner], [(0, vocabulary.first), *vocabulary.columns()], strict=False):
+    for weights, (at, place), (c, d) in zip(_layers(w, vocabulary), [(slice(0, len(y)), entry), *inner], [(0, vocabulary.first), *vocabulary.columns()], strict=False):
         into, step = np.zeros_like(weights), _step(weights)
-        for lo in range(0, len(place), step):
-            some = slice(lo, lo + step) if at is None else at[lo : lo + step]
-            more, part = _softmax_gradient(y[some], weights, place[lo : lo + step], share[some], into)
-            dy[some] += more
+        for lo in range(at.start, at.stop, step):
+            some = slice(lo, min(lo + step, at.stop))
+            of_y, part = _softmax_gradient(ranked[some], weights, place[some.start - at.start : some.stop - at.start], share[some], into)
+            more[some] += of_y
             loss += part
         g["out"][:, c:d] = into
-    dy, y = dy[:, :WIDTH], y[:, :WIDTH]
-    dy = dy * (1 - y * y)
+    dy = np.empty((len(y), WIDTH), y.dtype)
+    dy[order] = more[:, :WIDTH]
+    y = y[:, :WIDTH]
+    dy *= 1 - y * y
     rows = lambda t: t.reshape(-1, t.shape[-1])
     do = (dy @ w["join"].T).reshape(o.shape)
-    do /= total  # so that the exponentials need not be divided
     both = np.empty((*x.shape[:2], 2 * KEYS + 2 * WIDTH), y.dtype)  # of queries, keys and values, and of the states
     dqkv = both[:, :, : 2 * KEYS + WIDTH]
     both[:, :, 2 * KEYS + WIDTH :] = dy.reshape(o.shape)
-    dqkv[:, :, 2 * KEYS :] = np.matmul(a.transpose(0, 2, 1), do)
-    da = np.matmul(do, np.ascontiguousarray(v.transpose(0, 2, 1)))
-    da -= np.einsum("bij,bij->bi", do, o)[:, :, None]  # the softmax's inner product, from the narrower side
-    da *= a
-    g["near"][:] = np.bincount(_DISTANCE.ravel(), weights=(np.ones(len(da), y.dtype) @ da.reshape(len(da), -1)).reshape(WINDOW, WINDOW).ravel() * _PAST.ravel(), minlength=WINDOW)
-    dqkv[:, :, :KEYS] = np.matmul(da, k)
+    dqkv[:, :, KEYS:] = 0
+    across = np.ascontiguousarray(v.transpose(0, 2, 1))
+    near = np.zeros(WINDOW)
+    for lo, hi, a, total in shares:
+        d = do[:, lo:hi]
+        d /= total  # so that the exponentials need not be divided
+        dqkv[:, :hi, 2 * KEYS :] += np.matmul(a.transpose(0, 2, 1), d)
+        da = np.matmul(d, across[:, :, :hi])
+        da -= np.einsum("bij,bij->bi", d, o[:, lo:hi])[:, :, None]  # the softmax's inner product, from the narrower side
+        da *= a
+        near += np.bincount(_DISTANCE[lo:hi, :hi].ravel(), weights=(np.ones(len(da), y.dtype) @ da.reshape(len(da), -1)) * _PAST[lo:hi, :hi].ravel(), minlength=WINDOW)
+        dqkv[:, lo:hi, :KEYS] = np.matmul(da, k[:, :hi])
+        dqkv[:, :hi, KEYS : 2 * KEYS] += np.matmul(da.transpose(0, 2, 1), q[:, lo:hi])
     dqkv[:, :, :KEYS] *= _SCALE
-    dqkv[:, :, KEYS : 2 * KEYS] = np.matmul(da.transpose(0, 2, 1), q)
+    g["near"][:] = near
     of_x = rows(x).T @ rows(both)
     g["qkv"][:], g["mix"][:], g["join"][:] = of_x[:, : 2 * KEYS + WIDTH], of_x[:, 2 * KEYS + WIDTH :], rows(o).T @ dy
     dx = rows(both) @ np.concatenate([w["qkv"], w["mix"]], axis=1).T
@@ -269,7 +309,8 @@ def train_locally(flat: np.ndarray, vocabulary: Vocabulary, windows: np.ndarray,
         some = windows[lo : lo + batch]
         live = some >= 0
         ids = np.where(live, some, 0)
-        row, rank = vocabulary.row[ids], vocabulary.rank[ids[:, 2:]]
+        # Places without a target weigh nothing, so they go where a step is cheapest.
+        row, rank = vocabulary.row.take(ids), np.where(live[:, 2:], vocabulary.rank.take(ids[:, 2:]), 0)
         with np.errstate(over="ignore", invalid="ignore"):
             _, sparse = gradients(w, vocabulary, row[:, 1:-1], row[:, :-2], rank, live[:, 2:], g)
             _adam(flat[dense], mean[dense], square[dense], grad[dense], rate, step)
@@ -313,7 +354,7 @@ class Scorer:
                 at = start[part][:, None] + np.arange(WINDOW)
                 live = at[:, skip:] < stop[text[part]][:, None]
                 np.minimum(at, len(now) - 1, out=at)
-                y = _attended(self.w, now[at], before[at], skip, self.safe)[-1]
+                y = _attended(self.w, now.take(at), before.take(at), skip, self.safe)[-1]
                 places = at[:, skip:][live]
                 if len(places) < len(y):
                     y = y[live.reshape(-1)]

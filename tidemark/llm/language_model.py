@@ -152,6 +152,7 @@ _MODEL = pa.schema([("bucket", pa.int64()), ("windows", pa.int64()), ("weights",
 
 def _train(shared, rate: float, batch: int):
     def run(bucket: pa.Table) -> pa.Table:
+        A.keep_pages()
         flat, vocabulary = shared.value
         bucket = bucket.sort_by([(c, "ascending") for c in ("key", "doc_id", "segment")])
         w = windows_in(bucket.column("ids").to_pylist(), len(vocabulary.rank) - 1)
@@ -219,6 +220,7 @@ def _score(shared, path: str):
         return pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("held_out"), pa.array(per + 1), pa.array(known), pa.array(head), pa.array(score), tail], schema=schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        A.keep_pages()
         model = shared.value
         scorer = A.Scorer(model["flat"], model["vocabulary"])
         for batch in chunks(batches, limit=3 << 20):
