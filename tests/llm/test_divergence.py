@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 
+import pyarrow as pa
 import pytest
 
 from tests.llm.test_oracles_llm import compare_tables
@@ -65,3 +66,24 @@ def test_long_terms_are_found_by_stretches():
             for tail in (b"", b" ", b" d" * dv.LONG):
                 raw = head + b"x" * size + tail
                 assert dv._has_long(raw) == (dv._LONG.search(raw) is not None)
+
+
+def test_the_automaton_reads_each_term_of_a_chunk_once(monkeypatch):
+    """Its work follows the distinct terms of a chunk, not the text; the counts are those of the text."""
+    read, numbers = [], dv._numbers
+    monkeypatch.setattr(dv, "_numbers", lambda automaton, terms: (read.extend(terms), numbers(automaton, terms))[1])
+    long_ = "x" * (dv.LONG + 1)
+
+    class Shared:
+        value = dv.Vocabulary({"en": ["sea", "été", long_], "": ["wind"]})
+
+    texts = [("en", "a", f"Sea sea, wind\n{long_} seas"), ("en", "b", "été sea " * 1000), ("", "a", "wind sea"), ("en", "a", None), ("fr", "a", "sea"), ("en", "a", "wind" + "y" * dv.LONG)]
+    batch = pa.record_batch([pa.array(c, pa.string()) for c in zip(*texts, strict=True)], ["lang", "source", "text"])
+    got = [tuple(r.values()) for b in dv._occurrences(Shared)(iter([batch])) for r in b.to_pylist()]
+    assert sorted(got) == [("", "a", "wind", 1), ("en", "a", "sea", 2), ("en", "a", long_, 1), ("en", "b", "sea", 1000), ("en", "b", "été", 1000)]
+    assert len(read) == len(set(read[:6])) + 2  # six of English, two of no language
+
+
+def test_texts_that_touch_share_no_term():
+    terms, which, text = dv._terms_in(pa.array(["", "Sea", "sea wind", "", "7", "wind", ""])[1:])
+    assert [(terms[w].as_py(), t) for w, t in zip(which.tolist(), text.tolist(), strict=True)] == [(b"sea", 0), (b"sea", 1), (b"wind", 1), (b"wind", 4)]

@@ -3,7 +3,8 @@
 Two passes over the texts. The first counts in how many documents of a language each term stands; terms of at least
 ``LEAST_DOCS`` documents are kept. The second finds their occurrences with an automaton (pyahocorasick): kept terms have a
 space on either side, every delimiter of the texts becomes a space, and since neighbours share the space between them, all
-occurrences of whole terms are found and no others. The counts of (language, source, term) are sparse postings: terms
+occurrences of whole terms are found and no others. The automaton reads each distinct term of a chunk of texts once, and
+what it finds holds wherever the term stands in the chunk. The counts of (language, source, term) are sparse postings: terms
 that a source lacks have a share that depends on the source alone, so a pair's sum over all kept terms is a sum over the
 terms that both have, over the distinct shares of either, and a product for those that neither has.
 
@@ -23,35 +24,32 @@ from __future__ import annotations
 import hashlib
 import re
 import uuid
-from collections import Counter
 from collections.abc import Iterator
-from operator import itemgetter
+from itertools import chain
 
 import ahocorasick
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tidemark.llm.common import chunks, join_keyed, prepared, shared_dir, stored
+from tidemark.llm.common import chunks, join_keyed, pieces, prepared, shared_dir, stored, utf8_of
 
 LEAST_DOCS, TOP_TERMS = 3, 200
 #: Bytes of the kept terms of a block (a node takes 40, and terms share their beginnings), and of a term that is not replaced by its digest.
 BLOCK_BYTES, LONG = 5 << 20, 200
-#: Counted terms that a task holds before it hands them on (some 200 bytes each).
+#: Counted terms that a task holds before it hands them on.
 HELD = 300_000
 #: Shares of the histograms of a language are dealt to so many parts.
 PARTS = 32
 
 #: ASCII letters stay or are lower-cased, bytes of other characters stay, all else becomes a space.
 _TABLE = bytes(c if c >= 128 or chr(c).islower() else c + 32 if chr(c).isupper() else 32 for c in range(256))
+_BYTES = np.frombuffer(_TABLE, np.uint8)
 _LONG = re.compile(rb"[^ ]{%d,}" % (LONG + 1))
 
 
-def _spaced(raw: bytes) -> bytes:
-    return raw.translate(_TABLE)
-
-
 def _mark(term: bytes) -> bytes:
     """What a long term is replaced by: no text holds the first character once its delimiters are spaces."""
     return b"\x01" + hashlib.md5(term).hexdigest().encode()
@@ -68,28 +66,51 @@ def _has_long(spaced: bytes) -> bool:
     return False
 
 
-def _rows(counts: dict[tuple[str, ...], Counter], names: list[str], kind: pa.DataType) -> pa.RecordBatch:
-    keys = [k for k, c in counts.items() for _ in range(len(c))]
-    terms = [t for c in counts.values() for t in c]
-    numbers = [n for c in counts.values() for n in c.values()]
-    return pa.record_batch([*(pa.array([k[i] for k in keys], pa.string()) for i in range(len(names) - 2)), pa.array(terms, kind), pa.array(numbers, pa.int64())], names)
+def _terms_in(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """The distinct terms of some texts, which one stands where, and in which text."""
+    data, off = utf8_of(texts)
+    data = _BYTES[data]
+    inside = data != 32
+    first = inside.copy()
+    first[1:] &= ~inside[:-1]
+    begins = off[:-1][off[:-1] < len(data)]
+    first[begins] = inside[begins]  # a text's first byte never goes on with a term of the text before
+    at = np.flatnonzero(first)
+    bytes_of = data[inside]
+    start = np.cumsum(inside, dtype=np.int32)[at] - 1
+    coded = pieces(bytes_of, np.append(start, len(bytes_of)), pa.binary()).dictionary_encode()
+    text = np.repeat(np.arange(len(texts)), np.diff(np.searchsorted(at, off)))
+    return coded.dictionary, coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), text
+
+
+def _codes(column: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    coded = column.dictionary_encode()
+    return coded.dictionary, coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
 
 
 def _document_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """lang, term and the number of documents of some rows that hold it."""
-    counts: dict[tuple[str, ...], Counter] = {}
-    held = 0
+    held: list[pa.Table] = []
+
+    def merged() -> pa.Table:
+        return pa.concat_tables(held).group_by(["lang", "term"]).aggregate([("docs", "sum")]).rename_columns(["lang", "term", "docs"])
+
     for batch in chunks(batches):
-        for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").cast(pa.binary()).to_pylist(), strict=True):
-            own = counts.setdefault((lang,), Counter())
-            before = len(own)
-            own.update(set(_spaced(text).split()))
-            held += len(own) - before
-        if held > HELD or sum(map(len, counts)) > HELD:
-            yield _rows(counts, ["lang", "term", "docs"], pa.binary()).cast(_TERMS)
-            counts, held = {}, 0
-    if counts:
-        yield _rows(counts, ["lang", "term", "docs"], pa.binary()).cast(_TERMS)
+        terms, which, text = _terms_in(batch.column("text"))
+        if not len(terms):
+            continue
+        langs, lang = _codes(batch.column("lang"))
+        pair = np.sort(text * len(terms) + which)
+        text, which = np.divmod(pair[np.concatenate([[True], pair[1:] != pair[:-1]])], len(terms))  # each term of a document once
+        key, docs = np.unique(lang[text] * len(terms) + which, return_counts=True)
+        lang, which = np.divmod(key, len(terms))
+        held.append(pa.table([langs.take(pa.array(lang)), terms.take(pa.array(which)), pa.array(docs)], ["lang", "term", "docs"]))
+        if sum(map(len, held)) > 2 * HELD:
+            held[:] = [merged()]
+            if len(held[0]) > HELD:
+                yield from held.pop().cast(_TERMS).to_batches(max_chunksize=100_000)
+    if held:
+        yield from merged().cast(_TERMS).to_batches(max_chunksize=100_000)
 
 
 _TERMS = pa.schema([("lang", pa.string()), ("term", pa.string()), ("docs", pa.int64())])
@@ -102,59 +123,101 @@ def kept_terms(docs: DataFrame) -> DataFrame:
 
 
 class Vocabulary:
-    """The kept terms of a block by language, and their automata, made once per worker."""
+    """The kept terms of a block by language, numbered through, and their automata, made once per worker."""
 
-    _made: dict[str, dict] = {}
+    _made: dict[str, tuple[dict, pa.Array]] = {}
 
     def __init__(self, terms: dict[str, list[str]]):
         self.terms, self.name = terms, uuid.uuid4().hex
 
-    def automata(self) -> dict[str, ahocorasick.Automaton]:
+    def automata(self) -> tuple[dict[str, ahocorasick.Automaton], pa.Array]:
+        """The automaton of each language, and all terms by number."""
         if self.name not in self._made:
             self._made.clear()
-            self._made[self.name] = {lang: self._automaton(terms) for lang, terms in self.terms.items()}
+            made, at = {}, 0
+            for lang, terms in self.terms.items():
+                made[lang] = self._automaton(terms, at)
+                at += len(terms)
+            self._made[self.name] = made, pa.array([t for terms in self.terms.values() for t in terms], pa.string())
         return self._made[self.name]
 
     @staticmethod
-    def _automaton(terms: list[str]) -> ahocorasick.Automaton:
+    def _automaton(terms: list[str], at: int) -> ahocorasick.Automaton:
         out = ahocorasick.Automaton(ahocorasick.STORE_INTS)
-        for i, term in enumerate(terms):
+        for i, term in enumerate(terms, at):
             raw = term.encode()
             out.add_word(f" {term if len(raw) <= LONG else _mark(raw).decode()} ", i)
         out.make_automaton()
         return out
 
 
-_which = itemgetter(1)
+def _numbers(automaton: ahocorasick.Automaton, terms: list[bytes]) -> np.ndarray:
+    """The number of each term, -1 if it is not kept."""
+    raw = b" " + b" ".join(terms) + b" "
+    if _has_long(raw):
+        raw = _LONG.sub(lambda m: _mark(m[0]), raw)
+    line = raw.decode()
+    spaces = np.flatnonzero(np.frombuffer(line.encode("utf-32-le"), np.uint32) == 32)
+    hits = np.fromiter(chain.from_iterable(automaton.iter(line)), np.int64).reshape(-1, 2)  # the space behind a term, its number
+    out = np.full(len(terms), -1, np.int64)
+    out[np.searchsorted(spaces, hits[:, 0]) - 1] = hits[:, 1]
+    return out
+
+
+_FOUND = pa.schema([("lang", pa.string()), ("source", pa.string()), ("term", pa.string()), ("count", pa.int64())])
 
 
 def _occurrences(vocabulary):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """lang, source, kept term and its occurrences in some rows."""
-        block = vocabulary.value
-        automata, counts, held = block.automata(), {}, 0
-
-        def rows() -> pa.RecordBatch:
-            named = {k: {block.terms[k[0]][i]: n for i, n in c.items()} for k, c in counts.items() if c}
-            return _rows(named, ["lang", "source", "term", "count"], pa.string())
+        automata, every = vocabulary.value.automata()
+        groups: dict[tuple[str, str], int] = {}
+        held: list[tuple[np.ndarray, np.ndarray]] = []  # group and term in one number, ascending, and occurrences
+
+        def merge() -> None:
+            keys, counts = (np.concatenate(part) for part in zip(*held, strict=True))
+            order = np.argsort(keys, kind="stable")
+            keys = keys[order]
+            first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+            held[:] = [(keys[first], np.add.reduceat(counts[order], first))]
+
+        def rows() -> Iterator[pa.RecordBatch]:
+            ((keys, counts),) = held
+            group, term = np.divmod(keys, len(every))
+            lang, source = (pa.array([g[i] for g in groups], pa.string()).take(pa.array(group)) for i in (0, 1))
+            yield from pa.table([lang, source, every.take(pa.array(term)), pa.array(counts)], schema=_FOUND).to_batches(max_chunksize=100_000)
+            held.clear()
+            groups.clear()
 
         for batch in chunks(batches):
-            texts = batch.column("text").cast(pa.binary()).to_pylist()
-            for lang, source, text in zip(batch.column("lang").to_pylist(), batch.column("source").to_pylist(), texts, strict=True):
-                if lang not in automata:
+            terms, which, text = _terms_in(batch.column("text"))
+            langs, lang = _codes(batch.column("lang"))
+            sources, source = _codes(batch.column("source"))
+            langs, sources = langs.to_pylist(), sources.to_pylist()
+            pairs, pair = np.unique(lang * len(sources) + source, return_inverse=True)
+            named = [(langs[p // len(sources)], sources[p % len(sources)]) for p in pairs.tolist()]
+            first = np.array([groups.setdefault(n, len(groups)) for n in named], np.int64)[pair].take(text) * len(every)  # of a term's group
+            lang = lang.take(text)
+            for i, name in enumerate(langs):
+                here = np.flatnonzero(lang == i)
+                if name not in automata or not len(here):
                     continue
-                raw = _spaced(text)
-                if _has_long(raw):
-                    raw = _LONG.sub(lambda m: _mark(m[0]), raw)
-                own = counts.setdefault((lang, source), Counter())
-                before = len(own)
-                own.update(map(_which, automata[lang].iter(f" {raw.decode()} ")))
-                held += len(own) - before
-            if held > HELD:
-                yield rows()
-                counts, held = {}, 0
+                own = which.take(here)
+                number = np.full(len(terms), -1, np.int64)
+                number[own] = 0
+                distinct = np.flatnonzero(number == 0)
+                number[distinct] = _numbers(automata[name], terms.take(pa.array(distinct)).to_pylist())
+                own = number.take(own)
+                found = (first.take(here) + own)[own >= 0]
+                if len(found):
+                    held.append(np.unique(found, return_counts=True))
+            if sum(len(k) for k, _ in held) > 2 * HELD:
+                merge()
+                if len(held[0][0]) > HELD:
+                    yield from rows()
         if held:
-            yield rows()
+            merge()
+            yield from rows()
 
     return run
 
