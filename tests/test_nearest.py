@@ -124,3 +124,23 @@ def test_ranks_of_large_groups_shuffle_no_rows(spark, monkeypatch):
     assert got == {k: [*[sorted(vs)[max(1, len(vs) * i // 10) - 1] for i in range(11)], None] for k, vs in values.items()}
     anti = [line for plan in seen for line in plan.splitlines() if "Join LeftAnti" in line]
     assert anti and all("broadcast" in line for line in anti)
+
+
+@pytest.mark.parametrize("side", [40.0, 6.0])
+def test_clusters_send_no_table_to_the_driver(spark, monkeypatch, side):
+    """Neither sparse nor dense clouds: cells and labels are joined by shuffles, however few they are."""
+    rng = random.Random(4)
+    rows = [(i, rng.uniform(0, side), rng.uniform(0, side)) for i in range(300)]
+    points = spark.createDataFrame(rows, "id long, x double, y double").withColumn("k", F.lit(1))
+    plans, kind = [], type(points)
+    real = kind.checkpoint
+
+    def seen(df, *args):
+        plans.append(df)
+        return real(df, *args)
+
+    monkeypatch.setattr(kind, "checkpoint", seen)
+    links = graph.proximity_links(points, ["k"], "id", "x", "y", 1.0)
+    graph.components(points.select("id"), links, "id")
+    shown = [df._jdf.queryExecution().executedPlan().toString() for df in [*plans, links]]
+    assert sum("SortMergeJoin" in p for p in shown) > 3 and not any("BroadcastHashJoin" in p for p in shown)

@@ -1,4 +1,7 @@
-"""Clusters of nearby points: a graph of cells, and connected components by label propagation with pointer jumping."""
+"""Clusters of nearby points: a graph of cells, and connected components by label propagation with pointer jumping.
+
+No join is broadcast: cells and labels grow with the points, and the driver would hold them anew in each round.
+"""
 
 from __future__ import annotations
 
@@ -32,14 +35,14 @@ def proximity_links(points: DataFrame, key: list[str], node: str, x: str, y: str
     cell = [*key, "_cx", "_cy"]
     box = [f(c).alias(f"_{n}{c[1]}") for c in ("_x", "_y") for n, f in (("lo", F.min), ("hi", F.max))]
     cells = placed.groupBy(*cell).agg(F.min("_id").alias("_first"), F.count(F.lit(1)).alias("_n"), F.first("_r").alias("_r"), *box).checkpoint()
-    inner = placed.join(cells.select(*cell, "_first"), cell).filter("_id <> _first").select(*key, F.col("_first").alias("u"), F.col("_id").alias("v"))
+    inner = placed.join(cells.select(*cell, "_first").hint("merge"), cell).filter("_id <> _first").select(*key, F.col("_first").alias("u"), F.col("_id").alias("v"))
 
     # Half of the 24 cells around: each pair of cells meets once.
     steps = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in range(-2, 3) for j in range(-2, 3) if (i, j) > (0, 0)])
     names = ("_cx", "_cy", "_first", "_n", "_lox", "_hix", "_loy", "_hiy")
     other = cells.select(*key, *[F.col(c).alias(f"{c}2") for c in names])
     around = cells.withColumn("_s", F.explode(steps)).withColumn("_cx2", F.col("_cx") + F.col("_s.i")).withColumn("_cy2", F.col("_cy") + F.col("_s.j")).drop("_s")
-    met = around.join(other, [*key, "_cx2", "_cy2"])
+    met = around.join(other.hint("merge"), [*key, "_cx2", "_cy2"])
     c = F.col
     gap = lambda d: F.greatest(c(f"_lo{d}") - c(f"_hi{d}2"), c(f"_lo{d}2") - c(f"_hi{d}"), F.lit(0.0))
     span = lambda d: F.greatest(c(f"_hi{d}2") - c(f"_lo{d}"), c(f"_hi{d}") - c(f"_lo{d}2"))
@@ -56,14 +59,14 @@ def proximity_links(points: DataFrame, key: list[str], node: str, x: str, y: str
 
     def reaching(pairs: DataFrame, own: str, far: str) -> DataFrame:
         out = lambda d: F.greatest(c(f"{far}._lo{d}") - c(f"_{d}"), c(f"_{d}") - c(f"{far}._hi{d}"), F.lit(0.0))
-        rows = pairs.select(*key, "_pair", far, c(f"{own}._cx").alias("_cx"), c(f"{own}._cy").alias("_cy")).join(placed, cell)
+        rows = pairs.select(*key, "_pair", far, c(f"{own}._cx").alias("_cx"), c(f"{own}._cy").alias("_cy")).join(placed.hint("merge"), cell)
         return rows.filter(out("x") * out("x") + out("y") * out("y") <= c("_r") * c("_r")).select(*key, "_pair", "_id", "_x", "_y", "_r")
 
     few, many = two.filter(c("a._n") <= FEW), two.filter(c("a._n") > FEW)
     on = [*key, "_pair"]
     b = reaching(few, "b", "a").select(*on, c("_x").alias("_x2"), c("_y").alias("_y2"))
     d2 = (c("_x") - c("_x2")) * (c("_x") - c("_x2")) + (c("_y") - c("_y2")) * (c("_y") - c("_y2"))
-    tried = reaching(few, "a", "b").join(b, on).filter(d2 <= c("_r") * c("_r")).select(*on).distinct()
+    tried = reaching(few, "a", "b").join(b.hint("merge"), on).filter(d2 <= c("_r") * c("_r")).select(*on).distinct()
     if not many.isEmpty():
         q = reaching(many, "a", "b").withColumn("_query", F.struct(*on, "_id"))
         hit = nearest(q, reaching(many, "b", "a").drop("_r"), ["_x", "_y"], "_query", "_id", on)
@@ -77,10 +80,10 @@ def components(nodes: DataFrame, links: DataFrame, node: str = "node") -> DataFr
     both = links.select("u", "v").unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v"))).checkpoint()
     label = nodes.select(F.col(node).alias("node"), F.col(node).alias("root"))
     while True:
-        heard = both.join(label.withColumnRenamed("node", "v"), "v").groupBy("u").agg(F.min("root").alias("_m"))
-        step = label.join(heard, label["node"] == heard["u"], "left").select("node", F.least("root", F.coalesce("_m", "root")).alias("root"), F.col("root").alias("_old"))
+        heard = both.join(label.withColumnRenamed("node", "v").hint("merge"), "v").groupBy("u").agg(F.min("root").alias("_m"))
+        step = label.join(heard.hint("merge"), label["node"] == heard["u"], "left").select("node", F.least("root", F.coalesce("_m", "root")).alias("root"), F.col("root").alias("_old"))
         jump = step.select(F.col("node").alias("_n"), F.col("root").alias("_r2"))
-        new = step.join(jump, step["root"] == jump["_n"]).select("node", F.col("_r2").alias("root"), "_old").checkpoint()
+        new = step.join(jump.hint("merge"), step["root"] == jump["_n"]).select("node", F.col("_r2").alias("root"), "_old").checkpoint()
         if new.filter(F.col("root") != F.col("_old")).isEmpty():
             return new.select("node", "root")
         label = new.select("node", "root")
