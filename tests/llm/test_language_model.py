@@ -119,6 +119,50 @@ def test_scores_of_a_long_text_agree_with_one_window_at_a_time(small):
         assert got[place] == pytest.approx(A.log_probability(s.layers, small, y, small.rank[seq[place + 2 : place + 3]])[0] / math.log(10), rel=1e-4)
 
 
+@pytest.mark.parametrize("safe", [True, False])
+def test_blocks_score_what_windows_score_and_take_each_place_once(small, monkeypatch, safe):
+    rng = np.random.default_rng(7)
+    sizes = np.array([0, 31, 0, 32, 63, 64, 200, 1, 95, 96])
+    ids = rng.integers(0, 199, sizes.sum())
+    s = A.Scorer(A.start_weights(small), small)
+    s.safe, seen, real = safe, [], A.Scorer._states
+    monkeypatch.setattr(A.Scorer, "_states", lambda self, now, before, opens: (seen.append((len(now), len(opens))), real(self, now, before, opens))[1])
+    got = {batch: s.log10(ids, sizes, 199, batch) for batch in (1, 3, 128)}
+    blocks = int((-(-(sizes + 1) // A.STRIDE)).sum())
+    assert seen[-1] == ((blocks + 1) * A.STRIDE, blocks)
+    start, text = A.windows_of(sizes + 1)
+    stop = np.cumsum(sizes + 1)
+    first, want = stop - sizes - 1, np.full(stop[-1], np.nan)
+    for at, t in zip(start.tolist(), text.tolist(), strict=True):
+        here = ids[first[t] - t : stop[t] - t - 1]  # t ends come before
+        seq = np.concatenate([[199, 199], here, [199]])
+        lo, n = at - first[t], min(A.WINDOW, stop[t] - at)
+        now, before = np.zeros((2, 1, A.WINDOW), np.uint16)
+        now[0, :n], before[0, :n] = small.row[seq[lo + 1 : lo + n + 1]], small.row[seq[lo : lo + n]]
+        skip = 0 if lo == 0 else A.WINDOW - A.STRIDE
+        y = A._attended(s.w, now, before)[-1][skip:n]
+        want[at + skip : at + n] = A.log_probability(s.layers, small, y, small.rank[seq[lo + skip + 2 : lo + n + 2]]) / math.log(10)
+    for logs in got.values():
+        np.testing.assert_allclose(logs, want, rtol=1e-4)
+
+
+def test_layers_are_the_weights_themselves(small):
+    """A step copies neither the output's weights nor their gradients."""
+    flat = A.start_weights(small)
+    layers = A._layers(A.unflatten(flat, small.shapes()), small)
+    assert len(layers) > 1 and all(np.shares_memory(x, flat) for x in layers)
+    assert [x.shape[1] for x in layers] == [b - a for a, b in small.columns()] and sum(x.shape[1] for x in layers) == len(small.bias)
+    assert np.array_equal(np.concatenate([x[-1] for x in layers]), small.bias)
+
+
+@pytest.mark.parametrize("rows", [1, 127, 128, 129, 400])
+def test_products_by_parts(rows):
+    rng = np.random.default_rng(8)
+    a, b, c = rng.random((rows, 33)), rng.random((33, 20)), rng.random((rows, 20))
+    np.testing.assert_allclose(A._by_parts(a, b), a @ b, rtol=1e-12)
+    np.testing.assert_allclose(A._summed_by_parts(a, c), a.T @ c, rtol=1e-12)
+
+
 def test_places_without_a_target_go_where_a_step_is_cheapest(small, monkeypatch):
     """They weigh nothing, and cost no output of a group."""
     seen, real = [], A.gradients

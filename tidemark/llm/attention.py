@@ -27,6 +27,8 @@ _DISTANCE = np.maximum(_DISTANCE, 0)
 BLOCK = 32
 #: Logits of the output layer held at once, so that they stay in the processor's cache.
 _LOGITS = 1 << 18
+#: Rows that a product takes at once, and weights that an Adam step takes at once.
+_ROWS_AT_ONCE, _WEIGHTS_AT_ONCE = 128, 1 << 14
 _EMBEDDINGS = ("now", "before")
 #: Settings of glibc's allocator (trim threshold, top padding, threshold of mappings) and their values.
 _HEAP = ((-1, 64 << 20), (-2, 16 << 20), (-3, 8 << 20))
@@ -87,11 +89,11 @@ class Vocabulary:
 
     def shapes(self) -> dict[str, tuple[int, ...]]:
         r, d = self.rows + 1, WIDTH
-        return {"now": (r, d), "before": (r, d), "qkv": (d, 2 * KEYS + d), "near": (WINDOW,), "mix": (d, d), "join": (d, d), "out": (d + 1, len(self.bias))}
+        return {"now": (r, d), "before": (r, d), "qkv": (d, 2 * KEYS + d), "near": (WINDOW,), "mix": (d, d), "join": (d, d), "out": ((d + 1) * len(self.bias),)}
 
     def columns(self) -> list[tuple[int, int]]:
-        """Where the outputs of each learned group stand."""
-        at, out = self.first, []
+        """Where the outputs of the first softmax and of each learned group stand."""
+        at, out = self.first, [(0, self.first)]
         for a, b in self.learned:
             out.append((at, at + b - a))
             at += b - a
@@ -112,16 +114,19 @@ def start_weights(vocabulary: Vocabulary, seed: int = 0) -> np.ndarray:
     rng, shapes = np.random.default_rng(seed), vocabulary.shapes()
     flat = np.zeros(sum(int(np.prod(s)) for s in shapes.values()), np.float32)
     w = unflatten(flat, shapes)
-    for name, scale in (("now", 0.2), ("before", 0.2), ("qkv", 0.3), ("mix", 0.18), ("join", 0.18), ("out", 0.05)):
+    for name, scale in (("now", 0.2), ("before", 0.2), ("qkv", 0.3), ("mix", 0.18), ("join", 0.18)):
         w[name][:] = rng.normal(0, scale, shapes[name])
     w["near"][:] = -0.05 * np.arange(WINDOW)
-    w["out"][-1] = vocabulary.bias
+    out = rng.normal(0, 0.05, (WIDTH + 1, len(vocabulary.bias)))
+    out[-1] = vocabulary.bias
+    for layer, (a, b) in zip(_layers(w, vocabulary), vocabulary.columns(), strict=True):
+        layer[:] = out[:, a:b]
     return flat
 
 
 def bounded(w: dict, vocabulary: Vocabulary) -> bool:
     """Whether no exponential of these weights can overflow, whatever the text."""
-    outputs = np.abs(w["out"]).sum(axis=0).max()
+    outputs = max(np.abs(layer).sum(axis=0).max() for layer in _layers(w, vocabulary))
     reach = [sum(float(np.sqrt(((w[e] @ w["qkv"][:, part]) ** 2).sum(axis=1).max())) for e in _EMBEDDINGS) for part in (slice(0, KEYS), slice(KEYS, 2 * KEYS))]
     return bool(outputs < _SAFE and reach[0] * reach[1] * _SCALE + np.abs(w["near"]).max() < _SAFE)
 
@@ -142,8 +147,8 @@ def _attended(w: dict, now: np.ndarray, before: np.ndarray, skip: int = 0, safe:
     n = len(now)
     x = w["now"].take(now.reshape(-1), axis=0)
     x += w["before"].take(before.reshape(-1), axis=0)
-    qkv = (x @ w["qkv"]).reshape(n, WINDOW, -1)
     x = x.reshape(n, WINDOW, WIDTH)
+    qkv = np.matmul(x, w["qkv"])
     q = qkv[:, skip:, :KEYS] * _SCALE
     k, v = qkv[:, :, KEYS : 2 * KEYS], qkv[:, :, 2 * KEYS :]
     across = np.ascontiguousarray(k.transpose(0, 2, 1))
@@ -164,13 +169,17 @@ def _attended(w: dict, now: np.ndarray, before: np.ndarray, skip: int = 0, safe:
         part = np.matmul(a, v[:, :hi])
         np.divide(part, total, out=o[:, lo - skip : hi - skip])
         shares.append((lo, hi, a, total))
-    if skip:
-        x = np.ascontiguousarray(x[:, skip:])
-    y = x.reshape(-1, WIDTH) @ w["mix"]
-    y += o.reshape(-1, WIDTH) @ w["join"]
-    one = np.ones((len(y), WIDTH + 1), y.dtype)  # the last column carries the bias
+    y = np.matmul(x[:, skip:], w["mix"])
+    y += np.matmul(o, w["join"])
+    return x, q, k, v, shares, o, _states(y)
+
+
+def _states(y: np.ndarray) -> np.ndarray:
+    """States of places, and a column of ones for the bias."""
+    y = y.reshape(-1, WIDTH)
+    one = np.ones((len(y), WIDTH + 1), y.dtype)
     np.tanh(y, out=one[:, :WIDTH])
-    return x, q, k, v, shares, o, one
+    return one
 
 
 def _pieces(vocabulary: Vocabulary, target: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[tuple[slice, np.ndarray]]]:
@@ -191,8 +200,30 @@ def _step(weights: np.ndarray) -> int:
 
 
 def _layers(w: dict, vocabulary: Vocabulary) -> list[np.ndarray]:
-    """The weights of the first softmax and of each learned group, each in one piece."""
-    return [np.ascontiguousarray(w["out"][:, a:b]) for a, b in ((0, vocabulary.first), *vocabulary.columns())]
+    """The weights of the first softmax and of each learned group: views, a bias in the last row."""
+    return [w["out"][(WIDTH + 1) * a : (WIDTH + 1) * b].reshape(WIDTH + 1, -1) for a, b in vocabulary.columns()]
+
+
+def _by_parts(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """``a @ b``, some rows of ``a`` at a time: the library is faster at many small products than at a long narrow one."""
+    n = len(a) - len(a) % _ROWS_AT_ONCE
+    out = np.empty((len(a), b.shape[1]), a.dtype)
+    if n:
+        np.matmul(a[:n].reshape(-1, _ROWS_AT_ONCE, a.shape[1]), b, out=out[:n].reshape(-1, _ROWS_AT_ONCE, b.shape[1]))
+    if n < len(a):
+        np.matmul(a[n:], b, out=out[n:])
+    return out
+
+
+def _summed_by_parts(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """``a.T @ b``, some rows of both at a time."""
+    n = len(a) - len(a) % _ROWS_AT_ONCE
+    if not n:
+        return a.T @ b
+    out = np.matmul(a[:n].reshape(-1, _ROWS_AT_ONCE, a.shape[1]).transpose(0, 2, 1), b[:n].reshape(-1, _ROWS_AT_ONCE, b.shape[1])).sum(axis=0)
+    if n < len(a):
+        out += a[n:].T @ b[n:]
+    return out
 
 
 def log_probability(layers: list[np.ndarray], vocabulary: Vocabulary, y: np.ndarray, target: np.ndarray, safe: bool = True) -> np.ndarray:
@@ -204,7 +235,7 @@ def log_probability(layers: list[np.ndarray], vocabulary: Vocabulary, y: np.ndar
         ones, step = np.ones(weights.shape[1], np.float32), _step(weights)
         for lo in range(at.start, at.stop, step):
             some = slice(lo, min(lo + step, at.stop))
-            s = y[some] @ weights
+            s = _by_parts(y[some], weights)
             if not safe:
                 s -= s.max(axis=1, keepdims=True)
             picked = s[np.arange(len(s)), place[some.start - at.start : some.stop - at.start]]
@@ -218,8 +249,8 @@ def log_probability(layers: list[np.ndarray], vocabulary: Vocabulary, y: np.ndar
 
 
 def _softmax_gradient(y: np.ndarray, weights: np.ndarray, entry: np.ndarray, share: np.ndarray, into: np.ndarray) -> tuple[np.ndarray, float]:
-    """Gradient of the loss with respect to ``y``; that of the weights is added to ``into``. ``share``: weight of each token."""
-    s = y @ weights
+    """Gradient of the loss with respect to the states in ``y``; that of the weights is added to ``into``. ``share``: weight of each token."""
+    s = _by_parts(y, weights)
     each = np.arange(len(s))
     picked = s[each, entry]
     np.exp(s, out=s)
@@ -227,8 +258,8 @@ def _softmax_gradient(y: np.ndarray, weights: np.ndarray, entry: np.ndarray, sha
     loss = float(((np.log(total) - picked) * share).sum())
     s *= (share / total)[:, None]
     s[each, entry] -= share
-    into += y.T @ s
-    return s @ weights.T, loss
+    into += _summed_by_parts(y, s)
+    return s @ weights[:WIDTH].T, loss
 
 
 def gradients(w: dict, vocabulary: Vocabulary, now: np.ndarray, before: np.ndarray, target: np.ndarray, live: np.ndarray, g: dict) -> tuple[float, dict]:
@@ -241,49 +272,56 @@ def gradients(w: dict, vocabulary: Vocabulary, now: np.ndarray, before: np.ndarr
     order, entry, inner = _pieces(vocabulary, target.reshape(-1))
     share = (live / max(1, int(live.sum()))).astype(y.dtype).reshape(-1).take(order)
     ranked = y.take(order, axis=0)
-    loss, more = 0.0, np.zeros_like(ranked)
+    loss, more = 0.0, np.zeros((len(y), WIDTH), y.dtype)
     g["out"][:] = 0
-    for weights, (at, place), (c, d) in zip(_layers(w, vocabulary), [(slice(0, len(y)), entry), *inner], [(0, vocabulary.first), *vocabulary.columns()], strict=False):
-        into, step = np.zeros_like(weights), _step(weights)
+    for weights, into, (at, place) in zip(_layers(w, vocabulary), _layers(g, vocabulary), [(slice(0, len(y)), entry), *inner], strict=False):
+        step = _step(weights)
         for lo in range(at.start, at.stop, step):
             some = slice(lo, min(lo + step, at.stop))
             of_y, part = _softmax_gradient(ranked[some], weights, place[some.start - at.start : some.stop - at.start], share[some], into)
             more[some] += of_y
             loss += part
-        g["out"][:, c:d] = into
-    dy = np.empty((len(y), WIDTH), y.dtype)
-    dy[order] = more[:, :WIDTH]
+    back = np.empty_like(order)
+    back[order] = np.arange(len(order))
+    dy = more.take(back, axis=0)
     y = y[:, :WIDTH]
-    dy *= 1 - y * y
+    slope = y * y
+    dy *= np.subtract(1, slope, out=slope)
     rows = lambda t: t.reshape(-1, t.shape[-1])
-    do = (dy @ w["join"].T).reshape(o.shape)
+    do = _by_parts(dy, w["join"].T).reshape(o.shape)
+    inward = np.einsum("bij,bij->bi", do, o)[:, :, None]  # the inner product of the attention's softmax, from the narrower side
     both = np.empty((*x.shape[:2], 2 * KEYS + 2 * WIDTH), y.dtype)  # of queries, keys and values, and of the states
-    dqkv = both[:, :, : 2 * KEYS + WIDTH]
+    dq, dk, dv = both[:, :, :KEYS], both[:, :, KEYS : 2 * KEYS], both[:, :, 2 * KEYS : 2 * KEYS + WIDTH]
     both[:, :, 2 * KEYS + WIDTH :] = dy.reshape(o.shape)
-    dqkv[:, :, KEYS:] = 0
     across = np.ascontiguousarray(v.transpose(0, 2, 1))
     near = np.zeros(WINDOW)
-    for lo, hi, a, total in shares:
+    for lo, hi, a, total in reversed(shares):  # the last block sees all places: it writes what the others add to
         d = do[:, lo:hi]
         d /= total  # so that the exponentials need not be divided
-        dqkv[:, :hi, 2 * KEYS :] += np.matmul(a.transpose(0, 2, 1), d)
         da = np.matmul(d, across[:, :, :hi])
-        da -= np.einsum("bij,bij->bi", d, o[:, lo:hi])[:, :, None]  # the softmax's inner product, from the narrower side
+        da -= inward[:, lo:hi] / total
         da *= a
         near += np.bincount(_DISTANCE[lo:hi, :hi].ravel(), weights=(np.ones(len(da), y.dtype) @ da.reshape(len(da), -1)) * _PAST[lo:hi, :hi].ravel(), minlength=WINDOW)
-        dqkv[:, lo:hi, :KEYS] = np.matmul(da, k[:, :hi])
-        dqkv[:, :hi, KEYS : 2 * KEYS] += np.matmul(da.transpose(0, 2, 1), q[:, lo:hi])
-    dqkv[:, :, :KEYS] *= _SCALE
+        np.matmul(da, k[:, :hi], out=dq[:, lo:hi])
+        if hi == WINDOW:
+            np.matmul(da.transpose(0, 2, 1), q[:, lo:hi], out=dk)
+            np.matmul(a.transpose(0, 2, 1), d, out=dv)
+        else:
+            dk[:, :hi] += np.matmul(da.transpose(0, 2, 1), q[:, lo:hi])
+            dv[:, :hi] += np.matmul(a.transpose(0, 2, 1), d)
+    dq *= _SCALE
     g["near"][:] = near
-    of_x = rows(x).T @ rows(both)
-    g["qkv"][:], g["mix"][:], g["join"][:] = of_x[:, : 2 * KEYS + WIDTH], of_x[:, 2 * KEYS + WIDTH :], rows(o).T @ dy
+    of_x = _summed_by_parts(rows(x), rows(both))
+    g["qkv"][:], g["mix"][:], g["join"][:] = of_x[:, : 2 * KEYS + WIDTH], of_x[:, 2 * KEYS + WIDTH :], _summed_by_parts(rows(o), dy)
     dx = rows(both) @ np.concatenate([w["qkv"], w["mix"]], axis=1).T
     return loss, {"now": _by_row(now.reshape(-1), dx), "before": _by_row(before.reshape(-1), dx)}
 
 
 def _adam(weights, mean, square, grad, rate: float, step: int):
     """One Adam step in place; returns its three states."""
-    mean += np.float32(0.1) * (grad - mean)
+    change = grad - mean
+    change *= np.float32(0.1)
+    mean += change
     grad *= grad
     grad -= square
     grad *= np.float32(0.02)
@@ -304,7 +342,7 @@ def train_locally(flat: np.ndarray, vocabulary: Vocabulary, windows: np.ndarray,
     start, flat, shapes = flat, flat.copy(), vocabulary.shapes()
     grad, mean, square = (np.zeros_like(flat) for _ in range(3))
     w, g, m, v = (unflatten(x, shapes) for x in (flat, grad, mean, square))
-    dense = slice(sum(int(np.prod(shapes[e])) for e in _EMBEDDINGS), None)
+    dense = range(sum(int(np.prod(shapes[e])) for e in _EMBEDDINGS), len(flat), _WEIGHTS_AT_ONCE)
     for step, lo in enumerate(range(0, len(windows), batch), 1):
         some = windows[lo : lo + batch]
         live = some >= 0
@@ -313,7 +351,9 @@ def train_locally(flat: np.ndarray, vocabulary: Vocabulary, windows: np.ndarray,
         row, rank = vocabulary.row.take(ids), np.where(live[:, 2:], vocabulary.rank.take(ids[:, 2:]), 0)
         with np.errstate(over="ignore", invalid="ignore"):
             _, sparse = gradients(w, vocabulary, row[:, 1:-1], row[:, :-2], rank, live[:, 2:], g)
-            _adam(flat[dense], mean[dense], square[dense], grad[dense], rate, step)
+            for at in dense:  # a part stays in the processor's cache
+                part = slice(at, at + _WEIGHTS_AT_ONCE)
+                _adam(flat[part], mean[part], square[part], grad[part], rate, step)
             for e, (at, sums) in sparse.items():
                 w[e][at], m[e][at], v[e][at] = _adam(w[e][at], m[e][at], v[e][at], sums, rate, step)
     return flat if np.isfinite(flat).all() else start
@@ -328,35 +368,65 @@ def windows_of(sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Scorer:
-    """The forward pass with fixed weights."""
+    """The forward pass with fixed weights, over blocks of STRIDE places that see their own and the block before.
+
+    These are the windows of ``windows_of``, two blocks each, but keys and values of a block are computed once for both
+    windows it is in, from tables of what each subword contributes to them as the one at a place and as the one before.
+    """
 
     def __init__(self, flat: np.ndarray, vocabulary: Vocabulary):
         self.vocabulary, self.w = vocabulary, unflatten(flat, vocabulary.shapes())
         self.layers, self.safe = _layers(self.w, vocabulary), bounded(self.w, vocabulary)
+        parts = np.concatenate([self.w["qkv"][:, :KEYS] * _SCALE, self.w["qkv"][:, KEYS:], self.w["mix"]], axis=1)
+        self.tables = [self.w[e] @ parts for e in _EMBEDDINGS]
+
+    def _states(self, now: np.ndarray, before: np.ndarray, opens: np.ndarray) -> np.ndarray:
+        """States of all places but those of the first block, which is only seen. ``opens``: whether a block sees none before it."""
+        w = self.w
+        z = self.tables[0].take(now, axis=0)
+        z += self.tables[1].take(before, axis=0)
+        z = z.reshape(-1, STRIDE, 2 * KEYS + 2 * WIDTH)
+        q = z[1:, :, :KEYS]
+        across = np.ascontiguousarray(z[:, :, KEYS : 2 * KEYS].transpose(0, 2, 1))
+        a = np.empty((len(opens), STRIDE, WINDOW), z.dtype)
+        np.matmul(q, across[:-1], out=a[:, :, :STRIDE])
+        np.matmul(q, across[1:], out=a[:, :, STRIDE:])
+        near, past = w["near"][_DISTANCE[STRIDE:]], _PAST[STRIDE:]
+        if not self.safe:
+            a += near
+            a[:, past == 0] = -np.inf
+            a[opens, :, :STRIDE] = -np.inf
+            a -= a.max(axis=2, keepdims=True)
+        np.exp(a, out=a)
+        if self.safe:
+            a *= np.exp(near) * past
+            a[opens, :, :STRIDE] = 0
+        total = np.matmul(a, np.ones(WINDOW, a.dtype))[:, :, None]
+        seen = np.lib.stride_tricks.as_strided(z[:, :, 2 * KEYS :], (len(opens), WINDOW, WIDTH), z.strides, writeable=False)
+        o = np.matmul(a, seen)
+        o /= total
+        y = np.matmul(o, w["join"])
+        y += z[1:, :, 2 * KEYS + WIDTH :]
+        return _states(y)
 
     def log10(self, ids: np.ndarray, sizes: np.ndarray, end: int, batch: int = 128) -> np.ndarray:
-        """log10 probability of every subword and of the end behind each text, each scored once, with what its window holds before it."""
+        """log10 probability of every subword and of the end behind each text, each scored once, with the places of its block and of the one before it that precede it."""
         v = self.vocabulary
-        ends = np.cumsum(sizes)
-        rank = v.rank[np.insert(ids, ends, end)]
-        now = v.row[np.insert(ids, ends - sizes, end)]  # the end also stands before each text
-        stop = np.cumsum(sizes + 1)
-        first = stop - (sizes + 1)
-        before = np.empty_like(now)
+        ends, places = np.cumsum(sizes), sizes + 1
+        blocks = -(-places // STRIDE)
+        first = 1 + np.cumsum(blocks) - blocks  # an empty block stands before all texts
+        at = np.arange(int(places.sum())) + np.repeat(first * STRIDE - (np.cumsum(places) - places), places)
+        n = 1 + int(blocks.sum())
+        opens = np.zeros(n, bool)
+        opens[first] = True
+        rank, now, before = np.zeros(n * STRIDE, v.rank.dtype), np.zeros(n * STRIDE, v.row.dtype), np.zeros(n * STRIDE, v.row.dtype)
+        rank[at] = v.rank[np.insert(ids, ends, end)]
+        now[at] = v.row[np.insert(ids, ends - sizes, end)]  # the end also stands before each text
         before[1:] = now[:-1]
-        before[first] = v.row[end]
-        out = np.empty(len(rank), np.float64)
-        start, text = windows_of(sizes + 1)
-        fresh = start == first[text]  # a text's first window scores all its places, others only the new ones
-        for skip, chosen in ((0, np.flatnonzero(fresh)), (WINDOW - STRIDE, np.flatnonzero(~fresh))):
-            for lo in range(0, len(chosen), batch):
-                part = chosen[lo : lo + batch]
-                at = start[part][:, None] + np.arange(WINDOW)
-                live = at[:, skip:] < stop[text[part]][:, None]
-                np.minimum(at, len(now) - 1, out=at)
-                y = _attended(self.w, now.take(at), before.take(at), skip, self.safe)[-1]
-                places = at[:, skip:][live]
-                if len(places) < len(y):
-                    y = y[live.reshape(-1)]
-                out[places] = log_probability(self.layers, v, y, rank[places], self.safe)
-        return out / np.log(10)
+        before[first * STRIDE] = v.row[end]
+        out = np.empty(n * STRIDE, np.float64)
+        for lo in range(1, n, batch):
+            hi = min(lo + batch, n)
+            seen, some = slice((lo - 1) * STRIDE, hi * STRIDE), slice(lo * STRIDE, hi * STRIDE)
+            out[some] = log_probability(self.layers, v, self._states(now[seen], before[seen], opens[lo:hi]), rank[some], self.safe)
+        return out[at] / np.log(10)

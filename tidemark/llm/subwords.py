@@ -9,6 +9,7 @@ does everything if the tokenizer file has another normaliser or pre-tokeniser th
 from __future__ import annotations
 
 import functools
+import itertools
 import json
 import os
 
@@ -32,7 +33,9 @@ def _byte_chars() -> dict[int, int]:
     return {b: 0x100 + i for i, b in enumerate(rest)}
 
 
-_BYTE_CHARS = _byte_chars()
+_BYTE_CHARS = np.arange(256, dtype="<u2")
+for _byte, _char in _byte_chars().items():
+    _BYTE_CHARS[_byte] = _char
 
 
 @functools.cache
@@ -100,7 +103,9 @@ class SubwordEncoder:
 
     def _learn(self, new: pa.Array) -> None:
         tokenize = self.tokenizer.model.tokenize
-        made = [[t.id for t in tokenize(p.encode().decode("latin-1").translate(_BYTE_CHARS))] for p in new.to_pylist()]
+        data, off = utf8_of(new)
+        chars, at = _BYTE_CHARS[data].tobytes().decode("utf-16-le"), off.tolist()
+        made = [[t.id for t in tokenize(chars[a:b])] for a, b in itertools.pairwise(at)]
         self.known = pa.concat_arrays([self.known, new])
         self.pool = np.concatenate([self.pool, np.array([i for ids in made for i in ids], np.uint32)])
         self.pool_off = np.concatenate([self.pool_off, self.pool_off[-1] + np.cumsum([len(ids) for ids in made], dtype=np.int64)])
