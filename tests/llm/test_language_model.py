@@ -155,11 +155,12 @@ def test_layers_are_the_weights_themselves(small):
     assert np.array_equal(np.concatenate([x[-1] for x in layers]), small.bias)
 
 
-@pytest.mark.parametrize("rows", [1, 127, 128, 129, 400])
+@pytest.mark.parametrize("rows", [1, 511, 512, 513, 900])
 def test_products_by_parts(rows):
     rng = np.random.default_rng(8)
     a, b, c = rng.random((rows, 33)), rng.random((33, 20)), rng.random((rows, 20))
     np.testing.assert_allclose(A._by_parts(a, b), a @ b, rtol=1e-12)
+    np.testing.assert_allclose(A._by_parts(c, b.T), c @ b.T, rtol=1e-12)
     np.testing.assert_allclose(A._summed_by_parts(a, c), a.T @ c, rtol=1e-12)
 
 

@@ -27,8 +27,8 @@ _DISTANCE = np.maximum(_DISTANCE, 0)
 BLOCK = 32
 #: Logits of the output layer held at once, so that they stay in the processor's cache.
 _LOGITS = 1 << 18
-#: Rows that a product takes at once, and weights that an Adam step takes at once.
-_ROWS_AT_ONCE, _WEIGHTS_AT_ONCE = 128, 1 << 14
+#: Rows that a product takes at once, rows from which on it does so, and weights that an Adam step takes at once.
+_ROWS_AT_ONCE, _MANY_ROWS, _WEIGHTS_AT_ONCE = 128, 512, 1 << 14
 _EMBEDDINGS = ("now", "before")
 #: Settings of glibc's allocator (trim threshold, top padding, threshold of mappings) and their values.
 _HEAP = ((-1, 64 << 20), (-2, 16 << 20), (-3, 8 << 20))
@@ -206,10 +206,12 @@ def _layers(w: dict, vocabulary: Vocabulary) -> list[np.ndarray]:
 
 def _by_parts(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """``a @ b``, some rows of ``a`` at a time: the library is faster at many small products than at a long narrow one."""
+    if len(a) < _MANY_ROWS:
+        return a @ b
     n = len(a) - len(a) % _ROWS_AT_ONCE
+    b = np.ascontiguousarray(b)  # small products with a transposed matrix are slow
     out = np.empty((len(a), b.shape[1]), a.dtype)
-    if n:
-        np.matmul(a[:n].reshape(-1, _ROWS_AT_ONCE, a.shape[1]), b, out=out[:n].reshape(-1, _ROWS_AT_ONCE, b.shape[1]))
+    np.matmul(a[:n].reshape(-1, _ROWS_AT_ONCE, a.shape[1]), b, out=out[:n].reshape(-1, _ROWS_AT_ONCE, b.shape[1]))
     if n < len(a):
         np.matmul(a[n:], b, out=out[n:])
     return out
@@ -217,9 +219,9 @@ def _by_parts(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 def _summed_by_parts(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """``a.T @ b``, some rows of both at a time."""
-    n = len(a) - len(a) % _ROWS_AT_ONCE
-    if not n:
+    if len(a) < _MANY_ROWS:
         return a.T @ b
+    n = len(a) - len(a) % _ROWS_AT_ONCE
     out = np.matmul(a[:n].reshape(-1, _ROWS_AT_ONCE, a.shape[1]).transpose(0, 2, 1), b[:n].reshape(-1, _ROWS_AT_ONCE, b.shape[1])).sum(axis=0)
     if n < len(a):
         out += a[n:].T @ b[n:]
@@ -259,7 +261,7 @@ def _softmax_gradient(y: np.ndarray, weights: np.ndarray, entry: np.ndarray, sha
     s *= (share / total)[:, None]
     s[each, entry] -= share
     into += _summed_by_parts(y, s)
-    return s @ weights[:WIDTH].T, loss
+    return _by_parts(s, weights[:WIDTH].T), loss
 
 
 def gradients(w: dict, vocabulary: Vocabulary, now: np.ndarray, before: np.ndarray, target: np.ndarray, live: np.ndarray, g: dict) -> tuple[float, dict]:
@@ -313,7 +315,7 @@ def gradients(w: dict, vocabulary: Vocabulary, now: np.ndarray, before: np.ndarr
     g["near"][:] = near
     of_x = _summed_by_parts(rows(x), rows(both))
     g["qkv"][:], g["mix"][:], g["join"][:] = of_x[:, : 2 * KEYS + WIDTH], of_x[:, 2 * KEYS + WIDTH :], _summed_by_parts(rows(o), dy)
-    dx = rows(both) @ np.concatenate([w["qkv"], w["mix"]], axis=1).T
+    dx = _by_parts(rows(both), np.concatenate([w["qkv"], w["mix"]], axis=1).T)
     return loss, {"now": _by_row(now.reshape(-1), dx), "before": _by_row(before.reshape(-1), dx)}
 
 
