@@ -144,3 +144,40 @@ def test_clusters_send_no_table_to_the_driver(spark, monkeypatch, side):
     graph.components(points.select("id"), links, "id")
     shown = [df._jdf.queryExecution().executedPlan().toString() for df in [*plans, links]]
     assert sum("SortMergeJoin" in p for p in shown) > 3 and not any("BroadcastHashJoin" in p for p in shown)
+
+
+@pytest.mark.parametrize(("few", "links"), [(0, 0), (0, 100_000), (32, 0), (32, 100_000)])
+def test_roots_of_points_by_way_of_cells(spark, monkeypatch, few, links):
+    """By one task and by rounds, with and without the nearest points of large cells; a point without coordinates or key is alone."""
+    monkeypatch.setattr(graph, "FEW", few)
+    monkeypatch.setattr(graph, "FEW_LINKS", links)
+    rng = random.Random(9)
+    pts = [(rng.random(), rng.random()) for _ in range(120)] + [(5 + 0.07 * rng.random(), 0.07 * rng.random()) for _ in range(120)]
+    turn = [(9 + 0.1 * math.cos(0.03 * i), 0.1 * math.sin(0.03 * i)) for i in range(105)]  # large cells whose outmost points do not tell
+    pts += turn + [(x + 0.2 + 1e-3, y) for x, y in turn] + [(0.1 * i, -3.0) for i in range(12)] + [(0.1 * i + 0.01, -4.0 - 0.1 * (i % 2)) for i in range(12)]
+    rows = [(k, i, x, y) for k in ("a", "b") for i, (x, y) in enumerate(pts) if k == "a" or i % 3]
+    odd = [("a", 5000, None, 1.0), ("b", 5000, 1.0, None), (None, 1, 0.5, 0.5), (None, 2, 0.5, 0.5)]
+    got = {(r["k"], r["id"]): r["root"] for r in graph.proximity_roots(spark.createDataFrame(rows + odd, "k string, id long, x double, y double"), ["k"], "id", "x", "y", 0.1).collect()}
+    want = {(k, i): i for k, i, _, _ in odd}
+    for key in ("a", "b"):
+        own = [r for r in rows if r[0] == key]
+        found = roots(len(own), lambda i, j: (own[i][2] - own[j][2]) ** 2 + (own[i][3] - own[j][3]) ** 2 <= 0.1 * 0.1)
+        want |= {(key, own[i][1]): own[r][1] for i, r in enumerate(found)}
+    assert got == want
+
+
+def test_clusters_of_the_suppliers_take_few_plans(spark, monkeypatch, tmp_path):
+    """Dense balances: the driver plans a handful of steps, not rounds of the links and levels of a tree of points."""
+    from tidemark import bindings
+
+    rng = random.Random(10)
+    rows = [(i, i % 3, round(rng.uniform(0, 300 + 40 * (i % 3)) ** 2 / 30, 2)) for i in range(1500)]
+    spark.createDataFrame(rows, "s_suppkey long, s_nationkey int, s_acctbal double").write.parquet(f"{tmp_path}/supplier.parquet")
+    plans, real = [], type(spark.range(1)).checkpoint
+    monkeypatch.setattr(type(spark.range(1)), "checkpoint", lambda df, *a: plans.append(df) or real(df, *a))
+    got = {r["s_suppkey"]: r["cluster"] for r in bindings.clusters(spark, str(tmp_path)).collect()}
+    assert 0 < len(plans) < 8
+    for nation in range(3):
+        own = [r for r in rows if r[1] == nation]
+        found = roots(len(own), lambda i, j: abs(own[i][2] - own[j][2]) <= 300)
+        assert {r[0]: got[r[0]] for r in own} == {r[0]: own[k][0] for r, k in zip(own, found, strict=True)}

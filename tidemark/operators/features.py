@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.operators import ranks
-from tidemark.operators.graph import components, proximity_links
+from tidemark.operators.graph import components, proximity_roots
 from tidemark.operators.ordered import numbered
 
 #: Tolerance of tracking, constant and share of the gap, and the longest gap.
@@ -75,9 +75,8 @@ def clustered(points: DataFrame, key: list[str], node: str, y: str, z: str, volu
     """
     radius = link_radius(points, key, volume, factor)
     rows = points.join(radius, key)
-    links = proximity_links(rows, key, node, y, z, F.col("link_radius"))
-    root = components(points.select(F.struct(*key, F.col(node).alias("n")).alias("node")), links.select(F.struct(*key, F.col("u").alias("n")).alias("u"), F.struct(*key, F.col("v").alias("n")).alias("v")), "node")
-    return rows.join(root.select(*[F.col(f"node.{k}").alias(k) for k in key], F.col("node.n").alias(node), F.col("root.n").alias("cluster")), [*key, node])
+    root = proximity_roots(rows, key, node, y, z, F.col("link_radius"))
+    return rows.join(root.withColumnRenamed("root", "cluster"), [*key, node])
 
 
 def cluster_summary(rows: DataFrame, key: list[str], weight: Column, volume: Column, q: str, node: str, coords: list[str], thickness: float, floor: float = 0.0) -> DataFrame:
