@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from bisect import bisect_left
 
 import numpy as np
 import pandas as pd
@@ -10,8 +11,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.operators import ranks
-from tidemark.operators.graph import components, proximity_roots
+from tidemark.operators.graph import FEW_LINKS, components, proximity_roots
 from tidemark.operators.ordered import numbered
+from tidemark.session import stored
 
 #: Tolerance of tracking, constant and share of the gap, and the longest gap.
 TRACK_BASE, TRACK_SLOPE, TRACK_GAP = 0.03, 0.35, 0.201
@@ -110,41 +112,147 @@ def track_links(clusters: DataFrame, key: list[str], base: float = TRACK_BASE, s
     graph of occupied cells as wide as the longest link, and these are tracked apart: the result is that of the case as a whole.
     """
     wide = base + slope * longest
-    cell = F.struct(*key, "sense", F.floor(F.col("x") / longest).alias("_i"), F.floor(F.col("y") / wide).alias("_j"), F.floor(F.col("z") / wide).alias("_k"))
-    rows = clusters.withColumn("_cell", cell)
-    cells = rows.select(F.col("_cell").alias("node")).distinct()
+    corner = ("_i", "_j", "_k")
+    place = ["x", "_strength", "y", "z"]
+    at = [F.floor(F.col(c) / w).alias(n) for n, c, w in zip(corner, "xyz", (longest, wide, wide), strict=True)]
+    # Written, since the cells and the rows are both made of it.
+    rows = stored(clusters.select("*", (-F.abs("circulation")).alias("_strength"), F.struct(*key, "sense", *at).alias("_cell")), "clusters")
+    cells = rows.select(F.col("_cell").alias("node")).distinct().checkpoint()
     steps = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"), F.lit(k).alias("k")) for i in (0, 1) for j in (-1, 0, 1) for k in (-1, 0, 1) if (i, j, k) > (0, 0, 0)])
     beside = F.struct(*[F.col(f"node.{c}").alias(c) for c in [*key, "sense"]], *[(F.col(f"node._{c}") + F.col(f"_s.{c}")).alias(f"_{c}") for c in "ijk"])
     near = cells.withColumn("_s", F.explode(steps)).select(F.col("node").alias("u"), beside.alias("v")).join(cells.withColumnRenamed("node", "v"), "v")
-    root = components(cells, near.select("u", "v"), "node")
+    root = components(cells, near.select("u", "v"), "node").select(F.col("node").alias("_cell"), *[F.col(f"root.{c}").alias(c) for c in corner])
     # A cell has the key and the sense of its rows, so plain columns tell a neighbourhood: of a struct, pandas would make an object per row.
-    corner = ("_i", "_j", "_k")
-    rows = rows.join(root.select(F.col("node").alias("_cell"), *[F.col(f"root.{c}").alias(c) for c in corner]), "_cell").drop("_cell")
-    place = ["x", "_strength", "y", "z"]
+    rows = rows.join(F.broadcast(root) if root.count() <= FEW_LINKS else root, "_cell").drop("_cell")
 
     def one(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(place, kind="stable").reset_index(drop=True)
-        x, y, z = (pdf[c].to_numpy() for c in ("x", "y", "z"))
-        heads: list[int] = []
-        track = []
-        for i in range(len(pdf)):
-            j = np.array(heads, int)
-            gap = x[i] - x[j]
-            d = np.hypot(y[i] - y[j], z[i] - z[j])
-            d[(gap <= 0) | (gap > longest) | (d > base + slope * gap)] = np.inf
-            best = int(d.argmin()) if len(d) and d.min() < np.inf else len(heads)
-            heads[best : best + 1] = [i]
-            track.append(best)
-        return pdf.assign(_track=track)
-
-    rows = rows.withColumn("_strength", -F.abs("circulation"))
+        return pdf.assign(_track=greedy_tracks(*(pdf[c].to_numpy(float) for c in "xyz"), base, slope, longest))
+
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema) + ", _track bigint"
-    apart = rows.groupBy(*key, "sense", *corner).applyInPandas(one, schema).withColumn("_root", F.struct(*key, "sense", *corner))
+    apart = stored(rows.groupBy(*key, "sense", *corner).applyInPandas(one, schema).withColumn("_root", F.struct(*key, "sense", *corner)).drop(*corner), "apart")
     first = apart.groupBy(*key, "_root", "_track").agg(F.min(F.struct(*place, "sense")).alias("_first"))
-    first = numbered(first.select(*key, "_root", "_track", "_first.*"), key, [*place, "sense"], F.col("x"), "track")
+    # Tracks that begin with equal clusters lie in one neighbourhood, where their numbers follow the order.
+    first = numbered(first.select(*key, "_root", "_track", "_first.*"), key, [*place, "sense", "_track"], F.col("x"), "track")
     return apart.join(first.select("_root", "_track", F.col("track").cast("bigint").alias("track")), ["_root", "_track"]).select(*clusters.columns, "track")
 
 
+#: Clusters of a station, and ends of tracks, from which on the ends are put in order first.
+STATION, ENDS = 8, 64
+
+
+def greedy_tracks(x: np.ndarray, y: np.ndarray, z: np.ndarray, base: float, slope: float, longest: float) -> np.ndarray:
+    """Track of each cluster of a neighbourhood, all of one sense and in the order in which they choose.
+
+    Only ends of tracks within the longest gap are held, and a station's clusters look for theirs in ordered strips
+    (:class:`_Ends`), not among all. Of equally near ends that of the first track is taken.
+    """
+    track = np.empty(len(x), "int64")
+    count, i = 0, 0
+    hx, hy, hz, ht = (np.empty(0, t) for t in (float, float, float, "int64"))
+    whole = np.isfinite(x) & np.isfinite(y) & np.isfinite(z)
+    while i < len(x):
+        j = int(np.searchsorted(x, x[i], "right")) if x[i] == x[i] else i + 1
+        gap = x[i] - hx
+        held = (gap > 0) & (gap <= longest)
+        hx, hy, hz, ht, tolerance = hx[held], hy[held], hz[held], ht[held], (base + slope * gap)[held]
+        free = np.ones(len(ht), bool)
+        ends = _Ends(hy, hz, tolerance) if j - i >= STATION and len(ht) >= ENDS else None
+        for r in range(i, j):
+            best = -1
+            if ends:
+                best = ends.take(float(y[r]), float(z[r])) if whole[r] else -1
+            elif len(ht) and whole[r]:
+                d = np.hypot(y[r] - hy, z[r] - hz)
+                d[~free | (d > tolerance)] = np.inf
+                best = int(d.argmin())
+                best = best if d[best] < np.inf else -1
+            if best >= 0:
+                free[best] = False
+                track[r] = ht[best]
+            else:
+                track[r] = count
+                count += 1
+        new = np.arange(i, j)[whole[i:j]]
+        hx, hy, hz, ht = (np.concatenate([old[free], now[new]]) for old, now in ((hx, x), (hy, y), (hz, z), (ht, track)))
+        order = ht.argsort(kind="stable")
+        hx, hy, hz, ht, i = hx[order], hy[order], hz[order], ht[order], j
+    return track
+
+
+class _Ends:
+    """Ends of tracks, of which the nearest free one within its tolerance is taken again and again.
+
+    Ends of one tolerance lie in strips of z, those of a strip in order of y. From a place on, the nearest free end of a
+    strip to either side comes first; taken ones are skipped by links that are shortened on the way. Equal ends are one.
+    """
+
+    def __init__(self, y: np.ndarray, z: np.ndarray, tolerance: np.ndarray):
+        kinds = np.unique(tolerance)
+        kind = np.searchsorted(kinds, tolerance) if len(kinds) <= 8 else np.searchsorted(np.quantile(tolerance, np.arange(1, 8) / 8), tolerance)
+        strip = np.zeros(len(y), "int64")
+        for k in np.unique(kind):
+            own = kind == k
+            levels = np.unique(z[own])
+            many = max(1, math.isqrt(int(own.sum()) // 4))
+            if len(levels) > max(many, 16):
+                levels = np.unique(np.quantile(levels, np.arange(many) / many, method="lower"))
+            strip[own] = np.searchsorted(levels, z[own], "right")
+        order = np.lexsort((np.arange(len(y)), tolerance, z, y, strip, kind))
+        y, z, tolerance, strip, kind = y[order], z[order], tolerance[order], strip[order], kind[order]
+        cut = np.ones(len(y), bool)
+        cut[1:] = (y[1:] != y[:-1]) | (z[1:] != z[:-1]) | (tolerance[1:] != tolerance[:-1]) | (strip[1:] != strip[:-1]) | (kind[1:] != kind[:-1])
+        start = np.flatnonzero(cut)
+        self.ends, self.at, self.stop = order.tolist(), start.tolist(), [*start[1:].tolist(), len(y)]
+        self.y, self.z, self.tolerance = y[start].tolist(), z[start].tolist(), tolerance[start].tolist()
+        n = len(start)
+        self.right, self.left = list(range(n + 1)), list(range(n + 1))  # of place k: k if it is free; left is shifted by one
+        edge = np.flatnonzero(np.concatenate([[True], (strip[start][1:] != strip[start][:-1]) | (kind[start][1:] != kind[start][:-1])]))
+        self.kinds: list[tuple[float, list[float], list[tuple[int, int, float, float]]]] = []
+        of = kind[start]
+        for lo, hi in zip(edge.tolist(), [*edge[1:].tolist(), n], strict=True):
+            if not lo or of[lo] != of[lo - 1]:
+                self.kinds.append((0.0, [], []))
+            most, tops, strips = self.kinds.pop()
+            strips.append((lo, hi, min(self.z[lo:hi]), max(self.z[lo:hi])))
+            self.kinds.append((max(most, *self.tolerance[lo:hi], 0.0), [*tops, strips[-1][3]], strips))
+
+    @staticmethod
+    def _free(links: list[int], k: int) -> int:
+        while links[k] != k:
+            links[k] = k = links[links[k]]
+        return k
+
+    def take(self, y: float, z: float) -> int:
+        """Number of the end that is taken, or -1. The bounds are a little wide, so that rounding never hides an end or a tie."""
+        best, where = (math.inf, -1), -1
+        for most, tops, strips in self.kinds:
+            middle = bisect_left(tops, z)
+            for way in (range(middle, len(strips)), range(middle - 1, -1, -1)):
+                for s in way:
+                    lo, hi, least, top = strips[s]
+                    off = max(least - z, z - top, 0.0)
+                    far = min(best[0], most) * (1 + 1e-9)
+                    if off > far:
+                        break
+                    p = bisect_left(self.y, y, lo, hi)
+                    for links, shift, step in ((self.right, 0, 1), (self.left, 1, -1)):
+                        k = self._free(links, p) - shift
+                        wide = far * far - off * off
+                        while lo <= k < hi and (self.y[k] - y) * (self.y[k] - y) <= wide * (1 + 1e-9):
+                            d = float(np.hypot(y - self.y[k], z - self.z[k]))
+                            if d <= self.tolerance[k] and (d, self.ends[self.at[k]]) < best:
+                                best, where = (d, self.ends[self.at[k]]), k
+                                far = min(d, most) * (1 + 1e-9)
+                                wide = far * far - off * off
+                            k = self._free(links, k + shift + step) - shift
+        if where >= 0:
+            self.at[where] += 1
+            if self.at[where] == self.stop[where]:
+                self.right[where], self.left[where + 1] = where + 1, where
+        return best[1]
+
+
 def long_tracks(tracks: DataFrame, key: list[str], least: int = 3) -> DataFrame:
     """Tracks with enough stations; ``fragments`` counts the others of the case."""
     n = tracks.withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy(*key, "track")))
