@@ -127,14 +127,18 @@ def track_links(clusters: DataFrame, key: list[str], base: float = TRACK_BASE, s
 
     def one(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(place, kind="stable").reset_index(drop=True)
-        return pdf.assign(_track=greedy_tracks(*(pdf[c].to_numpy(float) for c in "xyz"), base, slope, longest))
-
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema) + ", _track bigint"
-    apart = stored(rows.groupBy(*key, "sense", *corner).applyInPandas(one, schema).withColumn("_root", F.struct(*key, "sense", *corner)).drop(*corner), "apart")
-    first = apart.groupBy(*key, "_root", "_track").agg(F.min(F.struct(*place, "sense")).alias("_first"))
+        track = greedy_tracks(*(pdf[c].to_numpy(float) for c in "xyz"), base, slope, longest)
+        return pdf.assign(_track=track, _begins=~pd.Series(track).duplicated())
+
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema) + ", _track bigint, _begins boolean"
+    # A few large neighbourhoods would be put into a few tasks by their bytes, but it is their rows that take time.
+    tasks = 8 * rows.sparkSession.sparkContext.defaultParallelism
+    apart = rows.repartition(tasks, *key, "sense", *corner).groupBy(*key, "sense", *corner).applyInPandas(one, schema)
+    apart = stored(apart.withColumn("_root", F.struct(*key, "sense", *corner)).drop(*corner), "apart")
     # Tracks that begin with equal clusters lie in one neighbourhood, where their numbers follow the order.
-    first = numbered(first.select(*key, "_root", "_track", "_first.*"), key, [*place, "sense", "_track"], F.col("x"), "track")
-    return apart.join(first.select("_root", "_track", F.col("track").cast("bigint").alias("track")), ["_root", "_track"]).select(*clusters.columns, "track")
+    first = numbered(apart.filter("_begins").select(*key, "_root", *place, "sense", "_track"), key, [*place, "sense", "_track"], F.col("x"), "track")
+    first = first.select("_root", "_track", F.col("track").cast("bigint").alias("track"))
+    return apart.join(first.hint("merge"), ["_root", "_track"]).select(*clusters.columns, "track")
 
 
 #: Clusters of a station, and ends of tracks, from which on the ends are put in order first.
